@@ -58,9 +58,7 @@ def q_bronze_customer_month(spark, sf):
 @register("bronze_customer", V.with_(*PS.bronze_customer_ctes()) + " SELECT * FROM bc")
 def q_bronze_customer(spark, sf):
     """J1 + X2/X3/X4: label backbone with first attributes, contract and latest enriched interaction."""
-    raw = _raw(spark, sf)
-    inter = enrich.enrich_interactions(raw["interactions"])
-    return bronze.customer(raw["churn"], raw["attributes"], raw["contracts"], inter)
+    return _layers(spark, sf)["bronze_customer"]
 
 
 # ---------------------------------------------------------------- silver ----

@@ -126,8 +126,16 @@ _WS_CLASS = r"[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]"
 def rule_pattern(patterns: Sequence[str]) -> str:
     """One case-insensitive alternation for a label.
 
-    ``(?d)`` makes ``\n`` the only line end, so ``.`` behaves as in Python.
+    ``(?d)`` makes ``\\n`` the only line end, so ``.`` behaves as in Python.
+    When every alternative is wrapped in word boundaries, the boundaries are
+    hoisted out (``\\b(?:a|b)\\b``): the same matches, but alternatives are
+    only tried where a word starts, which is several times cheaper on long
+    texts.
     """
+    b = r"\b"
+    if patterns and all(p.startswith(b) and p.endswith(b) and not p.endswith("\\" + b) for p in patterns):
+        inner = "|".join(f"(?:{p[2:-2]})" for p in patterns)
+        return f"(?id){b}(?:{inner}){b}"
     return "(?id)" + "|".join(f"(?:{p})" for p in patterns)
 
 
@@ -168,11 +176,16 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}_]+"
 
 
 def word_hits(text, words: Sequence[str]) -> Column:
-    """Number of tokens of the whole lower-cased text that are in ``words``."""
+    """Number of tokens of the whole lower-cased text that are in ``words``.
+
+    A token is a maximal run of letters, digits and ``_``; a regex match of
+    a listed word with no token character on either side is exactly one such
+    token, so one codegen'd ``regexp_count`` replaces split + filter.
+    """
     t = F.col(text) if isinstance(text, str) else text
-    toks = F.split(F.lower(t), TOKEN_SPLIT)
-    vocab = F.array(*[F.lit(w) for w in words])
-    return F.size(F.filter(toks, lambda w: F.array_contains(vocab, w)))
+    w = "|".join(words)
+    pat = f"(?<![\\p{{L}}\\p{{N}}_])(?:{w})(?![\\p{{L}}\\p{{N}}_])"
+    return F.coalesce(F.regexp_count(F.lower(t), F.lit(pat)), F.lit(0))
 
 
 def sentiment_label(neg, neu, pos) -> Column:

@@ -97,7 +97,7 @@ def customer_month(consumption: DataFrame, prices: DataFrame | None = None,
 
 def customer(churn: DataFrame, attributes: DataFrame, contracts: DataFrame,
              interactions: DataFrame, attr_order=None, contract_order=None,
-             interaction_order=None) -> DataFrame:
+             interaction_order=None, enrich=None) -> DataFrame:
     """Label LEFT attributes LEFT contracts LEFT interactions, one row per customer.
 
     Each side is first reduced to one row per key with an explicit order
@@ -105,12 +105,19 @@ def customer(churn: DataFrame, attributes: DataFrame, contracts: DataFrame,
     attributes and contracts by the given order (default: earliest contract
     start), interactions by the latest date, NULL dates last.  The label
     table must be unique; a duplicate fails the job.
+
+    ``enrich`` (a per-row function such as intent + sentiment) runs on the
+    interaction rows map-side, before the shuffle that picks the latest row:
+    it is CPU-heavy, and there it runs with the parallelism of the input
+    splits instead of that of a small post-shuffle stage.
     """
     lab = guard_unique(churn, [KEY], "churn")
     attr = pick_per_key(attributes, [KEY], attr_order or [])
     corder = contract_order or ([c for c in ("contract_start_date",) if c in contracts.columns])
     con = pick_per_key(contracts, [KEY], corder)
     iorder = interaction_order or ([c for c in ("date",) if c in interactions.columns])
+    if enrich is not None:
+        interactions = enrich(interactions)
     inter = pick_per_key(interactions, [KEY], iorder, latest=True)
     out = lab
     for side in (attr, con, inter):

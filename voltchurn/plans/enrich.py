@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltchurn.functions import text as tx
+from voltchurn.operators.frames import spread
 
 SENTIMENT_COLS = ("sentiment_neg", "sentiment_neu", "sentiment_pos", "sentiment_label")
 
@@ -31,17 +32,19 @@ def lexicon_sentiment(df: DataFrame, text_col: str = "interaction_summary") -> D
 
     neg = n/(1+n+p), pos = p/(1+n+p), neu = 1/(1+n+p) over the whole text.
     """
-    blank = tx.is_blank(text_col)
-    p = tx.word_hits(text_col, tx.POSITIVE_WORDS)
-    n = tx.word_hits(text_col, tx.NEGATIVE_WORDS)
-    den = (F.lit(1) + p + n).cast("double")
-    out = df.withColumns({
-        "sentiment_neg": F.when(~blank, n / den),
-        "sentiment_neu": F.when(~blank, F.lit(1.0) / den),
-        "sentiment_pos": F.when(~blank, p / den),
+    tmp = df.withColumns({"_blank": tx.is_blank(text_col),
+                          "_p": tx.word_hits(text_col, tx.POSITIVE_WORDS),
+                          "_n": tx.word_hits(text_col, tx.NEGATIVE_WORDS)})
+    den = (F.lit(1) + F.col("_p") + F.col("_n")).cast("double")
+    ok = ~F.col("_blank")
+    out = tmp.withColumns({
+        "sentiment_neg": F.when(ok, F.col("_n") / den),
+        "sentiment_neu": F.when(ok, F.lit(1.0) / den),
+        "sentiment_pos": F.when(ok, F.col("_p") / den),
     })
-    return out.withColumn("sentiment_label", F.when(~blank, tx.sentiment_label(
+    out = out.withColumn("sentiment_label", F.when(ok, tx.sentiment_label(
         "sentiment_neg", "sentiment_neu", "sentiment_pos")))
+    return out.drop("_blank", "_p", "_n")
 
 
 def model_sentiment(df: DataFrame, scorer: Callable[[pd.Series], pd.DataFrame],
@@ -81,7 +84,7 @@ def model_sentiment(df: DataFrame, scorer: Callable[[pd.Series], pd.DataFrame],
 def enrich_interactions(df: DataFrame, scorer=None, text_col: str = "interaction_summary",
                         rules=tx.INTENT_RULES) -> DataFrame:
     """Intent always; sentiment by the given scorer, else the word-list default."""
-    out = enrich_intent(df, text_col=text_col, rules=rules)
+    out = enrich_intent(spread(df), text_col=text_col, rules=rules)
     if text_col not in out.columns:
         return out
     if scorer is None:

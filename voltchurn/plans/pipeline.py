@@ -8,8 +8,8 @@ from voltchurn.plans import bronze, enrich, gold, silver
 
 
 def bronze_layer(raw: dict[str, DataFrame], scorer=None, validate: bool = True) -> dict[str, DataFrame]:
-    inter = enrich.enrich_interactions(raw["interactions"], scorer=scorer)
-    bc = bronze.customer(raw["churn"], raw["attributes"], raw["contracts"], inter)
+    bc = bronze.customer(raw["churn"], raw["attributes"], raw["contracts"], raw["interactions"],
+                         enrich=lambda df: enrich.enrich_interactions(df, scorer=scorer))
     bcm = bronze.customer_month(raw["consumption"], prices=raw.get("prices"), costs=raw.get("costs"),
                                 province_lookup=raw.get("attributes"), validate=validate)
     return {"bronze_customer": bc, "bronze_customer_month": bcm}

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from voltchurn.constants import CHANNEL_MAP, KEY, PRICE_CONSUMPTION_PAIRS
 from voltchurn.functions.exprs import literal_map
-from voltchurn.operators.frames import broadcast_if_small, ffill_bfill, pick_per_key
+from voltchurn.operators.frames import broadcast_if_small, cut_lineage, ffill_bfill, pick_per_key
 
 
 def customer_segments(sc: DataFrame) -> DataFrame:
@@ -68,11 +68,16 @@ def grouped_median(df: DataFrame, groups: list[str], value_exprs: dict[str, Colu
 
 
 def impute_prices(scm: DataFrame, silver_customer: DataFrame | None = None,
-                  segment_col: str = "is_industrial", approx_median: bool = False) -> DataFrame:
+                  segment_col: str = "is_industrial", approx_median: bool = False,
+                  checkpoint: bool = True) -> DataFrame:
     """Three-level imputation of every price column present.
 
     For each (price, consumption) pair: price 0 means missing; only rows whose
     consumption is > 0 are imputed, and only those rows feed the medians.
+
+    The level-1 result feeds both the median aggregates and the rows they are
+    joined back to; it is checkpointed (reliably, into ``spark.checkpoint.dir``)
+    so the upstream bronze plan runs once instead of once per consumer.
     """
     df = scm
     if segment_col not in df.columns and silver_customer is not None:
@@ -88,6 +93,8 @@ def impute_prices(scm: DataFrame, silver_customer: DataFrame | None = None,
     # level 1: customer forward/backward fill (fill source = all of the customer's rows)
     df = df.withColumns({p: F.when(mask[p] & F.col(p).isNull(), ffill_bfill(p, [KEY], ["month"]))
                          .otherwise(F.col(p)) for p, _ in pairs})
+    if checkpoint:
+        df = cut_lineage(df)
 
     # level 2: segment x month median over consuming rows
     seg_med = grouped_median(
