@@ -91,3 +91,16 @@ interactions AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
+
+LABELLED_SCORES = """
+labelled AS (
+  SELECT d.doc_id, l.quality AS label, d.n_chars / (d.n_chars + 2000.0) AS score
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
+
+MODEL_OUTPUT = """
+model_out AS (
+  SELECT customer_id,
+         1.0 / (1.0 + exp(-(-1.5 + 1.2 * is_within_3m_of_renewal + 0.8 * is_high_competition_province
+                            + 0.6 * coalesce(is_negative_sentiment, 0) + 0.9 * coalesce(recent_complaint_flag, 0)
+                            - 0.01 * coalesce(tenure_months, 0.0)))) AS proba
+  FROM gold)"""

@@ -81,3 +81,247 @@ def q_silver_customer_month(spark, sf):
 def q_gold_master(spark, sf):
     """56 features + 8 crosses + label, one row per customer."""
     return _layers(spark, sf)["gold_master"]
+
+
+# --------------------------------------------------------------- reports ----
+from voltchurn.operators import stats as S  # noqa: E402
+from voltchurn.plans import reports as RP  # noqa: E402
+
+G = V.with_(*PS.gold_ctes(AS_OF))
+
+
+def _gold(spark, sf):
+    return _layers(spark, sf)["gold_master"]
+
+
+def _rate_sql(dims, where="", having="", pct=False, src="gold"):
+    d = ", ".join(dims)
+    nn = " AND ".join(f"{x} IS NOT NULL" for x in dims)
+    rate = "avg(CAST(churn AS DOUBLE))"
+    if pct:
+        rate = f"round_even({rate} * 100, 2)"
+    w = f" WHERE {nn}" + (f" AND {where}" if where else "")
+    h = f" HAVING {having}" if having else ""
+    return f" SELECT {d}, count(*) AS customers, {rate} AS churn_rate FROM {src}{w} GROUP BY {d}{h}"
+
+
+def _describe_sql(value, by, src="gold", prefix=""):
+    b = ", ".join(by)
+    nn = " AND ".join(f"{x} IS NOT NULL" for x in by) or "TRUE"
+    return (f" SELECT {b + ', ' if b else ''}count({value}) AS {prefix}count, avg({value}) AS {prefix}mean, "
+            f"stddev_samp({value}) AS {prefix}std, min({value}) AS {prefix}min, max({value}) AS {prefix}max, "
+            f"quantile_cont({value}, 0.25) AS {prefix}p25, quantile_cont({value}, 0.5) AS {prefix}p50, "
+            f"quantile_cont({value}, 0.75) AS {prefix}p75 FROM {src} WHERE {nn}"
+            + (f" GROUP BY {b}" if b else ""))
+
+
+@register("report_churn_by_renewal_bucket", G + _rate_sql(["renewal_bucket"]))
+def q_churn_by_renewal(spark, sf):
+    """E5 + F8: churn rate per renewal bucket."""
+    return RP.churn_by(_gold(spark, sf), ["renewal_bucket"])
+
+
+@register("report_churn_by_tenure_x_channel", G + _rate_sql(["tenure_bucket", "sales_channel"]))
+def q_churn_by_tenure_channel(spark, sf):
+    """E5: churn rate per tenure bucket x channel."""
+    return RP.churn_by(_gold(spark, sf), ["tenure_bucket", "sales_channel"])
+
+
+@register("report_churn_by_intent_pct", G + _rate_sql(["customer_intent"], pct=True))
+def q_churn_by_intent(spark, sf):
+    """Churn % (2 dp, half-even) per intent."""
+    return RP.churn_by(_gold(spark, sf), ["customer_intent"], pct=True)
+
+
+@register("report_dual_fuel_x_competition_min30",
+          G + _rate_sql(["is_dual_fuel", "is_high_competition_province", "renewal_bucket"], having="count(*) >= 30"))
+def q_dual_competition(spark, sf):
+    """E9 + E15 + P15: churn per dual fuel x competition x renewal, groups of 30+ only."""
+    return RP.churn_by(_gold(spark, sf), ["is_dual_fuel", "is_high_competition_province", "renewal_bucket"],
+                       min_group=30)
+
+
+@register("report_sentiment_churn", G + _rate_sql(["sentiment_label"]))
+def q_sentiment_churn(spark, sf):
+    """Churn rate per sentiment label."""
+    return RP.churn_by(_gold(spark, sf), ["sentiment_label"])
+
+
+@register("report_margin_by_segment_churn", G + _describe_sql("avg_monthly_margin", ["segment", "churn"]))
+def q_margin_by_segment(spark, sf):
+    """E1 + A16: margin distribution per segment x churn."""
+    return RP.margin_by(_gold(spark, sf), ["segment", "churn"])
+
+
+@register("report_renewal_timing", G + _describe_sql("months_to_renewal", ["churn"]))
+def q_renewal_timing(spark, sf):
+    """Months to renewal by churn label."""
+    return RP.renewal_timing(_gold(spark, sf))
+
+
+@register("report_channel_profile", G + """ SELECT sales_channel, count(*) AS customers,
+    avg(CAST(churn AS DOUBLE)) AS churn_rate, quantile_cont(tenure_months, 0.5) AS median_tenure,
+    quantile_cont(avg_monthly_margin, 0.5) AS median_margin, quantile_cont(std_margin, 0.5) AS median_margin_volatility
+  FROM gold WHERE sales_channel IS NOT NULL GROUP BY sales_channel""")
+def q_channel_profile(spark, sf):
+    """E7 + A21: per channel customers, churn, median tenure / margin / volatility."""
+    return RP.channel_profile(_gold(spark, sf))
+
+
+@register("report_competition_profile", G + """ SELECT *, median_margin * churn_rate * customers AS profit_at_risk
+  FROM (SELECT is_high_competition_province, count(*) AS customers, avg(CAST(churn AS DOUBLE)) AS churn_rate,
+               quantile_cont(avg_monthly_margin, 0.5) AS median_margin,
+               quantile_cont(total_margin_2024, 0.5) AS median_total_margin,
+               quantile_cont(avg_monthly_elec_kwh, 0.5) AS median_elec_kwh
+        FROM gold WHERE is_high_competition_province IS NOT NULL GROUP BY 1)""")
+def q_competition(spark, sf):
+    """E8 + F23: competition split with profit at risk."""
+    return RP.competition_profile(_gold(spark, sf))
+
+
+@register("report_churn_pivot_segment_renewal", G + """ SELECT segment,
+    avg(CASE WHEN renewal_bucket = 'expired' THEN CAST(churn AS DOUBLE) END) AS "expired",
+    avg(CASE WHEN renewal_bucket = '0-3m' THEN CAST(churn AS DOUBLE) END) AS "0-3m",
+    avg(CASE WHEN renewal_bucket = '3-6m' THEN CAST(churn AS DOUBLE) END) AS "3-6m",
+    avg(CASE WHEN renewal_bucket = '6-12m' THEN CAST(churn AS DOUBLE) END) AS "6-12m",
+    avg(CASE WHEN renewal_bucket = '12m+' THEN CAST(churn AS DOUBLE) END) AS "12m+"
+  FROM gold WHERE segment IS NOT NULL AND renewal_bucket IS NOT NULL GROUP BY segment""")
+def q_pivot(spark, sf):
+    """A18 + E6: churn-rate matrix segment x renewal bucket."""
+    from voltchurn.constants import RENEWAL_LABELS
+
+    return RP.churn_pivot(_gold(spark, sf), "segment", "renewal_bucket", RENEWAL_LABELS)
+
+
+@register("report_interaction_quintiles", G + """,
+  e AS (SELECT list_distinct(quantile_cont(months_to_renewal, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])) AS _e0 FROM gold),
+  e2 AS (SELECT list_sort(_e0) AS _e FROM e),
+  b AS (SELECT g.*, CASE WHEN months_to_renewal IS NOT NULL AND months_to_renewal >= _e[1]
+                          AND months_to_renewal <= _e[len(_e)]
+                    THEN len(list_filter(list_slice(_e, 2, greatest(len(_e) - 1, 1)),
+                                         lambda x: x < months_to_renewal)) END AS renewal_quintile
+        FROM gold g, e2)
+  SELECT renewal_quintile, count(*) AS customers, avg(CAST(churn AS DOUBLE)) AS churn_rate,
+         avg(CAST(coalesce(has_interaction, 0) AS DOUBLE)) AS interaction_rate
+  FROM b WHERE renewal_quintile IS NOT NULL GROUP BY 1""")
+def q_quintiles(spark, sf):
+    """E10 + W9: churn and interaction rate per renewal-distance quintile (qcut, duplicate edges dropped)."""
+    return RP.interaction_quintiles(_gold(spark, sf))
+
+
+@register("report_interaction_timing", G + """ SELECT days_bucket, count(*) AS customers,
+    avg(CAST(churn AS DOUBLE)) AS churn_rate FROM (
+      SELECT *, CASE WHEN _d < 30 THEN '0-30d' WHEN _d < 90 THEN '30-90d' WHEN _d < 180 THEN '90-180d'
+                     WHEN _d < 365 THEN '180-365d' ELSE '365d+' END AS days_bucket
+      FROM (SELECT *, date_diff('day', CAST(date AS DATE), CAST(next_renewal_date AS DATE)) AS _d FROM sc)
+      WHERE has_interaction = 1 AND _d IS NOT NULL AND _d >= 0)
+  GROUP BY days_bucket""")
+def q_interaction_timing(spark, sf):
+    """E14 + F8(right=False): churn by days from interaction to renewal."""
+    return RP.interaction_timing(_layers(spark, sf)["silver_customer"])
+
+
+_PRE = """,
+  pr AS (SELECT m.customer_id, s.churn, m.total_margin,
+                date_diff('day', CAST(m.month || '-01' AS DATE), CAST(s.next_renewal_date AS DATE)) / 30.0 AS _m
+         FROM scm m JOIN sc s ON m.customer_id = s.customer_id),
+  pw AS (SELECT customer_id, churn,
+                avg(CASE WHEN _m > 0 AND _m <= 3 THEN total_margin END) AS near,
+                avg(CASE WHEN _m > 3 AND _m <= 6 THEN total_margin END) AS earlier
+         FROM pr WHERE _m BETWEEN 0 AND 6 GROUP BY customer_id, churn),
+  tr AS (SELECT *, near - earlier AS trend FROM pw WHERE near IS NOT NULL AND earlier IS NOT NULL)"""
+
+
+@register("report_pre_renewal_margin_trend", G + _PRE + _describe_sql("trend", ["churn"], src="tr"))
+def q_pre_renewal(spark, sf):
+    """E3 + W8 + J15: margin 0-3 m before renewal minus 3-6 m before, described by churn."""
+    L = _layers(spark, sf)
+    return RP.pre_renewal_by_churn(L["silver_customer_month"], L["silver_customer"])
+
+
+@register("report_volatility_by_churn", G + """,
+  per AS (SELECT customer_id, stddev_samp(total_margin) AS margin_std FROM scm GROUP BY 1),
+  pv AS (SELECT per.*, sc.churn FROM per JOIN sc ON per.customer_id = sc.customer_id)"""
+          + _describe_sql("margin_std", ["churn"], src="pv"))
+def q_volatility(spark, sf):
+    """Per-customer margin volatility described by churn."""
+    L = _layers(spark, sf)
+    return RP.volatility_by_churn(L["silver_customer_month"], L["silver_customer"])
+
+
+@register("report_crosstab_intent_churn", G + """ SELECT
+    CASE WHEN GROUPING(customer_intent) = 1 THEN 'All' ELSE customer_intent END AS customer_intent,
+    CASE WHEN GROUPING(churn) = 1 THEN 'All' ELSE churn END AS churn, count(*) AS n
+  FROM (SELECT customer_intent, CAST(churn AS VARCHAR) AS churn FROM gold
+        WHERE customer_intent IS NOT NULL AND churn IS NOT NULL)
+  GROUP BY CUBE (customer_intent, churn)""")
+def q_crosstab(spark, sf):
+    """Intent x churn contingency counts with All margins."""
+    return RP.crosstab_report(_gold(spark, sf), "customer_intent", "churn")
+
+
+@register("report_chi_square_intent_churn", G + """,
+  cells AS (SELECT customer_intent AS a, CAST(churn AS VARCHAR) AS b, count(*) AS n FROM gold
+            WHERE customer_intent IS NOT NULL AND churn IS NOT NULL GROUP BY 1, 2),
+  r AS (SELECT a, CAST(sum(n) AS DOUBLE) AS rt FROM cells GROUP BY a),
+  c AS (SELECT b, CAST(sum(n) AS DOUBLE) AS ct FROM cells GROUP BY b),
+  tot AS (SELECT sum(rt) AS nn, count(*) AS nr, sum(1.0 / rt) AS ir FROM r),
+  ctot AS (SELECT count(*) AS nc, sum(1.0 / ct) AS ic FROM c),
+  o AS (SELECT sum(n * n / (rt * ct / nn)) AS s, max(abs(n - rt * ct / nn)) AS d
+        FROM cells JOIN r USING (a) JOIN c USING (b), tot)
+  SELECT CASE WHEN (nr - 1) * (nc - 1) = 1
+              THEN (d - least(0.5, d)) * (d - least(0.5, d)) * nn * ir * ic ELSE s - nn END AS statistic,
+         CAST((nr - 1) * (nc - 1) AS BIGINT) AS dof, CAST(nn AS BIGINT) AS n
+  FROM o, tot, ctot""")
+def q_chi_square(spark, sf):
+    """A20 + E13: chi-square statistic and dof of intent vs churn (p-value checked in tests)."""
+    return RP.intent_chi_square(_gold(spark, sf)).select("statistic", "dof", "n")
+
+
+_CORR_COLS = ["avg_monthly_elec_kwh", "tenure_months", "months_to_renewal", "avg_monthly_margin",
+              "price_update_count", "last_interaction_days_ago", "gas_share_of_revenue", "std_margin",
+              "is_within_3m_of_renewal", "is_high_competition_province", "intent_severity_score", "sentiment_neg"]
+
+
+@register("report_corr_with_churn", G + " SELECT feature, corr FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, covar_samp({c}, churn) FILTER (WHERE {c} IS NOT NULL AND churn IS NOT NULL) / "
+    f"nullif(stddev_samp({c}) FILTER (WHERE {c} IS NOT NULL AND churn IS NOT NULL) * "
+    f"stddev_samp(churn) FILTER (WHERE {c} IS NOT NULL AND churn IS NOT NULL), 0) AS corr FROM gold"
+    for c in _CORR_COLS) + ")")
+def q_corr(spark, sf):
+    """Pearson correlation of numeric features with churn."""
+    return S.corr_with(_gold(spark, sf), "churn", _CORR_COLS)
+
+
+@register("report_segment_share", G + """ SELECT segment, customers,
+    round_even(customers * 100.0 / sum(customers) OVER (), 1) AS share_pct
+  FROM (SELECT segment, count(*) AS customers FROM gold WHERE segment IS NOT NULL GROUP BY 1)""")
+def q_segment_share(spark, sf):
+    """E19 + A17: segment share in percent."""
+    return RP.segment_share(_gold(spark, sf))
+
+
+@register("report_margin_box_by_churn", G + """ SELECT churn, min(avg_monthly_margin) AS min,
+    quantile_cont(avg_monthly_margin, 0.25) AS q1, quantile_cont(avg_monthly_margin, 0.5) AS median,
+    quantile_cont(avg_monthly_margin, 0.75) AS q3, max(avg_monthly_margin) AS max
+  FROM gold WHERE churn IS NOT NULL GROUP BY churn""")
+def q_margin_box(spark, sf):
+    """Five-number margin summary by churn."""
+    return RP.margin_box(_gold(spark, sf))
+
+
+@register("report_worst_months", G + """ SELECT customer_id, month, total_margin FROM scm
+  ORDER BY total_margin, customer_id, month LIMIT 20""")
+def q_worst_months(spark, sf):
+    """The 20 lowest-margin customer-months (a top-k report)."""
+    return RP.worst_months(_layers(spark, sf)["silver_customer_month"])
+
+
+@register("report_corporate_margin_per_kwh", G + """ SELECT m.customer_id, m.month,
+    m.elec_margin / m.monthly_elec_kwh AS elec_margin_per_kwh
+  FROM scm m JOIN sc s ON m.customer_id = s.customer_id
+  WHERE s.segment = 'Corporate' AND m.monthly_elec_kwh > 0""")
+def q_margin_per_kwh(spark, sf):
+    """F22 + J10 + P16: Corporate months' electricity margin per kWh."""
+    L = _layers(spark, sf)
+    return RP.margin_per_kwh(L["silver_customer_month"], L["silver_customer"], "Corporate")

@@ -168,3 +168,28 @@ def raw_tables(spark: SparkSession, sf_dir: str, consumption: str = "orders") ->
         "interactions": interactions(spark, sf_dir),
         "consumption": cons(spark, sf_dir),
     }
+
+
+def labelled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores + labels for evaluation operators: documents with a quality label.
+
+    ``label = quality``; the score is a fixed function of the text length
+    (equal lengths give tied scores, which the curves must handle).
+    """
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return d.join(lab, "doc_id").select(
+        "doc_id", F.col("quality").alias("label"),
+        (F.col("n_chars") / (F.col("n_chars") + F.lit(2000.0))).alias("score"))
+
+
+def model_output_from_gold(gold: DataFrame) -> DataFrame:
+    """A stand-in for a trained model's raw probabilities: a fixed logistic function of a
+    few gold features.  It only supplies ``(customer_id, proba)`` rows; scoring,
+    tiers and recommendations downstream are the library's own work."""
+    z = (F.lit(-1.5) + 1.2 * F.col("is_within_3m_of_renewal")
+         + 0.8 * F.col("is_high_competition_province")
+         + 0.6 * F.coalesce(F.col("is_negative_sentiment"), F.lit(0))
+         + 0.9 * F.coalesce(F.col("recent_complaint_flag"), F.lit(0))
+         - 0.01 * F.coalesce(F.col("tenure_months"), F.lit(0.0)))
+    return gold.select(KEY, (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("proba"))
