@@ -325,3 +325,254 @@ def q_margin_per_kwh(spark, sf):
     """F22 + J10 + P16: Corporate months' electricity margin per kWh."""
     L = _layers(spark, sf)
     return RP.margin_per_kwh(L["silver_customer_month"], L["silver_customer"], "Corporate")
+
+
+# --------------------------------------------------------------- quality ----
+from voltchurn.constants import PRICE_CONSUMPTION_PAIRS  # noqa: E402
+from voltchurn.plans import quality as Q  # noqa: E402
+
+BC_COLS = ["customer_id", "churn", "province_code", "is_industrial", "contracted_power_kw", "is_second_residence",
+           "sales_channel", "is_high_competition_province", "contract_start_date", "next_renewal_date",
+           "last_product_change_date", "date", "interaction_summary", "channel", "customer_intent", "has_interaction",
+           "sentiment_neg", "sentiment_neu", "sentiment_pos", "sentiment_label"]
+SCM_NUM = ["is_industrial", "monthly_elec_kwh", "monthly_gas_m3", "monthly_gas_kwh", "elec_kwh_tier_1_peak",
+           "elec_kwh_tier_2_standard", "elec_kwh_tier_3_offpeak", "gas_m3_tier_1_peak", "gas_m3_tier_2_standard",
+           "gas_m3_tier_3_offpeak", "gas_kwh_tier_1_peak", "gas_kwh_tier_2_standard", "gas_kwh_tier_3_offpeak",
+           "variable_price_tier1_eur_kwh", "variable_price_tier2_eur_kwh", "variable_price_tier3_eur_kwh",
+           "gas_variable_price_eur_m3", "elec_fixed_fee_eur_month", "gas_fixed_revenue_eur_year",
+           "elec_var_cost_eur_kwh", "peaje_elec_eur_kwh", "elec_fixed_cost_eur_month", "gas_var_cost_eur_m3",
+           "gas_fixed_cost_eur_year", "elec_revenue_variable", "elec_revenue_fixed", "elec_cost_variable",
+           "elec_cost_fixed", "gas_revenue_variable", "gas_revenue_fixed", "gas_cost_variable", "gas_cost_fixed",
+           "elec_margin", "gas_margin", "total_revenue", "total_cost", "total_margin"]
+
+
+def _profile_sql(src, text_cols, num_cols):
+    parts = []
+    for c in text_cols:
+        parts.append(f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+                     f"round_even(count(*) FILTER (WHERE {c} IS NULL) / count(*), 4) AS null_rate, "
+                     f"CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max FROM {src}")
+    for c in num_cols:
+        parts.append(f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL OR isnan({c})) AS nulls, "
+                     f"round_even(count(*) FILTER (WHERE {c} IS NULL OR isnan({c})) / count(*), 4) AS null_rate, "
+                     f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM {src}")
+    return " " + " UNION ALL ".join(parts)
+
+
+@register("quality_profile_silver_month", G + _profile_sql("scm", ["customer_id", "month"], SCM_NUM))
+def q_profile(spark, sf):
+    """Q1 per column: nulls, null rate (4 dp), numeric min / max of silver customer-month."""
+    return Q.column_profile(_layers(spark, sf)["silver_customer_month"], "silver").select(
+        "column", "nulls", "null_rate", "min", "max")
+
+
+def _summary_sql():
+    nulls = " + ".join(f"CASE WHEN count(*) FILTER (WHERE {c} IS NULL) / count(*) > 0.5 THEN 1 ELSE 0 END"
+                       for c in BC_COLS)
+    return (G + f""",
+  ni AS (SELECT count(*) AS row_count, {nulls} AS _ni FROM bc),
+  dk AS (SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS duplicate_keys
+         FROM (SELECT customer_id, count(*) AS c FROM bc GROUP BY 1 HAVING count(*) > 1))
+  SELECT 'bronze' AS layer, row_count, {len(BC_COLS)} AS column_count, duplicate_keys,
+         CAST(_ni + CASE WHEN row_count = 0 THEN 1 ELSE 0 END + CASE WHEN duplicate_keys > 0 THEN 1 ELSE 0 END
+              AS BIGINT) AS n_issues,
+         (_ni + CASE WHEN row_count = 0 THEN 1 ELSE 0 END + CASE WHEN duplicate_keys > 0 THEN 1 ELSE 0 END) = 0
+           AS passed
+  FROM ni, dk""")
+
+
+@register("quality_summary_bronze_customer", _summary_sql())
+def q_quality_summary(spark, sf):
+    """Q1 summary: rows, columns, duplicate-key rows, issues, pass for bronze customer."""
+    return Q.quality_summary(_layers(spark, sf)["bronze_customer"], "bronze")
+
+
+def _price_validity_sql():
+    items = [("elec_tier1", *PRICE_CONSUMPTION_PAIRS[0]), ("elec_tier2", *PRICE_CONSUMPTION_PAIRS[1]),
+             ("elec_tier3", *PRICE_CONSUMPTION_PAIRS[2]), ("gas_var_m3", *PRICE_CONSUMPTION_PAIRS[3])]
+    parts = []
+    for label, p, c in items:
+        u = f"coalesce({c}, 0) > 0"
+        parts.append(
+            f"SELECT '{label}' AS item, '{c}' AS consumption_col, '{p}' AS price_col, "
+            f"count(*) FILTER (WHERE {u}) AS rows_with_consumption, "
+            f"count(*) FILTER (WHERE {p} IS NULL AND {u}) AS price_missing_where_used, "
+            f"count(*) FILTER (WHERE coalesce({p}, 0) = 0 AND {u}) AS price_zero_where_used, "
+            f"count(*) FILTER (WHERE ({p} IS NULL OR {p} = 0) AND {u}) AS price_missing_or_zero_where_used "
+            f"FROM bcm")
+    return G + " " + " UNION ALL ".join(parts)
+
+
+@register("quality_price_validity", _price_validity_sql())
+def q_price_validity(spark, sf):
+    """Q9: prices missing / zero where consumption exists, before imputation."""
+    return Q.price_validity(_layers(spark, sf)["bronze_customer_month"])
+
+
+@register("quality_remaining_missing", G + " " + " UNION ALL ".join(
+    f"SELECT '{p}' AS price_col, count(*) FILTER (WHERE {p} IS NULL AND coalesce({c}, 0) > 0) AS remaining_missing "
+    f"FROM scm" for p, c in PRICE_CONSUMPTION_PAIRS))
+def q_remaining(spark, sf):
+    """Q15: prices still missing after imputation where consumption exists."""
+    return Q.remaining_missing(_layers(spark, sf)["silver_customer_month"])
+
+
+@register("quality_grain_silver_month", G + """ SELECT count(*) AS rows,
+    (SELECT count(*) FROM (SELECT DISTINCT customer_id, month FROM scm
+                           WHERE customer_id IS NOT NULL AND month IS NOT NULL)) AS unique_keys,
+    count(*) - (SELECT count(*) FROM (SELECT DISTINCT customer_id, month FROM scm
+                                      WHERE customer_id IS NOT NULL AND month IS NOT NULL)) AS duplicate_rows
+  FROM scm""")
+def q_grain(spark, sf):
+    """Q11: rows, distinct (customer, month) keys and duplicates of silver customer-month."""
+    return Q.grain_report(_layers(spark, sf)["silver_customer_month"], ["customer_id", "month"])
+
+
+@register("quality_min_values", G + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(min({c}) AS DOUBLE) AS min_value FROM scm"
+    for c in ("monthly_elec_kwh", "monthly_gas_m3", "monthly_gas_kwh")))
+def q_min_values(spark, sf):
+    """Q12: minimum monthly readings (no impossible values)."""
+    return Q.minimum_values(_layers(spark, sf)["silver_customer_month"])
+
+
+@register("quality_negative_readings", V.with_(V.CONSUMPTION_EVENTS) + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS measure, count(*) FILTER (WHERE {c} < 0) AS negative_rows, "
+    f"count(*) FILTER (WHERE {c} < 0) / count(*) AS negative_share, "
+    f"coalesce(sum({c}) FILTER (WHERE {c} < 0), 0.0) AS negative_total, min({c}) AS min_value FROM consumption"
+    for c in ("consumption_elec_kwh", "consumption_gas_m3")))
+def q_negative(spark, sf):
+    """P3 + P4: negative-reading audit of the hourly readings."""
+    return Q.negative_reading_audit(si.consumption_from_events(spark, sf))
+
+
+@register("quality_leakage_check", G + """ SELECT (SELECT max(month) FROM scm) AS max_month,
+    max(CAST(date AS DATE)) AS max_interaction_date, avg(CAST(churn AS DOUBLE)) AS churn_share,
+    count(DISTINCT customer_id) AS customers FROM sc""")
+def q_leakage(spark, sf):
+    """Q14: snapshot leakage check (latest month, latest interaction) and label balance."""
+    L = _layers(spark, sf)
+    return Q.leakage_check(L["silver_customer_month"], L["silver_customer"])
+
+
+# ----------------------------------------------------------------- drift ----
+from voltchurn.plans import drift as D  # noqa: E402
+
+_SPLIT_TS = "2024-01-16"
+
+
+def _events_long(spark, sf):
+    e = si.table(spark, sf, "events")
+    ref = e.filter(F.col("ts") < F.lit(_SPLIT_TS).cast("timestamp_ntz")).select(
+        F.col("event_type").alias("feature"), "value")
+    cur = e.filter(F.col("ts") >= F.lit(_SPLIT_TS).cast("timestamp_ntz")).select(
+        F.col("event_type").alias("feature"), "value")
+    return ref, cur
+
+
+_KS_SQL = f"""WITH
+  u AS (SELECT event_type AS feature, value, CASE WHEN ts < TIMESTAMP '{_SPLIT_TS}' THEN 0 ELSE 1 END AS side
+        FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+  cnt AS (SELECT feature, value, CAST(count(*) FILTER (WHERE side = 0) AS DOUBLE) AS c0,
+                 CAST(count(*) FILTER (WHERE side = 1) AS DOUBLE) AS c1 FROM u GROUP BY 1, 2),
+  sz AS (SELECT feature, sum(c0) AS n_ref, sum(c1) AS n_cur FROM cnt GROUP BY 1),
+  cum AS (SELECT feature, sum(c0) OVER w AS s0, sum(c1) OVER w AS s1 FROM cnt
+          WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+  d AS (SELECT cum.feature, max(abs(s0 / n_ref - s1 / n_cur)) AS ks_statistic FROM cum JOIN sz USING (feature)
+        GROUP BY 1),
+  r AS (SELECT d.feature, ks_statistic, n_ref, n_cur, sqrt(n_ref * n_cur / (n_ref + n_cur)) * ks_statistic AS lam
+        FROM d JOIN sz USING (feature) WHERE n_ref > 0 AND n_cur > 0),
+  ser AS (SELECT feature, 2.0 * sum(power(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam)) AS s
+          FROM r, range(1, 101) t(k) GROUP BY feature),
+  res AS (SELECT r.feature, ks_statistic, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur,
+                 CASE WHEN lam < 1e-3 THEN 1.0 ELSE least(greatest(s, 0.0), 1.0) END AS p_value
+          FROM r JOIN ser USING (feature))"""
+
+
+@register("drift_events_by_type", _KS_SQL + " SELECT *, p_value < 0.01 AS drifted FROM res")
+def q_drift(spark, sf):
+    """Q2: two-sample KS per event type, first vs second half of the month."""
+    ref, cur = _events_long(spark, sf)
+    return D.drift_long(ref, cur)
+
+
+@register("drift_summary_events", _KS_SQL + """,
+  fr AS (SELECT *, p_value < 0.01 AS drifted FROM res),
+  f AS (SELECT count(*) FILTER (WHERE drifted) AS n, string_agg(feature, ', ' ORDER BY feature)
+               FILTER (WHERE drifted) AS names FROM fr)
+  SELECT n > 0 AS any_drift, CAST(n AS BIGINT) AS n_features_drifted,
+         CASE WHEN n > 0 THEN 'Feature drift detected in: ' || names ELSE 'No drift detected.' END AS summary
+  FROM f""")
+def q_drift_summary(spark, sf):
+    """Q4: drift summary over the per-type KS results (no prediction column here)."""
+    ref, cur = _events_long(spark, sf)
+    fd = D.drift_long(ref, cur)
+    none = spark.createDataFrame([("none", 0.0, 1.0, False)],
+                                 "feature string, ks_statistic double, p_value double, drifted boolean")
+    return D.drift_summary(fd, none)
+
+
+# --------------------------------------------------------------- metrics ----
+_LAB = V.with_(V.LABELLED_SCORES) + """,
+  st AS (SELECT score, CAST(sum(label) AS DOUBLE) AS pos, CAST(sum(1 - label) AS DOUBLE) AS neg FROM labelled
+         WHERE score IS NOT NULL GROUP BY score),
+  tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM st),
+  c AS (SELECT st.*, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM st
+        WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+  curve AS (SELECT score AS threshold, tp, fp, tp / (tp + fp) AS precision,
+                   CASE WHEN P > 0 THEN tp / P END AS recall, P, N, pos, neg FROM c, tot)"""
+
+
+@register("metrics_ap_roc", _LAB + """ SELECT sum(pos / P * precision) AS pr_auc,
+    sum(pos * ((N - fp) + 0.5 * neg)) / (max(P) * max(N)) AS roc_auc FROM curve""")
+def q_ap_roc(spark, sf):
+    """M8: average precision (step rule) and ROC-AUC (tied ranks) of length scores vs quality labels."""
+    d = si.labelled_scores(spark, sf)
+    return S.attach_scalar(S.average_precision(d, "label", "score"), S.roc_auc(d, "label", "score"))
+
+
+@register("metrics_pr_curve", _LAB + " SELECT * FROM curve")
+def q_pr_curve(spark, sf):
+    """Precision / recall at every distinct score."""
+    return S.pr_curve(si.labelled_scores(spark, sf), "label", "score")
+
+
+@register("metrics_threshold", _LAB + """,
+  cand AS (SELECT *, 2 * precision * recall / (precision + recall + 1e-12) AS f1 FROM curve
+           WHERE threshold >= (SELECT max(threshold) FROM curve WHERE tp >= P)),
+  v AS (SELECT threshold FROM cand WHERE recall >= 0.7 ORDER BY precision DESC, threshold ASC LIMIT 1),
+  f AS (SELECT threshold FROM cand ORDER BY f1 DESC, threshold ASC LIMIT 1)
+  SELECT coalesce((SELECT threshold FROM v), (SELECT threshold FROM f)) AS threshold,
+         (SELECT count(*) FROM v) = 0 AS used_f1_fallback""")
+def q_threshold(spark, sf):
+    """M7: highest precision with recall >= 0.70 (else best F1)."""
+    return S.pick_threshold(si.labelled_scores(spark, sf), "label", "score", 0.70)
+
+
+@register("metrics_confusion", V.with_(V.LABELLED_SCORES) + """ SELECT *,
+    CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+    CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+    CASE WHEN (CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
+              + (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END) > 0
+         THEN 2 * (CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
+                * (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END)
+              / ((CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
+                 + (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END)) ELSE 0.0 END AS f1,
+    (tp + tn) / (tp + fp + fn + tn) AS accuracy, 0.5 AS threshold
+  FROM (SELECT CAST(count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS BIGINT) AS tp,
+               CAST(count(*) FILTER (WHERE score >= 0.5 AND label = 0) AS BIGINT) AS fp,
+               CAST(count(*) FILTER (WHERE score < 0.5 AND label = 1) AS BIGINT) AS fn,
+               CAST(count(*) FILTER (WHERE score < 0.5 AND label = 0) AS BIGINT) AS tn FROM labelled)""")
+def q_confusion(spark, sf):
+    """Confusion counts and rates at threshold 0.5."""
+    return S.confusion_metrics(si.labelled_scores(spark, sf), "label", "score", 0.5)
+
+
+@register("metrics_calibration_curve", V.with_(V.LABELLED_SCORES) + """,
+  e AS (SELECT quantile_cont(score, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS q FROM labelled)
+  SELECT len(list_filter(list_slice(q, 2, 10), lambda x: x < score)) AS bin, count(*) AS n,
+         avg(CAST(label AS DOUBLE)) AS prob_true, avg(score) AS prob_pred
+  FROM labelled, e WHERE score IS NOT NULL GROUP BY 1""")
+def q_calibration(spark, sf):
+    """10 equal-frequency bins: observed rate vs mean score."""
+    return S.calibration_curve(si.labelled_scores(spark, sf), "label", "score", 10)
