@@ -576,3 +576,156 @@ def q_confusion(spark, sf):
 def q_calibration(spark, sf):
     """10 equal-frequency bins: observed rate vs mean score."""
     return S.calibration_curve(si.labelled_scores(spark, sf), "label", "score", 10)
+
+
+# ------------------------------------------------ scoring and recommendations ----
+from voltchurn.plans import model as M  # noqa: E402
+from voltchurn.plans import recommend as RC  # noqa: E402
+
+_SCORED = G + "," + V.MODEL_OUTPUT.strip() + """,
+  scored AS (
+    SELECT g.customer_id, g.churn AS churn_actual, round_even(m.proba, 4) AS churn_proba,
+           CAST(round_even(m.proba, 4) >= 0.5 AS INTEGER) AS churn_pred,
+           g.avg_monthly_margin, g.total_margin_2024, g.segment,
+           round_even(round_even(m.proba, 4) * CASE WHEN g.avg_monthly_margin < 0 THEN 0.0
+                                               ELSE g.avg_monthly_margin END, 2) AS expected_monthly_loss,
+           CASE WHEN round_even(m.proba, 4) IS NULL THEN NULL
+                WHEN round_even(m.proba, 4) >= 0 AND round_even(m.proba, 4) < 0.4 THEN 'Low (<40%)'
+                WHEN round_even(m.proba, 4) >= 0.4 AND round_even(m.proba, 4) < 0.6 THEN 'Medium (40-60%)'
+                WHEN round_even(m.proba, 4) >= 0.6 AND round_even(m.proba, 4) < 0.8 THEN 'High (60-80%)'
+                WHEN round_even(m.proba, 4) >= 0.8 AND round_even(m.proba, 4) < 1.01 THEN 'Critical (>80%)' END
+             AS risk_tier
+    FROM model_out m LEFT JOIN gold g ON m.customer_id = g.customer_id),
+  reco AS (
+    SELECT customer_id, coalesce(churn_proba, 0.0) AS risk_score, coalesce(segment, 'Unknown') AS segment,
+      CASE WHEN coalesce(avg_monthly_margin, 0.0) < 0 THEN 'no_offer'
+           ELSE coalesce(CASE coalesce(risk_tier, 'Low (<40%)') WHEN 'Low (<40%)' THEN 'no_offer'
+                  WHEN 'Medium (40-60%)' THEN 'offer_small' WHEN 'High (60-80%)' THEN 'offer_medium'
+                  WHEN 'Critical (>80%)' THEN 'offer_large' END, 'no_offer') END AS action,
+      coalesce(CASE coalesce(risk_tier, 'Low (<40%)') WHEN 'Low (<40%)' THEN '60_90_days'
+                  WHEN 'Medium (40-60%)' THEN '30_60_days' WHEN 'High (60-80%)' THEN 'immediate'
+                  WHEN 'Critical (>80%)' THEN 'immediate' END, '60_90_days') AS timing_window,
+      coalesce(expected_monthly_loss, 0.0) AS expected_margin_impact,
+      list_filter([CASE WHEN coalesce(churn_proba, 0.0) >= 0.8 THEN 'critical_churn_risk'
+                        WHEN coalesce(churn_proba, 0.0) >= 0.6 THEN 'high_churn_risk'
+                        WHEN coalesce(churn_proba, 0.0) >= 0.4 THEN 'moderate_churn_risk' END,
+                   CASE WHEN contains(coalesce(risk_tier, ''), 'Critical') THEN 'churn_probability_above_80pct'
+                        WHEN contains(coalesce(risk_tier, ''), 'High') THEN 'churn_probability_above_60pct' END,
+                   CASE WHEN segment IS NOT NULL AND segment <> '' THEN 'segment_' || lower(segment) END],
+                  lambda x: x IS NOT NULL) AS _codes
+    FROM scored),
+  reco2 AS (SELECT * EXCLUDE (_codes),
+                   CASE WHEN len(_codes) > 0 THEN _codes ELSE ['low_risk_monitoring'] END AS reason_codes
+            FROM reco)"""
+
+
+def _scored(spark, sf):
+    gold = _gold(spark, sf)
+    return M.score_customers(si.model_output_from_gold(gold), gold, threshold=0.5)
+
+
+def _reco(spark, sf):
+    return RC.validated(RC.recommendations(_scored(spark, sf)))
+
+
+@register("scored_customers", _SCORED + " SELECT * FROM scored")
+def q_scored(spark, sf):
+    """M13 + M14 + F15 + F16: probability (4 dp), prediction, business columns, expected loss, tier."""
+    return _scored(spark, sf)
+
+
+@register("model_tier_summary", _SCORED + """ SELECT risk_tier, count(*) AS customers,
+    CAST(sum(churn_pred) AS BIGINT) AS flagged, avg(churn_proba) AS avg_proba, avg(avg_monthly_margin) AS avg_margin,
+    avg(expected_monthly_loss) AS avg_expected_loss FROM scored GROUP BY risk_tier""")
+def q_tier_summary(spark, sf):
+    """Per tier customers, flagged, mean probability / margin / loss."""
+    return M.tier_summary(_scored(spark, sf))
+
+
+@register("model_flagged_by_segment", _SCORED + """ SELECT segment, count(*) AS flagged, avg(churn_proba) AS avg_proba,
+    coalesce(sum(expected_monthly_loss), 0.0) AS total_expected_loss FROM scored WHERE churn_pred = 1
+    GROUP BY segment""")
+def q_flagged(spark, sf):
+    """Flagged customers by segment."""
+    return M.flagged_by_segment(_scored(spark, sf))
+
+
+@register("report_tier_counts", _SCORED + """ SELECT risk_tier, customers, customers / sum(customers) OVER () AS share
+  FROM (SELECT risk_tier, count(*) AS customers FROM scored WHERE risk_tier IS NOT NULL GROUP BY 1)""")
+def q_tier_counts(spark, sf):
+    """E18 + A17: customers and share per risk tier."""
+    return RP.tier_counts(_scored(spark, sf))
+
+
+@register("report_kpis", _SCORED + """ SELECT *, round_even(CASE WHEN scored_customers > 0
+    THEN (critical + high) * 100.0 / scored_customers ELSE 0.0 END, 1) AS at_risk_pct
+  FROM (SELECT count(*) AS scored_customers, count(*) FILTER (WHERE risk_tier = 'Critical (>80%)') AS critical,
+               count(*) FILTER (WHERE risk_tier = 'High (60-80%)') AS high,
+               coalesce(sum(expected_monthly_loss), 0.0) AS total_expected_monthly_loss FROM scored)""")
+def q_kpis(spark, sf):
+    """Executive KPIs over the scored table."""
+    return RP.kpis(_scored(spark, sf))
+
+
+@register("report_top_risk", _SCORED + " SELECT * FROM scored ORDER BY churn_proba DESC, customer_id LIMIT 50")
+def q_top_risk(spark, sf):
+    """T3 + T2 + E18: the 50 highest-risk customers (a top-k report)."""
+    return RP.top_risk(_scored(spark, sf), 50)
+
+
+@register("reco_recommendations", _SCORED + """ SELECT * EXCLUDE (reason_codes),
+    array_to_string(reason_codes, '|') AS reason_codes FROM reco2""")
+def q_reco(spark, sf):
+    """Action, timing, impact and reason codes per customer (contract-checked)."""
+    return _reco(spark, sf).withColumn("reason_codes", F.array_join("reason_codes", "|"))
+
+
+@register("reco_offer_budget", _SCORED + """ SELECT r.customer_id, r.action,
+    round_even(CASE r.action WHEN 'offer_large' THEN 0.25 WHEN 'offer_medium' THEN 0.15
+                             WHEN 'offer_small' THEN 0.05 WHEN 'no_offer' THEN 0.0 ELSE 0.0 END
+               * CASE WHEN coalesce(s.avg_monthly_margin, 0.0) < 0 THEN 0.0
+                      ELSE coalesce(s.avg_monthly_margin, 0.0) END, 2) AS offer_budget_eur
+  FROM reco2 r LEFT JOIN scored s ON r.customer_id = s.customer_id""")
+def q_budget(spark, sf):
+    """Offer budget = tier share x max(margin, 0)."""
+    return RC.offer_budget(_reco(spark, sf), _scored(spark, sf)).select("customer_id", "action", "offer_budget_eur")
+
+
+@register("reco_financials", _SCORED + """,
+  b AS (SELECT r.customer_id, r.action, r.expected_margin_impact,
+          round_even(CASE r.action WHEN 'offer_large' THEN 0.25 WHEN 'offer_medium' THEN 0.15
+                                   WHEN 'offer_small' THEN 0.05 ELSE 0.0 END
+                     * CASE WHEN coalesce(s.avg_monthly_margin, 0.0) < 0 THEN 0.0
+                            ELSE coalesce(s.avg_monthly_margin, 0.0) END, 2) AS c
+        FROM reco2 r LEFT JOIN scored s ON r.customer_id = s.customer_id)
+  SELECT customer_id, action, expected_margin_impact AS monthly_expected_loss,
+         expected_margin_impact * 12 AS annual_expected_loss, c AS offer_cost,
+         expected_margin_impact * 12 - c * 12 AS net_saved_annual,
+         CASE WHEN c > 0 THEN (expected_margin_impact - c) / c END AS roi FROM b""")
+def q_financials(spark, sf):
+    """Per customer loss, offer cost, net saved and ROI."""
+    return RC.customer_financials(RC.offer_budget(_reco(spark, sf), _scored(spark, sf)))
+
+
+@register("reco_action_counts", _SCORED + " SELECT action, count(*) AS customers FROM reco2 GROUP BY action")
+def q_action_counts(spark, sf):
+    """Customers per action."""
+    return RC.action_counts(_reco(spark, sf))
+
+
+@register("reco_top_actions", _SCORED + """ SELECT action, count(*) AS customers FROM reco2 GROUP BY action
+  ORDER BY customers DESC, action LIMIT 2""")
+def q_top_actions(spark, sf):
+    """The two most frequent actions."""
+    return RC.top_actions(_reco(spark, sf), 2)
+
+
+@register("model_split_counts", V.with_(V.CHURN) + """,
+  n AS (SELECT churn, count(*) AS n FROM churn GROUP BY churn)
+  SELECT churn, true AS is_test, CAST(round(n * 0.2) AS BIGINT) AS rows FROM n
+  UNION ALL SELECT churn, false AS is_test, CAST(n - round(n * 0.2) AS BIGINT) AS rows FROM n""")
+def q_split(spark, sf):
+    """M2: exact stratified 80/20 split by key hash; rows per class and side."""
+    lab = si.churn_labels(spark, sf)
+    return M.stratified_split(lab, "churn", 0.20, 42).groupBy("churn", "is_test").agg(
+        F.count(F.lit(1)).alias("rows"))
