@@ -100,7 +100,7 @@ labelled AS (
 MODEL_OUTPUT = """
 model_out AS (
   SELECT customer_id,
-         1.0 / (1.0 + exp(-(-1.5 + 1.2 * is_within_3m_of_renewal + 0.8 * is_high_competition_province
-                            + 0.6 * coalesce(is_negative_sentiment, 0) + 0.9 * coalesce(recent_complaint_flag, 0)
-                            - 0.01 * coalesce(tenure_months, 0.0)))) AS proba
+         1.0 / (1.0 + exp(-(-2.0 + 2.5 * is_within_3m_of_renewal + 1.5 * is_high_competition_province
+                            + 1.0 * coalesce(is_negative_sentiment, 0) + 1.5 * coalesce(recent_complaint_flag, 0)
+                            - 0.005 * coalesce(tenure_months, 0.0)))) AS proba
   FROM gold)"""

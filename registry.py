@@ -729,3 +729,88 @@ def q_split(spark, sf):
     lab = si.churn_labels(spark, sf)
     return M.stratified_split(lab, "churn", 0.20, 42).groupBy("churn", "is_test").agg(
         F.count(F.lit(1)).alias("rows"))
+
+
+# ------------------------------------------------------------------ text ----
+from voltchurn.functions import text as TX  # noqa: E402
+
+_INTER = V.with_(V.INTERACTIONS, *PS.enriched_interactions_ctes())
+
+
+@register("text_intent_documents", _INTER + """ SELECT customer_id, date, channel, customer_intent, has_interaction
+  FROM inter_e""")
+def q_text_intent(spark, sf):
+    """X1 + X2 + X3: intent and presence flag for every interaction text (whole texts)."""
+    return enrich.enrich_intent(si.interactions(spark, sf)).select(
+        "customer_id", "date", "channel", "customer_intent", "has_interaction")
+
+
+@register("text_sentiment_documents", _INTER + """ SELECT customer_id, date, sentiment_neg, sentiment_neu,
+    sentiment_pos, sentiment_label FROM inter_e""")
+def q_text_sentiment(spark, sf):
+    """X4 + X5: word-list sentiment scores and arg-max label for every text."""
+    return enrich.lexicon_sentiment(si.interactions(spark, sf)).select(
+        "customer_id", "date", "sentiment_neg", "sentiment_neu", "sentiment_pos", "sentiment_label")
+
+
+@register("text_intent_conversations", "WITH " + PS.enriched_interactions_ctes(
+    "(SELECT conv_id, turn, role, text AS interaction_summary, CAST(NULL AS DATE) AS date FROM conversations)"
+)[0].strip() + " SELECT conv_id, turn, role, customer_intent, has_interaction FROM inter_e0")
+def q_text_conversations(spark, sf):
+    """X1 on conversation turns: intent per turn."""
+    c = si.table(spark, sf, "conversations").select(
+        "conv_id", "turn", "role", F.col("text").alias("interaction_summary"), F.lit(None).cast("date").alias("date"))
+    return enrich.enrich_intent(c).select("conv_id", "turn", "role", "customer_intent", "has_interaction")
+
+
+@register("text_unclassified_audit", G + """ SELECT channel, count(*) AS customers FROM sc
+  WHERE has_interaction = 1 AND customer_intent = 'Other / Unclassified' GROUP BY channel""")
+def q_text_audit(spark, sf):
+    """Customers with an interaction whose intent stayed unclassified, per channel."""
+    return RP.unclassified_with_interaction(_layers(spark, sf)["silver_customer"]).groupBy("channel").agg(
+        F.count(F.lit(1)).alias("customers"))
+
+
+# ------------------------------------------------------ model training (no SQL twin) ----
+from voltchurn.operators.frames import cut_lineage as S_cut  # noqa: E402
+from voltchurn.plans import features as FT  # noqa: E402
+
+
+def _train_test(spark, sf, experiment="E5_full"):
+    gold = _gold(spark, sf)
+    feats = FT.feature_list(experiment)
+    mm = S_cut(M.model_matrix(gold, feats))
+    split = S_cut(M.stratified_split(mm, "churn", 0.2, 42))
+    return gold, mm, split, [f for f in feats if f in mm.columns]
+
+
+@register("model_logreg_scores")
+def q_model_logreg(spark, sf):
+    """M1-M4 + M13-M14: logistic regression (balanced weights) on E6 features; every customer scored."""
+    gold, mm, split, feats = _train_test(spark, sf, "E6_with_strings")
+    model = M.fit(split.filter(~F.col("is_test")), feats, "logistic_regression")
+    probs = M.predict_proba(model, mm, feats)
+    return M.score_customers(probs, gold, threshold=0.5)
+
+
+@register("model_gbt_experiment")
+def q_model_gbt(spark, sf):
+    """M9: boosted trees on E5: calibrate, pick the threshold on validation, evaluate on test."""
+    gold, mm, split, feats = _train_test(spark, sf, "E5_full")
+    feats = FT.tree_feature_list(feats)
+    res = M.run_experiment(split.filter(~F.col("is_test")), split.filter("is_test"), feats, "gbt",
+                           maxIter=40, maxDepth=3, stepSize=0.1)
+    return res["metrics"]
+
+
+@register("model_baselines")
+def q_model_baselines(spark, sf):
+    """M5: majority-class and class-prior baselines evaluated on the test split."""
+    gold, mm, split, feats = _train_test(spark, sf, "E0_baseline")
+    train, test = split.filter(~F.col("is_test")), split.filter("is_test")
+    out = None
+    for strat in ("most_frequent", "stratified"):
+        sc_ = M.baseline_scores(test, train, strat)
+        m = M.evaluate(sc_, 0.5).withColumn("model", F.lit(f"dummy_{strat}"))
+        out = m if out is None else out.unionByName(m)
+    return out

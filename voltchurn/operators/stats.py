@@ -308,6 +308,15 @@ def pr_curve(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -
                       "P", "N", "pos", "neg")
 
 
+def ranking_metrics(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
+    """M8: average precision and ROC-AUC from one pass over the curve."""
+    c = pr_curve(df, label, score, group)
+    below = F.col("N") - F.col("fp")
+    return c.groupBy(*group).agg(
+        F.sum(F.col("pos") / F.col("P") * F.col("precision")).alias("pr_auc"),
+        (F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))) / (F.first("P") * F.first("N"))).alias("roc_auc"))
+
+
 def average_precision(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
     """M8: AP = sum over distinct scores (high to low) of (R_k - R_{k-1}) * P_k (step rule)."""
     c = pr_curve(df, label, score, group)

@@ -30,13 +30,13 @@ from voltchurn.constants import (
     TARGET_RECALL,
 )
 from voltchurn.functions.exprs import clip_lower0, cut
+from voltchurn.operators.frames import cut_lineage
 from voltchurn.operators.stats import (
     attach_scalar,
-    average_precision,
     confusion_metrics,
     pick_threshold,
     prefix_sums,
-    roc_auc,
+    ranking_metrics,
     total_of,
 )
 
@@ -171,7 +171,9 @@ def estimator(name: str, label: str = "churn", seed: int = 42, **params):
 def fit(train: DataFrame, features: Sequence[str], model_name: str = "gbt", label: str = "churn",
         **params) -> PipelineModel:
     """Fit preprocessing + estimator on the training rows."""
-    tr = class_weights(fill_missing_strings(train, features), label).withColumn(label, F.col(label).cast("double"))
+    # iterative estimators re-read their input many times: materialise it once
+    tr = cut_lineage(class_weights(fill_missing_strings(train, features), label)
+                     .withColumn(label, F.col(label).cast("double")))
     pipe = Pipeline(stages=preprocessing_stages(tr, features, scale_numeric=model_name == "logistic_regression")
                     + [estimator(model_name, label, **params)])
     return pipe.fit(tr)
@@ -213,10 +215,9 @@ def platt_apply(calib: PipelineModel, df: DataFrame, score: str = "proba", out:
 
 def evaluate(scored: DataFrame, threshold, label: str = "churn", score: str = "proba") -> DataFrame:
     """M8: one row of ROC-AUC, AP and the confusion metrics at ``threshold``."""
-    auc = roc_auc(scored, label, score)
-    ap = average_precision(scored, label, score)
+    rm = ranking_metrics(scored, label, score)
     cm = confusion_metrics(scored, label, score, threshold)
-    return attach_scalar(attach_scalar(auc, ap), cm)
+    return attach_scalar(rm.select("roc_auc", "pr_auc"), cm)
 
 
 def run_experiment(train: DataFrame, test: DataFrame, features: Sequence[str], model_name: str = "gbt",
@@ -229,12 +230,13 @@ def run_experiment(train: DataFrame, test: DataFrame, features: Sequence[str], m
     model = fit(train, features, model_name, label, **params)
     parts = stratified_split(train, label, 0.25, seed, col="_is_val")
     sub, val = parts.filter(~F.col("_is_val")).drop("_is_val"), parts.filter("_is_val").drop("_is_val")
-    val_scored_full = predict_proba(model, val, features)
+    val = cut_lineage(val)
+    val_scored_full = cut_lineage(predict_proba(model, val, features))
     calib = platt_fit(val_scored_full, label)
     sub_model = fit(sub, features, model_name, label, **params)
-    val_scored = predict_proba(sub_model, val, features)
+    val_scored = cut_lineage(predict_proba(sub_model, val, features))
     thr = pick_threshold(val_scored, label, "proba", target_recall)
-    test_scored = attach_scalar(predict_proba(model, test, features), thr.select("threshold"))
+    test_scored = cut_lineage(attach_scalar(predict_proba(model, test, features), thr.select("threshold")))
     metrics = evaluate(test_scored, F.col("threshold"), label)
     return {"model": model, "calibrator": calib, "threshold": thr, "metrics": metrics, "model_name": model_name}
 

@@ -187,9 +187,9 @@ def model_output_from_gold(gold: DataFrame) -> DataFrame:
     """A stand-in for a trained model's raw probabilities: a fixed logistic function of a
     few gold features.  It only supplies ``(customer_id, proba)`` rows; scoring,
     tiers and recommendations downstream are the library's own work."""
-    z = (F.lit(-1.5) + 1.2 * F.col("is_within_3m_of_renewal")
-         + 0.8 * F.col("is_high_competition_province")
-         + 0.6 * F.coalesce(F.col("is_negative_sentiment"), F.lit(0))
-         + 0.9 * F.coalesce(F.col("recent_complaint_flag"), F.lit(0))
-         - 0.01 * F.coalesce(F.col("tenure_months"), F.lit(0.0)))
+    z = (F.lit(-2.0) + 2.5 * F.col("is_within_3m_of_renewal")
+         + 1.5 * F.col("is_high_competition_province")
+         + 1.0 * F.coalesce(F.col("is_negative_sentiment"), F.lit(0))
+         + 1.5 * F.coalesce(F.col("recent_complaint_flag"), F.lit(0))
+         - 0.005 * F.coalesce(F.col("tenure_months"), F.lit(0.0)))
     return gold.select(KEY, (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("proba"))
