@@ -814,3 +814,37 @@ def q_model_baselines(spark, sf):
         m = M.evaluate(sc_, 0.5).withColumn("model", F.lit(f"dummy_{strat}"))
         out = m if out is None else out.unionByName(m)
     return out
+
+
+# ------------------------------------------------------------- streaming ----
+from voltchurn.session import scratch_path  # noqa: E402
+from voltchurn.streaming import jobs as ST  # noqa: E402
+
+
+def _tier_sql_ntz(ts):
+    return PS.tier_case(ts)
+
+
+@register("stream_daily_tier_sums", V.with_(V.CONSUMPTION_EVENTS) + f""",
+  r AS (SELECT customer_id, ts, CASE WHEN consumption_elec_kwh < 0 THEN 0.0 ELSE consumption_elec_kwh END AS elec,
+               CASE WHEN consumption_gas_m3 < 0 THEN 0.0 ELSE consumption_gas_m3 END AS gas,
+               {PS.tier_case('ts')} AS tier
+        FROM consumption WHERE customer_id IS NOT NULL AND customer_id <> '' AND ts IS NOT NULL),
+  d AS (SELECT customer_id, CAST(date_trunc('day', ts) AS DATE) AS day,
+               coalesce(sum(elec), 0.0) AS elec_kwh, coalesce(sum(gas), 0.0) AS gas_m3,
+               coalesce(sum(CASE WHEN tier = 'tier_1_peak' THEN elec ELSE 0.0 END), 0.0) AS elec_kwh_tier_1_peak,
+               coalesce(sum(CASE WHEN tier = 'tier_2_standard' THEN elec ELSE 0.0 END), 0.0)
+                 AS elec_kwh_tier_2_standard,
+               coalesce(sum(CASE WHEN tier = 'tier_3_offpeak' THEN elec ELSE 0.0 END), 0.0)
+                 AS elec_kwh_tier_3_offpeak
+        FROM r GROUP BY 1, 2)
+  SELECT * FROM d WHERE CAST(day + INTERVAL 1 DAY AS TIMESTAMP)
+                        <= (SELECT max(ts) FROM consumption) - INTERVAL 1 DAY""")
+def q_stream_daily(spark, sf):
+    """ST2 (+ ST1 source): streaming daily tier sums with a 1-day watermark; windows the
+    watermark has closed are emitted (append mode)."""
+    import uuid
+
+    stream = si.consumption_stream_from_events(spark, sf)
+    return ST.run_to_table(ST.daily_tier_sums(stream, "1 day"),
+                           scratch_path(spark, f"stream-ckpt-{uuid.uuid4().hex[:8]}"))

@@ -193,3 +193,17 @@ def model_output_from_gold(gold: DataFrame) -> DataFrame:
          + 1.5 * F.coalesce(F.col("recent_complaint_flag"), F.lit(0))
          - 0.005 * F.coalesce(F.col("tenure_months"), F.lit(0.0)))
     return gold.select(KEY, (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("proba"))
+
+
+def consumption_stream_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly readings of ``consumption_from_events`` as a file-source stream."""
+    schema = table(spark, sf_dir, "events").schema
+    e = (spark.readStream.format("parquet").schema(schema)
+         .load(f"{sf_dir.rstrip('/')}/event[s].parquet"))  # a glob: the file source wants a directory or pattern
+    return e.select(
+        F.col("user_id").cast("string").alias(KEY),
+        F.col("ts").alias("timestamp"),
+        (F.col("value") - 50).alias("consumption_elec_kwh"),
+        F.when(F.col("event_type").isin("view", "click"), F.col("value") / 11)
+        .otherwise(F.lit(0.0)).alias("consumption_gas_m3"),
+    )
