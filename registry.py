@@ -527,8 +527,7 @@ _LAB = V.with_(V.LABELLED_SCORES) + """,
     sum(pos * ((N - fp) + 0.5 * neg)) / (max(P) * max(N)) AS roc_auc FROM curve""")
 def q_ap_roc(spark, sf):
     """M8: average precision (step rule) and ROC-AUC (tied ranks) of length scores vs quality labels."""
-    d = si.labelled_scores(spark, sf)
-    return S.attach_scalar(S.average_precision(d, "label", "score"), S.roc_auc(d, "label", "score"))
+    return S.ranking_metrics(si.labelled_scores(spark, sf), "label", "score")
 
 
 @register("metrics_pr_curve", _LAB + " SELECT * FROM curve")
@@ -848,3 +847,152 @@ def q_stream_daily(spark, sf):
     stream = si.consumption_stream_from_events(spark, sf)
     return ST.run_to_table(ST.daily_tier_sums(stream, "1 day"),
                            scratch_path(spark, f"stream-ckpt-{uuid.uuid4().hex[:8]}"))
+
+
+# ------------------------------------------------------------ more reports ----
+from voltchurn.constants import HOLIDAYS_MD, TIERS  # noqa: E402
+from voltchurn.functions.exprs import is_holiday, month_key  # noqa: E402
+from voltchurn.operators import frames as FR  # noqa: E402
+from voltchurn.plans.gold import GOLD_ORDER  # noqa: E402
+
+_HOL = ", ".join(str(h) for h in HOLIDAYS_MD)
+
+
+@register("bronze_holiday_hours", V.with_(V.CONSUMPTION_EVENTS) + f""" SELECT customer_id,
+    strftime(ts, '%Y-%m') AS month, count(*) FILTER (WHERE month(ts) * 100 + day(ts) IN ({_HOL})) AS holiday_hours
+  FROM consumption WHERE customer_id IS NOT NULL AND customer_id <> '' AND ts IS NOT NULL GROUP BY 1, 2""")
+def q_holiday_hours(spark, sf):
+    """A3: readings that fall on a public holiday, per customer-month."""
+    c = si.consumption_from_events(spark, sf)
+    return (c.filter(F.col("customer_id").isNotNull() & (F.col("customer_id") != "") & F.col("timestamp").isNotNull())
+            .groupBy("customer_id", month_key("timestamp").alias("month"))
+            .agg(F.count_if(is_holiday("timestamp")).alias("holiday_hours")))
+
+
+@register("bronze_tier_pivot", V.with_(V.CONSUMPTION_EVENTS, *PS.monthly_consumption_ctes()) + """ SELECT customer_id,
+    month, coalesce(sum(elec) FILTER (WHERE tier = 'tier_1_peak'), 0.0) AS tier_1_peak,
+    coalesce(sum(elec) FILTER (WHERE tier = 'tier_2_standard'), 0.0) AS tier_2_standard,
+    coalesce(sum(elec) FILTER (WHERE tier = 'tier_3_offpeak'), 0.0) AS tier_3_offpeak
+  FROM hourly GROUP BY 1, 2""")
+def q_tier_pivot(spark, sf):
+    """A4: electricity per tier as columns (all three guaranteed, empty cells 0)."""
+    t = bronze.hourly_tiers(si.consumption_from_events(spark, sf))
+    return t.groupBy("customer_id", "month").pivot("tier", list(TIERS)).agg(F.sum("elec")).na.fill(
+        0.0, subset=list(TIERS))
+
+
+@register("report_power_by_segment", G + """ SELECT segment, count(*) AS customers,
+    avg(contracted_power_kw) AS mean_power, quantile_cont(contracted_power_kw, 0.5) AS median_power,
+    stddev_samp(contracted_power_kw) AS std_power FROM sc WHERE segment IS NOT NULL GROUP BY segment""")
+def q_power(spark, sf):
+    """A25 + E16: contracted power block per segment."""
+    sc = _layers(spark, sf)["silver_customer"]
+    return S.rate_by(sc.withColumn("churn", F.lit(0)), ["segment"], extra={
+        "mean_power": F.avg("contracted_power_kw"), "median_power": F.percentile("contracted_power_kw", 0.5),
+        "std_power": F.stddev_samp("contracted_power_kw")}).drop("churn_rate")
+
+
+@register("report_distinct_counts", G + """ SELECT count(DISTINCT customer_id) AS customers,
+    count(DISTINCT month) AS months, count(*) AS rows FROM scm""")
+def q_distinct(spark, sf):
+    """Distinct customers and months of silver customer-month."""
+    return _layers(spark, sf)["silver_customer_month"].agg(
+        F.count_distinct("customer_id").alias("customers"), F.count_distinct("month").alias("months"),
+        F.count(F.lit(1)).alias("rows"))
+
+
+@register("report_latest_interaction", V.with_(V.INTERACTIONS) + """ SELECT customer_id, date, channel FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id
+                                 ORDER BY date DESC NULLS LAST, interaction_summary DESC NULLS LAST,
+                                          channel DESC NULLS LAST) AS rn
+    FROM interactions) WHERE rn = 1""")
+def q_latest(spark, sf):
+    """W5 + W7: latest interaction per customer, undated last."""
+    return FR.latest_per_key(si.interactions(spark, sf), ["date"]).select("customer_id", "date", "channel")
+
+
+@register("quality_duplicate_interaction_keys", V.with_(V.INTERACTIONS) + """ SELECT customer_id, count(*) AS n_rows
+  FROM interactions GROUP BY 1 HAVING count(*) > 1""")
+def q_dup_keys(spark, sf):
+    """U4: customers with more than one interaction row."""
+    return FR.duplicate_keys(si.interactions(spark, sf), ["customer_id"])
+
+
+_GOLD_COLS = ["customer_id", *GOLD_ORDER]
+
+
+@register("quality_missingness_gold", G + " SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+    f"round_even(count(*) FILTER (WHERE {c} IS NULL) / count(*), 4) AS null_rate FROM gold" for c in _GOLD_COLS)
+    + ") WHERE null_rate > 0.05")
+def q_missingness(spark, sf):
+    """Q10: gold columns missing in more than 5 % of customers."""
+    return Q.missingness_scan(_gold(spark, sf), 0.05)
+
+
+@register("report_leakage_flags", G + """ SELECT after_renewal, count(*) AS customers,
+    avg(CAST(churn AS DOUBLE)) AS churn_rate FROM (
+      SELECT *, CAST(date_diff('day', CAST(next_renewal_date AS DATE), CAST(date AS DATE)) > 0 AS INTEGER)
+        AS after_renewal FROM sc WHERE has_interaction = 1)
+  WHERE after_renewal IS NOT NULL GROUP BY 1""")
+def q_leakage_flags(spark, sf):
+    """Q13: interactions dated after the renewal date, and churn by that flag."""
+    return RP.leakage_flags(_layers(spark, sf)["silver_customer"])
+
+
+_SCORED_NUM = ["churn_actual", "churn_proba", "churn_pred", "avg_monthly_margin", "total_margin_2024",
+               "expected_monthly_loss"]
+
+
+@register("drift_reference_stats", _SCORED + " SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, avg(CAST({c} AS DOUBLE)) AS mean, stddev_samp(CAST({c} AS DOUBLE)) AS std, "
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50, "
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75, count({c}) AS count FROM scored" for c in _SCORED_NUM)
+    + ") WHERE count > 0")
+def q_reference_stats(spark, sf):
+    """Q5: reference snapshot statistics of the scored table's numeric columns."""
+    sc_ = _scored(spark, sf)
+    return D.reference_stats(D.reference_snapshot(sc_, _SCORED_NUM))
+
+
+@register("report_break_even", G + """ SELECT *, median_margin * median_tenure AS value_per_churner,
+    50.0 / (median_margin * median_tenure) AS break_even_precision,
+    0.3 >= 50.0 / (median_margin * median_tenure) AS worth_it
+  FROM (SELECT quantile_cont(avg_monthly_margin, 0.5) AS median_margin,
+               quantile_cont(tenure_months, 0.5) AS median_tenure FROM gold WHERE churn = 1)""")
+def q_break_even(spark, sf):
+    """Outreach break-even precision from churners' median margin and tenure."""
+    return M.break_even(_gold(spark, sf), 50.0, 0.3)
+
+
+@register("report_presence_flag", G + """ SELECT has_event, count(*) AS customers FROM (
+    SELECT c.customer_id, CASE WHEN i.customer_id IS NULL THEN 0 ELSE 1 END AS has_event
+    FROM churn c LEFT JOIN (SELECT DISTINCT customer_id FROM interactions) i ON c.customer_id = i.customer_id)
+  GROUP BY 1""")
+def q_presence(spark, sf):
+    """Whether each customer appears in the interaction table."""
+    return RP.presence_flag(si.churn_labels(spark, sf), si.interactions(spark, sf)).groupBy("has_event").agg(
+        F.count(F.lit(1)).alias("customers"))
+
+
+@register("report_share_dual_fuel", G + """ SELECT avg(CAST(total_gas_m3_2024 > 0 AS DOUBLE))
+    AS share_total_gas_m3_2024_positive FROM gold""")
+def q_share(spark, sf):
+    """share of customers with any gas consumption."""
+    return RP.share_positive(_gold(spark, sf), "total_gas_m3_2024")
+
+
+@register("report_drift_table", _KS_SQL + """ SELECT feature, ks_statistic, p_value,
+    CASE WHEN p_value < 0.01 THEN 'Drifted' ELSE 'Stable' END AS status FROM res""")
+def q_drift_table(spark, sf):
+    """Drift results with a status, ranked by D."""
+    ref, cur = _events_long(spark, sf)
+    d = D.drift_long(ref, cur)
+    return d.select("feature", "ks_statistic", "p_value",
+                    F.when(F.col("drifted"), "Drifted").otherwise("Stable").alias("status")).orderBy(
+        F.desc("ks_statistic"), "feature")
+
+
+# extra queries timed by bench.py after the layer builders
+BENCH_EXTRA = ("scored_customers", "reco_recommendations", "drift_events_by_type", "metrics_ap_roc",
+               "text_intent_documents", "stream_daily_tier_sums")

@@ -24,9 +24,14 @@ def total_of(df: DataFrame, name: str = "_total", expr: Column | None = None) ->
 
 
 def attach_scalar(df: DataFrame, scalar_df: DataFrame) -> DataFrame:
-    """Attach a one-row table's columns to every row (broadcast; size is one row)."""
-    k = "_one"
-    return df.withColumn(k, F.lit(1)).join(F.broadcast(scalar_df.withColumn(k, F.lit(1))), k).drop(k)
+    """Attach a one-row table's columns to every row.
+
+    Uses a scalar subquery (evaluated once, its value inlined into the
+    projection): no join, no cross product, nothing grows with ``df``.
+    """
+    cols = scalar_df.columns
+    sub = scalar_df.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_s")).scalar()
+    return df.withColumns({c: sub.getField(c) for c in cols})
 
 
 def value_counts(df: DataFrame, col: str, normalize: bool = False, dropna: bool = True,

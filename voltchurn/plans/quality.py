@@ -70,8 +70,13 @@ def quality_summary(df: DataFrame, layer: str = "bronze", key: str = KEY) -> Dat
 
 def missingness_scan(df: DataFrame, min_rate: float = 0.05) -> DataFrame:
     """Q10: columns whose missing share exceeds ``min_rate``, highest first."""
-    prof = column_profile(df, "raw")
-    return prof.filter(F.col("null_rate") > min_rate).select("column", "nulls", "null_rate")
+    one = df.agg(F.count(F.lit(1)).alias("_rows"),
+                 *[F.count_if(_is_missing(df, c)).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    parts = [F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("nulls")) for i, c in enumerate(df.columns)]
+    long = one.select("_rows", F.explode(F.array(*parts)).alias("p")).select("_rows", "p.*")
+    rate = F.when(F.col("_rows") > 0, F.col("nulls") / F.col("_rows")).otherwise(F.lit(0.0))
+    return (long.withColumn("null_rate", F.bround(rate, 4)).filter(F.col("null_rate") > min_rate)
+            .select("column", "nulls", "null_rate").orderBy(F.desc("null_rate"), "column"))
 
 
 def grain_report(df: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
