@@ -60,7 +60,9 @@ def _plan(df):
 def test_pipeline_plans_have_no_cartesian_or_python(spark):
     import registry as R
 
-    for name in ("gold_master", "reco_recommendations", "report_churn_by_renewal_bucket", "metrics_ap_roc"):
+    for name in ("gold_master", "reco_recommendations", "report_churn_by_renewal_bucket", "metrics_ap_roc",
+                 "metrics_threshold", "drift_summary_events", "report_tier_counts", "model_split_counts",
+                 "reco_offer_budget", "report_interaction_quintiles", "report_chi_square_intent_churn"):
         p = _plan(R.QUERIES[name](spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name

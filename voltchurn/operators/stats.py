@@ -305,7 +305,9 @@ def pr_curve(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -
     if not group:
         st = st.withColumn("_g", F.lit(0))
     tot = st.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    cum = prefix_sums(st, keys, "score", ["pos", "neg"], descending=True).join(F.broadcast(tot), keys)
+    cum = prefix_sums(st, keys, "score", ["pos", "neg"], descending=True)
+    # per-group totals: a join on the group keys; a single curve takes them as scalars
+    cum = cum.join(F.broadcast(tot), keys) if group else attach_scalar(cum, tot.select("P", "N"))
     tp, fp = F.col("pos_cum"), F.col("neg_cum")
     return cum.select(*group, F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),
                       (tp / (tp + fp)).alias("precision"),

@@ -35,10 +35,11 @@ def prediction_drift(reference: DataFrame, current: DataFrame, col: str = "churn
                      p_threshold: float = DRIFT_P_THRESHOLD) -> DataFrame:
     """Q3: KS on the score column; an empty side gives D 0, p 1, not drifted."""
     fd = feature_drift(reference.select(col), current.select(col), [col], p_threshold)
-    base = reference.sparkSession.range(1).select(F.lit(col).alias("feature"))
-    return base.join(fd, "feature", "left").select(
-        "feature", F.coalesce("ks_statistic", F.lit(0.0)).alias("ks_statistic"),
-        F.coalesce("p_value", F.lit(1.0)).alias("p_value"), F.coalesce("drifted", F.lit(False)).alias("drifted"))
+    # a global aggregate always yields one row; an empty side leaves it NULL -> defaults
+    return fd.agg(F.lit(col).alias("feature"),
+                  F.coalesce(F.max("ks_statistic"), F.lit(0.0)).alias("ks_statistic"),
+                  F.coalesce(F.max("p_value"), F.lit(1.0)).alias("p_value"),
+                  F.coalesce(F.max("drifted"), F.lit(False)).alias("drifted"))
 
 
 def drift_summary(feature_results: DataFrame, prediction_result: DataFrame) -> DataFrame:

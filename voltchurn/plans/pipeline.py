@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from voltchurn.operators.frames import cut_lineage
 from voltchurn.plans import bronze, enrich, gold, silver
 
 
@@ -15,8 +16,15 @@ def bronze_layer(raw: dict[str, DataFrame], scorer=None, validate: bool = True)
     return {"bronze_customer": bc, "bronze_customer_month": bcm}
 
 
-def silver_layer(b: dict[str, DataFrame], approx_median: bool = False) -> dict[str, DataFrame]:
-    sc, scm = silver.silver_tables(b["bronze_customer"], b["bronze_customer_month"], approx_median)
+def silver_layer(b: dict[str, DataFrame], approx_median: bool = False,
+                 materialise: bool = True) -> dict[str, DataFrame]:
+    """Silver tables.  The customer table is checkpointed (it feeds imputation, gold and
+    every report), so its bronze plan -- joins and text enrichment -- runs once."""
+    sc = silver.silver_customer(b["bronze_customer"])
+    if materialise:
+        sc = cut_lineage(sc)
+    scm = silver.compute_margins(silver.impute_prices(b["bronze_customer_month"], sc,
+                                                      approx_median=approx_median))
     return {"silver_customer": sc, "silver_customer_month": scm}
 
 
