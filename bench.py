@@ -32,7 +32,7 @@ def main() -> None:
     from voltchurn.session import get_spark
 
     spark = get_spark(f"local[{cpus}]", int(cpus), app_name="voltchurn-bench",
-                      extra={"spark.driver.memory": "16g"})
+                      extra={})
     import registry
 
     todo = names or [n for n in HEADLINE if n in registry.QUERIES] + [

@@ -35,8 +35,18 @@ def _raw(spark, sf):
     return si.raw_tables(spark, sf, consumption="orders")
 
 
+def _bronze(spark, sf):
+    return pipeline.bronze_layer(_raw(spark, sf))
+
+
+def _silver(spark, sf):
+    b = _bronze(spark, sf)
+    return {**b, **pipeline.silver_layer(b)}
+
+
 def _layers(spark, sf):
-    return pipeline.layers(_raw(spark, sf), AS_OF)
+    s = _silver(spark, sf)
+    return {**s, "gold_master": pipeline.gold_layer(s, AS_OF)}
 
 
 # ---------------------------------------------------------------- bronze ----
@@ -58,7 +68,7 @@ def q_bronze_customer_month(spark, sf):
 @register("bronze_customer", V.with_(*PS.bronze_customer_ctes()) + " SELECT * FROM bc")
 def q_bronze_customer(spark, sf):
     """J1 + X2/X3/X4: label backbone with first attributes, contract and latest enriched interaction."""
-    return _layers(spark, sf)["bronze_customer"]
+    return _bronze(spark, sf)["bronze_customer"]
 
 
 # ---------------------------------------------------------------- silver ----
@@ -66,13 +76,13 @@ def q_bronze_customer(spark, sf):
 @register("silver_customer", V.with_(*PS.silver_customer_ctes()) + " SELECT * FROM sc")
 def q_silver_customer(spark, sf):
     """F18 segments + F9 channel clean-up."""
-    return _layers(spark, sf)["silver_customer"]
+    return _silver(spark, sf)["silver_customer"]
 
 
 @register("silver_customer_month", V.with_(*PS.all_silver_ctes()) + " SELECT * FROM scm")
 def q_silver_customer_month(spark, sf):
     """G8 three-level price imputation + F13 P&L."""
-    return _layers(spark, sf)["silver_customer_month"]
+    return _silver(spark, sf)["silver_customer_month"]
 
 
 # ------------------------------------------------------------------ gold ----
@@ -218,7 +228,7 @@ def q_quintiles(spark, sf):
   GROUP BY days_bucket""")
 def q_interaction_timing(spark, sf):
     """E14 + F8(right=False): churn by days from interaction to renewal."""
-    return RP.interaction_timing(_layers(spark, sf)["silver_customer"])
+    return RP.interaction_timing(_silver(spark, sf)["silver_customer"])
 
 
 _PRE = """,
@@ -235,7 +245,7 @@ _PRE = """,
 @register("report_pre_renewal_margin_trend", G + _PRE + _describe_sql("trend", ["churn"], src="tr"))
 def q_pre_renewal(spark, sf):
     """E3 + W8 + J15: margin 0-3 m before renewal minus 3-6 m before, described by churn."""
-    L = _layers(spark, sf)
+    L = _silver(spark, sf)
     return RP.pre_renewal_by_churn(L["silver_customer_month"], L["silver_customer"])
 
 
@@ -245,7 +255,7 @@ def q_pre_renewal(spark, sf):
           + _describe_sql("margin_std", ["churn"], src="pv"))
 def q_volatility(spark, sf):
     """Per-customer margin volatility described by churn."""
-    L = _layers(spark, sf)
+    L = _silver(spark, sf)
     return RP.volatility_by_churn(L["silver_customer_month"], L["silver_customer"])
 
 
@@ -314,7 +324,7 @@ def q_margin_box(spark, sf):
   ORDER BY total_margin, customer_id, month LIMIT 20""")
 def q_worst_months(spark, sf):
     """The 20 lowest-margin customer-months (a top-k report)."""
-    return RP.worst_months(_layers(spark, sf)["silver_customer_month"])
+    return RP.worst_months(_silver(spark, sf)["silver_customer_month"])
 
 
 @register("report_corporate_margin_per_kwh", G + """ SELECT m.customer_id, m.month,
@@ -323,7 +333,7 @@ def q_worst_months(spark, sf):
   WHERE s.segment = 'Corporate' AND m.monthly_elec_kwh > 0""")
 def q_margin_per_kwh(spark, sf):
     """F22 + J10 + P16: Corporate months' electricity margin per kWh."""
-    L = _layers(spark, sf)
+    L = _silver(spark, sf)
     return RP.margin_per_kwh(L["silver_customer_month"], L["silver_customer"], "Corporate")
 
 
@@ -362,7 +372,7 @@ def _profile_sql(src, text_cols, num_cols):
 @register("quality_profile_silver_month", G + _profile_sql("scm", ["customer_id", "month"], SCM_NUM))
 def q_profile(spark, sf):
     """Q1 per column: nulls, null rate (4 dp), numeric min / max of silver customer-month."""
-    return Q.column_profile(_layers(spark, sf)["silver_customer_month"], "silver").select(
+    return Q.column_profile(_silver(spark, sf)["silver_customer_month"], "silver").select(
         "column", "nulls", "null_rate", "min", "max")
 
 
@@ -384,7 +394,7 @@ def _summary_sql():
 @register("quality_summary_bronze_customer", _summary_sql())
 def q_quality_summary(spark, sf):
     """Q1 summary: rows, columns, duplicate-key rows, issues, pass for bronze customer."""
-    return Q.quality_summary(_layers(spark, sf)["bronze_customer"], "bronze")
+    return Q.quality_summary(_bronze(spark, sf)["bronze_customer"], "bronze")
 
 
 def _price_validity_sql():
@@ -406,7 +416,7 @@ def _price_validity_sql():
 @register("quality_price_validity", _price_validity_sql())
 def q_price_validity(spark, sf):
     """Q9: prices missing / zero where consumption exists, before imputation."""
-    return Q.price_validity(_layers(spark, sf)["bronze_customer_month"])
+    return Q.price_validity(_bronze(spark, sf)["bronze_customer_month"])
 
 
 @register("quality_remaining_missing", G + " " + " UNION ALL ".join(
@@ -414,7 +424,7 @@ def q_price_validity(spark, sf):
     f"FROM scm" for p, c in PRICE_CONSUMPTION_PAIRS))
 def q_remaining(spark, sf):
     """Q15: prices still missing after imputation where consumption exists."""
-    return Q.remaining_missing(_layers(spark, sf)["silver_customer_month"])
+    return Q.remaining_missing(_silver(spark, sf)["silver_customer_month"])
 
 
 @register("quality_grain_silver_month", G + """ SELECT count(*) AS rows,
@@ -425,7 +435,7 @@ def q_remaining(spark, sf):
   FROM scm""")
 def q_grain(spark, sf):
     """Q11: rows, distinct (customer, month) keys and duplicates of silver customer-month."""
-    return Q.grain_report(_layers(spark, sf)["silver_customer_month"], ["customer_id", "month"])
+    return Q.grain_report(_silver(spark, sf)["silver_customer_month"], ["customer_id", "month"])
 
 
 @register("quality_min_values", G + " " + " UNION ALL ".join(
@@ -433,7 +443,7 @@ def q_grain(spark, sf):
     for c in ("monthly_elec_kwh", "monthly_gas_m3", "monthly_gas_kwh")))
 def q_min_values(spark, sf):
     """Q12: minimum monthly readings (no impossible values)."""
-    return Q.minimum_values(_layers(spark, sf)["silver_customer_month"])
+    return Q.minimum_values(_silver(spark, sf)["silver_customer_month"])
 
 
 @register("quality_negative_readings", V.with_(V.CONSUMPTION_EVENTS) + " " + " UNION ALL ".join(
@@ -451,7 +461,7 @@ def q_negative(spark, sf):
     count(DISTINCT customer_id) AS customers FROM sc""")
 def q_leakage(spark, sf):
     """Q14: snapshot leakage check (latest month, latest interaction) and label balance."""
-    L = _layers(spark, sf)
+    L = _silver(spark, sf)
     return Q.leakage_check(L["silver_customer_month"], L["silver_customer"])
 
 
@@ -766,7 +776,7 @@ def q_text_conversations(spark, sf):
   WHERE has_interaction = 1 AND customer_intent = 'Other / Unclassified' GROUP BY channel""")
 def q_text_audit(spark, sf):
     """Customers with an interaction whose intent stayed unclassified, per channel."""
-    return RP.unclassified_with_interaction(_layers(spark, sf)["silver_customer"]).groupBy("channel").agg(
+    return RP.unclassified_with_interaction(_silver(spark, sf)["silver_customer"]).groupBy("channel").agg(
         F.count(F.lit(1)).alias("customers"))
 
 
@@ -886,7 +896,7 @@ def q_tier_pivot(spark, sf):
     stddev_samp(contracted_power_kw) AS std_power FROM sc WHERE segment IS NOT NULL GROUP BY segment""")
 def q_power(spark, sf):
     """A25 + E16: contracted power block per segment."""
-    sc = _layers(spark, sf)["silver_customer"]
+    sc = _silver(spark, sf)["silver_customer"]
     return S.rate_by(sc.withColumn("churn", F.lit(0)), ["segment"], extra={
         "mean_power": F.avg("contracted_power_kw"), "median_power": F.percentile("contracted_power_kw", 0.5),
         "std_power": F.stddev_samp("contracted_power_kw")}).drop("churn_rate")
@@ -896,7 +906,7 @@ def q_power(spark, sf):
     count(DISTINCT month) AS months, count(*) AS rows FROM scm""")
 def q_distinct(spark, sf):
     """Distinct customers and months of silver customer-month."""
-    return _layers(spark, sf)["silver_customer_month"].agg(
+    return _silver(spark, sf)["silver_customer_month"].agg(
         F.count_distinct("customer_id").alias("customers"), F.count_distinct("month").alias("months"),
         F.count(F.lit(1)).alias("rows"))
 
@@ -937,7 +947,7 @@ def q_missingness(spark, sf):
   WHERE after_renewal IS NOT NULL GROUP BY 1""")
 def q_leakage_flags(spark, sf):
     """Q13: interactions dated after the renewal date, and churn by that flag."""
-    return RP.leakage_flags(_layers(spark, sf)["silver_customer"])
+    return RP.leakage_flags(_silver(spark, sf)["silver_customer"])
 
 
 _SCORED_NUM = ["churn_actual", "churn_proba", "churn_pred", "avg_monthly_margin", "total_margin_2024",

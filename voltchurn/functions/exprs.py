@@ -60,8 +60,14 @@ def tariff_tier(ts) -> Column:
 
 
 def month_key(ts) -> Column:
-    """``yyyy-MM`` month key of a timestamp or date."""
-    return F.date_format(_c(ts), "yyyy-MM")
+    """``yyyy-MM`` month key of a timestamp or date.
+
+    Built from integer year / month fields instead of a date formatter: the
+    same text, several times cheaper per row on the hourly table.
+    """
+    ts = _c(ts)
+    return F.concat(F.lpad(F.year(ts).cast("string"), 4, "0"), F.lit("-"),
+                    F.lpad(F.month(ts).cast("string"), 2, "0"))
 
 
 def normalize_month(c) -> Column:

@@ -139,6 +139,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     many splits and are left alone, so no shuffle is added at scale.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().logical().toString()
+    if plan.startswith("Repartition"):
+        return df
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df

@@ -18,6 +18,7 @@ SENTIMENT_COLS = ("sentiment_neg", "sentiment_neu", "sentiment_pos", "sentiment_
 def enrich_intent(df: DataFrame, text_col: str = "interaction_summary", date_col: str = "date",
                   rules=tx.INTENT_RULES) -> DataFrame:
     """X2 + X3: add ``customer_intent`` and ``has_interaction``."""
+    df = spread(df)
     cols = {}
     if text_col in df.columns:
         cols["customer_intent"] = tx.classify_intent(text_col, rules)
@@ -32,7 +33,7 @@ def lexicon_sentiment(df: DataFrame, text_col: str = "interaction_summary") -> D
 
     neg = n/(1+n+p), pos = p/(1+n+p), neu = 1/(1+n+p) over the whole text.
     """
-    tmp = df.withColumns({"_blank": tx.is_blank(text_col),
+    tmp = spread(df).withColumns({"_blank": tx.is_blank(text_col),
                           "_p": tx.word_hits(text_col, tx.POSITIVE_WORDS),
                           "_n": tx.word_hits(text_col, tx.NEGATIVE_WORDS)})
     den = (F.lit(1) + F.col("_p") + F.col("_n")).cast("double")
@@ -84,7 +85,7 @@ def model_sentiment(df: DataFrame, scorer: Callable[[pd.Series], pd.DataFrame],
 def enrich_interactions(df: DataFrame, scorer=None, text_col: str = "interaction_summary",
                         rules=tx.INTENT_RULES) -> DataFrame:
     """Intent always; sentiment by the given scorer, else the word-list default."""
-    out = enrich_intent(spread(df), text_col=text_col, rules=rules)
+    out = enrich_intent(df, text_col=text_col, rules=rules)
     if text_col not in out.columns:
         return out
     if scorer is None:

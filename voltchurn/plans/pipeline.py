@@ -17,14 +17,19 @@ def bronze_layer(raw: dict[str, DataFrame], scorer=None, validate: bool = True)
 
 
 def silver_layer(b: dict[str, DataFrame], approx_median: bool = False,
-                 materialise: bool = True) -> dict[str, DataFrame]:
-    """Silver tables.  The customer table is checkpointed (it feeds imputation, gold and
-    every report), so its bronze plan -- joins and text enrichment -- runs once."""
+                 materialise: bool = False) -> dict[str, DataFrame]:
+    """Silver tables.
+
+    Imputation reads only the segment column of the customer table, so the
+    optimizer drops the interaction join (and its text work) from that plan.
+    ``materialise`` checkpoints the customer table for callers that reuse it
+    many times; a single downstream use does not need it.
+    """
     sc = silver.silver_customer(b["bronze_customer"])
-    if materialise:
-        sc = cut_lineage(sc)
     scm = silver.compute_margins(silver.impute_prices(b["bronze_customer_month"], sc,
                                                       approx_median=approx_median))
+    if materialise:
+        sc = cut_lineage(sc)
     return {"silver_customer": sc, "silver_customer_month": scm}
 
 
