@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from oracle import pipeline_sql as PS
 from oracle import views as V
+from voltchurn.operators.frames import cut_lineage as S_cut
 from voltchurn.plans import bronze, enrich, gold, pipeline, silver
 from voltchurn.sources import standins as si
 
@@ -633,8 +634,8 @@ def _scored(spark, sf):
     return M.score_customers(si.model_output_from_gold(gold), gold, threshold=0.5)
 
 
-def _reco(spark, sf):
-    return RC.validated(RC.recommendations(_scored(spark, sf)))
+def _reco(spark, sf, scored=None):
+    return RC.validated(RC.recommendations(scored if scored is not None else _scored(spark, sf)))
 
 
 @register("scored_customers", _SCORED + " SELECT * FROM scored")
@@ -697,7 +698,8 @@ def q_reco(spark, sf):
   FROM reco2 r LEFT JOIN scored s ON r.customer_id = s.customer_id""")
 def q_budget(spark, sf):
     """Offer budget = tier share x max(margin, 0)."""
-    return RC.offer_budget(_reco(spark, sf), _scored(spark, sf)).select("customer_id", "action", "offer_budget_eur")
+    sc_ = _scored(spark, sf)
+    return RC.offer_budget(_reco(spark, sf, sc_), sc_).select("customer_id", "action", "offer_budget_eur")
 
 
 @register("reco_financials", _SCORED + """,
@@ -713,7 +715,8 @@ def q_budget(spark, sf):
          CASE WHEN c > 0 THEN (expected_margin_impact - c) / c END AS roi FROM b""")
 def q_financials(spark, sf):
     """Per customer loss, offer cost, net saved and ROI."""
-    return RC.customer_financials(RC.offer_budget(_reco(spark, sf), _scored(spark, sf)))
+    sc_ = _scored(spark, sf)
+    return RC.customer_financials(RC.offer_budget(_reco(spark, sf, sc_), sc_))
 
 
 @register("reco_action_counts", _SCORED + " SELECT action, count(*) AS customers FROM reco2 GROUP BY action")
@@ -781,7 +784,6 @@ def q_text_audit(spark, sf):
 
 
 # ------------------------------------------------------ model training (no SQL twin) ----
-from voltchurn.operators.frames import cut_lineage as S_cut  # noqa: E402
 from voltchurn.plans import features as FT  # noqa: E402
 
 
