@@ -1008,3 +1008,49 @@ def q_drift_table(spark, sf):
 # extra queries timed by bench.py after the layer builders
 BENCH_EXTRA = ("scored_customers", "reco_recommendations", "drift_events_by_type", "metrics_ap_roc",
                "text_intent_documents", "stream_daily_tier_sums")
+
+
+@register("report_churn_within_days_by_sentiment", G + """ SELECT *,
+    CASE WHEN churners > 0 THEN CAST(churn_within_7d_count AS DOUBLE) / churners END AS churn_within_7d_pct_of_churners,
+    CASE WHEN churners > 0 THEN CAST(churn_within_30d_count AS DOUBLE) / churners END
+      AS churn_within_30d_pct_of_churners
+  FROM (SELECT sentiment_label, count(*) AS customers_with_dates, count(*) FILTER (WHERE churn = 1) AS churners,
+               count(*) FILTER (WHERE _d BETWEEN 0 AND 7 AND churn = 1) AS churn_within_7d_count,
+               count(*) FILTER (WHERE _d BETWEEN 0 AND 30 AND churn = 1) AS churn_within_30d_count
+        FROM (SELECT *, date_diff('day', CAST(date AS DATE), CAST(next_renewal_date AS DATE)) AS _d FROM sc
+              WHERE sentiment_label IS NOT NULL AND date IS NOT NULL AND next_renewal_date IS NOT NULL)
+        GROUP BY sentiment_label)""")
+def q_within_days(spark, sf):
+    """Churn-within-7/30-days-of-renewal proxy by sentiment label."""
+    return RP.churn_within_days_proxy(_silver(spark, sf)["silver_customer"])
+
+
+_C360 = "42"
+
+
+@register("report_customer_360", _SCORED + f""",
+  b AS (SELECT r.customer_id, r.action, r.timing_window, array_to_string(r.reason_codes, '|') AS reason_codes,
+          r.expected_margin_impact,
+          round_even(CASE r.action WHEN 'offer_large' THEN 0.25 WHEN 'offer_medium' THEN 0.15
+                                   WHEN 'offer_small' THEN 0.05 ELSE 0.0 END
+                     * CASE WHEN coalesce(s.avg_monthly_margin, 0.0) < 0 THEN 0.0
+                            ELSE coalesce(s.avg_monthly_margin, 0.0) END, 2) AS c
+        FROM reco2 r LEFT JOIN scored s ON r.customer_id = s.customer_id)
+  SELECT s.*, b.action, b.timing_window, b.reason_codes, b.expected_margin_impact * 12 AS annual_expected_loss,
+         b.c AS offer_cost, b.expected_margin_impact * 12 - b.c * 12 AS net_saved_annual,
+         CASE WHEN b.c > 0 THEN (b.expected_margin_impact - b.c) / b.c END AS roi
+  FROM scored s LEFT JOIN b ON s.customer_id = b.customer_id WHERE s.customer_id = '{_C360}'""")
+def q_customer_360(spark, sf):
+    """E23 + P13: one customer's score, recommendation and financials (point lookup)."""
+    sc_ = _scored(spark, sf)
+    reco = _reco(spark, sf, sc_)
+    fin = RC.customer_financials(RC.offer_budget(reco, sc_))
+    return RP.customer_360(sc_, fin, reco, _C360)
+
+
+@register("report_seeded_sample_unclassified")
+def q_seeded_sample(spark, sf):
+    """X7 + T7: repeatable spot-check sample (20 rows, hash order) of unclassified interactions."""
+    sc = _silver(spark, sf)["silver_customer"]
+    return RP.seeded_sample(RP.unclassified_with_interaction(sc).select("customer_id", "date", "channel",
+                                                                        "customer_intent"), 20)

@@ -232,3 +232,32 @@ def crosstab_report(gold: DataFrame, a: str, b: str) -> DataFrame:
 
 def count_all(df: DataFrame) -> DataFrame:
     return total_of(df, "rows")
+
+
+def churn_within_days_proxy(sc: DataFrame) -> DataFrame:
+    """Per sentiment label, customers whose (dated) interaction fell 0-7 / 0-30 days before
+    renewal and who churned, as counts and as shares of that label's churners."""
+    d = days_between(F.col("next_renewal_date"), F.col("date"))
+    src = sc.filter(F.col("sentiment_label").isNotNull() & F.col("date").isNotNull()
+                    & F.col("next_renewal_date").isNotNull()).withColumn("_d", d)
+    churned = F.col("churn") == 1
+    w7 = (F.col("_d") >= 0) & (F.col("_d") <= 7) & churned
+    w30 = (F.col("_d") >= 0) & (F.col("_d") <= 30) & churned
+    g = src.groupBy("sentiment_label").agg(
+        F.count(F.lit(1)).alias("customers_with_dates"), F.count_if(churned).alias("churners"),
+        F.count_if(w7).alias("churn_within_7d_count"), F.count_if(w30).alias("churn_within_30d_count"))
+    return g.withColumns({
+        "churn_within_7d_pct_of_churners": F.try_divide(F.col("churn_within_7d_count").cast("double"),
+                                                        F.col("churners")),
+        "churn_within_30d_pct_of_churners": F.try_divide(F.col("churn_within_30d_count").cast("double"),
+                                                         F.col("churners"))})
+
+
+def customer_360(scored: DataFrame, financials: DataFrame, reco: DataFrame, customer_id: str) -> DataFrame:
+    """E23 + P13: score, recommendation and financials of one customer (a point lookup)."""
+    s = scored.filter(F.col(KEY) == customer_id)
+    r = reco.filter(F.col(KEY) == customer_id).select(KEY, "action", "timing_window",
+                                                      F.array_join("reason_codes", "|").alias("reason_codes"))
+    f = financials.filter(F.col(KEY) == customer_id).select(KEY, "annual_expected_loss", "offer_cost",
+                                                            "net_saved_annual", "roi")
+    return s.join(r, KEY, "left").join(f, KEY, "left")
