@@ -1,0 +1,15 @@
+"""Library-wide switches.
+
+``EXACT_QUANTILES``: medians and quartiles are exact (``percentile``, linear
+interpolation, what the reference computes) by default.  Spark's exact
+percentile merges one value->count map per group in a single task, so its
+memory grows with the distinct values of the largest group.  At very large
+scale set ``VOLTCHURN_EXACT_QUANTILES=0`` (or this flag to False) to use
+``percentile_approx`` (bounded-memory sketch, relative rank error about
+1/QUANTILE_ACCURACY).
+"""
+
+import os
+
+EXACT_QUANTILES = os.environ.get("VOLTCHURN_EXACT_QUANTILES", "1") != "0"
+QUANTILE_ACCURACY = int(os.environ.get("VOLTCHURN_QUANTILE_ACCURACY", "100000"))

@@ -18,6 +18,18 @@ from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- basics ----
 
+def quantile(col, p) -> Column:
+    """Exact linear-interpolated quantile(s), or a bounded-memory sketch when
+    ``voltchurn.config.EXACT_QUANTILES`` is off (see that module)."""
+    from voltchurn import config
+
+    c = F.col(col) if isinstance(col, str) else col
+    if config.EXACT_QUANTILES:
+        return F.percentile(c, p)
+    return F.percentile_approx(c, p, config.QUANTILE_ACCURACY)
+
+
+
 def total_of(df: DataFrame, name: str = "_total", expr: Column | None = None) -> DataFrame:
     """One-row table holding ``expr`` (default: row count) -- for broadcast joins."""
     return df.agg((expr if expr is not None else F.count(F.lit(1))).alias(name))
@@ -59,7 +71,7 @@ def describe(df: DataFrame, value: str, by: Sequence[str] = (),
     aggs = [F.count(v).alias(f"{prefix}count"), F.avg(v).alias(f"{prefix}mean"),
             F.stddev_samp(v).alias(f"{prefix}std"), F.min(v).alias(f"{prefix}min")]
     if percentiles:
-        aggs.append(F.percentile(v, list(percentiles)).alias("_pct"))
+        aggs.append(quantile(v, list(percentiles)).alias("_pct"))
     aggs.append(F.max(v).alias(f"{prefix}max"))
     out = src.groupBy(*by).agg(*aggs)
     if percentiles:
@@ -204,7 +216,7 @@ def with_quantile_bins(df: DataFrame, value: str, q: int = 5, out: str = "bin",
     """
     probs = [i / q for i in range(q + 1)]
     v = F.col(value).cast("double")
-    pct = (F.percentile_approx(v, probs, 100000) if approx else F.percentile(v, probs))
+    pct = (F.percentile_approx(v, probs, 100000) if approx else quantile(v, probs))
     edges = df.agg(F.array_distinct(F.array_sort(pct.cast("array<double>"))).alias("_edges"))
     j = attach_scalar(df, edges)
     # bin index = number of inner edges strictly below the value (right-closed bins)
@@ -389,7 +401,7 @@ def calibration_curve(df: DataFrame, label: str, score: str, n_bins: int = 10) -
     ``searchsorted`` on the edges), edges = exact linear quantiles.
     """
     probs = [i / n_bins for i in range(n_bins + 1)]
-    edges = df.agg(F.percentile(F.col(score).cast("double"), probs).alias("_e"))
+    edges = df.agg(quantile(F.col(score).cast("double"), probs).cast("array<double>").alias("_e"))
     j = attach_scalar(df.filter(F.col(score).isNotNull()), edges)
     inner = F.slice(F.col("_e"), 2, n_bins - 1)
     binid = F.size(F.filter(inner, lambda e: e < F.col(score)))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltchurn.constants import DRIFT_P_THRESHOLD, KEY
-from voltchurn.operators.stats import attach_scalar, kolmogorov_sf, ks_from_long, ks_statistic
+from voltchurn.operators.stats import quantile, attach_scalar, kolmogorov_sf, ks_from_long, ks_statistic
 
 NUMERIC = {"double", "float", "int", "bigint", "smallint", "tinyint"}
 
@@ -71,8 +71,8 @@ def reference_stats(snapshot: DataFrame) -> DataFrame:
     """Q5: mean, sample std, exact quartiles and count per feature of a snapshot."""
     return snapshot.groupBy("feature").agg(
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.percentile("value", 0.25).alias("q25"), F.percentile("value", 0.5).alias("q50"),
-        F.percentile("value", 0.75).alias("q75"), F.count(F.lit(1)).alias("count"))
+        quantile("value", 0.25).alias("q25"), quantile("value", 0.5).alias("q50"),
+        quantile("value", 0.75).alias("q75"), F.count(F.lit(1)).alias("count"))
 
 
 def snapshot_as_wide(snapshot: DataFrame) -> DataFrame:

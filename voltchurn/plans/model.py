@@ -32,6 +32,7 @@ from voltchurn.constants import (
 from voltchurn.functions.exprs import clip_lower0, cut
 from voltchurn.operators.frames import cut_lineage
 from voltchurn.operators.stats import (
+    quantile,
     attach_scalar,
     confusion_metrics,
     pick_threshold,
@@ -342,8 +343,8 @@ def promotion_decision(metrics: DataFrame, min_ap: float = 0.70) -> DataFrame:
 def break_even(gold: DataFrame, outreach_cost: float, precision: float, label: str = "churn") -> DataFrame:
     """Revenue at risk per churner (median margin x median tenure) vs outreach cost."""
     med = gold.filter(F.col(label) == 1).agg(
-        F.percentile("avg_monthly_margin", 0.5).alias("median_margin"),
-        F.percentile("tenure_months", 0.5).alias("median_tenure"))
+        quantile("avg_monthly_margin", 0.5).alias("median_margin"),
+        quantile("tenure_months", 0.5).alias("median_tenure"))
     return med.select("*", (F.col("median_margin") * F.col("median_tenure")).alias("value_per_churner"),
                       (F.lit(outreach_cost) / (F.col("median_margin") * F.col("median_tenure")))
                       .alias("break_even_precision"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from voltchurn.constants import KEY
 from voltchurn.functions.exprs import cut, days_between, month_start, safe_div
 from voltchurn.operators.stats import (
+    quantile,
     attach_scalar,
     chi_square,
     crosstab,
@@ -41,18 +42,18 @@ def margin_by(gold: DataFrame, by: Sequence[str]) -> DataFrame:
 def channel_profile(gold: DataFrame) -> DataFrame:
     """Per acquisition channel: customers, churn rate, median tenure, median margin, median volatility."""
     return rate_by(gold, ["sales_channel"], extra={
-        "median_tenure": F.percentile("tenure_months", 0.5),
-        "median_margin": F.percentile("avg_monthly_margin", 0.5),
-        "median_margin_volatility": F.percentile("std_margin", 0.5),
+        "median_tenure": quantile("tenure_months", 0.5),
+        "median_margin": quantile("avg_monthly_margin", 0.5),
+        "median_margin_volatility": quantile("std_margin", 0.5),
     })
 
 
 def competition_profile(gold: DataFrame) -> DataFrame:
     """E8 + F23: competition split: medians of margins and profit at risk (median margin x churn rate)."""
     out = rate_by(gold, ["is_high_competition_province"], extra={
-        "median_margin": F.percentile("avg_monthly_margin", 0.5),
-        "median_total_margin": F.percentile("total_margin_2024", 0.5),
-        "median_elec_kwh": F.percentile("avg_monthly_elec_kwh", 0.5),
+        "median_margin": quantile("avg_monthly_margin", 0.5),
+        "median_total_margin": quantile("total_margin_2024", 0.5),
+        "median_elec_kwh": quantile("avg_monthly_elec_kwh", 0.5),
     })
     return out.withColumn("profit_at_risk", F.col("median_margin") * F.col("churn_rate") * F.col("customers"))
 
@@ -174,7 +175,7 @@ def margin_box(gold: DataFrame, by: str = "churn") -> DataFrame:
     """Five-number summary of average monthly margin per group."""
     return gold.filter(F.col(by).isNotNull()).groupBy(by).agg(
         F.min("avg_monthly_margin").alias("min"),
-        F.percentile("avg_monthly_margin", [0.25, 0.5, 0.75]).alias("_q"),
+        quantile("avg_monthly_margin", [0.25, 0.5, 0.75]).alias("_q"),
         F.max("avg_monthly_margin").alias("max")).select(
         by, "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"), "max")
 

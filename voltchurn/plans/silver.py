@@ -63,7 +63,9 @@ def grouped_median(df: DataFrame, groups: list[str], value_exprs: dict[str, Colu
     if approx:
         aggs = [F.percentile_approx(e, 0.5, accuracy).alias(n) for n, e in value_exprs.items()]
     else:
-        aggs = [F.median(e).alias(n) for n, e in value_exprs.items()]
+        from voltchurn.operators.stats import quantile
+
+        aggs = [quantile(e, 0.5).alias(n) for n, e in value_exprs.items()]
     return df.groupBy(*groups).agg(*aggs)
 
 
