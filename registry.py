@@ -1054,3 +1054,50 @@ def q_seeded_sample(spark, sf):
     sc = _silver(spark, sf)["silver_customer"]
     return RP.seeded_sample(RP.unclassified_with_interaction(sc).select("customer_id", "date", "channel",
                                                                         "customer_intent"), 20)
+
+
+# ------------------------------------------------------- notebook variants ----
+from voltchurn.plans import variants as VR  # noqa: E402
+
+_AS_OF_D = f"DATE '{AS_OF}'"
+
+
+@register("variant_calendar_margin_trend", G + f""" SELECT customer_id, _l - _p AS rolling_margin_trend FROM (
+    SELECT customer_id,
+      avg(CASE WHEN _m >= {_AS_OF_D} - INTERVAL 3 MONTH THEN total_margin END) AS _l,
+      avg(CASE WHEN _m >= {_AS_OF_D} - INTERVAL 6 MONTH AND _m < {_AS_OF_D} - INTERVAL 3 MONTH
+               THEN total_margin END) AS _p
+    FROM (SELECT customer_id, CAST(month || '-01' AS DATE) AS _m, total_margin FROM scm)
+    WHERE _m <= {_AS_OF_D} GROUP BY customer_id)
+  WHERE _l IS NOT NULL OR _p IS NOT NULL""")
+def q_calendar_trend(spark, sf):
+    """W4 + P8: calendar last-3 vs prior-3 months margin trend before as_of."""
+    return VR.calendar_margin_trend(_silver(spark, sf)["silver_customer_month"], AS_OF)
+
+
+@register("variant_gas_share_with_fixed", G + """ SELECT customer_id,
+    CASE WHEN sum(total_revenue) > 0 THEN sum(coalesce(gas_revenue_variable, 0.0)
+         + coalesce(gas_revenue_fixed, 0.0) / 12) / sum(total_revenue) END AS gas_share_of_revenue
+  FROM scm GROUP BY customer_id""")
+def q_gas_share_fixed(spark, sf):
+    """Gas share of revenue including fixed / 12, NULL without revenue."""
+    return VR.gas_share_with_fixed(_silver(spark, sf)["silver_customer_month"])
+
+
+@register("variant_province_average_costs", V.with_(V.COSTS, V.ATTRIBUTES) + f""",
+  p AS (SELECT province, avg(elec_var_cost_eur_kwh) AS province_avg_elec_cost_2024,
+               avg(gas_var_cost_eur_m3) AS province_avg_gas_cost_2024
+        FROM costs WHERE CAST(month || '-01' AS DATE) <= {_AS_OF_D} GROUP BY province)
+  SELECT a.customer_id, p.province_avg_elec_cost_2024, p.province_avg_gas_cost_2024
+  FROM attributes a LEFT JOIN p ON a.province_code = p.province""")
+def q_province_costs(spark, sf):
+    """Province mean costs up to as_of, per customer."""
+    return VR.province_average_costs(si.costs(spark, sf), si.attributes(spark, sf), AS_OF)
+
+
+@register("variant_distinct_pricing_dates", V.with_(V.PRICES) + f""" SELECT customer_id,
+    count(DISTINCT pricing_date) AS price_update_count FROM prices WHERE pricing_date <= {_AS_OF_D}
+  GROUP BY customer_id""")
+def q_pricing_dates(spark, sf):
+    """Distinct pricing dates per customer up to as_of."""
+    return VR.distinct_pricing_dates(si.prices(spark, sf), AS_OF)
