@@ -125,3 +125,8 @@ def run_drift_job(spark, scored: DataFrame, reference_path: str, out_path: str,
         summary = drift_summary(fd, pdrift)
     summary.write.mode("overwrite").json(out_path)
     return summary
+
+
+def load_reference(spark, path: str) -> DataFrame:
+    """Q6: a saved long ``(feature, value)`` reference snapshot."""
+    return spark.read.parquet(path)

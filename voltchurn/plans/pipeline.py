@@ -58,3 +58,74 @@ def write_layers(frames: dict[str, DataFrame], out_dir: str, names=None) -> dict
         df.write.mode("overwrite").parquet(p)
         paths[name] = p
     return paths
+
+
+# ------------------------------------------------------------- job steps ----
+
+def run_bronze_step(spark, raw_dir: str, out_dir: str, scorer=None) -> dict[str, str]:
+    """Raw files -> bronze parquet (customer, customer-month)."""
+    from voltchurn.sources import io
+
+    raw = io.load_raw_datasets(spark, raw_dir)
+    raw["consumption"] = io.load_or_convert_consumption(spark, raw_dir)
+    return write_layers(bronze_layer(raw, scorer), out_dir)
+
+
+def run_silver_step(spark, bronze_dir: str, out_dir: str) -> dict[str, str]:
+    """Bronze parquet -> silver parquet."""
+    b = {n: spark.read.parquet(f"{bronze_dir.rstrip('/')}/{n}") for n in ("bronze_customer", "bronze_customer_month")}
+    return write_layers(silver_layer(b), out_dir)
+
+
+def run_gold_step(spark, silver_dir: str, out_dir: str, as_of) -> dict[str, str]:
+    """Silver parquet -> gold parquet (``as_of`` is required)."""
+    s = {n: spark.read.parquet(f"{silver_dir.rstrip('/')}/{n}") for n in ("silver_customer", "silver_customer_month")}
+    return write_layers({"gold_master": gold_layer(s, as_of)}, out_dir)
+
+
+def run_train_step(spark, gold_dir: str, model_dir: str, experiment: str = "E5_full", model_name: str = "gbt",
+                   **params) -> dict:
+    """Gold -> fitted model + metrics record (threshold chosen on validation rows)."""
+    from pyspark.sql import functions as F
+
+    from voltchurn.plans import features as FT
+    from voltchurn.plans import model as M
+
+    g = spark.read.parquet(f"{gold_dir.rstrip('/')}/gold_master")
+    feats = FT.feature_list(experiment)
+    if model_name != "logistic_regression":
+        feats = FT.tree_feature_list(feats)
+    mm = cut_lineage(M.model_matrix(g, feats))
+    split = cut_lineage(M.stratified_split(mm, "churn", 0.2, 42))
+    feats = [f for f in feats if f in mm.columns]
+    res = M.run_experiment(split.filter(~F.col("is_test")), split.filter("is_test"), feats, model_name, **params)
+    metrics = res["metrics"].first().asDict()
+    M.save_model(res["model"], model_dir, {"experiment": experiment, "features": feats, **metrics})
+    return metrics
+
+
+def run_score_step(spark, gold_dir: str, model_dir: str, out_dir: str) -> str:
+    """Gold + saved model -> scored table and recommendations (parquet)."""
+    from voltchurn.plans import model as M
+    from voltchurn.plans import recommend as RC
+
+    g = spark.read.parquet(f"{gold_dir.rstrip('/')}/gold_master")
+    model, meta = M.load_model(model_dir)
+    feats = meta["features"]
+    probs = M.predict_proba(model, M.model_matrix(g, feats), feats)
+    scored = M.score_customers(probs, g, float(meta["threshold"]))
+    paths = write_layers({"scored_customers": scored}, out_dir)
+    sc = spark.read.parquet(paths["scored_customers"])
+    write_layers({"recommendations": RC.validated(RC.recommendations(sc))}, out_dir)
+    return paths["scored_customers"]
+
+
+def run_local_pipeline(spark, raw_dir: str, out_dir: str, as_of, model_name: str = "gbt") -> dict:
+    """Bronze -> silver -> gold -> train -> score, each layer written and read back."""
+    base = out_dir.rstrip("/")
+    run_bronze_step(spark, raw_dir, f"{base}/bronze")
+    run_silver_step(spark, f"{base}/bronze", f"{base}/silver")
+    run_gold_step(spark, f"{base}/silver", f"{base}/gold", as_of)
+    metrics = run_train_step(spark, f"{base}/gold", f"{base}/model", model_name=model_name)
+    scored = run_score_step(spark, f"{base}/gold", f"{base}/model", f"{base}/scored")
+    return {"metrics": metrics, "scored_path": scored}

@@ -262,3 +262,8 @@ def customer_360(scored: DataFrame, financials: DataFrame, reco: DataFrame, cust
     f = financials.filter(F.col(KEY) == customer_id).select(KEY, "annual_expected_loss", "offer_cost",
                                                             "net_saved_annual", "roi")
     return s.join(r, KEY, "left").join(f, KEY, "left")
+
+
+def run_status_counts(runs: DataFrame) -> DataFrame:
+    """Pipeline runs per status."""
+    return runs.groupBy("status").agg(F.count(F.lit(1)).alias("runs"))
