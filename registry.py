@@ -1101,3 +1101,28 @@ def q_province_costs(spark, sf):
 def q_pricing_dates(spark, sf):
     """Distinct pricing dates per customer up to as_of."""
     return VR.distinct_pricing_dates(si.prices(spark, sf), AS_OF)
+
+
+# ------------------------------------------- churn-rate reports (E5/E6/E9/E13) ----
+_RATE_REPORTS = {
+    "report_expired_prevalence": (["is_expired_contract"], False),
+    "report_churn_by_tenure_bucket": (["tenure_bucket"], False),
+    "report_churn_by_portfolio": (["portfolio_type"], False),
+    "report_churn_by_competition_x_renewal": (["is_high_competition_province", "renewal_bucket"], False),
+    "report_churn_by_residence_x_tenure": (["is_second_residence", "tenure_bucket"], False),
+    "report_churn_by_intent_x_sentiment_pct": (["customer_intent", "sentiment_label"], True),
+    "report_churn_by_interaction_x_renewal": (["has_interaction", "renewal_bucket"], False),
+    "report_churn_by_segment_x_channel": (["segment", "sales_channel"], False),
+}
+
+
+def _make_rate(dims, pct):
+    def q(spark, sf):
+        return RP.churn_by(_gold(spark, sf), dims, pct=pct)
+
+    q.__doc__ = f"E5/E6/E9/E13 + A21: customers and churn rate by {' x '.join(dims)}."
+    return q
+
+
+for _name, (_dims, _pct) in _RATE_REPORTS.items():
+    register(_name, G + _rate_sql(_dims, pct=_pct))(_make_rate(_dims, _pct))
