@@ -268,7 +268,7 @@ gc AS (
          AS INTEGER) AS recent_complaint_flag,
     coalesce(CASE customer_intent WHEN 'Cancellation / Switch' THEN 3 WHEN 'Complaint / Escalation' THEN 2
                                   WHEN 'Pricing Offers' THEN 1 END, 0) AS intent_severity_score,
-    date_diff('day', CAST(date AS DATE), {a}) AS last_interaction_days_ago,
+    CAST(date_diff('day', CAST(date AS DATE), {a}) AS INTEGER) AS last_interaction_days_ago,
     CAST(coalesce(-_neg_days_to_renewal / 30.44 BETWEEN 0 AND 3, false) AS INTEGER)
       AS interaction_within_3m_of_renewal,
     CAST(coalesce(-_neg_days_to_renewal / 30.44 BETWEEN 0 AND 1, false) AS INTEGER)

@@ -25,7 +25,7 @@ attributes AS (
   SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id,
          c.c_nationkey AS province_code,
          CASE WHEN c.c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 1 ELSE 0 END AS is_industrial,
-         CASE c.c_custkey % 4 WHEN 0 THEN 3.5 WHEN 1 THEN 5.0 WHEN 2 THEN 10.0 ELSE 50.0 END
+         CAST(CASE c.c_custkey % 4 WHEN 0 THEN 3.5 WHEN 1 THEN 5.0 WHEN 2 THEN 10.0 ELSE 50.0 END AS DOUBLE)
            AS contracted_power_kw,
          CASE WHEN c.c_custkey % 5 = 0 THEN 1 ELSE 0 END AS is_second_residence,
          CASE WHEN c.c_custkey % 11 = 0 THEN NULL

@@ -209,8 +209,8 @@ def q_pivot(spark, sf):
   e2 AS (SELECT list_sort(_e0) AS _e FROM e),
   b AS (SELECT g.*, CASE WHEN months_to_renewal IS NOT NULL AND months_to_renewal >= _e[1]
                           AND months_to_renewal <= _e[len(_e)]
-                    THEN len(list_filter(list_slice(_e, 2, greatest(len(_e) - 1, 1)),
-                                         lambda x: x < months_to_renewal)) END AS renewal_quintile
+                    THEN CAST(len(list_filter(list_slice(_e, 2, greatest(len(_e) - 1, 1)),
+                                              lambda x: x < months_to_renewal)) AS INTEGER) END AS renewal_quintile
         FROM gold g, e2)
   SELECT renewal_quintile, count(*) AS customers, avg(CAST(churn AS DOUBLE)) AS churn_rate,
          avg(CAST(coalesce(has_interaction, 0) AS DOUBLE)) AS interaction_rate
@@ -568,7 +568,7 @@ def q_threshold(spark, sf):
                 * (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END)
               / ((CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END)
                  + (CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END)) ELSE 0.0 END AS f1,
-    (tp + tn) / (tp + fp + fn + tn) AS accuracy, 0.5 AS threshold
+    (tp + tn) / (tp + fp + fn + tn) AS accuracy, CAST(0.5 AS DOUBLE) AS threshold
   FROM (SELECT CAST(count(*) FILTER (WHERE score >= 0.5 AND label = 1) AS BIGINT) AS tp,
                CAST(count(*) FILTER (WHERE score >= 0.5 AND label = 0) AS BIGINT) AS fp,
                CAST(count(*) FILTER (WHERE score < 0.5 AND label = 1) AS BIGINT) AS fn,
@@ -580,7 +580,7 @@ def q_confusion(spark, sf):
 
 @register("metrics_calibration_curve", V.with_(V.LABELLED_SCORES) + """,
   e AS (SELECT quantile_cont(score, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS q FROM labelled)
-  SELECT len(list_filter(list_slice(q, 2, 10), lambda x: x < score)) AS bin, count(*) AS n,
+  SELECT CAST(len(list_filter(list_slice(q, 2, 10), lambda x: x < score)) AS INTEGER) AS bin, count(*) AS n,
          avg(CAST(label AS DOUBLE)) AS prob_true, avg(score) AS prob_pred
   FROM labelled, e WHERE score IS NOT NULL GROUP BY 1""")
 def q_calibration(spark, sf):
