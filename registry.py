@@ -630,8 +630,8 @@ _SCORED = G + "," + V.MODEL_OUTPUT.strip() + """,
 
 
 def _scored(spark, sf):
-    gold = _gold(spark, sf)
-    return M.score_customers(si.model_output_from_gold(gold), gold, threshold=0.5)
+    # the stand-in model output sits next to the business columns: score in one projection
+    return M.score_frame(si.model_output_from_gold(_gold(spark, sf), keep_columns=True), threshold=0.5)
 
 
 def _reco(spark, sf, scored=None):

@@ -249,21 +249,14 @@ def risk_tier(col: str = "churn_proba"):
     return cut(col, RISK_EDGES, RISK_LABELS, right=False)
 
 
-def score_customers(scores: DataFrame, gold: DataFrame, threshold: float, proba_col: str = "proba",
-                    label: str = "churn") -> DataFrame:
-    """M13 + M14: proba (4 dp, half-even), prediction, business columns, expected loss, tier.
-
-    ``scores`` holds ``customer_id`` and a raw probability; the business
-    columns come from ``gold`` by key.
-    """
-    biz = [c for c in ("avg_monthly_margin", "total_margin_2024", "segment") if c in gold.columns]
-    lab = [label] if label in gold.columns else []
-    g = gold.select(KEY, *lab, *biz)
-    s = scores.select(KEY, F.bround(F.col(proba_col), 4).alias("churn_proba"))
-    out = s.join(g, KEY, "left").withColumns({
-        "churn_actual": F.col(label) if lab else F.lit(None).cast("int"),
-        "churn_pred": (F.col("churn_proba") >= threshold).cast("int"),
-    })
+def score_frame(df: DataFrame, threshold: float, proba_col: str = "proba", label: str = "churn") -> DataFrame:
+    """M13 + M14 on one frame that already holds the raw probability next to the
+    business columns: proba (4 dp, half-even), prediction, expected loss, tier."""
+    biz = [c for c in ("avg_monthly_margin", "total_margin_2024", "segment") if c in df.columns]
+    out = df.select(KEY, F.col(label).alias("churn_actual") if label in df.columns
+                    else F.lit(None).cast("int").alias("churn_actual"),
+                    F.bround(F.col(proba_col), 4).alias("churn_proba"), *biz)
+    out = out.withColumn("churn_pred", (F.col("churn_proba") >= threshold).cast("int"))
     if "avg_monthly_margin" in biz:
         out = out.withColumn("expected_monthly_loss",
                              F.bround(F.col("churn_proba") * clip_lower0("avg_monthly_margin"), 2))
@@ -273,6 +266,15 @@ def score_customers(scores: DataFrame, gold: DataFrame, threshold: float, proba_
     return out.select(*cols)
 
 
+def score_customers(scores: DataFrame, gold: DataFrame, threshold: float, proba_col: str = "proba",
+                    label: str = "churn") -> DataFrame:
+    """M13 + M14: ``scores`` (customer_id, raw probability) joined to the business columns of
+    ``gold``, then ``score_frame``."""
+    biz = [c for c in ("avg_monthly_margin", "total_margin_2024", "segment", label) if c in gold.columns]
+    s = scores.select(KEY, F.col(proba_col).alias("_proba"))
+    return score_frame(s.join(gold.select(KEY, *biz), KEY, "left"), threshold, "_proba", label)
+
+
 def rank_scored(scored: DataFrame) -> DataFrame:
     """Highest probability first, customer id as tie-break."""
     return scored.orderBy(F.desc("churn_proba"), KEY)

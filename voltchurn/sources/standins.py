@@ -192,7 +192,7 @@ def labelled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_chars") / (F.col("n_chars") + F.lit(2000.0))).alias("score"))
 
 
-def model_output_from_gold(gold: DataFrame) -> DataFrame:
+def model_output_from_gold(gold: DataFrame, keep_columns: bool = False) -> DataFrame:
     """A stand-in for a trained model's raw probabilities: a fixed logistic function of a
     few gold features.  It only supplies ``(customer_id, proba)`` rows; scoring,
     tiers and recommendations downstream are the library's own work."""
@@ -201,7 +201,8 @@ def model_output_from_gold(gold: DataFrame) -> DataFrame:
          + 1.0 * F.coalesce(F.col("is_negative_sentiment"), F.lit(0))
          + 1.5 * F.coalesce(F.col("recent_complaint_flag"), F.lit(0))
          - 0.005 * F.coalesce(F.col("tenure_months"), F.lit(0.0)))
-    return gold.select(KEY, (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("proba"))
+    p = (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("proba")
+    return gold.select("*", p) if keep_columns else gold.select(KEY, p)
 
 
 def consumption_stream_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
