@@ -65,9 +65,16 @@ def _date(as_of) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
+def _month_ordinal(month: str = "month") -> Column:
+    """``yyyy-MM`` -> year * 12 + month as an integer: a fixed-width ordering key, so
+    ``min_by`` / ``max_by`` stay in the hash aggregate (a string key forces a sort-based one)."""
+    m = F.col(month)
+    return (F.substring(m, 1, 4).try_cast("int") * 12 + F.substring(m, 6, 2).try_cast("int"))
+
+
 def _first_last(x: str, order: str = "month") -> tuple[Column, Column]:
-    """First / last non-NULL value of ``x`` in ``order`` (NULL orderings are skipped)."""
-    o = F.when(F.col(x).isNotNull(), F.col(order))
+    """First / last non-NULL value of ``x`` in month order (NULL orderings are skipped)."""
+    o = F.when(F.col(x).isNotNull(), _month_ordinal(order))
     return F.min_by(x, o), F.max_by(x, o)
 
 
