@@ -97,3 +97,23 @@ def test_kolmogorov_series():
     lam = math.sqrt(50) * 0.3
     want = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 101))
     assert abs(r.p - want) < 1e-12
+
+
+def test_prefix_sums_with_one_hot_group(spark):
+    # one group holds ~90 % of the rows; its running sums are split over range buckets
+    df = spark.range(2000).select(F.when(F.col("id") < 1800, F.lit(0)).otherwise(F.col("id") % 3 + 1).alias("g"),
+                                  F.col("id").alias("o"), F.lit(1).alias("x"))
+    out = S.prefix_sums(df, ["g"], "o", ["x"], buckets=8)
+    got = {r.o: r.x_cum for r in out.filter("g = 0").collect()}
+    assert got[0] == 1 and got[1799] == 1800 and all(got[i] == i + 1 for i in range(0, 1800, 97))
+    assert out.select("_bk").distinct().count() > 1 if "_bk" in out.columns else True
+
+
+def test_ks_on_dominant_feature(spark):
+    from voltchurn.plans import drift
+
+    a = spark.range(3000).select(F.lit("big").alias("feature"), (F.col("id") % 101).cast("double").alias("value"))
+    b = spark.range(3000).select(F.lit("big").alias("feature"), ((F.col("id") * 13) % 101).cast("double").alias("value"))
+    small = spark.createDataFrame([("small", 1.0), ("small", 2.0)], "feature string, value double")
+    r = {x.feature: x for x in drift.drift_long(a.unionByName(small), b.unionByName(small)).collect()}
+    assert r["big"].ks_statistic < 0.01 and not r["big"].drifted and r["small"].ks_statistic == 0.0
