@@ -49,7 +49,8 @@ def channel_profile(gold: DataFrame) -> DataFrame:
 
 
 def competition_profile(gold: DataFrame) -> DataFrame:
-    """E8 + F23: competition split: medians of margins and profit at risk (median margin x churn rate)."""
+    """E8 + F23: competition split: medians of margins and profit at risk
+    (median margin x churn rate x customers)."""
     out = rate_by(gold, ["is_high_competition_province"], extra={
         "median_margin": quantile("avg_monthly_margin", 0.5),
         "median_total_margin": quantile("total_margin_2024", 0.5),
