@@ -60,7 +60,7 @@ def competition_profile(gold: DataFrame) -> DataFrame:
 
 
 def renewal_timing(gold: DataFrame) -> DataFrame:
-    """Months to renewal by churn label (describe) and churn inside / outside the 3-month window."""
+    """Distribution of months to renewal by churn label (describe)."""
     return describe(gold, "months_to_renewal", ["churn"])
 
 
@@ -72,7 +72,7 @@ def churn_pivot(gold: DataFrame, rows: str, cols: str, values: Sequence[str] | N
 
 
 def expired_prevalence(gold: DataFrame) -> DataFrame:
-    """Share of expired contracts and churn rate of expired vs not."""
+    """Customers and churn rate with vs without an expired contract."""
     return rate_by(gold, ["is_expired_contract"], extra={})
 
 
