@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voltchurn.llm import bpe, packing, tokens
+from voltchurn.llm import bpe, lines, packing, secret_scan, sql, tokens, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rules, then by its host's reputation.
+
+    A labelled outcome is bad where ``labels.quality`` is 0 for the document of
+    the page's id.
+    """
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
+    return urls.judge_urls(table(spark, sf_dir, "pages"), outcomes)
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup over all documents, as counts and the digest of what stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = lines.dedup_lines(docs, min_chars=10)
+    return kept.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base, all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan_secrets(docs).select("doc_id", "secret_spans")
+    of = lambda kind: F.size(F.filter("secret_spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("secret_spans", lambda s: s["kind"] != "random")
+    return found.select("doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
+                        F.sha2(secret_scan.span_list(base), 256).alias("base_sha256"),
+                        secret_scan.span_list(F.col("secret_spans")).alias("spans"))
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it is over 512 tokens."""
@@ -41,3 +74,6 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests."""
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocab_path())
+
+
+ORACLES.update(op3_url_filter=sql.URL_FILTER, op4_line_dedup=sql.LINE_DEDUP)
