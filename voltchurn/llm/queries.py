@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltchurn.llm import bpe, lines, packing, secret_scan, sql, tokens, urls
+from voltchurn.llm import bpe, lines, packing, secret_scan, sql, tokens, toxicity, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,17 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, and the sentences (start:end) to blame."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model, limit=0.3)
+    blamed = F.transform("offending", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxic_score").alias("score"),
+                         F.col("toxic").cast("int").alias("predicted"), F.array_join(blamed, ",").alias("offending"))
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the base, all spans."""

@@ -58,87 +58,118 @@ def _none(kind: str = "array<struct<start:int,end:int>>") -> Column:
     return F.array().cast(kind)
 
 
-def two_sided(z: Column) -> Column:
-    """Two-sided normal p-value of z."""
-    x = F.abs(z) / math.sqrt(2)
-    t = 1 / (1 + ERFC_P * x)
-    poly = F.lit(0.0)
-    for a in reversed(ERFC_A):
-        poly = (poly + a) * t
-    return poly * F.exp(-x * x)
+def with_fields(items: Column, **fields) -> Column:
+    """Adds computed fields to every struct of an array.
 
+    One pass per call, so that a later field reads an earlier one's value
+    rather than repeating its expression.
+    """
+    def add(c):
+        out = c
+        for name, f in fields.items():
+            out = out.withField(name, f(c))
+        return out
 
-def upper_tail(z: Column) -> Column:
-    return F.when(z >= 0, two_sided(z) / 2).otherwise(1 - two_sided(z) / 2)
+    return F.transform(items, add)
 
 
 def encoding_of(token: Column) -> Column:
+    """Number in ENCODINGS of the narrowest encoding that holds the token."""
     out = F.lit(len(ENCODINGS) - 1)
     for k in reversed(range(len(ENCODINGS) - 1)):
         out = F.when(token.rlike(ENCODINGS[k][1]), k).otherwise(out)
     return out
 
 
-def _battery(token: Column, n: Column, alphabet: str) -> Column:
-    """Least p-value of the three tests against uniform draws, times three."""
-    size = len(alphabet)
-    counts = F.transform(F.array(*map(F.lit, alphabet)), lambda c: F.char_length(token) - F.char_length(F.replace(token, c, F.lit(""))))
-    squares = F.aggregate(counts, F.lit(0).cast("double"), lambda s, c: s + c.cast("double") * c.cast("double"))
-    df = size - 1
-    chi = (size / n * squares - n - df) / F.sqrt(2 * df * (n - 1) / n)
-    half = size // 2
-    bits = F.translate(token, alphabet, "0" * half + "1" * (size - half))
-    without = F.char_length(F.replace(bits, F.lit("01"), F.lit(""))) + F.char_length(F.replace(bits, F.lit("10"), F.lit("")))
-    changes = F.char_length(bits) - without / 2
-    p_change = 2 * half * (size - half) / size**2
-    runs = (changes - (n - 1) * p_change) / F.sqrt((n - 1) * p_change * (1 - p_change))
-    mean, var = (size - 1) / 2, (size * size - 1) / 12
-    index = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(alphabet), c).cast("double") - 1 - mean)
-    products = F.zip_with(F.slice(index, F.lit(1), F.size(index) - 1), F.slice(index, F.lit(2), F.size(index) - 1), lambda a, b: a * b)
-    serial = F.aggregate(products, F.lit(0.0), lambda s, x: s + x) / ((n - 1) * var) * F.sqrt(n - 1)
-    return F.least(F.lit(1.0), 3 * F.least(upper_tail(chi), two_sided(runs), two_sided(serial)))
-
-
-def p_random(token: Column) -> Column:
-    """Chance that a uniform draw from the token's alphabet looks as odd."""
-    body = F.rtrim(token, F.lit("="))
-    body = F.when(body == "", token).otherwise(body)
-    n = F.char_length(body).cast("double")
-    out = _battery(body, n, ENCODINGS[-1][2])
-    kind = encoding_of(token)
-    for k in reversed(range(len(ENCODINGS) - 1)):
-        out = F.when(kind == k, _battery(body, n, ENCODINGS[k][2])).otherwise(out)
-    return out
+def _squares(c: Column) -> Column:
+    """Sum over the alphabet of the squared character counts."""
+    counts = F.transform(F.split(c["alphabet"], ""), lambda a: F.char_length(c["body"]) - F.char_length(F.replace(c["body"], a, F.lit(""))))
+    return F.aggregate(counts, F.lit(0.0), lambda s, k: s + k.cast("double") * k.cast("double"))
+
+
+def _changes(c: Column) -> Column:
+    """Neighbours of which one is in the alphabet's lower half, one in the upper."""
+    bits = F.transform(c["index"], lambda i: (i >= c["half"]).cast("int"))
+    pairs = F.zip_with(F.slice(bits, F.lit(1), F.size(bits) - 1), F.slice(bits, F.lit(2), F.size(bits) - 1), lambda a, b: F.abs(a - b))
+    return F.aggregate(pairs, F.lit(0), lambda s, x: s + x).cast("double")
+
 
+def _products(c: Column) -> Column:
+    """Sum of the products of neighbours' distances from the alphabet's middle."""
+    far = F.transform(c["index"], lambda i: i - (c["size"] - 1) / 2)
+    pairs = F.zip_with(F.slice(far, F.lit(1), F.size(far) - 1), F.slice(far, F.lit(2), F.size(far) - 1), lambda a, b: a * b)
+    return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x)
 
-def text_exponent(token: Column, text_change_rate: float) -> Column:
-    """-log10 of a bound on the chance that text changes character class as often.
+
+def _erfc(x: Column, t: Column) -> Column:
+    poly = F.lit(0.0)
+    for a in reversed(ERFC_A):
+        poly = (poly + a) * t
+    return poly * F.exp(-x * x)
+
+
+def battery(items: Column) -> Column:
+    """Adds p_uniform, p_runs and p_serial to structs with a ``token``.
+
+    Under a uniform draw from the token's alphabet: upper tail of the
+    chi-squared statistic of its character counts (normal, with the exact mean
+    and variance), two-sided tail of the number of changes between the lower
+    and the upper half of the alphabet, two-sided tail of the lag-1 serial
+    correlation of the characters' places in it.
+    """
+    alphabets = F.array(*[F.lit(e[2]) for e in ENCODINGS])
+    items = with_fields(items, kind=lambda c: encoding_of(c["token"]), bare=lambda c: F.rtrim(c["token"], F.lit("=")))
+    items = with_fields(items, alphabet=lambda c: F.element_at(alphabets, c["kind"] + 1),
+                        body=lambda c: F.when(c["bare"] == "", c["token"]).otherwise(c["bare"]))
+    items = with_fields(items, n=lambda c: F.char_length(c["body"]).cast("double"),
+                        size=lambda c: F.char_length(c["alphabet"]).cast("double"),
+                        half=lambda c: F.floor(F.char_length(c["alphabet"]) / 2).cast("double"),
+                        index=lambda c: F.transform(F.split(c["body"], ""), lambda ch: F.instr(c["alphabet"], ch).cast("double") - 1))
+    items = with_fields(items, squares=_squares, changes=_changes, products=_products,
+                        p_change=lambda c: 2 * c["half"] * (c["size"] - c["half"]) / (c["size"] * c["size"]))
+    many = lambda c, z: F.when(c["n"] > 1, z).otherwise(0.0)
+    items = with_fields(
+        items,
+        z_uniform=lambda c: many(c, (c["size"] / c["n"] * c["squares"] - c["n"] - (c["size"] - 1))
+                                 / F.sqrt(2 * (c["size"] - 1) * (c["n"] - 1) / c["n"])),
+        z_runs=lambda c: many(c, (c["changes"] - (c["n"] - 1) * c["p_change"])
+                              / F.sqrt((c["n"] - 1) * c["p_change"] * (1 - c["p_change"]))),
+        z_serial=lambda c: many(c, c["products"] * 12 / (c["size"] * c["size"] - 1) / F.sqrt(c["n"] - 1)))
+    names = ("uniform", "runs", "serial")
+    items = with_fields(items, **{f"x_{k}": (lambda c, k=k: F.abs(c[f"z_{k}"]) / math.sqrt(2)) for k in names})
+    items = with_fields(items, **{f"t_{k}": (lambda c, k=k: 1 / (1 + ERFC_P * c[f"x_{k}"])) for k in names})
+    items = with_fields(items, **{f"p_{k}": (lambda c, k=k: _erfc(c[f"x_{k}"], c[f"t_{k}"])) for k in names})
+    return with_fields(items, p_uniform=lambda c: F.when(c["z_uniform"] >= 0, c["p_uniform"] / 2).otherwise(1 - c["p_uniform"] / 2))
+
+
+def text_exponents(items: Column, text_change_rate: float) -> Column:
+    """Adds ``exponent``: -log10 of a bound on the chance that text changes
+    character class (digit, upper, lower, other) as often as the ``token``.
 
     Chernoff's bound on a binomial upper tail over the n - 1 neighbouring
     pairs, so short tokens cannot get a small value.
     """
-    classes = F.translate(token, DIGITS + UPPERS + LOWERS + "+/-_=", "d" * 10 + "u" * 26 + "l" * 26 + "s" * 5)
-    pairs = F.char_length(token).cast("double") - 1
-    same = F.lit(0).cast("double")
-    for c in "duls":
-        runs = F.regexp_count(classes, F.lit(c + "+"))
-        same = same + F.char_length(classes) - F.char_length(F.replace(classes, F.lit(c), F.lit(""))) - runs
-    rate = F.least((pairs - same) / pairs, F.lit(1.0))
     r0 = text_change_rate
-    stays = F.when(rate < 1, (1 - rate) * F.ln((1 - rate) / (1 - r0))).otherwise(0.0)
-    bits = F.when(rate > r0, rate * F.ln(rate / r0) + stays).otherwise(0.0)
-    return F.least(pairs * bits / math.log(10), F.lit(float(MAX_EXP)))
+    items = with_fields(items, pairs=lambda c: F.char_length(c["token"]).cast("double") - 1,
+                        classes=lambda c: F.translate(c["token"], DIGITS + UPPERS + LOWERS + "+/-_=", "d" * 10 + "u" * 26 + "l" * 26 + "s" * 5))
+    items = with_fields(items, blocks=lambda c: F.regexp_count(c["classes"], F.lit("d+|u+|l+|s+")))
+    items = with_fields(items, rate=lambda c: F.when(c["pairs"] > 0, (c["blocks"] - 1) / c["pairs"]).otherwise(0.0))
+    items = with_fields(items, bits=lambda c: F.when(
+        c["rate"] > r0, c["rate"] * F.ln(c["rate"] / r0)
+        + F.when(c["rate"] < 1, (1 - c["rate"]) * F.ln((1 - c["rate"]) / (1 - r0))).otherwise(0.0)).otherwise(0.0))
+    return with_fields(items, exponent=lambda c: F.least(c["pairs"] * c["bits"] / math.log(10), F.lit(float(MAX_EXP))))
 
 
 def candidates(text: Column, min_length: int, alpha: float, text_change_rate: float) -> Column:
-    """array<struct<start,end,exponent>> of the candidates that pass as random."""
+    """array<struct<start,end,exponent>>: every candidate, with exponent 0 where
+    a test (each at a third of ``alpha``) rejects it as random."""
     pattern = CANDIDATE % min_length
     spans = F.when(text.rlike(pattern), spans_of(text, pattern)).otherwise(_none())
-    token = lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"])
-    scored = F.transform(spans, lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"),
-        F.when(p_random(token(s)) >= alpha, text_exponent(token(s), text_change_rate)).otherwise(0.0).alias("exponent")))
-    return scored
+    items = with_fields(spans, token=lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"]))
+    items = text_exponents(battery(items), text_change_rate)
+    return F.transform(items, lambda c: F.struct(
+        c["start"].alias("start"), c["end"].alias("end"),
+        F.when(3 * F.least(c["p_uniform"], c["p_runs"], c["p_serial"]) >= alpha, c["exponent"]).otherwise(0.0).alias("exponent")))
 
 
 def discovery_limit(docs: DataFrame, found: str, rate: float) -> float:
