@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltchurn.llm import bpe, lines, packing, secret_scan, sql, tokens, toxicity, urls
+from voltchurn.llm import ann, bpe, fingerprints, jaccard, lines, packing, secret_scan, sql, tokens, toxicity, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint against its edited text's and the next document's."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprints.compare_edited(docs, fingerprints.corpus_ranks(docs))
+
+
+@query
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 @query
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by rules, then by its host's reputation.
@@ -57,6 +71,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("toxic").cast("int").alias("predicted"), F.array_join(blamed, ",").alias("offending"))
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked at a Jaccard similarity of 0.9 on 3-word shingles."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), num=90, den=100, words=3)
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the base, all spans."""

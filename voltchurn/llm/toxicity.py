@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltchurn.llm.components import saved
 from voltchurn.llm.vocab import BATCH_CHARS, LETTER, char_classes, span_hashes
 
 #: characters that end a sentence
@@ -98,47 +99,35 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
-def fit(words: list[np.ndarray], sentences: list[np.ndarray], n_sentences: list[int], toxic: list[int],
-        min_docs: int = 5, max_features: int = 4096, l1: float = 2e-4, rounds: int = 300, rate: float = 0.05) -> ToxicityModel:
+def base_model(n_docs: int, n_toxic: int, n_sentences: int) -> ToxicityModel:
+    """No words: a bias that gives the mean document the share of toxic ones."""
+    base = n_toxic / n_docs if n_docs else 0.0
+    per_doc = n_sentences / n_docs if n_docs else 1.0
+    needed = min(max(-float(np.log1p(-min(base, 1 - 1e-9))), 1e-12), 20.0) / max(per_doc, 1.0)
+    return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log(np.expm1(needed))))
+
+
+def fit(vocab: np.ndarray, features: list[np.ndarray], sentences: list[np.ndarray], n_sentences: list[int],
+        toxic: list[int], l1: float = 2e-4, rounds: int = 300, rate: float = 0.05) -> ToxicityModel:
     """Fits feature weights to document labels by full-batch proximal Adam steps.
 
-    ``words[i]`` and ``sentences[i]`` are the feature hashes of document i and
-    the number of the sentence each is in.  Of the features in ``min_docs``
-    documents or more, the ``max_features`` whose documents' labels differ most
-    from the base rate (score statistic) are fitted; l1 sets the rest of them
-    to zero that do not earn their weight.  With labels of one kind only, or
-    none, the model is a constant: the share of toxic documents (0 without
-    labels).
+    ``features[i]`` and ``sentences[i]`` are places in ``vocab`` (ascending
+    hashes) found in document i, and the number of the sentence each is in.
+    ``l1`` sets weights to zero that do not earn their cost.  With labels of
+    one kind only, or none, the model is ``base_model``.
     """
     y = np.array(toxic, dtype=np.float64)
-    base = float(y.mean()) if len(y) else 0.0
     n_sent = np.array(n_sentences, dtype=np.int64)
-    per_doc = float(n_sent.mean()) if len(y) else 1.0
-    bias = float(np.log(np.expm1(min(max(-np.log1p(-min(base, 1 - 1e-9)), 1e-12), 20) / per_doc)))
-    empty = ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), bias)
-    if base in (0.0, 1.0):
-        return empty
-    per = [np.unique(w) for w in words]
-    seen, inverse = np.unique(np.concatenate(per), return_inverse=True)
-    n_docs = np.bincount(inverse, minlength=len(seen))
-    lift = np.bincount(inverse, weights=np.repeat(y - base, [len(p) for p in per]), minlength=len(seen))
-    statistic = np.where(n_docs >= min_docs, np.abs(lift) / np.sqrt(n_docs * base * (1 - base)), -1.0)
-    best = np.argsort(-statistic, kind="stable")[:max_features]
-    vocab = seen[np.sort(best[statistic[best] >= 0])]
-    if not len(vocab):
-        return empty
+    start = base_model(len(y), int(y.sum()), int(n_sent.sum()))
+    if not len(vocab) or not 0 < y.sum() < len(y):
+        return start
     first = np.cumsum(n_sent) - n_sent
-    flat = np.concatenate(words)
-    sent = np.concatenate([s + f for s, f in zip(sentences, first)])
-    at = np.minimum(np.searchsorted(vocab, flat), len(vocab) - 1)
-    known = vocab[at] == flat
-    feature, sent = at[known], sent[known]
-    # a word counts once in a sentence
-    pair = np.unique(sent * len(vocab) + feature)
+    # a feature counts once in a sentence
+    pair = np.unique(np.concatenate([(s + f) * len(vocab) + w for w, s, f in zip(features, sentences, first)]))
     sent, feature = pair // len(vocab), pair % len(vocab)
     doc_of = np.repeat(np.arange(len(y)), n_sent)
     total = int(n_sent.sum())
-    w, b = np.zeros(len(vocab)), bias
+    w, b = np.zeros(len(vocab)), start.bias
     m, v, mb, vb = np.zeros(len(vocab)), np.zeros(len(vocab)), 0.0, 0.0
     for t in range(1, rounds + 1):
         z = b + np.bincount(sent, weights=w[feature], minlength=total)
@@ -157,13 +146,44 @@ def fit(words: list[np.ndarray], sentences: list[np.ndarray], n_sentences: list[
     return ToxicityModel(vocab[w != 0], w[w != 0], b)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, **options) -> ToxicityModel:
+def _batch_texts(batch: pa.RecordBatch) -> list[str]:
+    return ["" if t is None else t for t in batch.column("text").to_pylist()]
+
+
+def choose_features(sample: DataFrame, base: float, min_docs: int, max_features: int) -> np.ndarray:
+    """Ascending hashes of the features worth fitting.
+
+    Of those in ``min_docs`` documents or more, the ``max_features`` whose
+    documents' labels differ most from the base rate (score statistic), counted
+    over the whole sample.
+    """
+    def count(batches):
+        for batch in batches:
+            toxic = batch.column("toxic").to_numpy().astype(np.int64)
+            per = [np.unique(split_words([t])[0]) for t in _batch_texts(batch)]
+            if not per:
+                continue
+            h, inverse = np.unique(np.concatenate(per), return_inverse=True)
+            bad = np.bincount(inverse, weights=np.repeat(toxic, [len(p) for p in per]), minlength=len(h))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h.view(np.int64), pa.int64()), pa.array(np.bincount(inverse, minlength=len(h)), pa.int64()),
+                 pa.array(bad.astype(np.int64), pa.int64())], ["h", "n", "bad"])
+
+    found = sample.select("text", "toxic").mapInArrow(count, "h long, n long, bad long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    statistic = F.abs(F.col("bad") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base))
+    best = found.where(F.col("n") >= min_docs).orderBy(statistic.desc(), "h").limit(max_features).select("h").toPandas()
+    return np.sort(best["h"].to_numpy(dtype=np.int64).view(np.uint64))
+
+
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, min_docs: int = 5, max_features: int = 4096,
+          **options) -> ToxicityModel:
     """A model from at most ``max_rows`` labelled, not held-out documents.
 
     ``labels``: doc_id and toxic (0/1); rows with nulls are left out, repeated
     ids count as toxic if any row says so.  The sample is the first
-    ``max_rows`` ids by hash; their words come to the driver as hashes, which
-    ``max_rows`` bounds.  Of repeated documents one text is taken.
+    ``max_rows`` ids by hash; of repeated documents one text is taken.  What
+    reaches the driver is bounded by ``max_rows`` and ``max_features``: the
+    sample's ids, the chosen features, and where in the sample they occur.
     """
     ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
@@ -172,25 +192,29 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, **options)
     picked = docs.sparkSession.createDataFrame(ids.toPandas(), "doc_id long, toxic int")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .join(F.broadcast(picked), "doc_id")
+    sample = saved(rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")), "toxicity-sample")
+    totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("bad")).first()
+    if not 0 < totals["bad"] < totals["n"]:
+        return base_model(totals["n"], totals["bad"], totals["n"])
+    vocab = choose_features(sample, totals["bad"] / totals["n"], min_docs, max_features)
 
-    def words_of(batches):
+    def places(batches):
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
-            words, sents, counts = [], [], []
-            for t in texts:
+            features, sents, counts = [], [], []
+            for t in _batch_texts(batch):
                 h, s, first, _, _ = split_words([t])
-                words.append(h.tobytes())
-                sents.append(s.astype(np.int32).tobytes())
+                at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1) if len(vocab) else np.zeros(0, np.int64)
+                known = vocab[at] == h if len(vocab) else np.zeros(0, bool)
+                features.append(at[known].astype(np.int32).tobytes())
+                sents.append(s[: len(known)][known].astype(np.int32).tobytes())
                 counts.append(int(first[1]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array(words, pa.binary()), pa.array(sents, pa.binary()),
-                 pa.array(counts, pa.int32())], ["doc_id", "toxic", "words", "sentences", "n"])
-
-    found = rows.mapInArrow(words_of, "doc_id long, toxic int, words binary, sentences binary, n int") \
-        .dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
-    return fit([np.frombuffer(b, np.uint64) for b in found.column("words").to_pylist()],
-               [np.frombuffer(b, np.int32).astype(np.int64) for b in found.column("sentences").to_pylist()],
-               found.column("n").to_pylist(), found.column("toxic").to_pylist(), **options)
+                [batch.column("doc_id"), batch.column("toxic"), pa.array(features, pa.binary()), pa.array(sents, pa.binary()),
+                 pa.array(counts, pa.int32())], ["doc_id", "toxic", "features", "sentences", "n"])
+
+    found = sample.mapInArrow(places, "doc_id long, toxic int, features binary, sentences binary, n int").orderBy("doc_id").toArrow()
+    whole = lambda name: [np.frombuffer(x, np.int32).astype(np.int64) for x in found.column(name).to_pylist()]
+    return fit(vocab, whole("features"), whole("sentences"), found.column("n").to_pylist(), found.column("toxic").to_pylist(), **options)
 
 
 def score_texts(model: ToxicityModel, texts: list[str], limit: float):
