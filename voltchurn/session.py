@@ -60,3 +60,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def put_on_worker_path(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it.
+
+    Needed where the driver's process was not started in the repository; on a
+    cluster whose machines do not share that folder, ship the package with
+    ``--py-files`` instead.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
