@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 every stage's result as Parquet under ``spark.checkpoint.dir`` and rereads it
-for the next one.
+for the next one.  All stages but the last return the columns of documents.
 """
 
 from __future__ import annotations
@@ -11,21 +11,57 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voltchurn.llm import packing
+from voltchurn.llm import jaccard, lines, packing, secret_scan, toxicity
 from voltchurn.llm.queries import table, vocab_path
-from voltchurn.session import scratch_path
+from voltchurn.session import put_on_worker_path, scratch_path
 
 #: no SQL form (the stages train a model and pack online): tested against brute force
 ORACLE_SQL = None
 
 
+def _with_length(docs: DataFrame) -> DataFrame:
+    """n_chars made to agree with the text."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity (5): trained on ``labels``; documents scored 0.3 or more go."""
+    put_on_worker_path(spark)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model, limit=0.3).where(~F.col("toxic")).select(*docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Line dedup (4): lines that an earlier document holds are cut out."""
+    return _with_length(lines.dedup_lines(docs, min_chars=10).select(*docs.columns))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join (6): one document of each group of near copies stays
+    (5-word shingles, similarity 0.8 or more)."""
+    put_on_worker_path(spark)
+    return jaccard.keep_one_of_each(docs, num=80, den=100, words=5)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans (7): every span found is replaced by ``[SECRET]``."""
+    found = secret_scan.scan_secrets(docs)
+    return _with_length(found.withColumn("text", secret_scan.redact(F.col("text"), F.col("secret_spans"))).select(*docs.columns))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing (9): the pieces of all documents in windows of 2048 tokens."""
+    put_on_worker_path(spark)
     return packing.pack_documents(docs, vocab_path(), window=2048, end_id=1)
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_lines),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("secret scans", redact_secrets),
     ("packing", pack),
 ]
 

@@ -9,12 +9,14 @@ threshold are boundary documents of the pivot's region and stay together with
 it, the others cannot link into it.  What remains forms regions again, under a
 new hash, with more pivots.
 
-Regions come from block signatures.  Similar sets differ in few elements, so
-of one block more than that many, cut by hash, at least one is the same in both
-(sizes are cut into classes first, as similar sets have similar sizes).
-Shingles that very many documents share are left out of the blocks (this can
-only lessen the differences); documents with too many empty blocks then use
-blocks over their whole set.
+Regions come from keys that linked sets must share.  Block keys: similar sets
+differ in few elements, so of one block more than that many, cut by hash, at
+least one is the same in both (sizes are cut into classes first, as similar
+sets have similar sizes).  Prefix keys: in any one order of all shingles, the
+first elements of similar sets meet.  Block keys are the more selective, prefix
+keys are fewer where the threshold is low.  Both leave shingles that very many
+documents share to the end; large regions are formed anew by prefix keys in
+the exact order of the shingles' frequency among the documents left.
 """
 
 from __future__ import annotations
@@ -27,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltchurn.llm.components import components, empty_edges, saved
+from voltchurn.llm.components import components, saved
 from voltchurn.llm.lines import LAST_ID
 from voltchurn.llm.vocab import span_hashes
 
 BATCH_BYTES = 1 << 20
 SPARE_BLOCKS = 2              # blocks that may be empty in both of a pair
+SCHEMES = ("blocks", "prefix")
 LOCAL_DOCS = 256              # regions up to this size are joined in one task
 FIRST_PIVOTS = 8              # per large region; doubles with every level
 FREQUENT_SHARE = 0.002        # of a batch's documents, 4 at least, to be counted as frequent
@@ -57,6 +60,10 @@ class Threshold:
         """More blocks than two linked sets of this size at most can differ in."""
         return 2 * largest * (self.den - self.num) // (self.den + self.num) + 1
 
+    def prefix(self, sizes):
+        """Elements that must be keys of a set of this size, in a common order."""
+        return sizes - (self.num * sizes + self.den - 1) // self.den + 1
+
     def largest_partner(self, size: int) -> int:
         return size * self.den // self.num
 
@@ -139,7 +146,7 @@ def _class_limits(upto: int) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
-def block_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: Threshold, salt: int) -> list[np.ndarray]:
+def block_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: Threshold) -> list[np.ndarray]:
     """Signature keys of every set; linked sets that differ share one at least.
 
     A set takes part in the scheme of its size class, and in the next ones that
@@ -154,9 +161,9 @@ def block_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: T
     limits = _class_limits(1 << int(t.largest_partner(int(sizes.max()))).bit_length())
     own = np.searchsorted(limits, np.maximum(sizes, 1), side="right") - 1
     upper = np.searchsorted(limits, np.maximum(t.largest_partner(sizes), 1), side="right") - 1
-    place = _mix(hashes, 1000 + salt) >> np.uint64(32)
-    low = (_mix(hashes, 2000 + salt) & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    high = (_mix(hashes, 3000 + salt) & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    place = _mix(hashes, 1000) >> np.uint64(32)
+    low = (_mix(hashes, 2000) & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    high = (_mix(hashes, 3000) & np.uint64(0xFFFFFFFF)).astype(np.float64)
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
         rare = frequent[at] != hashes
@@ -205,18 +212,31 @@ def block_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: T
     return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in keys]
 
 
+def prefix_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: Threshold) -> list[np.ndarray]:
+    """The first elements of every set, ``frequent`` ones last, else by hash."""
+    if not len(hashes):
+        return [np.zeros(0, np.int64) for _ in sizes]
+    late = np.zeros(len(hashes), dtype=bool)
+    if len(frequent):
+        late = frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] == hashes
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((hashes, late, owner))
+    place = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    need = t.prefix(sizes)
+    picked = hashes[order][place < np.repeat(need, sizes)].view(np.int64)
+    ends = np.cumsum(np.where(sizes > 0, need, 0))
+    return [picked[e - n:e] if m else picked[:0] for e, n, m in zip(ends.tolist(), need.tolist(), sizes.tolist())]
+
+
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [(t or "").encode("utf-8", "replace") for t in batch.column("text").to_pylist()]
 
 
-def _set_ids(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit digests of every set."""
-    out = []
+def _set_ids(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit digest of every set."""
     ends = np.cumsum(sizes)
-    for salt in (5, 6):
-        acc = np.concatenate([[np.uint64(0)], np.cumsum(_mix(hashes, salt), dtype=np.uint64)])
-        out.append(_mix(acc[ends] - acc[ends - sizes] + sizes.astype(np.uint64), salt + 2).view(np.int64))
-    return out[0], out[1]
+    acc = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(hashes, 5), dtype=np.uint64)])
+    return _mix(acc[ends] - acc[ends - sizes] + sizes.astype(np.uint64), 6).view(np.int64)
 
 
 def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
@@ -239,28 +259,52 @@ def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
     return np.sort(rows["h"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
-def _signed(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int, salt: int) -> DataFrame:
-    """(id, n, s1, s2, keys) of every document (id, text)."""
+def _signed(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int, scheme: str) -> DataFrame:
+    """(id, text_hash, n, s1, keys) of every document (id, text): size of its
+    set, digest of its set, and its keys.  Of equal sets in a partition one has
+    the keys."""
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
             hashes, sizes = shingle_sets(_texts(batch), words)
-            s1, s2 = _set_ids(hashes, sizes)
-            keys = block_keys(hashes, sizes, frequent, t, salt)
+            s1 = _set_ids(hashes, sizes)
+            keys = prefix_keys(hashes, sizes, frequent, t) if scheme == "prefix" else block_keys(hashes, sizes, frequent, t)
+            for i, s in enumerate(s1.tolist()):
+                if s in seen:
+                    keys[i] = keys[i][:0]
+                seen.add(s)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["id", "n", "s1", "s2", "keys"])
+                [batch.column("id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(s1, pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64()))], ["id", "text_hash", "n", "s1", "keys"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, s1 long, s2 long, keys array<long>")
+    return docs.select("id", "text", F.xxhash64("text").alias("text_hash")) \
+        .mapInArrow(run, "id long, text_hash long, n long, s1 long, keys array<long>")
 
 
-def _regions(signed: DataFrame, name: str) -> DataFrame:
-    """(id, region, members) of the sets that share a key with another one."""
-    postings = signed.select("id", F.explode("keys").alias("key"))
-    heads = postings.withColumn("head", F.min("id").over(Window.partitionBy("key")))
-    edges = heads.where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b"))
+def _regions(postings: DataFrame, name: str) -> DataFrame:
+    """(node, region, members) of the nodes that share a key with another one."""
+    heads = postings.withColumn("head", F.min("node").over(Window.partitionBy("key")))
+    edges = heads.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     labels = components(edges, name)
     sizes = labels.groupBy("label").agg(F.count("*").alias("members"))
-    return labels.join(sizes, "label").select(F.col("node").alias("id"), F.col("label").alias("region"), "members")
+    return labels.join(sizes, "label").select("node", F.col("label").alias("region"), "members")
+
+
+def _regions_by_frequency(open_docs: DataFrame, t: Threshold, words: int) -> DataFrame:
+    """Regions of open documents by prefix keys, rarest shingle among them first."""
+    def run(batches):
+        for batch in batches:
+            hashes, sizes = shingle_sets(_texts(batch), words)
+            ids = np.repeat(batch.column("id").to_numpy(), sizes)
+            need = np.repeat(t.prefix(sizes), sizes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(need, pa.int64()), pa.array(hashes.view(np.int64), pa.int64())], ["node", "need", "key"])
+
+    found = saved(open_docs.select("id", "text").dropDuplicates(["id"]).mapInArrow(run, "node long, need long, key long"), "jaccard-shingles")
+    frequency = found.groupBy("key").agg(F.count("*").alias("df"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("df", "key"))
+    postings = found.join(frequency, "key").withColumn("place", place).where(F.col("place") <= F.col("need"))
+    return saved(_regions(postings.where("df > 1").select("node", "key"), "jaccard-regions"), "jaccard-regions")
 
 
 class _Sets:
@@ -310,7 +354,7 @@ def local_links(texts: list[bytes], t: Threshold, words: int) -> list[tuple[int,
 
 
 def _local_join(members: DataFrame, t: Threshold, words: int) -> DataFrame:
-    """Links (a, b) inside small regions; (region, id, text, s1, s2) by region."""
+    """Links (a, b) inside small regions; a task holds one region at a time."""
     def links_of(rows: dict) -> list[tuple[int, int]]:
         ids = list(rows)
         return [(ids[a], ids[b]) for a, b in local_links([rows[i] for i in ids], t, words)]
@@ -381,47 +425,42 @@ def _measure(members: DataFrame, pivots: DataFrame, t: Threshold, words: int) ->
         .mapInArrow(run, "id long, pivot long, linked boolean")
 
 
-def jaccard_links(docs: DataFrame, t: Threshold, words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def jaccard_links(docs: DataFrame, t: Threshold, words: int, scheme: str = "blocks") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sets, representatives, links) of documents (id, text).
 
-    sets: id, n, s1, s2 of every document; representatives: s1, s2 and the
-    smallest id (rep) of every distinct set; links: pairs (a, b) of
-    representatives at the threshold or above, enough of them to connect what
-    all such links connect.
+    sets: id, text_hash, n and s1 of every document; representatives: s1 and the smallest
+    id (rep) of every distinct set; links: pairs (a, b) of representatives at
+    the threshold or above, enough of them to connect what all such links
+    connect.
     """
-    spark = docs.sparkSession
-    frequent = frequent_shingles(docs, words)
-    sets = saved(_signed(docs, frequent, t, words, 0), "jaccard-sets")
-    reps = saved(sets.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")), "jaccard-reps")
-    regions = saved(_regions(reps.select(F.col("rep").alias("id"), "keys"), "jaccard-regions"), "jaccard-regions")
-    # the regions' texts: the row of a representative's id that has its set
-    chosen = regions.join(reps.select(F.col("rep").alias("id"), "s1", "s2"), "id")
-    members = docs.join(chosen, "id").select("region", "members", "id", "text", "s1", "s2")
-    members = saved(_one_text_each(members, words), "jaccard-members")
+    if scheme not in SCHEMES:
+        raise ValueError(f"scheme must be one of {SCHEMES}")
+    sets = saved(_signed(docs, frequent_shingles(docs, words), t, words, scheme), "jaccard-sets")
+    reps = sets.where("n > 0").groupBy("s1").agg(F.min("id").alias("rep"))
+    regions = _regions(sets.select(F.col("s1").alias("node"), F.explode("keys").alias("key")), "jaccard-regions")
+    chosen = regions.join(reps, F.col("node") == F.col("s1")).select("region", "members", F.col("rep").alias("id"), "s1")
+    members = saved(_one_text_each(docs.join(chosen, "id"), words), "jaccard-members")
     links = saved(_local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words), "jaccard-links")
     open_docs = members.where(F.col("members") > LOCAL_DOCS)
     level = 0
     while open_docs.limit(1).count():
-        found, open_docs = _pivot_level(open_docs, links, FIRST_PIVOTS << level, t, words)
-        links = saved(links.unionByName(found), "jaccard-links")
-        level += 1
-        signed = _signed(open_docs, np.zeros(0, np.uint64), t, words, level)
-        regions = saved(_regions(signed, "jaccard-regions"), "jaccard-regions")
-        members = saved(open_docs.drop("region", "members").join(regions, "id"), "jaccard-members")
+        regions = _regions_by_frequency(open_docs, t, words).withColumnRenamed("node", "id")
+        members = saved(open_docs.drop("region", "members").join(regions, "id").select("region", "members", "id", "text"), "jaccard-members")
         small = _local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words)
         links = saved(links.unionByName(small), "jaccard-links")
-        open_docs = members.where(F.col("members") > LOCAL_DOCS)
-    return sets, reps.select("s1", "s2", "rep"), links
+        found, open_docs = _pivot_level(members.where(F.col("members") > LOCAL_DOCS), links, FIRST_PIVOTS << level, t, words)
+        links = saved(links.unionByName(found), "jaccard-links")
+        level += 1
+    return sets.select("id", "text_hash", "n", "s1"), reps, links
 
 
 def _one_text_each(members: DataFrame, words: int) -> DataFrame:
-    """Rows whose text has the set (s1, s2) looked for; repeated ids may not."""
+    """Rows whose text has the set s1 looked for; repeated ids may not."""
     names = ["region", "members", "id", "text"]
 
     def run(batches):
         for batch in batches:
-            s1, s2 = _set_ids(*shingle_sets(_texts(batch), words))
-            same = (s1 == batch.column("s1").to_numpy()) & (s2 == batch.column("s2").to_numpy())
+            same = _set_ids(*shingle_sets(_texts(batch), words)) == batch.column("s1").to_numpy()
             yield batch.select(names).filter(pa.array(same))
 
     return members.mapInArrow(run, "region long, members long, id long, text string")
@@ -454,7 +493,17 @@ def _pivot_level(members: DataFrame, links: DataFrame, pivots: int, t: Threshold
     return found, saved(left.join(apart, "region", "left_semi"), "jaccard-open")
 
 
-def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, words: int = 3,
+def _grouped(docs: DataFrame, num: int, den: int, words: int, scheme: str, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_hash, n, component) of every row of ``docs``."""
+    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    sets, reps, links = jaccard_links(src, Threshold(num, den), words, scheme)
+    labels = components(links, "jaccard-final")
+    named = reps.join(labels, F.col("rep") == F.col("node"), "left").select("s1", F.coalesce("label", "rep").alias("component"))
+    return sets.join(named, "s1", "left") \
+        .select("id", "text_hash", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+
+
+def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, words: int = 3, scheme: str = "blocks",
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``.
 
@@ -464,17 +513,28 @@ def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, words: in
     words (null, empty, white space) link with nothing.  Rows that repeat an id
     are documents of their own; a null id comes after all others and shows as
     null.  Equal sets are one representative throughout, so copies are never
-    paired with each other.
+    paired with each other.  ``scheme`` names the keys of the first regions; it
+    bears on cost alone.
     """
-    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    t = Threshold(num, den)
-    sets, reps, links = jaccard_links(src, t, words)
-    labels = components(links, "jaccard-final")
-    named = reps.join(labels, F.col("rep") == F.col("node"), "left").select("s1", "s2", F.coalesce("label", "rep").alias("component"))
-    out = sets.select("id", "n", "s1", "s2").join(named, ["s1", "s2"], "left")
+    out = _grouped(docs, num, den, words, scheme, id_col, text_col)
     shown = lambda c: F.when(c != LAST_ID, c)
-    return out.select(shown(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"),
-                      shown(F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))).alias("component_id"))
+    return out.select(shown(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), shown(F.col("component")).alias("component_id"))
+
 
+def keep_one_of_each(docs: DataFrame, num: int = 80, den: int = 100, words: int = 5, scheme: str = "prefix",
+                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of every group of linked documents: that of the
+    smallest id (of rows that share it, the one of the least text hash).
 
-__all__ = ["Threshold", "jaccard_components", "jaccard_links", "local_links", "shingle_sets", "block_keys", "empty_edges"]
+    Groups are those of ``jaccard_components``.  Texts without words all stay,
+    but for rows that repeat id and text.  All columns stay as they are.
+    """
+    has_words = F.col("n") > 0
+    apart = F.when(has_words, F.lit(0)).otherwise(F.col("text_hash"))     # texts without words group by id and text
+    chosen = _grouped(docs, num, den, words, scheme, id_col, text_col) \
+        .groupBy(has_words.alias("has_words"), "component", apart.alias("apart")).agg(F.min(F.struct("id", "text_hash")).alias("first")) \
+        .select(F.col("first.id").alias("id"), F.col("first.text_hash").alias("text_hash"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
+                       F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"))
+    return rows.join(chosen, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"]).select("row.*")
