@@ -496,7 +496,7 @@ _KS_SQL = f"""WITH
   ser AS (SELECT feature, 2.0 * sum(power(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam)) AS s
           FROM r, range(1, 101) t(k) GROUP BY feature),
   res AS (SELECT r.feature, ks_statistic, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur,
-                 CASE WHEN lam < 1e-3 THEN 1.0 ELSE least(greatest(s, 0.0), 1.0) END AS p_value
+                 CASE WHEN lam < 0.2 THEN 1.0 ELSE least(greatest(s, 0.0), 1.0) END AS p_value
           FROM r JOIN ser USING (feature))"""
 
 
@@ -732,15 +732,22 @@ def q_top_actions(spark, sf):
     return RC.top_actions(_reco(spark, sf), 2)
 
 
-@register("model_split_counts", V.with_(V.CHURN) + """,
-  n AS (SELECT churn, count(*) AS n FROM churn GROUP BY churn)
-  SELECT churn, true AS is_test, CAST(round(n * 0.2) AS BIGINT) AS rows FROM n
-  UNION ALL SELECT churn, false AS is_test, CAST(n - round(n * 0.2) AS BIGINT) AS rows FROM n""")
+_HASHED = V.with_(V.CHURN) + """,
+  h AS (SELECT customer_id, churn, CAST('0x' || substr(md5(customer_id || ':42'), 1, 15) AS BIGINT) AS h FROM churn),
+  p AS (SELECT customer_id, churn, row_number() OVER (PARTITION BY churn ORDER BY h) AS pos,
+               count(*) OVER (PARTITION BY churn) AS n FROM h)"""
+
+
+@register("model_split", _HASHED + " SELECT customer_id, churn, pos <= round(n * 0.2) AS is_test FROM p")
 def q_split(spark, sf):
-    """M2: exact stratified 80/20 split by key hash; rows per class and side."""
-    lab = si.churn_labels(spark, sf)
-    return M.stratified_split(lab, "churn", 0.20, 42).groupBy("churn", "is_test").agg(
-        F.count(F.lit(1)).alias("rows"))
+    """M2: exact stratified 80/20 split by key hash, every customer's side."""
+    return M.stratified_split(si.churn_labels(spark, sf), "churn", 0.20, 42).select("customer_id", "churn", "is_test")
+
+
+@register("model_folds", _HASHED + " SELECT customer_id, churn, CAST((pos - 1) % 5 AS INTEGER) AS fold FROM p")
+def q_folds(spark, sf):
+    """Five stratified folds by key hash, every customer's fold."""
+    return M.stratified_folds(si.churn_labels(spark, sf), "churn", 5, 42).select("customer_id", "churn", "fold")
 
 
 # ------------------------------------------------------------------ text ----

@@ -88,15 +88,43 @@ def test_prefix_sums_match_window(spark):
     assert got[(0, 999)] == 334 and got[(1, 1)] == 1 and got[(2, 998)] == 333
 
 
-def test_kolmogorov_series():
-    from pyspark.sql import SparkSession
-
-    s = SparkSession.getActiveSession()
-    r = s.createDataFrame([(0.3, 100.0, 100.0)], "d double, n double, m double").select(
+def test_kolmogorov_series(spark):
+    # published values of the Kolmogorov distribution's upper tail, and its limits
+    known = {0.0: 1.0, 1e-6: 1.0, 1e-3: 1.0, 0.04: 1.0, 0.3: 0.99999069, 0.5: 0.96394524, 0.8276: 0.4999, 1.0: 0.26999967,
+             1.2239: 0.09999, 1.3581: 0.04999, 1.6276: 0.01, 2.0: 0.00067093, 5.0: 3.857e-22}
+    rows = [(lam / math.sqrt(5e5), 1e6, 1e6, p) for lam, p in known.items()]
+    out = spark.createDataFrame(rows, "d double, n double, m double, want double").select(
+        S.kolmogorov_sf(F.col("d"), F.col("n"), F.col("m")).alias("p"), "want").collect()
+    assert all(abs(r.p - r.want) < 2e-4 for r in out)
+    exact = [r for r in out if r.want in (0.99999069, 0.96394524, 0.26999967, 0.00067093)]
+    assert all(abs(r.p - r.want) < 1e-8 for r in exact)
+
+
+def test_close_large_samples_do_not_drift(spark):
+    r = spark.createDataFrame([(3e-6, 1e6, 1e6)], "d double, n double, m double").select(
         S.kolmogorov_sf(F.col("d"), F.col("n"), F.col("m")).alias("p")).first()
-    lam = math.sqrt(50) * 0.3
-    want = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 101))
-    assert abs(r.p - want) < 1e-12
+    assert r.p == 1.0
+
+
+def test_prefix_sums_beyond_the_range_sample(spark):
+    # a spare column, many rows, several bucket numbers: places are exact and do not change
+    from voltchurn.plans import model as M
+
+    df = spark.range(300_000).select(F.concat(F.lit("c"), F.col("id")).alias("customer_id"),
+                                     (F.col("id") % 10 == 0).cast("int").alias("churn"), F.rand(1).alias("spare"))
+    ranked = df.select("churn", F.xxhash64("customer_id").alias("o"), F.lit(1).alias("x"), "spare")
+    for buckets in (4, 32):
+        got = S.prefix_sums(ranked, ["churn"], "o", ["x"], buckets=buckets).groupBy("churn").agg(
+            F.count_distinct("x_cum").alias("places"), F.max("x_cum").alias("last")).collect()
+        assert {r.churn: (r.places, r.last) for r in got} == {0: (270_000, 270_000), 1: (30_000, 30_000)}
+    split = M.stratified_split(df, "churn", 0.2, 42)
+    test, train = (split.filter(c).select("customer_id") for c in ("is_test", "not is_test"))
+    assert (test.count(), train.count()) == (60_000, 240_000)
+    assert test.join(train, "customer_id").isEmpty()
+    folds = M.stratified_folds(df, "churn", 5, 42).select("customer_id", "fold")
+    again = M.stratified_folds(df.repartition(7), "churn", 5, 42).select("customer_id", "fold")
+    assert folds.exceptAll(again).isEmpty()
+    assert {r["count"] for r in folds.groupBy("fold").count().collect()} == {60_000}
 
 
 def test_prefix_sums_with_one_hot_group(spark):

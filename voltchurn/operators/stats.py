@@ -228,29 +228,50 @@ def with_quantile_bins(df: DataFrame, value: str, q: int = 5, out: str = "bin",
 
 # ------------------------------------------------------------ prefix sums ----
 
+def order_bucket(df: DataFrame, order: str, buckets: int) -> Column:
+    """Range bucket (0 .. buckets-1) of a numeric column, as a function of the row.
+
+    Equal widths between the column's least and greatest value on a log-like
+    monotone scale (heavy tails spread out).  Least and greatest come from one
+    scalar subquery and do not depend on how rows are partitioned, so every
+    evaluation puts a row in the same bucket.
+    """
+    def scaled(c):
+        d = c.cast("double")
+        return F.signum(d) * F.log1p(F.abs(d))
+
+    ends = df.agg(F.struct(scaled(F.min(order)).alias("lo"), scaled(F.max(order)).alias("hi")).alias("_e")).scalar()
+    lo, hi = ends.getField("lo"), ends.getField("hi")
+    at = F.when(hi > lo, F.floor((scaled(F.col(order)) - lo) / (hi - lo) * buckets)).otherwise(F.lit(0))
+    return F.least(F.greatest(at, F.lit(0)), F.lit(buckets - 1)).cast("int")
+
+
 def prefix_sums(df: DataFrame, partition: Sequence[str], order: str, sums: Sequence[str],
                 descending: bool = False, buckets: int | None = None, suffix: str = "_cum") -> DataFrame:
     """Inclusive running sums of ``sums`` within ``partition`` in ``order``.
 
-    Two passes, no single-task window: (1) range-partition by
-    (partition, order) and tag rows with their range bucket; (2) per-bucket
-    totals -> exclusive bucket offsets by a window over the small
-    (partition, bucket) table -> broadcast back -> window within each bucket.
-    ``order`` values must be unique within a partition (aggregate first).
+    Rows get a range bucket that depends on the row alone (``order_bucket``);
+    per-bucket totals (combined map-side) give exclusive bucket offsets by a
+    window over the small (partition, bucket) table; rows join their offset on
+    (partition, bucket) and run a window inside the bucket, on the same
+    shuffle.  ``order`` is numeric, not NULL and unique within a partition
+    (aggregate first).
     """
     part = list(partition)
-    n = buckets or df.sparkSession.sparkContext.defaultParallelism
+    n = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     o = F.col(order).desc() if descending else F.col(order).asc()
-    ranged = df.repartitionByRange(n, *[F.col(p) for p in part], o).withColumn(
-        "_bk", F.spark_partition_id())
-    tot = ranged.groupBy(*part, "_bk").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    wb = Window.partitionBy(*part).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(*part, "_bk", *[F.coalesce(F.sum(f"_t_{s}").over(wb), F.lit(0)).alias(f"_o_{s}")
-                                       for s in sums])
-    j = ranged.join(F.broadcast(offs) if n <= 100000 else offs, [*part, "_bk"])
+    step = F.col("_bk").desc() if descending else F.col("_bk").asc()
+    rows = df.withColumn("_bk", order_bucket(df, order, n))
+    tot = rows.groupBy(*part, "_bk").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    wb = Window.partitionBy(*part).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(*[F.col(p).alias(f"_p_{p}") for p in part], F.col("_bk").alias("_pbk"),
+                      *[F.coalesce(F.sum(f"_t_{s}").over(wb), F.lit(0)).alias(f"_o_{s}") for s in sums])
+    same = rows["_bk"] == offs["_pbk"]
+    for p in part:
+        same = same & rows[p].eqNullSafe(offs[f"_p_{p}"])
     w = Window.partitionBy(*part, "_bk").orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
-    return j.select(*[c for c in df.columns], *[(F.col(f"_o_{s}") + F.sum(s).over(w)).alias(f"{s}{suffix}")
-                                              for s in sums])
+    return rows.join(offs, same).select(
+        *[rows[c] for c in df.columns], *[(F.col(f"_o_{s}") + F.sum(s).over(w)).alias(f"{s}{suffix}") for s in sums])
 
 
 # ------------------------------------------------------ drift (two-sample KS) --
@@ -278,7 +299,7 @@ def ks_from_long(reference: DataFrame, current: DataFrame) -> DataFrame:
         F.count_if(F.col("side") == 0).cast("double").alias("c0"),
         F.count_if(F.col("side") == 1).cast("double").alias("c1"))
     sizes = cnt.groupBy("feature").agg(F.sum("c0").alias("n_ref"), F.sum("c1").alias("n_cur"))
-    cum = prefix_sums(cnt, ["feature"], "value", ["c0", "c1"]).join(F.broadcast(sizes), "feature")
+    cum = prefix_sums(cnt, ["feature"], "value", ["c0", "c1"]).join(sizes, "feature")
     gap = F.abs(F.col("c0_cum") / F.col("n_ref") - F.col("c1_cum") / F.col("n_cur"))
     d = cum.groupBy("feature").agg(F.max(gap).alias("ks_statistic"))
     return d.join(sizes, "feature").filter((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).select(
@@ -291,14 +312,23 @@ def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[st
     return ks_from_long(unpivot_numeric(reference, features), unpivot_numeric(current, features))
 
 
-def kolmogorov_sf(d: Column, n_ref: Column, n_cur: Column, terms: int = 100) -> Column:
-    """Asymptotic two-sample KS p-value: Q_KS(sqrt(en) * D), en = n m / (n + m)."""
-    en = n_ref * n_cur / (n_ref + n_cur)
-    lam = F.sqrt(en) * d
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
-                         lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * lam * lam))
-    p = F.lit(2.0) * series
-    return F.when(lam < 1e-3, F.lit(1.0)).otherwise(F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
+def kolmogorov_sf(d: Column, n_ref: Column, n_cur: Column) -> Column:
+    """Asymptotic two-sample KS p-value: Q_KS(lam), lam = sqrt(n m / (n + m)) * D.
+
+    Two series of the same function, each where it converges in a few terms:
+    below lam = 1 the theta form 1 - sqrt(2 pi)/lam * sum exp(-(2k-1)^2 pi^2 /
+    (8 lam^2)), above it the alternating form 2 * sum (-1)^(k-1) exp(-2 k^2 lam^2).
+    """
+    lam = F.sqrt(n_ref * n_cur / (n_ref + n_cur)) * d
+
+    def total(expr):
+        return F.aggregate(F.sequence(F.lit(1), F.lit(8)), F.lit(0.0), lambda acc, k: acc + expr(k.cast("double")))
+
+    theta = total(lambda k: F.exp(-F.pow(2 * k - 1, F.lit(2.0)) * (math.pi**2 / 8) / (lam * lam)))
+    alternating = total(lambda k: F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * lam * lam))
+    # below 0.05 the value is 1 to the last digit (and 1/lam may overflow)
+    p = F.when(lam < 0.05, F.lit(1.0)).when(lam < 1, 1 - math.sqrt(2 * math.pi) / lam * theta).otherwise(2 * alternating)
+    return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
 
 
 # -------------------------------------------------- classifier evaluation ----
@@ -319,7 +349,7 @@ def pr_curve(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -
     tot = st.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     cum = prefix_sums(st, keys, "score", ["pos", "neg"], descending=True)
     # per-group totals: a join on the group keys; a single curve takes them as scalars
-    cum = cum.join(F.broadcast(tot), keys) if group else attach_scalar(cum, tot.select("P", "N"))
+    cum = cum.join(tot, keys) if group else attach_scalar(cum, tot.select("P", "N"))
     tp, fp = F.col("pos_cum"), F.col("neg_cum")
     return cum.select(*group, F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),
                       (tp / (tp + fp)).alias("precision"),

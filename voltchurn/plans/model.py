@@ -85,28 +85,33 @@ def missing_features(gold: DataFrame, features: Sequence[str]) -> list[str]:
 
 # ---------------------------------------------------------------- M2 ----
 
+def _hash_ranked(df: DataFrame, label: str, seed: int, key: str) -> DataFrame:
+    """key, label and ``_pos``: the row's place (from 1) in its class by a hash of key and seed.
+
+    The hash is the first 60 bits of md5("key:seed"), so other engines can repeat
+    it.  Places come from ``prefix_sums``, not from a window holding a class.
+    """
+    bits = F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), 1, 15), 16, 10).cast("long")
+    h = df.select(key, label, bits.alias("_h"), F.lit(1).alias("_one"))
+    return prefix_sums(h, [label], "_h", ["_one"]).withColumnRenamed("_one_cum", "_pos")
+
+
 def stratified_split(df: DataFrame, label: str = "churn", test_size: float = 0.20, seed: int = 42,
                      key: str = KEY, col: str = "is_test") -> DataFrame:
     """M2: exact stratified split: per class the round(test_size * n) rows with the smallest
-    ``xxhash64(key, seed)`` go to test.  Stable across partitionings and reruns.
-
-    Positions within a class come from distributed prefix sums over the
-    hash order, not from a window holding a whole class in one task.
+    hash of key and seed go to test.  Depends on the rows alone, not on how they are partitioned.
     """
-    h = df.withColumn("_h", F.xxhash64(F.col(key).cast("string"), F.lit(seed))).withColumn("_one", F.lit(1))
-    n = h.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = prefix_sums(h.select(key, label, "_h", "_one"), [label], "_h", ["_one"])
-    ranked = ranked.join(F.broadcast(n), label)
-    test = ranked.select(key, (F.col("_one_cum") <= F.round(F.col("_n") * test_size)).alias(col))
+    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = _hash_ranked(df, label, seed, key).join(n, label)
+    test = ranked.select(key, (F.col("_pos") <= F.round(F.col("_n") * test_size)).alias(col))
     return df.join(test, key)
 
 
 def stratified_folds(df: DataFrame, label: str = "churn", k: int = 5, seed: int = 42, key: str = KEY,
                      col: str = "fold") -> DataFrame:
     """Stratified fold ids (0..k-1) by hash position within each class, for ``foldCol``."""
-    h = df.withColumn("_h", F.xxhash64(F.col(key).cast("string"), F.lit(seed))).withColumn("_one", F.lit(1))
-    ranked = prefix_sums(h.select(key, label, "_h", "_one"), [label], "_h", ["_one"])
-    return df.join(ranked.select(key, ((F.col("_one_cum") - 1) % k).cast("int").alias(col)), key)
+    ranked = _hash_ranked(df, label, seed, key)
+    return df.join(ranked.select(key, ((F.col("_pos") - 1) % k).cast("int").alias(col)), key)
 
 
 # ---------------------------------------------------------------- M3/M4 ----
