@@ -41,13 +41,14 @@ def _bronze(spark, sf):
 
 
 def _silver(spark, sf):
+    """Silver tables by name, each built when asked for (the customer table needs no readings)."""
     b = _bronze(spark, sf)
-    return {**b, **pipeline.silver_layer(b)}
+    return pipeline.LazyLayers({**{k: (lambda v=v: v) for k, v in b.items()}, **pipeline.silver_builders(b)})
 
 
 def _layers(spark, sf):
     s = _silver(spark, sf)
-    return {**s, "gold_master": pipeline.gold_layer(s, AS_OF)}
+    return pipeline.LazyLayers({**s.builders, "gold_master": lambda: pipeline.gold_layer(s, AS_OF)})
 
 
 # ---------------------------------------------------------------- bronze ----
@@ -690,33 +691,37 @@ def q_reco(spark, sf):
     return _reco(spark, sf).withColumn("reason_codes", F.array_join("reason_codes", "|"))
 
 
-@register("reco_offer_budget", _SCORED + """ SELECT r.customer_id, r.action,
-    round_even(CASE r.action WHEN 'offer_large' THEN 0.25 WHEN 'offer_medium' THEN 0.15
-                             WHEN 'offer_small' THEN 0.05 WHEN 'no_offer' THEN 0.0 ELSE 0.0 END
-               * CASE WHEN coalesce(s.avg_monthly_margin, 0.0) < 0 THEN 0.0
+_SHARE = """CASE r.action WHEN 'offer_large' THEN 0.25 WHEN 'offer_medium' THEN 0.15
+                      WHEN 'offer_small' THEN 0.05 ELSE 0.0 END"""
+_FINANCIALS = _SCORED + f""",
+  money AS (SELECT r.customer_id, r.action, r.timing_window, array_to_string(r.reason_codes, '|') AS reason_codes,
+              r.risk_score * coalesce(s.avg_monthly_margin, 0.0) AS monthly_expected_loss,
+              {_SHARE} * coalesce(s.avg_monthly_margin, 0.0) AS offer_cost
+            FROM reco2 r LEFT JOIN scored s ON r.customer_id = s.customer_id),
+  fin AS (SELECT *, monthly_expected_loss * 12 AS annual_expected_loss,
+                 monthly_expected_loss - offer_cost AS net_saved_monthly,
+                 CASE WHEN offer_cost > 0 THEN (monthly_expected_loss - offer_cost) / offer_cost * 100 END AS roi_pct
+          FROM money)"""
+_MONEY = ("monthly_expected_loss", "annual_expected_loss", "offer_cost", "net_saved_monthly", "roi_pct")
+
+
+def _recommended(spark, sf):
+    return RC.validated(RC.with_recommendation(_scored(spark, sf)))
+
+
+@register("reco_offer_budget", _SCORED + f""" SELECT r.customer_id, r.action,
+    round_even({_SHARE} * CASE WHEN coalesce(s.avg_monthly_margin, 0.0) < 0 THEN 0.0
                       ELSE coalesce(s.avg_monthly_margin, 0.0) END, 2) AS offer_budget_eur
   FROM reco2 r LEFT JOIN scored s ON r.customer_id = s.customer_id""")
 def q_budget(spark, sf):
     """Offer budget = tier share x max(margin, 0)."""
-    sc_ = _scored(spark, sf)
-    return RC.offer_budget(_reco(spark, sf, sc_), sc_).select("customer_id", "action", "offer_budget_eur")
-
-
-@register("reco_financials", _SCORED + """,
-  b AS (SELECT r.customer_id, r.action, r.expected_margin_impact,
-          round_even(CASE r.action WHEN 'offer_large' THEN 0.25 WHEN 'offer_medium' THEN 0.15
-                                   WHEN 'offer_small' THEN 0.05 ELSE 0.0 END
-                     * CASE WHEN coalesce(s.avg_monthly_margin, 0.0) < 0 THEN 0.0
-                            ELSE coalesce(s.avg_monthly_margin, 0.0) END, 2) AS c
-        FROM reco2 r LEFT JOIN scored s ON r.customer_id = s.customer_id)
-  SELECT customer_id, action, expected_margin_impact AS monthly_expected_loss,
-         expected_margin_impact * 12 AS annual_expected_loss, c AS offer_cost,
-         expected_margin_impact * 12 - c * 12 AS net_saved_annual,
-         CASE WHEN c > 0 THEN (expected_margin_impact - c) / c END AS roi FROM b""")
+    return RC.offer_budget(_recommended(spark, sf)).select("customer_id", "action", "offer_budget_eur")
+
+
+@register("reco_financials", _FINANCIALS + f" SELECT customer_id, action, {', '.join(_MONEY)} FROM fin")
 def q_financials(spark, sf):
-    """Per customer loss, offer cost, net saved and ROI."""
-    sc_ = _scored(spark, sf)
-    return RC.customer_financials(RC.offer_budget(_reco(spark, sf, sc_), sc_))
+    """Per customer expected loss, offer cost, net saved and ROI in percent."""
+    return RC.customer_financials(_recommended(spark, sf)).select("customer_id", "action", *_MONEY)
 
 
 @register("reco_action_counts", _SCORED + " SELECT action, count(*) AS customers FROM reco2 GROUP BY action")
@@ -856,16 +861,15 @@ def _tier_sql_ntz(ts):
                coalesce(sum(CASE WHEN tier = 'tier_3_offpeak' THEN elec ELSE 0.0 END), 0.0)
                  AS elec_kwh_tier_3_offpeak
         FROM r GROUP BY 1, 2)
-  SELECT * FROM d WHERE CAST(day + INTERVAL 1 DAY AS TIMESTAMP)
-                        <= (SELECT max(ts) FROM consumption) - INTERVAL 1 DAY""")
+  SELECT * FROM d""")
 def q_stream_daily(spark, sf):
-    """ST2 (+ ST1 source): streaming daily tier sums with a 1-day watermark; windows the
-    watermark has closed are emitted (append mode)."""
+    """ST2 (+ ST1 source): streaming daily tier sums with a 1-day watermark; every day of the
+    input, the ones still open at its end included."""
     import uuid
 
     stream = si.consumption_stream_from_events(spark, sf)
-    return ST.run_to_table(ST.daily_tier_sums(stream, "1 day"),
-                           scratch_path(spark, f"stream-ckpt-{uuid.uuid4().hex[:8]}"))
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex[:8]}")
+    return ST.run_to_files(ST.daily_tier_sums(stream, "1 day"), ["customer_id", "day"], f"{base}/out", f"{base}/checkpoint")
 
 
 # ------------------------------------------------------------ more reports ----
@@ -1035,24 +1039,13 @@ def q_within_days(spark, sf):
 _C360 = "42"
 
 
-@register("report_customer_360", _SCORED + f""",
-  b AS (SELECT r.customer_id, r.action, r.timing_window, array_to_string(r.reason_codes, '|') AS reason_codes,
-          r.expected_margin_impact,
-          round_even(CASE r.action WHEN 'offer_large' THEN 0.25 WHEN 'offer_medium' THEN 0.15
-                                   WHEN 'offer_small' THEN 0.05 ELSE 0.0 END
-                     * CASE WHEN coalesce(s.avg_monthly_margin, 0.0) < 0 THEN 0.0
-                            ELSE coalesce(s.avg_monthly_margin, 0.0) END, 2) AS c
-        FROM reco2 r LEFT JOIN scored s ON r.customer_id = s.customer_id)
-  SELECT s.*, b.action, b.timing_window, b.reason_codes, b.expected_margin_impact * 12 AS annual_expected_loss,
-         b.c AS offer_cost, b.expected_margin_impact * 12 - b.c * 12 AS net_saved_annual,
-         CASE WHEN b.c > 0 THEN (b.expected_margin_impact - b.c) / b.c END AS roi
-  FROM scored s LEFT JOIN b ON s.customer_id = b.customer_id WHERE s.customer_id = '{_C360}'""")
+@register("report_customer_360", _FINANCIALS + f"""
+  SELECT s.* REPLACE (coalesce(s.segment, 'Unknown') AS segment), f.action, f.timing_window, f.reason_codes,
+         {', '.join('f.' + c for c in _MONEY)}
+  FROM scored s JOIN fin f ON s.customer_id = f.customer_id WHERE s.customer_id = '{_C360}'""")
 def q_customer_360(spark, sf):
     """E23 + P13: one customer's score, recommendation and financials (point lookup)."""
-    sc_ = _scored(spark, sf)
-    reco = _reco(spark, sf, sc_)
-    fin = RC.customer_financials(RC.offer_budget(reco, sc_))
-    return RP.customer_360(sc_, fin, reco, _C360)
+    return RP.customer_360(RC.customer_financials(_recommended(spark, sf)), _C360).drop("risk_score", "expected_margin_impact")
 
 
 @register("report_seeded_sample_unclassified")

@@ -42,10 +42,19 @@ def test_contract_violation_fails_job(spark):
 def test_offer_budget_and_roi(spark):
     rows = [("a", 0.9, "Critical (>80%)", "SME", 45.0, 100.0), ("c", 0.1, "Low (<40%)", "SME", 0.0, 5.0)]
     sc = _scored(spark, rows)
-    b = RC.offer_budget(RC.recommendations(sc), sc)
-    fin = {r.customer_id: r for r in RC.customer_financials(b).collect()}
-    assert fin["a"].offer_cost == 25.0 and abs(fin["a"].roi - 0.8) < 1e-12
-    assert fin["c"].roi is None                                   # no cost -> no ROI
+    reco = RC.with_recommendation(sc)
+    assert {r.customer_id: r.offer_budget_eur for r in RC.offer_budget(reco).collect()} == {"a": 25.0, "c": 0.0}
+    fin = {r.customer_id: r for r in RC.customer_financials(reco).collect()}
+    assert (fin["a"].monthly_expected_loss, fin["a"].offer_cost) == (90.0, 25.0)
+    assert (fin["a"].annual_expected_loss, fin["a"].net_saved_monthly) == (1080.0, 65.0)
+    assert abs(fin["a"].roi_pct - 260.0) < 1e-9                   # percent of the cost
+    assert fin["c"].roi_pct is None                               # no cost -> no ROI
+
+
+def test_financials_are_neither_clipped_nor_rounded(spark):
+    sc = _scored(spark, [("n", 0.33333, "Low (<40%)", "SME", 0.0, -7.77)])
+    r = RC.customer_financials(RC.with_recommendation(sc)).first()
+    assert r.monthly_expected_loss == 0.33333 * -7.77 and r.action == "no_offer" and r.roi_pct is None
 
 
 def test_score_customers_rounding_and_loss(spark):

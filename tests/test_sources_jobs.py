@@ -54,6 +54,17 @@ def test_consumption_conversion_once(spark):
     assert again.count() == 2
 
 
+def test_half_written_consumption_copy_is_made_anew(spark):
+    d = tempfile.mkdtemp(prefix="vc-cons-")
+    with open(os.path.join(d, "consumption_hourly_2024.csv"), "w") as f:
+        f.write("customer_id,timestamp,consumption_elec_kwh,consumption_gas_m3\n"
+                "a,2024-01-01 10:00:00,1.5,0.1\na,2024-02-01 10:00:00,2.5,0.2\n")
+    aborted = os.path.join(d, "consumption_hourly_2024.parquet", "month=2024-01")
+    os.makedirs(aborted)                                        # as an aborted job leaves it: rows, no _SUCCESS
+    io.read_csv(spark, os.path.join(d, "consumption_hourly_2024.csv"), SC.CONSUMPTION).limit(1).write.mode("overwrite").parquet(aborted)
+    assert io.load_or_convert_consumption(spark, d).count() == 2
+
+
 def test_flatten_and_layer_fallback(spark):
     d = tempfile.mkdtemp(prefix="vc-json-")
     with open(os.path.join(d, "x.json"), "w") as f:

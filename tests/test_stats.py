@@ -145,3 +145,15 @@ def test_ks_on_dominant_feature(spark):
     small = spark.createDataFrame([("small", 1.0), ("small", 2.0)], "feature string, value double")
     r = {x.feature: x for x in drift.drift_long(a.unionByName(small), b.unionByName(small)).collect()}
     assert r["big"].ks_statistic < 0.01 and not r["big"].drifted and r["small"].ks_statistic == 0.0
+
+
+def test_grouped_quantile_is_exact_and_splits_a_hot_group(spark):
+    rows = [("a", float(v)) for v in range(2001)] + [("b", 5.0), ("b", None), ("b", 1e9), ("c", None), (None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for p in (0.0, 0.25, 0.5, 0.9, 1.0):
+        got = {r.g: (r.x, r.y) for r in S.grouped_quantile(df, ["g"], {"x": F.col("v"), "y": -F.col("v")}, p).collect()}
+        want = {r.g: (r.x, r.y) for r in df.filter("g IS NOT NULL AND v IS NOT NULL").groupBy("g").agg(
+            F.percentile("v", p).alias("x"), F.percentile(-F.col("v"), p).alias("y")).collect()}
+        assert got.keys() == want.keys()
+        for g in want:
+            assert all(abs(a - b) <= 1e-9 * max(1, abs(b)) for a, b in zip(got[g], want[g]))

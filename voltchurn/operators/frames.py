@@ -129,19 +129,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster when it arrives in fewer splits than cores.
-
-    CPU-heavy per-row work (regexes over whole texts) on a table stored as
-    one file would otherwise run in one task.  Large inputs already come in
-    many splits and are left alone, so no shuffle is added at scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().logical().toString()
-    if plan.startswith("Repartition"):
-        return df
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

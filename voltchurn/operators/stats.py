@@ -19,15 +19,33 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------- basics ----
 
 def quantile(col, p) -> Column:
-    """Exact linear-interpolated quantile(s), or a bounded-memory sketch when
-    ``voltchurn.config.EXACT_QUANTILES`` is off (see that module)."""
-    from voltchurn import config
+    """Exact linear-interpolated quantile(s) as an aggregate.
+
+    Spark keeps one value -> count map per group in a task; for groups of many
+    distinct values use ``grouped_quantile``, which splits a group.
+    """
+    return F.percentile(F.col(col) if isinstance(col, str) else col, p)
 
-    c = F.col(col) if isinstance(col, str) else col
-    if config.EXACT_QUANTILES:
-        return F.percentile(c, p)
-    return F.percentile_approx(c, p, config.QUANTILE_ACCURACY)
 
+def grouped_quantile(df: DataFrame, groups: Sequence[str], value_exprs: dict[str, Column], p: float) -> DataFrame:
+    """Exact linear-interpolated quantile ``p`` of each expression per group, NULLs skipped.
+
+    Counts per distinct value (combined map-side), running counts by
+    ``prefix_sums`` over range buckets, then the two values at the ranks around
+    (n - 1) * p: no task holds a group.  Rows with a NULL group column are left
+    out, as are groups without values.
+    """
+    g = list(groups)
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), e.cast("double").alias("value")) for n, e in value_exprs.items()]))
+    long = df.filter(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in g))).select(*g, pairs.alias("_x"))
+    counts = long.select(*g, "_x.name", "_x.value").filter(F.col("value").isNotNull()) \
+        .groupBy(*g, "name", "value").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy(*g, "name").agg(((F.sum("n") - 1) * F.lit(float(p))).alias("rank"))
+    cum = prefix_sums(counts, [*g, "name"], "value", ["n"]).join(sizes, [*g, "name"])
+    at = lambda r: F.min(F.when(F.col("n_cum") > r, F.col("value")))
+    found = cum.groupBy(*g, "name").agg(at(F.floor("rank")).alias("lo"), at(F.ceil("rank")).alias("hi"), F.any_value("rank").alias("rank"))
+    value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("rank") - F.floor("rank"))
+    return found.groupBy(*g).agg(*[F.max(F.when(F.col("name") == n, value)).alias(n) for n in value_exprs])
 
 
 def total_of(df: DataFrame, name: str = "_total", expr: Column | None = None) -> DataFrame:

@@ -16,21 +16,38 @@ def bronze_layer(raw: dict[str, DataFrame], scorer=None, validate: bool = True)
     return {"bronze_customer": bc, "bronze_customer_month": bcm}
 
 
-def silver_layer(b: dict[str, DataFrame], approx_median: bool = False,
-                 materialise: bool = False) -> dict[str, DataFrame]:
-    """Silver tables.
+class LazyLayers:
+    """Layer tables by name, each built at its first use."""
+
+    def __init__(self, builders: dict):
+        self.builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self.builders[name]()
+        return self._built[name]
+
+
+def silver_builders(b) -> dict:
+    """What builds each silver table from the bronze tables ``b``.
 
     Imputation reads only the segment column of the customer table, so the
     optimizer drops the interaction join (and its text work) from that plan.
-    ``materialise`` checkpoints the customer table for callers that reuse it
-    many times; a single downstream use does not need it.
     """
-    sc = silver.silver_customer(b["bronze_customer"])
-    scm = silver.compute_margins(silver.impute_prices(b["bronze_customer_month"], sc,
-                                                      approx_median=approx_median))
+    return {
+        "silver_customer": lambda: silver.silver_customer(b["bronze_customer"]),
+        "silver_customer_month": lambda: silver.compute_margins(silver.impute_prices(
+            b["bronze_customer_month"], silver.silver_customer(b["bronze_customer"]))),
+    }
+
+
+def silver_layer(b: dict[str, DataFrame], materialise: bool = False) -> dict[str, DataFrame]:
+    """Silver tables.  ``materialise`` checkpoints the customer table for callers that reuse it
+    many times; a single downstream use does not need it."""
+    out = {name: build() for name, build in silver_builders(b).items()}
     if materialise:
-        sc = cut_lineage(sc)
-    return {"silver_customer": sc, "silver_customer_month": scm}
+        out["silver_customer"] = cut_lineage(out["silver_customer"])
+    return out
 
 
 def gold_layer(s: dict[str, DataFrame], as_of) -> DataFrame:

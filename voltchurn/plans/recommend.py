@@ -28,12 +28,15 @@ def reason_codes(proba: str = "churn_proba", tier: str = "risk_tier", segment: s
     return F.when(F.size(codes) > 0, codes).otherwise(F.array(F.lit("low_risk_monitoring")))
 
 
-def recommendations(scored: DataFrame) -> DataFrame:
-    """R1 + R2 + R3 + R4: action, timing, impact and reasons per scored customer.
+RECO_COLUMNS = (KEY, "risk_score", "segment", "action", "timing_window", "expected_margin_impact", "reason_codes")
+
+
+def with_recommendation(scored: DataFrame) -> DataFrame:
+    """R1 + R2 + R3 + R4 beside the scored columns: action, timing, impact and reasons.
 
     Unknown tiers get ``no_offer`` / ``60_90_days``; a negative average margin
     forces ``no_offer`` (guardrail).  A NULL tier is read as Low, as the
-    reference's default.
+    reference's default.  ``segment`` becomes ``Unknown`` where it is NULL.
     """
     tier = F.coalesce(F.col("risk_tier").cast("string"), F.lit("Low (<40%)"))
     action = F.coalesce(literal_map(tier, TIER_ACTION), F.lit(DEFAULT_ACTION))
@@ -42,15 +45,20 @@ def recommendations(scored: DataFrame) -> DataFrame:
     impact = F.coalesce(F.col("expected_monthly_loss"), F.lit(0.0)) if "expected_monthly_loss" in scored.columns \
         else F.lit(0.0)
     seg = F.coalesce(F.col("segment"), F.lit("Unknown")) if "segment" in scored.columns else F.lit("Unknown")
-    return scored.select(
-        F.col(KEY).cast("string").alias(KEY),
-        F.coalesce(F.col("churn_proba"), F.lit(0.0)).alias("risk_score"),
-        seg.alias("segment"),
-        action.alias("action"),
-        F.coalesce(literal_map(tier, TIER_TIMING), F.lit(DEFAULT_TIMING)).alias("timing_window"),
-        impact.alias("expected_margin_impact"),
-        reason_codes().alias("reason_codes"),
-    )
+    return scored.withColumns({
+        KEY: F.col(KEY).cast("string"),
+        "risk_score": F.coalesce(F.col("churn_proba"), F.lit(0.0)),
+        "segment": seg,
+        "action": action,
+        "timing_window": F.coalesce(literal_map(tier, TIER_TIMING), F.lit(DEFAULT_TIMING)),
+        "expected_margin_impact": impact,
+        "reason_codes": reason_codes(),
+    })
+
+
+def recommendations(scored: DataFrame) -> DataFrame:
+    """The recommendation table, one row per scored customer."""
+    return with_recommendation(scored).select(*RECO_COLUMNS)
 
 
 def contract_violations(reco: DataFrame) -> DataFrame:
@@ -70,22 +78,32 @@ def validated(reco: DataFrame) -> DataFrame:
                        .otherwise(F.lit(True)))
 
 
-def offer_budget(reco: DataFrame, scored: DataFrame) -> DataFrame:
-    """Offer budget = action share x max(average margin, 0), 2 dp."""
-    share = F.coalesce(literal_map("action", OFFER_SHARE), F.lit(0.0))
-    j = reco.join(scored.select(KEY, "avg_monthly_margin"), KEY, "left")
-    return j.withColumn("offer_budget_eur", F.bround(share * clip_lower0(F.coalesce(
+def _share() -> Column:
+    return F.coalesce(literal_map("action", OFFER_SHARE), F.lit(0.0))
+
+
+def offer_budget(recommended: DataFrame) -> DataFrame:
+    """Offer budget = action share x max(average margin, 0), 2 dp.
+
+    ``recommended``: scored rows from ``with_recommendation``, so the margin is
+    at hand and nothing is joined.
+    """
+    return recommended.withColumn("offer_budget_eur", F.bround(_share() * clip_lower0(F.coalesce(
         F.col("avg_monthly_margin"), F.lit(0.0))), 2))
 
 
-def customer_financials(reco_budget: DataFrame) -> DataFrame:
-    """Monthly and annual expected loss, offer cost, net saved and ROI (NULL when no cost)."""
-    loss = F.col("expected_margin_impact")
-    cost = F.col("offer_budget_eur")
-    return reco_budget.select(
-        KEY, "action", loss.alias("monthly_expected_loss"), (loss * 12).alias("annual_expected_loss"),
-        cost.alias("offer_cost"), (loss * 12 - cost * 12).alias("net_saved_annual"),
-        F.when(cost > 0, (loss - cost) / cost).alias("roi"))
+def customer_financials(recommended: DataFrame) -> DataFrame:
+    """What a customer is expected to lose and what the offer saves.
+
+    loss = churn probability x average margin (neither clipped nor rounded),
+    cost = action share x average margin, net = loss - cost, per month; ROI =
+    net / cost x 100, NULL without a positive cost.
+    """
+    margin = F.coalesce(F.col("avg_monthly_margin"), F.lit(0.0))
+    out = recommended.withColumns({"monthly_expected_loss": F.col("risk_score") * margin, "offer_cost": _share() * margin})
+    out = out.withColumns({"annual_expected_loss": F.col("monthly_expected_loss") * 12,
+                           "net_saved_monthly": F.col("monthly_expected_loss") - F.col("offer_cost")})
+    return out.withColumn("roi_pct", F.when(F.col("offer_cost") > 0, F.col("net_saved_monthly") / F.col("offer_cost") * 100))
 
 
 def action_counts(reco: DataFrame) -> DataFrame:

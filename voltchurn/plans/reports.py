@@ -255,14 +255,13 @@ def churn_within_days_proxy(sc: DataFrame) -> DataFrame:
                                                          F.col("churners"))})
 
 
-def customer_360(scored: DataFrame, financials: DataFrame, reco: DataFrame, customer_id: str) -> DataFrame:
-    """E23 + P13: score, recommendation and financials of one customer (a point lookup)."""
-    s = scored.filter(F.col(KEY) == customer_id)
-    r = reco.filter(F.col(KEY) == customer_id).select(KEY, "action", "timing_window",
-                                                      F.array_join("reason_codes", "|").alias("reason_codes"))
-    f = financials.filter(F.col(KEY) == customer_id).select(KEY, "annual_expected_loss", "offer_cost",
-                                                            "net_saved_annual", "roi")
-    return s.join(r, KEY, "left").join(f, KEY, "left")
+def customer_360(financials: DataFrame, customer_id: str) -> DataFrame:
+    """E23 + P13: score, recommendation and financials of one customer (a point lookup).
+
+    ``financials``: scored rows from ``recommend.customer_financials``; the key
+    filter reaches the scans, nothing is joined.
+    """
+    return financials.filter(F.col(KEY) == customer_id).withColumn("reason_codes", F.array_join("reason_codes", "|"))
 
 
 def run_status_counts(runs: DataFrame) -> DataFrame:

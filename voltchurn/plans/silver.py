@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from voltchurn.constants import CHANNEL_MAP, KEY, PRICE_CONSUMPTION_PAIRS
 from voltchurn.functions.exprs import literal_map
-from voltchurn.operators.frames import broadcast_if_small, cut_lineage, ffill_bfill, pick_per_key
+from voltchurn.operators.frames import cut_lineage, ffill_bfill, pick_per_key
+from voltchurn.operators.stats import grouped_quantile
 
 
 def customer_segments(sc: DataFrame) -> DataFrame:
@@ -57,28 +58,30 @@ def _num(df: DataFrame, c: str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def grouped_median(df: DataFrame, groups: list[str], value_exprs: dict[str, Column],
-                   approx: bool = False, accuracy: int = 100000) -> DataFrame:
-    """Exact (default) or approximate median per group, NULLs skipped."""
-    if approx:
-        aggs = [F.percentile_approx(e, 0.5, accuracy).alias(n) for n, e in value_exprs.items()]
-    else:
-        from voltchurn.operators.stats import quantile
+def attach_medians(df: DataFrame, groups: list[str], value_exprs: dict[str, Column]) -> DataFrame:
+    """Adds the exact median of each expression over the row's group, NULLs skipped.
 
-        aggs = [quantile(e, 0.5).alias(n) for n, e in value_exprs.items()]
-    return df.groupBy(*groups).agg(*aggs)
+    The medians come from ``stats.grouped_quantile`` (no task holds a group)
+    and are looked up in one map of group to medians, a scalar as large as the
+    number of groups, so ``df`` is not shuffled on the group columns.
+    """
+    med = grouped_quantile(df, groups, value_exprs, 0.5)
+    group = lambda d: F.struct(*[d[g].alias(g) for g in groups])
+    table = med.agg(F.map_from_entries(F.collect_list(F.struct(
+        group(med), F.struct(*[F.col(n) for n in value_exprs])))).alias("_m")).scalar()
+    known = F.try_element_at(table, F.struct(*[F.col(g).alias(g) for g in groups]))
+    return df.withColumn("_med", known).withColumns({n: F.col("_med")[n] for n in value_exprs}).drop("_med")
 
 
 def impute_prices(scm: DataFrame, silver_customer: DataFrame | None = None,
-                  segment_col: str = "is_industrial", approx_median: bool = False,
-                  checkpoint: bool = True) -> DataFrame:
+                  segment_col: str = "is_industrial", checkpoint: bool = True) -> DataFrame:
     """Three-level imputation of every price column present.
 
     For each (price, consumption) pair: price 0 means missing; only rows whose
     consumption is > 0 are imputed, and only those rows feed the medians.
 
     The level-1 result feeds both the median aggregates and the rows they are
-    joined back to; it is checkpointed (reliably, into ``spark.checkpoint.dir``)
+    looked up for; it is checkpointed (reliably, into ``spark.checkpoint.dir``)
     so the upstream bronze plan runs once instead of once per consumer.
     """
     df = scm
@@ -98,20 +101,11 @@ def impute_prices(scm: DataFrame, silver_customer: DataFrame | None = None,
     if checkpoint:
         df = cut_lineage(df)
 
-    # level 2: segment x month median over consuming rows
-    seg_med = grouped_median(
-        df.filter(F.col(segment_col).isNotNull()), [segment_col, "month"],
-        {f"_m2_{p}": F.when(mask[p], F.col(p)) for p, _ in pairs}, approx_median)
-    df = df.join(broadcast_if_small(seg_med), [segment_col, "month"], "left")
-    df = df.withColumns({p: F.when(mask[p] & F.col(p).isNull(), F.col(f"_m2_{p}"))
-                         .otherwise(F.col(p)) for p, _ in pairs}).drop(*[f"_m2_{p}" for p, _ in pairs])
-
-    # level 3: national month median over consuming rows (after level 2)
-    nat_med = grouped_median(df, ["month"], {f"_m3_{p}": F.when(mask[p], F.col(p)) for p, _ in pairs},
-                             approx_median)
-    df = df.join(broadcast_if_small(nat_med), ["month"], "left")
-    df = df.withColumns({p: F.when(mask[p] & F.col(p).isNull(), F.col(f"_m3_{p}"))
-                         .otherwise(F.col(p)) for p, _ in pairs}).drop(*[f"_m3_{p}" for p, _ in pairs])
+    # level 2: segment x month median over consuming rows; level 3: national month median after level 2
+    for level, groups in (("_m2_", [segment_col, "month"]), ("_m3_", ["month"])):
+        df = attach_medians(df, groups, {f"{level}{p}": F.when(mask[p], F.col(p)) for p, _ in pairs})
+        df = df.withColumns({p: F.when(mask[p] & F.col(p).isNull(), F.col(f"{level}{p}"))
+                             .otherwise(F.col(p)) for p, _ in pairs}).drop(*[f"{level}{p}" for p, _ in pairs])
     return df
 
 
@@ -168,9 +162,8 @@ def silver_customer(bronze_customer: DataFrame) -> DataFrame:
     return clean_sales_channels(customer_segments(bronze_customer))
 
 
-def silver_tables(bronze_customer: DataFrame, bronze_customer_month: DataFrame,
-                  approx_median: bool = False) -> tuple[DataFrame, DataFrame]:
+def silver_tables(bronze_customer: DataFrame, bronze_customer_month: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(silver_customer, silver_customer_month)."""
     sc = silver_customer(bronze_customer)
-    scm = compute_margins(impute_prices(bronze_customer_month, sc, approx_median=approx_median))
+    scm = compute_margins(impute_prices(bronze_customer_month, sc))
     return sc, scm

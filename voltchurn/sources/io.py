@@ -66,11 +66,12 @@ def load_or_convert_consumption(spark: SparkSession, data_dir: str, stem: str =
     """S2 + S3: parquet if present, else CSV(.gz) converted once to parquet, else an error.
 
     A gzip CSV is one unsplittable task, so it is spread before the write;
-    the parquet copy is partitioned by month for later pruning.
+    the parquet copy is partitioned by month for later pruning.  A copy counts
+    as present once its writer committed it; a half-written one is made anew.
     """
     base = data_dir.rstrip("/")
     pq = f"{base}/{stem}.parquet"
-    if path_exists(spark, pq):
+    if path_exists(spark, f"{pq}/_SUCCESS"):       # a folder without it was left by an aborted write
         return spark.read.parquet(pq)
     for cand in (f"{base}/{stem}.csv.gz", f"{base}/{stem}.csv"):
         if path_exists(spark, cand):

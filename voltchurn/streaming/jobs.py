@@ -12,8 +12,7 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,14 +76,24 @@ def monthly_from_daily(daily: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in sums])
 
 
-def run_to_table(stream: DataFrame, checkpoint: str, name: str | None = None, mode: str = "append") -> DataFrame:
-    """Run a streaming aggregate over all available input into a memory table and return it."""
-    spark = stream.sparkSession
-    name = name or f"stream_{uuid.uuid4().hex[:8]}"
-    q = (stream.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def run_to_files(stream: DataFrame, keys: Sequence[str], sink_path: str, checkpoint: str) -> DataFrame:
+    """Run a streaming aggregate over all available input; its last value of every key.
+
+    Update mode: each micro-batch writes the groups it changed, open or closed,
+    to a folder of its own (a repeated batch overwrites it); the newest batch
+    of a key holds its value.  Nothing passes through the driver.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
+
+    q = (stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    values = [c for c in stream.columns if c not in keys]
+    schema = T.StructType(stream.schema.fields + [T.StructField("batch", T.LongType())])
+    written = stream.sparkSession.read.schema(schema).parquet(sink_path)
+    newest = written.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("last"))
+    return newest.select(*[F.col(c) if c in keys else F.col(f"last.{c}").alias(c) for c in stream.columns])
 
 
 def for_each_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str) -> None:
