@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from voltchurn.session import scratch_path
@@ -21,21 +21,22 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, label) of every node of ``edges`` (a, b longs): label is the
     smallest node reachable.
 
-    Each round takes the least label among neighbours, then that label's own
-    label.  Sums are combined before each shuffle, so a node with very many
-    edges is no hot group; rounds are cut by written tables.
+    Each round a node takes the least of its own label, its neighbours' labels
+    and its label's label.  Minima are combined before each shuffle, so a node
+    with very many edges is no hot group; every round is one written table.
     """
     both = saved(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(),
                  f"{name}-edges")
     labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), f"{name}-labels")
     while True:
-        seen = both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        nearer = labels.join(seen, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        nearer = saved(nearer, f"{name}-near")
-        parent = nearer.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        jumped = nearer.join(parent, "label").select("node", "old", F.least("label", "up").alias("label"))
-        jumped = saved(jumped, f"{name}-labels")
-        labels = jumped.select("node", "label")
-        if jumped.where("label <> old").limit(1).count() == 0:
+        of = labels.select(F.col("node").alias("b"), F.col("label").alias("near"))
+        near = both.join(of, "b").select(F.col("a").alias("node"), "near")
+        jump = labels.join(labels.select(F.col("node").alias("label"), F.col("label").alias("near")), "label").select("node", "near")
+        own = labels.select("node", F.col("label").alias("near"))
+        changed = Observation()
+        following = own.withColumn("old", F.col("near")).unionByName(near.unionByName(jump), allowMissingColumns=True) \
+            .groupBy("node").agg(F.min("near").alias("label"), F.max("old").alias("old")) \
+            .observe(changed, F.count_if(F.col("label") != F.col("old")).alias("n"))
+        labels = saved(following, f"{name}-labels").select("node", "label")
+        if not changed.get["n"]:
             return labels
-

@@ -37,7 +37,8 @@ BATCH_BYTES = 1 << 20
 SPARE_BLOCKS = 2              # blocks that may be empty in both of a pair
 SCHEMES = ("blocks", "prefix")
 LOCAL_DOCS = 256              # regions up to this size are joined in one task
-FIRST_PIVOTS = 8              # per large region; doubles with every level
+FIRST_PIVOTS = 8              # per large region; times PIVOT_GROWTH with every level
+PIVOT_GROWTH = 8
 FREQUENT_SHARE = 0.002        # of a batch's documents, 4 at least, to be counted as frequent
 FREQUENT_KEPT = 1 << 16       # the most frequent shingles, left out of the blocks
 
@@ -282,10 +283,18 @@ def _signed(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int, sch
 
 
 def _regions(postings: DataFrame, name: str) -> DataFrame:
-    """(node, region, members) of the nodes that share a key with another one."""
+    """(node, region, members) of the nodes that share a key with another one.
+
+    A key links its nodes to the smallest of them (its head).  Before the
+    components are sought, every node's heads are linked to the smallest of
+    them instead of to the node, which leaves one edge per node and few
+    between heads.
+    """
     heads = postings.withColumn("head", F.min("node").over(Window.partitionBy("key")))
-    edges = heads.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    labels = components(edges, name)
+    edges = heads.where("node <> head").select("node", "head").distinct()
+    least = edges.withColumn("least", F.min("head").over(Window.partitionBy("node")))
+    both = F.explode(F.array("node", "head")).alias("a")
+    labels = components(least.select(both, F.col("least").alias("b")), name)
     sizes = labels.groupBy("label").agg(F.count("*").alias("members"))
     return labels.join(sizes, "label").select("node", F.col("label").alias("region"), "members")
 
@@ -343,8 +352,8 @@ def local_links(texts: list[bytes], t: Threshold, words: int) -> list[tuple[int,
         linked = is_open & t.linked(inter, union)
         linked[p] = False
         for q in np.nonzero(linked)[0].tolist():
-            links.append((q, p))
             if label[q] != label[p]:
+                links.append((q, p))
                 label[label == max(label[q], label[p])] = min(label[q], label[p])
         is_open[p] = False
         boundary = is_open & t.near(inter, union) & (label != label[p])
@@ -383,39 +392,55 @@ def _edge_batch(rows: list[tuple[int, int]]) -> pa.RecordBatch:
 def _measure(members: DataFrame, pivots: DataFrame, t: Threshold, words: int) -> DataFrame:
     """(id, pivot, linked) for members within twice the threshold of a pivot.
 
+    Of the pivots a member is linked to, it names the first as linked; the
+    others are named as linked to that one, and with null by the member.
+    Boundary documents that share the pivot's label already are not named.
     Members of a region are dealt into lots of about LOCAL_DOCS, and each lot
     gets a copy of the region's pivots, so no task holds a region.
     """
     lots = F.ceil(F.col("members") / LOCAL_DOCS).cast("int")
-    dealt = members.select("region", F.pmod(F.xxhash64("id"), lots).cast("int").alias("lot"), F.lit(1).alias("role"), "id", "text")
-    copies = pivots.select("region", F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"), F.lit(0).alias("role"), "id", "text")
+    dealt = members.select("region", F.pmod(F.xxhash64("id"), lots).cast("int").alias("lot"), F.lit(1).alias("role"), "id", "label", "text")
+    copies = pivots.select("region", F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"), F.lit(0).alias("role"), "id", "label", "text")
 
     def run(batches):
-        group, pivot_ids, pivot_texts, pivot_sets = None, [], [], None
+        group, pivot_ids, pivot_labels, pivot_texts, pivot_sets = None, [], [], [], None
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("region", "lot", "role", "id")]
+            cols = [batch.column(c).to_pylist() for c in ("region", "lot", "role", "id", "label")]
             rows = list(zip(*cols, _texts(batch)))
             out = []
             at = 0
             while at < len(rows):
                 if rows[at][:2] != group:
-                    group, pivot_ids, pivot_texts, pivot_sets = rows[at][:2], [], [], None
+                    group, pivot_ids, pivot_labels, pivot_texts, pivot_sets = rows[at][:2], [], [], [], None
                 end = at
                 while end < len(rows) and rows[end][:3] == rows[at][:3]:
                     end += 1
                 part = rows[at:end]
                 if rows[at][2] == 0:
                     pivot_ids += [r[3] for r in part]
-                    pivot_texts += [r[4] for r in part]
+                    pivot_labels += [r[4] for r in part]
+                    pivot_texts += [r[5] for r in part]
                 else:
                     if pivot_sets is None:
                         pivot_sets = _Sets(pivot_texts, words)
-                    sets = _Sets([r[4] for r in part], words)
+                    sets = _Sets([r[5] for r in part], words)
+                    first: dict = {}
                     for k, p in enumerate(pivot_ids):
                         inter = sets.overlaps(pivot_sets.of(k))
                         union = sets.sizes + pivot_sets.sizes[k] - inter
                         linked = t.linked(inter, union)
-                        out += [(part[j][3], p, bool(linked[j])) for j in np.nonzero(t.near(inter, union))[0].tolist() if part[j][3] != p]
+                        for j in np.nonzero(t.near(inter, union))[0].tolist():
+                            if part[j][3] == p:
+                                continue
+                            if not linked[j]:
+                                if part[j][4] != pivot_labels[k]:
+                                    out.append((part[j][3], p, False))
+                            elif j not in first:
+                                first[j] = p
+                                out.append((part[j][3], p, True))
+                            else:
+                                out.append((p, first[j], True))
+                                out.append((part[j][3], p, None))
                 at = end
             columns = list(zip(*out)) if out else [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.bool_()))], ["id", "pivot", "linked"])
@@ -441,16 +466,21 @@ def jaccard_links(docs: DataFrame, t: Threshold, words: int, scheme: str = "bloc
     chosen = regions.join(reps, F.col("node") == F.col("s1")).select("region", "members", F.col("rep").alias("id"), "s1")
     members = saved(_one_text_each(docs.join(chosen, "id"), words), "jaccard-members")
     links = saved(_local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words), "jaccard-links")
-    open_docs = members.where(F.col("members") > LOCAL_DOCS)
-    level = 0
+    # large regions: pivots, and after every other level regions anew from the documents still
+    # open; what their links connect is kept as labels, apart from the small regions' links
+    open_docs, labels, level = members.where(F.col("members") > LOCAL_DOCS), None, 0
     while open_docs.limit(1).count():
+        labels, open_docs = _pivot_level(open_docs, labels, FIRST_PIVOTS * PIVOT_GROWTH**level, t, words)
+        level += 1
+        if level % 2 == 0 or not open_docs.limit(1).count():
+            continue
         regions = _regions_by_frequency(open_docs, t, words).withColumnRenamed("node", "id")
         members = saved(open_docs.drop("region", "members").join(regions, "id").select("region", "members", "id", "text"), "jaccard-members")
         small = _local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words)
         links = saved(links.unionByName(small), "jaccard-links")
-        found, open_docs = _pivot_level(members.where(F.col("members") > LOCAL_DOCS), links, FIRST_PIVOTS << level, t, words)
-        links = saved(links.unionByName(found), "jaccard-links")
-        level += 1
+        open_docs = members.where(F.col("members") > LOCAL_DOCS)
+    if labels is not None:
+        links = links.unionByName(labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
     return sets.select("id", "text_hash", "n", "s1"), reps, links
 
 
@@ -466,31 +496,37 @@ def _one_text_each(members: DataFrame, words: int) -> DataFrame:
     return members.mapInArrow(run, "region long, members long, id long, text string")
 
 
-def _pivot_level(members: DataFrame, links: DataFrame, pivots: int, t: Threshold, words: int) -> tuple[DataFrame, DataFrame]:
-    """One level over large regions: (new links, documents still open).
+def _pivot_level(members: DataFrame, labels: DataFrame | None, pivots: int, t: Threshold, words: int) -> tuple[DataFrame, DataFrame]:
+    """One level over large regions: (labels, documents still open).
 
-    Half of a region's pivots come from documents in a component already, half
-    from the others.
+    ``labels`` (node, label) say what the links found so far connect; those
+    returned add this level's.  Half of a region's pivots come from documents in a
+    component already, half from the others.
     """
-    known = components(links, "jaccard-known").withColumnRenamed("node", "id")
-    labelled = members.select("region", "members", "id").distinct().join(known, "id", "left")
-    order = Window.partitionBy("region", F.col("label").isNull()).orderBy(F.xxhash64("id"), "id")
-    chosen = labelled.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= pivots // 2).select("id")
+    if labels is None:
+        known = members.withColumn("found", F.lit(None).cast("long"))
+    else:
+        known = members.join(labels.select(F.col("node").alias("id"), F.col("label").alias("found")), "id", "left")
+    known = known.withColumn("label", F.coalesce("found", "id"))
+    order = Window.partitionBy("region", F.col("found").isNull()).orderBy(F.xxhash64("id"), "id")
+    chosen = known.select("region", "id", "found").distinct().withColumn("turn", F.row_number().over(order)) \
+        .where(F.col("turn") <= pivots // 2).select("id")
     chosen = saved(chosen, "jaccard-pivots")
-    pivot_rows = members.join(chosen, "id").dropDuplicates(["id"])
-    near = saved(_measure(members, pivot_rows, t, words).distinct(), "jaccard-near")
+    near = saved(_measure(known, known.join(chosen, "id").dropDuplicates(["id"]), t, words).distinct(), "jaccard-near")
     found = near.where("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
-    labels = components(links.unionByName(found), "jaccard-labels")
+    if labels is not None:
+        found = found.unionByName(labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
+    labels = components(found, "jaccard-labels")
     label_of = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"{name}_label"))
     # pivots with a boundary document outside their component keep their region open
     tagged = near.where("not linked").join(label_of("id"), "id", "left").join(label_of("pivot"), "pivot", "left")
     outside = tagged.where(F.coalesce("id_label", "id") != F.coalesce("pivot_label", "pivot")).select("pivot").distinct()
-    closed = near.where("linked").join(outside, "pivot", "left_anti").select("id").unionByName(chosen).distinct()
+    closed = near.where("linked is null or linked").join(outside, "pivot", "left_anti").select("id").unionByName(chosen).distinct()
     left = members.join(closed, "id", "left_anti")
     # a region whose open documents are all in one component has nothing to find
     now = left.select("region", "id").join(label_of("id"), "id", "left").withColumn("label", F.coalesce("id_label", "id"))
     apart = now.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("region")
-    return found, saved(left.join(apart, "region", "left_semi"), "jaccard-open")
+    return labels, saved(left.join(apart, "region", "left_semi"), "jaccard-open")
 
 
 def _grouped(docs: DataFrame, num: int, den: int, words: int, scheme: str, id_col: str, text_col: str) -> DataFrame:
