@@ -37,10 +37,10 @@ BATCH_BYTES = 1 << 20
 SPARE_BLOCKS = 2              # blocks that may be empty in both of a pair
 SCHEMES = ("blocks", "prefix")
 LOCAL_DOCS = 256              # regions up to this size are joined in one task
-FIRST_PIVOTS = 8              # per large region; times PIVOT_GROWTH with every level
+FIRST_PIVOTS = 16             # per large region; times PIVOT_GROWTH with every level
 PIVOT_GROWTH = 8
 FREQUENT_SHARE = 0.002        # of a batch's documents, 4 at least, to be counted as frequent
-FREQUENT_KEPT = 1 << 16       # the most frequent shingles, left out of the blocks
+FREQUENT_KEPT = 1 << 17       # the most frequent shingles, left to the end of every order
 
 
 @dataclass(frozen=True)
@@ -76,6 +76,18 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _slices(texts: list[bytes]):
+    """Runs of texts of about BATCH_BYTES; a longer text is a run of its own."""
+    lo = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > BATCH_BYTES:
+            yield texts[lo:i]
+            lo, size = i, 0
+        size += len(text)
+    if lo < len(texts):
+        yield texts[lo:]
+
+
 def shingle_sets(texts: list[bytes], words: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, sizes): each text's distinct shingles as ascending 64-bit hashes.
 
@@ -83,16 +95,10 @@ def shingle_sets(texts: list[bytes], words: int = 3) -> tuple[np.ndarray, np.nda
     text of fewer words than a shingle has its whole sequence as one.
     """
     hashes, sizes = [], []
-    lo = 0
-    while lo < len(texts):
-        hi, size = lo, 0
-        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= BATCH_BYTES):
-            size += len(texts[hi])
-            hi += 1
-        h, n = _shingle_batch(texts[lo:hi], words)
+    for part in _slices(texts):
+        h, n = _shingle_batch(part, words)
         hashes.append(h)
         sizes.append(n)
-        lo = hi
     if not sizes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(hashes), np.concatenate(sizes)
@@ -214,7 +220,12 @@ def block_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: T
 
 
 def prefix_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: Threshold) -> list[np.ndarray]:
-    """The first elements of every set, ``frequent`` ones last, else by hash."""
+    """The first elements of every set, ``frequent`` ones last, else by hash.
+
+    Keys hold the size class too (powers of two): its own, and those above
+    that a partner can be in.
+    """
+    keys: list[list[np.ndarray]] = [[] for _ in sizes]
     if not len(hashes):
         return [np.zeros(0, np.int64) for _ in sizes]
     late = np.zeros(len(hashes), dtype=bool)
@@ -223,10 +234,17 @@ def prefix_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t:
     owner = np.repeat(np.arange(len(sizes)), sizes)
     order = np.lexsort((hashes, late, owner))
     place = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    need = t.prefix(sizes)
-    picked = hashes[order][place < np.repeat(need, sizes)].view(np.int64)
-    ends = np.cumsum(np.where(sizes > 0, need, 0))
-    return [picked[e - n:e] if m else picked[:0] for e, n, m in zip(ends.tolist(), need.tolist(), sizes.tolist())]
+    need = np.where(sizes > 0, t.prefix(sizes), 0)
+    picked = hashes[order][place < np.repeat(need, sizes)]
+    ends = np.cumsum(need)
+    own = np.log2(np.maximum(sizes, 1)).astype(np.int64)
+    upper = np.log2(np.maximum(t.largest_partner(sizes), 1)).astype(np.int64)
+    for part in range(int((upper - own).max()) + 1):
+        scheme = np.repeat((own + part + 1).astype(np.uint64), need)
+        named = _mix(picked ^ (scheme << np.uint64(56)), 4000).view(np.int64)
+        for d in np.nonzero((sizes > 0) & (own + part <= upper))[0].tolist():
+            keys[d].append(named[ends[d] - need[d]:ends[d]])
+    return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in keys]
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -240,19 +258,20 @@ def _set_ids(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return _mix(acc[ends] - acc[ends - sizes] + sizes.astype(np.uint64), 6).view(np.int64)
 
 
-def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
+def frequent_shingles(docs: DataFrame, words: int, scheme: str) -> np.ndarray:
     """The shingles most documents share (ascending), counted over all of them.
 
     Every batch counts its own documents' shingles and reports those in at
-    least FREQUENT_SHARE of them; sums of the reports rank them.  At most
-    FREQUENT_KEPT reach the driver.  Which shingles these are bears on cost
+    least FREQUENT_SHARE of them (prefix keys, which a rarer shingle misleads:
+    in two or more); sums of the reports rank them.  At most FREQUENT_KEPT
+    reach the driver.  Which shingles these are bears on cost
     alone, not on results.
     """
     def count(batches):
         for batch in batches:
             hashes, sizes = shingle_sets(_texts(batch), words)
             h, n = np.unique(hashes, return_counts=True)
-            often = n >= max(4, FREQUENT_SHARE * len(sizes))
+            often = n >= (2 if scheme == "prefix" else max(4, FREQUENT_SHARE * len(sizes)))
             yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64), pa.int64()), pa.array(n[often], pa.int64())], ["h", "n"])
 
     rows = (docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
@@ -267,16 +286,20 @@ def _signed(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int, sch
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            hashes, sizes = shingle_sets(_texts(batch), words)
-            s1 = _set_ids(hashes, sizes)
-            keys = prefix_keys(hashes, sizes, frequent, t) if scheme == "prefix" else block_keys(hashes, sizes, frequent, t)
-            for i, s in enumerate(s1.tolist()):
-                if s in seen:
-                    keys[i] = keys[i][:0]
-                seen.add(s)
+            n, ids, keys = [], [], []
+            for texts in _slices(_texts(batch)):
+                hashes, sizes = shingle_sets(texts, words)
+                s1 = _set_ids(hashes, sizes)
+                own = prefix_keys(hashes, sizes, frequent, t) if scheme == "prefix" else block_keys(hashes, sizes, frequent, t)
+                for i, s in enumerate(s1.tolist()):
+                    keys.append(own[i][:0] if s in seen else own[i])
+                    seen.add(s)
+                n.append(sizes)
+                ids.append(s1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(s1, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["id", "text_hash", "n", "s1", "keys"])
+                [batch.column("id"), batch.column("text_hash"), pa.array(np.concatenate(n) if n else [], pa.int64()),
+                 pa.array(np.concatenate(ids) if ids else [], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                ["id", "text_hash", "n", "s1", "keys"])
 
     return docs.select("id", "text", F.xxhash64("text").alias("text_hash")) \
         .mapInArrow(run, "id long, text_hash long, n long, s1 long, keys array<long>")
@@ -309,7 +332,7 @@ def _regions_by_frequency(open_docs: DataFrame, t: Threshold, words: int) -> Dat
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(need, pa.int64()), pa.array(hashes.view(np.int64), pa.int64())], ["node", "need", "key"])
 
-    found = saved(open_docs.select("id", "text").dropDuplicates(["id"]).mapInArrow(run, "node long, need long, key long"), "jaccard-shingles")
+    found = open_docs.select("id", "text").mapInArrow(run, "node long, need long, key long").distinct()
     frequency = found.groupBy("key").agg(F.count("*").alias("df"))
     place = F.row_number().over(Window.partitionBy("node").orderBy("df", "key"))
     postings = found.join(frequency, "key").withColumn("place", place).where(F.col("place") <= F.col("need"))
@@ -407,7 +430,6 @@ def _measure(members: DataFrame, pivots: DataFrame, t: Threshold, words: int) ->
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in ("region", "lot", "role", "id", "label")]
             rows = list(zip(*cols, _texts(batch)))
-            out = []
             at = 0
             while at < len(rows):
                 if rows[at][:2] != group:
@@ -424,7 +446,7 @@ def _measure(members: DataFrame, pivots: DataFrame, t: Threshold, words: int) ->
                     if pivot_sets is None:
                         pivot_sets = _Sets(pivot_texts, words)
                     sets = _Sets([r[5] for r in part], words)
-                    first: dict = {}
+                    out, first = [], {}
                     for k, p in enumerate(pivot_ids):
                         inter = sets.overlaps(pivot_sets.of(k))
                         union = sets.sizes + pivot_sets.sizes[k] - inter
@@ -441,9 +463,10 @@ def _measure(members: DataFrame, pivots: DataFrame, t: Threshold, words: int) ->
                             else:
                                 out.append((p, first[j], True))
                                 out.append((part[j][3], p, None))
+                    columns = list(zip(*out)) if out else [[], [], []]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.bool_()))],
+                                                     ["id", "pivot", "linked"])
                 at = end
-            columns = list(zip(*out)) if out else [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.bool_()))], ["id", "pivot", "linked"])
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.unionByName(copies).repartition(n, "region", "lot").sortWithinPartitions("region", "lot", "role", "id") \
@@ -460,25 +483,26 @@ def jaccard_links(docs: DataFrame, t: Threshold, words: int, scheme: str = "bloc
     """
     if scheme not in SCHEMES:
         raise ValueError(f"scheme must be one of {SCHEMES}")
-    sets = saved(_signed(docs, frequent_shingles(docs, words), t, words, scheme), "jaccard-sets")
+    sets = saved(_signed(docs, frequent_shingles(docs, words, scheme), t, words, scheme), "jaccard-sets")
     reps = sets.where("n > 0").groupBy("s1").agg(F.min("id").alias("rep"))
     regions = _regions(sets.select(F.col("s1").alias("node"), F.explode("keys").alias("key")), "jaccard-regions")
     chosen = regions.join(reps, F.col("node") == F.col("s1")).select("region", "members", F.col("rep").alias("id"), "s1")
     members = saved(_one_text_each(docs.join(chosen, "id"), words), "jaccard-members")
     links = saved(_local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words), "jaccard-links")
-    # large regions: pivots, and after every other level regions anew from the documents still
-    # open; what their links connect is kept as labels, apart from the small regions' links
+    # large regions: formed anew by frequency before every other level of pivots; what their
+    # links connect is kept as labels, apart from the small regions' links
     open_docs, labels, level = members.where(F.col("members") > LOCAL_DOCS), None, 0
     while open_docs.limit(1).count():
+        if level % 2 == 0:
+            regions = _regions_by_frequency(open_docs, t, words).withColumnRenamed("node", "id")
+            members = saved(open_docs.drop("region", "members").join(regions, "id").select("region", "members", "id", "text"), "jaccard-members")
+            small = _local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words)
+            links = saved(links.unionByName(small), "jaccard-links")
+            open_docs = members.where(F.col("members") > LOCAL_DOCS)
+            if not open_docs.limit(1).count():
+                break
         labels, open_docs = _pivot_level(open_docs, labels, FIRST_PIVOTS * PIVOT_GROWTH**level, t, words)
         level += 1
-        if level % 2 == 0 or not open_docs.limit(1).count():
-            continue
-        regions = _regions_by_frequency(open_docs, t, words).withColumnRenamed("node", "id")
-        members = saved(open_docs.drop("region", "members").join(regions, "id").select("region", "members", "id", "text"), "jaccard-members")
-        small = _local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words)
-        links = saved(links.unionByName(small), "jaccard-links")
-        open_docs = members.where(F.col("members") > LOCAL_DOCS)
     if labels is not None:
         links = links.unionByName(labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
     return sets.select("id", "text_hash", "n", "s1"), reps, links
