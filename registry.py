@@ -329,6 +329,37 @@ def q_worst_months(spark, sf):
     return RP.worst_months(_silver(spark, sf)["silver_customer_month"])
 
 
+@register("report_worst_corporate_months", G + """ SELECT m.month, sum(m.total_margin) AS total_margin
+  FROM scm m JOIN sc s ON m.customer_id = s.customer_id WHERE s.segment = 'Corporate'
+  GROUP BY m.month ORDER BY 2, 1 LIMIT 12""")
+def q_worst_corporate_months(spark, sf):
+    """The 12 Corporate months with the lowest total margin (a top-k report)."""
+    L = _silver(spark, sf)
+    return RP.worst_segment_months(L["silver_customer_month"], L["silver_customer"])
+
+
+_TEXTS = """ SELECT customer_id, interaction_summary, sentiment_label, sentiment_neg, sentiment_neu, sentiment_pos
+  FROM sc WHERE sentiment_label IS NOT NULL ORDER BY {} DESC, customer_id LIMIT 50"""
+
+
+@register("report_most_negative_texts", G + _TEXTS.format("sentiment_neg"))
+def q_most_negative(spark, sf):
+    """T5: the 50 most negative interactions (a top-k report)."""
+    return RP.extreme_texts(_silver(spark, sf)["silver_customer"], "sentiment_neg")
+
+
+@register("report_most_positive_texts", G + _TEXTS.format("sentiment_pos"))
+def q_most_positive(spark, sf):
+    """T5: the 50 most positive interactions (a top-k report)."""
+    return RP.extreme_texts(_silver(spark, sf)["silver_customer"], "sentiment_pos")
+
+
+@register("report_segment_facets", G + " SELECT DISTINCT segment FROM sc WHERE segment IS NOT NULL")
+def q_segment_facets(spark, sf):
+    """The values a segment facet offers."""
+    return RP.facet_values(_silver(spark, sf)["silver_customer"], "segment")
+
+
 @register("report_corporate_margin_per_kwh", G + """ SELECT m.customer_id, m.month,
     m.elec_margin / m.monthly_elec_kwh AS elec_margin_per_kwh
   FROM scm m JOIN sc s ON m.customer_id = s.customer_id
@@ -508,20 +539,64 @@ def q_drift(spark, sf):
     return D.drift_long(ref, cur)
 
 
-@register("drift_summary_events", _KS_SQL + """,
+_PRED_KS = V.with_(V.LABELLED_SCORES) + """,
+  p_cnt AS (SELECT score AS value, CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE) AS c0,
+                   CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS c1 FROM labelled
+            WHERE score IS NOT NULL AND NOT isnan(score) AND label IS NOT NULL GROUP BY 1),
+  p_sz AS (SELECT sum(c0) AS n_ref, sum(c1) AS n_cur FROM p_cnt),
+  p_cum AS (SELECT sum(c0) OVER w AS s0, sum(c1) OVER w AS s1 FROM p_cnt
+            WINDOW w AS (ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+  p_d AS (SELECT max(abs(s0 / n_ref - s1 / n_cur)) AS ks_statistic, any_value(n_ref) AS n_ref,
+                 any_value(n_cur) AS n_cur FROM p_cum, p_sz),
+  p_lam AS (SELECT *, sqrt(n_ref * n_cur / (n_ref + n_cur)) * ks_statistic AS lam FROM p_d),
+  pred AS (SELECT 'score' AS feature, ks_statistic, CASE WHEN lam < 0.2 THEN 1.0 ELSE least(greatest(
+             (SELECT 2.0 * sum(power(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam)) FROM range(1, 101) t(k)), 0.0), 1.0)
+             END AS p_value FROM p_lam)"""
+
+
+def _prediction_drift(spark, sf):
+    # stand-in samples of one score column: documents labelled 0 against those labelled 1
+    s = si.labelled_scores(spark, sf).filter("label IS NOT NULL")
+    return D.prediction_drift(s.filter("label = 0").select("score"), s.filter("label = 1").select("score"), "score")
+
+
+@register("drift_prediction", _PRED_KS + " SELECT *, p_value < 0.01 AS drifted FROM pred")
+def q_drift_prediction(spark, sf):
+    """Q3: two-sample KS on a score column."""
+    return _prediction_drift(spark, sf)
+
+
+_SUMMARY = _KS_SQL + """,
   fr AS (SELECT *, p_value < 0.01 AS drifted FROM res),
   f AS (SELECT count(*) FILTER (WHERE drifted) AS n, string_agg(feature, ', ' ORDER BY feature)
-               FILTER (WHERE drifted) AS names FROM fr)
-  SELECT n > 0 AS any_drift, CAST(n AS BIGINT) AS n_features_drifted,
-         CASE WHEN n > 0 THEN 'Feature drift detected in: ' || names ELSE 'No drift detected.' END AS summary
-  FROM f""")
-def q_drift_summary(spark, sf):
-    """Q4: drift summary over the per-type KS results (no prediction column here)."""
+               FILTER (WHERE drifted) AS names FROM fr),
+  summary AS (SELECT n > 0 OR pd AS any_drift, CAST(n AS BIGINT) AS n_features_drifted,
+         CASE WHEN n > 0 AND pd THEN 'Feature drift detected in: ' || names || chr(10) || line
+              WHEN n > 0 THEN 'Feature drift detected in: ' || names
+              WHEN pd THEN line ELSE 'No drift detected.' END AS summary
+  FROM f, (SELECT p_value < 0.01 AS pd, printf('Prediction drift: KS=%.4f', ks_statistic) AS line FROM pred))"""
+
+
+def _with_prediction(sql):
+    return _PRED_KS + ", " + sql.strip()[len("WITH"):].strip()
+
+
+def _drift_summary(spark, sf):
     ref, cur = _events_long(spark, sf)
-    fd = D.drift_long(ref, cur)
-    none = spark.createDataFrame([("none", 0.0, 1.0, False)],
-                                 "feature string, ks_statistic double, p_value double, drifted boolean")
-    return D.drift_summary(fd, none)
+    return D.drift_summary(D.drift_long(ref, cur), _prediction_drift(spark, sf))
+
+
+@register("drift_summary_events", _with_prediction(_SUMMARY) + " SELECT * FROM summary")
+def q_drift_summary(spark, sf):
+    """Q4: drift summary over the per-type KS results and the score column's."""
+    return _drift_summary(spark, sf)
+
+
+@register("drift_metrics", _with_prediction(_SUMMARY) + """ SELECT 'DriftDetected' AS metric, CAST(any_drift AS DOUBLE) AS value
+  FROM summary UNION ALL SELECT 'FeaturesDrifted', CAST(n_features_drifted AS DOUBLE) FROM summary""")
+def q_drift_metrics(spark, sf):
+    """Q8: the drift summary as metric rows."""
+    return D.drift_metrics(_drift_summary(spark, sf))
 
 
 # --------------------------------------------------------------- metrics ----
@@ -589,6 +664,16 @@ def q_calibration(spark, sf):
     return S.calibration_curve(si.labelled_scores(spark, sf), "label", "score", 10)
 
 
+@register("metrics_calibration_gap", V.with_(V.LABELLED_SCORES) + """,
+  e AS (SELECT quantile_cont(score, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS q FROM labelled),
+  b AS (SELECT len(list_filter(list_slice(q, 2, 10), lambda x: x < score)) AS bin,
+               avg(CAST(label AS DOUBLE)) AS t, avg(score) AS p FROM labelled, e WHERE score IS NOT NULL GROUP BY 1)
+  SELECT avg(abs(t - p)) AS mean_calibration_gap FROM b""")
+def q_calibration_gap(spark, sf):
+    """Mean absolute gap of the calibration curve."""
+    return S.calibration_gap(S.calibration_curve(si.labelled_scores(spark, sf), "label", "score", 10))
+
+
 # ------------------------------------------------ scoring and recommendations ----
 from voltchurn.plans import model as M  # noqa: E402
 from voltchurn.plans import recommend as RC  # noqa: E402
@@ -1048,6 +1133,22 @@ def q_customer_360(spark, sf):
     return RP.customer_360(RC.customer_financials(_recommended(spark, sf)), _C360).drop("risk_score", "expected_margin_impact")
 
 
+_FLAGGED = """ SELECT customer_id, churn_proba, expected_monthly_loss, segment FROM scored WHERE churn_pred = 1
+  ORDER BY expected_monthly_loss {} LIMIT 10"""
+
+
+@register("report_flagged_head", _SCORED + _FLAGGED.format("DESC NULLS LAST, customer_id"))
+def q_flagged_head(spark, sf):
+    """T4: the ten flagged customers with the most revenue at risk (a top-k report)."""
+    return RP.flagged_ends(_scored(spark, sf))
+
+
+@register("report_flagged_tail", _SCORED + _FLAGGED.format("ASC NULLS FIRST, customer_id DESC"))
+def q_flagged_tail(spark, sf):
+    """T4: the ten flagged customers with the least revenue at risk (a top-k report)."""
+    return RP.flagged_ends(_scored(spark, sf), tail=True)
+
+
 @register("report_seeded_sample_unclassified")
 def q_seeded_sample(spark, sf):
     """X7 + T7: repeatable spot-check sample (20 rows, hash order) of unclassified interactions."""

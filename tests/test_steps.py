@@ -12,10 +12,21 @@ def test_gold_train_score_steps(spark):
     metrics = pipeline.run_train_step(spark, f"{base}/gold", f"{base}/model", "E1_lifecycle_market",
                                       "logistic_regression")
     assert 0.0 <= metrics["roc_auc"] <= 1.0 and "threshold" in metrics
+    from voltchurn.plans import model as M
+
+    model, meta = M.load_model(f"{base}/model")
+    assert model.stages[-1].getProbabilityCol() == "calibrated"      # the calibrated pipeline is what is saved
+    again = pipeline.run_evaluate_step(spark, f"{base}/gold", f"{base}/model", f"{base}/evaluated")
+    assert all(abs(again[k] - metrics[k]) < 1e-9 for k in ("roc_auc", "pr_auc", "tp", "fp", "fn", "tn"))
+    assert again["approved"] == (again["pr_auc"] >= 0.70)
     path = pipeline.run_score_step(spark, f"{base}/gold", f"{base}/model", f"{base}/scored")
     scored = spark.read.parquet(path)
     assert scored.count() == spark.read.parquet(f"{base}/gold/gold_master").count()
     assert spark.read.parquet(f"{base}/scored/recommendations").count() == scored.count()
+    # the scores are the calibrated ones: near the churn rate on average, unlike balanced raw scores
+    gold = spark.read.parquet(f"{base}/gold/gold_master")
+    rate = gold.agg({"churn": "avg"}).first()[0]
+    assert abs(scored.agg({"churn_proba": "avg"}).first()[0] - rate) < 0.1
 
 
 def test_grid_search_by_average_precision(spark):

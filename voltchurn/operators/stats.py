@@ -442,6 +442,11 @@ def confusion_metrics(df: DataFrame, label: str, score: str, threshold, group: S
                       ((tp + tn) / (tp + fp + fn + tn)).alias("accuracy"), "threshold")
 
 
+def calibration_gap(curve: DataFrame) -> DataFrame:
+    """Mean over the bins of |observed rate - mean score|."""
+    return curve.agg(F.avg(F.abs(F.col("prob_true") - F.col("prob_pred"))).alias("mean_calibration_gap"))
+
+
 def calibration_curve(df: DataFrame, label: str, score: str, n_bins: int = 10) -> DataFrame:
     """Equal-frequency calibration bins: mean label and mean score per non-empty bin.
 

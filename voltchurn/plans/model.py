@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -160,36 +160,47 @@ def class_weights(df: DataFrame, label: str = "churn", col: str = "weight") -> D
 
 
 def estimator(name: str, label: str = "churn", seed: int = 42, **params):
-    """M4: model catalogue (MLlib)."""
+    """M4: model catalogue (MLlib), with the reference's sizes unless ``params`` says otherwise."""
     if name == "logistic_regression":
-        return LogisticRegression(labelCol=label, weightCol="weight", maxIter=params.get("maxIter", 100),
+        return LogisticRegression(labelCol=label, weightCol="weight", maxIter=params.get("maxIter", 1000),
                                   regParam=params.get("regParam", 0.0))
     if name == "random_forest":
         return RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=params.get("numTrees", 300),
                                       maxDepth=params.get("maxDepth", 8), seed=seed)
     if name == "gbt":
-        return GBTClassifier(labelCol=label, weightCol="weight", maxIter=params.get("maxIter", 100),
-                             maxDepth=params.get("maxDepth", 3), stepSize=params.get("stepSize", 0.1),
+        return GBTClassifier(labelCol=label, weightCol="weight", maxIter=params.get("maxIter", 600),
+                             maxDepth=params.get("maxDepth", 3), stepSize=params.get("stepSize", 0.02),
                              subsamplingRate=params.get("subsamplingRate", 0.8), seed=seed)
     raise ValueError(f"Unknown model: {name}")
 
 
 def fit(train: DataFrame, features: Sequence[str], model_name: str = "gbt", label: str = "churn",
         **params) -> PipelineModel:
-    """Fit preprocessing + estimator on the training rows."""
+    """Fit preprocessing + estimator on the training rows.
+
+    Logistic regression takes the ridge penalty of C = 1 (regParam = 1 / rows).
+    """
     # iterative estimators re-read their input many times: materialise it once
     tr = cut_lineage(class_weights(fill_missing_strings(train, features), label)
                      .withColumn(label, F.col(label).cast("double")))
+    if model_name == "logistic_regression" and "regParam" not in params:
+        params["regParam"] = 1.0 / max(tr.count(), 1)
     pipe = Pipeline(stages=preprocessing_stages(tr, features, scale_numeric=model_name == "logistic_regression")
                     + [estimator(model_name, label, **params)])
     return pipe.fit(tr)
 
 
+def _transformed(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return model.transform(fill_missing_strings(df, features).withColumn("weight", F.lit(1.0)))
+
+
 def predict_proba(model: PipelineModel, df: DataFrame, features: Sequence[str], out: str = "proba") -> DataFrame:
-    """Positive-class probability as a double column (model output columns dropped)."""
-    keep = df.columns
-    scored = model.transform(fill_missing_strings(df, features).withColumn("weight", F.lit(1.0)))
-    return scored.select(*[F.col(c) for c in keep], vector_to_array("probability")[1].alias(out))
+    """Positive-class probability as a double column (model output columns dropped).
+
+    A calibrated model (``with_calibrator``) gives its calibrated probability.
+    """
+    column = model.stages[-1].getProbabilityCol()
+    return _transformed(model, df, features).select(*[F.col(c) for c in df.columns], vector_to_array(column)[1].alias(out))
 
 
 def baseline_scores(df: DataFrame, train: DataFrame, strategy: str = "most_frequent", label: str = "churn",
@@ -199,22 +210,24 @@ def baseline_scores(df: DataFrame, train: DataFrame, strategy: str = "most_frequ
     j = attach_scalar(df, prior)
     if strategy == "most_frequent":
         return j.withColumn(out, F.when(F.col("_prior") > 0.5, 1.0).otherwise(0.0)).drop("_prior")
-    return j.withColumn(out, (F.rand(seed) < F.col("_prior")).cast("double")).drop("_prior")
+    # a uniform draw per key, the same however the rows are partitioned
+    draw = F.pmod(F.xxhash64(F.col(KEY).cast("string"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    return j.withColumn(out, (draw < F.col("_prior")).cast("double")).drop("_prior")
 
 
 # ---------------------------------------------------------------- M6 ----
 
-def platt_fit(val_scored: DataFrame, label: str = "churn", score: str = "proba"):
-    """M6: sigmoid calibration: a 1-feature logistic regression on the raw score."""
-    va = VectorAssembler(inputCols=[score], outputCol="_s")
-    lr = LogisticRegression(featuresCol="_s", labelCol=label, regParam=0.0, maxIter=100,
-                            predictionCol="_pp", probabilityCol="_prob", rawPredictionCol="_raw")
-    return Pipeline(stages=[va, lr]).fit(val_scored.withColumn(label, F.col(label).cast("double")))
+def calibrator_stages(val_transformed: DataFrame, label: str = "churn") -> list:
+    """M6: fitted sigmoid calibration of ``probability``: slice its positive part, one-feature logistic regression."""
+    pick = VectorSlicer(inputCol="probability", outputCol="_score", indices=[1])
+    lr = LogisticRegression(featuresCol="_score", labelCol=label, regParam=0.0, maxIter=100, predictionCol="_cal_pred",
+                            probabilityCol="calibrated", rawPredictionCol="_cal_raw")
+    return Pipeline(stages=[pick, lr]).fit(val_transformed.withColumn(label, F.col(label).cast("double"))).stages
 
 
-def platt_apply(calib: PipelineModel, df: DataFrame, score: str = "proba", out: str = "proba_cal") -> DataFrame:
-    keep = df.columns
-    return calib.transform(df).select(*keep, vector_to_array("_prob")[1].alias(out))
+def with_calibrator(model: PipelineModel, stages: Sequence) -> PipelineModel:
+    """One pipeline of preprocessing, model and calibration, to be saved and scored as a whole."""
+    return PipelineModel(stages=[*model.stages, *stages])
 
 
 # ---------------------------------------------------------------- M8/M9 ----
@@ -228,23 +241,27 @@ def evaluate(scored: DataFrame, threshold, label: str = "churn", score: str = "p
 
 def run_experiment(train: DataFrame, test: DataFrame, features: Sequence[str], model_name: str = "gbt",
                    label: str = "churn", target_recall: float = TARGET_RECALL, seed: int = 42, **params) -> dict:
-    """M9: fit on train; calibrate on a stratified 25 % validation part; pick the threshold on
-    validation scores of a model fitted without it; evaluate raw test scores at that threshold.
+    """M9: fit on train; calibrate and pick the threshold on rows held out of a fit; evaluate on test.
 
-    Returns fitted models and small result DataFrames (nothing collected).
+    A model fitted without a stratified 25 % validation part scores that part;
+    those scores fit the calibrator and, calibrated, give the threshold.  The
+    model fitted on all of train with that calibrator behind it is what is
+    evaluated, returned and saved.  Returns fitted pipelines and small result
+    DataFrames (nothing collected).
     """
-    model = fit(train, features, model_name, label, **params)
-    parts = stratified_split(train, label, 0.25, seed, col="_is_val")
+    parts = cut_lineage(stratified_split(train, label, 0.25, seed, col="_is_val"))
     sub, val = parts.filter(~F.col("_is_val")).drop("_is_val"), parts.filter("_is_val").drop("_is_val")
-    val = cut_lineage(val)
-    val_scored_full = cut_lineage(predict_proba(model, val, features))
-    calib = platt_fit(val_scored_full, label)
     sub_model = fit(sub, features, model_name, label, **params)
-    val_scored = cut_lineage(predict_proba(sub_model, val, features))
+    held = cut_lineage(_transformed(sub_model, val, features).select(label, "probability"))
+    stages = calibrator_stages(held, label)
+    val_scored = cut_lineage(predict_proba(with_calibrator(sub_model, stages), val, features))
     thr = pick_threshold(val_scored, label, "proba", target_recall)
+    raw = fit(train, features, model_name, label, **params)
+    model = with_calibrator(raw, stages)
     test_scored = cut_lineage(attach_scalar(predict_proba(model, test, features), thr.select("threshold")))
     metrics = evaluate(test_scored, F.col("threshold"), label)
-    return {"model": model, "calibrator": calib, "threshold": thr, "metrics": metrics, "model_name": model_name}
+    return {"model": model, "uncalibrated": raw, "threshold": thr, "metrics": metrics, "model_name": model_name,
+            "test_scored": test_scored}
 
 
 # ---------------------------------------------------------------- M13/M14 ----
@@ -306,7 +323,7 @@ def feature_importance(model: PipelineModel, sample: DataFrame, features: Sequen
     Names come from the assembled vector's ML attributes; the result is a
     small DataFrame (one row per encoded feature).
     """
-    last = model.stages[-1]
+    last = [st for st in model.stages if st.hasParam("featuresCol") and st.getFeaturesCol() == "features"][-1]
     out = model.transform(fill_missing_strings(sample.limit(1), features).withColumn("weight", F.lit(1.0)))
     attrs = out.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
     names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
@@ -341,6 +358,11 @@ def champion(versions: DataFrame) -> DataFrame:
     return versions.filter(F.col("status") == "Approved").orderBy(F.desc("created_at"), F.desc("version")).limit(1)
 
 
+def newest_versions(versions: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` newest model versions, newest first (a top-k list)."""
+    return versions.orderBy(F.desc("created_at"), F.desc("version")).limit(n)
+
+
 def promotion_decision(metrics: DataFrame, min_ap: float = 0.70) -> DataFrame:
     """Approve when AP >= ``min_ap``."""
     return metrics.select("pr_auc", "roc_auc", (F.col("pr_auc") >= min_ap).alias("approved"),
@@ -404,13 +426,16 @@ def experiment_ladder(train: DataFrame, test: DataFrame, experiments: dict, mode
                       label: str = "churn", target_recall: float = TARGET_RECALL) -> DataFrame:
     """M10 + U2 + T9: every (feature set, model) pair -> one metrics row, best AP first.
 
-    The loop is over configurations (a handful), each a distributed fit;
-    no data passes through the driver.
+    Tree models take the features without the cross strings, as in training.
+    The loop is over configurations (a handful), each a distributed fit; no
+    data passes through the driver.
     """
+    from voltchurn.plans.features import tree_feature_list
+
     out = None
     for exp_name, feats in experiments.items():
         for m in models:
-            use = feats if m == "logistic_regression" else [f for f in feats if "_x_" not in f]
+            use = feats if m == "logistic_regression" else tree_feature_list(feats)
             res = run_experiment(train, test, use, m, label, target_recall)
             row = res["metrics"].select(F.lit(exp_name).alias("experiment"), F.lit(m).alias("model"), "*")
             out = row if out is None else out.unionByName(row)

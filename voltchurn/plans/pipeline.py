@@ -121,8 +121,28 @@ def run_train_step(spark, gold_dir: str, model_dir: str, experiment: str = "E5_f
     return metrics
 
 
+def run_evaluate_step(spark, gold_dir: str, model_dir: str, out_dir: str, min_ap: float = 0.70) -> dict:
+    """Reload the saved model, evaluate it on the holdout that training left out, write the decision.
+
+    The holdout is derived again from the keys (``stratified_split`` depends on
+    nothing else), so it is the one the train step used.
+    """
+    from pyspark.sql import functions as F
+
+    from voltchurn.plans import model as M
+
+    g = spark.read.parquet(f"{gold_dir.rstrip('/')}/gold_master")
+    model, meta = M.load_model(model_dir)
+    feats = meta["features"]
+    test = M.stratified_split(M.model_matrix(g, feats), "churn", 0.2, 42).filter("is_test").drop("is_test")
+    scored = cut_lineage(M.predict_proba(model, test, feats))
+    metrics = M.evaluate(scored, F.lit(float(meta["threshold"])), "churn")
+    write_layers({"decision": M.promotion_decision(metrics, min_ap)}, out_dir)
+    return {**metrics.first().asDict(), **spark.read.parquet(f"{out_dir.rstrip('/')}/decision").first().asDict()}
+
+
 def run_score_step(spark, gold_dir: str, model_dir: str, out_dir: str) -> str:
-    """Gold + saved model -> scored table and recommendations (parquet)."""
+    """Gold + saved (calibrated) model -> scored table and recommendations (parquet)."""
     from voltchurn.plans import model as M
     from voltchurn.plans import recommend as RC
 

@@ -186,6 +186,25 @@ def worst_months(scm: DataFrame, n: int = 20) -> DataFrame:
     return scm.select(KEY, "month", "total_margin").orderBy("total_margin", KEY, "month").limit(n)
 
 
+def worst_segment_months(scm: DataFrame, sc: DataFrame, segment: str = "Corporate", n: int = 12) -> DataFrame:
+    """The ``n`` months with the lowest total margin of one segment."""
+    own = scm.join(sc.filter(F.col("segment") == segment).select(KEY), KEY)
+    return own.groupBy("month").agg(F.sum("total_margin").alias("total_margin")).orderBy("total_margin", "month").limit(n)
+
+
+def flagged_ends(scored: DataFrame, n: int = 10, tail: bool = False) -> DataFrame:
+    """T4: the ``n`` flagged customers with the most (``tail``: the least) expected loss."""
+    loss = F.col("expected_monthly_loss")
+    order = [loss.asc_nulls_first(), F.desc(KEY)] if tail else [loss.desc_nulls_last(), F.asc(KEY)]
+    return scored.filter(F.col("churn_pred") == 1).select(KEY, "churn_proba", "expected_monthly_loss", "segment").orderBy(*order).limit(n)
+
+
+def extreme_texts(sc: DataFrame, by: str = "sentiment_neg", n: int = 50) -> DataFrame:
+    """T5: the ``n`` labelled interactions with the highest ``by`` score (ties by customer)."""
+    cols = [KEY, "interaction_summary", "sentiment_label", "sentiment_neg", "sentiment_neu", "sentiment_pos"]
+    return sc.filter(F.col("sentiment_label").isNotNull()).select(*cols).orderBy(F.desc(by), KEY).limit(n)
+
+
 def margin_per_kwh(scm: DataFrame, sc: DataFrame, segment: str = "Corporate") -> DataFrame:
     """F22 + J10 + P16: margin per kWh of one segment's months that used electricity."""
     j = scm.join(sc.select(KEY, "segment"), KEY).filter(
