@@ -97,7 +97,8 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
     Vectors of another length than the most common one take no part, nor do
     null ids.  Of rows that repeat an id the one of the least vector hash does.
     """
-    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    kind = "array<float>" if dict(vectors.dtypes)[vector_col] == "array<float>" else "array<double>"
+    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v"))
     src = src.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).where(~_bad(F.col("v"))) \
         .where(F.exists("v", lambda x: x != 0))
     sizes = src.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
@@ -107,7 +108,8 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
 
 
 def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    flat = batch.column(name).flatten().to_numpy(zero_copy_only=False)
+    """The vectors of a batch, in double precision (they travel as they were stored)."""
+    flat = batch.column(name).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 1))
 
 
@@ -131,6 +133,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, tree
     spark = vectors.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = valid_vectors(vectors, id_col, vector_col)
+    kind = dict(rows.dtypes)["v"]
     place = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     smallest = rows.withColumn("place", place).where(F.col("place") <= k + 1)
     distinct = smallest.groupBy("v").agg(F.min("id").alias("id"), F.array_sort(F.collect_list("id")).alias("ids"))
@@ -152,7 +155,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, tree
                     [pa.array(np.full(len(x), t), pa.int32()), pa.array(tree.leaves(x) if len(x) else [], pa.int64()),
                      batch.column("id"), batch.column("v"), batch.column("ids")], ["tree", "leaf", "id", "v", "ids"])
 
-    placed = distinct.select("id", "v", "ids").mapInArrow(assign, "tree int, leaf long, id long, v array<double>, ids array<long>")
+    placed = distinct.select("id", "v", "ids").mapInArrow(assign, f"tree int, leaf long, id long, v {kind}, ids array<long>")
     population = [np.zeros(1 << depth, dtype=np.int64) for _ in range(trees)]
     for r in placed.groupBy("tree", "leaf").count().collect():      # trees * 2^depth rows at most
         population[r["tree"]][r["leaf"]] = r["count"]
@@ -172,7 +175,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, tree
                  batch.column("v").take(pa.array(q, pa.int64())), pa.array(leaves, pa.list_(pa.int64()))],
                 ["tree", "subtree", "id", "v", "leaves"])
 
-    wanted = asked.select("id", "v").mapInArrow(walk, "tree int, subtree long, id long, v array<double>, leaves array<long>")
+    wanted = asked.select("id", "v").mapInArrow(walk, f"tree int, subtree long, id long, v {kind}, leaves array<long>")
     # how many blocks each subtree's rows are cut into: at most trees * 2^top rows
     sums = [p.reshape(1 << top, -1).sum(axis=1) for p in population]
     blocks = spark.createDataFrame([(t, k, max(1, -(-int(n) // BLOCK_ROWS))) for t, p in enumerate(sums) for k, n in enumerate(p)],
