@@ -27,7 +27,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """
     both = saved(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(),
                  f"{name}-edges")
-    labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), f"{name}-labels")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label"))
     while True:
         of = labels.select(F.col("node").alias("b"), F.col("label").alias("near"))
         near = both.join(of, "b").select(F.col("a").alias("node"), "near")

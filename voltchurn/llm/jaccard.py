@@ -9,18 +9,19 @@ threshold are boundary documents of the pivot's region and stay together with
 it, the others cannot link into it.  What remains forms regions again, under a
 new hash, with more pivots.
 
-Regions come from keys that linked sets must share.  Block keys: similar sets
-differ in few elements, so of one block more than that many, cut by hash, at
-least one is the same in both (sizes are cut into classes first, as similar
-sets have similar sizes).  Prefix keys: in any one order of all shingles, the
-first elements of similar sets meet.  Block keys are the more selective, prefix
-keys are fewer where the threshold is low.  Both leave shingles that very many
-documents share to the end; large regions are formed anew by prefix keys in
-the exact order of the shingles' frequency among the documents left.
+Regions come from block keys that linked sets must share: similar sets differ
+in few elements, so of one block more than that many, cut by hash, at least one
+is the same in both (sizes are cut into classes first, as similar sets have
+similar sizes).  Shingles that very many documents share are left out of the
+blocks (this can only lessen the differences); sets with too many empty blocks
+then use blocks over their whole set.  Regions that come out large are formed
+anew by prefix keys: in the order of the shingles' exact frequency among the
+documents left, rarest first, the first elements of similar sets meet.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -34,10 +35,8 @@ from voltchurn.llm.lines import LAST_ID
 from voltchurn.llm.vocab import span_hashes
 
 BATCH_BYTES = 1 << 20
-SPARE_BLOCKS = 2              # blocks that may be empty in both of a pair
-SCHEMES = ("blocks", "prefix")
 LOCAL_DOCS = 256              # regions up to this size are joined in one task
-FIRST_PIVOTS = 16             # per large region; times PIVOT_GROWTH with every level
+FIRST_PIVOTS = 256             # per large region; times PIVOT_GROWTH with every level
 PIVOT_GROWTH = 8
 FREQUENT_SHARE = 0.002        # of a batch's documents, 4 at least, to be counted as frequent
 FREQUENT_KEPT = 1 << 17       # the most frequent shingles, left to the end of every order
@@ -88,6 +87,14 @@ def _slices(texts: list[bytes]):
         yield texts[lo:]
 
 
+def _offsets(texts: list[bytes]):
+    """The slices of ``texts`` with the place of their first text."""
+    at = 0
+    for part in _slices(texts):
+        yield at, part
+        at += len(part)
+
+
 def shingle_sets(texts: list[bytes], words: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, sizes): each text's distinct shingles as ascending 64-bit hashes.
 
@@ -153,14 +160,34 @@ def _class_limits(upto: int) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
+@lru_cache(maxsize=256)
+def _scheme(t: Threshold, smallest: int, largest: int) -> tuple[int, int]:
+    """(blocks, spare ones) for sets of these sizes; none where only equal sets link.
+
+    Spare blocks: about as many as a set of the smallest size leaves empty by
+    chance, three deviations more, and two.
+    """
+    needed = t.blocks(largest)
+    if needed == 1:
+        return 0, 0
+    spare = 2
+    while True:
+        expected = (needed + spare) * math.exp(-smallest / (needed + spare))
+        wanted = math.ceil(expected + 3 * math.sqrt(expected)) + 2
+        if wanted <= spare or spare >= needed:
+            return needed + spare, spare
+        spare += 1
+
+
 def block_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: Threshold) -> list[np.ndarray]:
     """Signature keys of every set; linked sets that differ share one at least.
 
     A set takes part in the scheme of its size class, and in the next ones that
-    a partner can be in.  Keys of scheme c: one per block over the set
-    without ``frequent``; sets with more than SPARE_BLOCKS empty blocks also
-    have one per block over the whole set (and over its empty blocks, if those
-    are more than SPARE_BLOCKS too).
+    a partner can be in.  Every scheme has some blocks to spare, which may be
+    empty in both of a pair.  Keys of a scheme: one per block over the set
+    without ``frequent``; sets with more empty blocks than are spare also have
+    one per block over the whole set (and over its empty blocks, if those are
+    too many again).
     """
     keys: list[list[np.ndarray]] = [[] for _ in sizes]
     if not len(hashes):
@@ -180,8 +207,9 @@ def block_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: T
     for part in range(int((upper - own).max()) + 1):
         scheme = own + part
         docs = np.nonzero((sizes > 0) & (scheme <= upper))[0]
-        m = np.array([t.blocks(int(limits[c + 1] - 1)) for c in scheme[docs]], dtype=np.int64)
-        docs, m = docs[m > 1], m[m > 1] + SPARE_BLOCKS      # one block: only equal sets link
+        sizing = [_scheme(t, int(limits[c]), int(limits[c + 1] - 1)) for c in scheme[docs]]
+        m, spare = np.array(sizing, dtype=np.int64).reshape(-1, 2).T
+        docs, m, spare = docs[m > 0], m[m > 0], spare[m > 0]
         if not len(docs):
             continue
         n = sizes[docs]
@@ -204,10 +232,10 @@ def block_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: T
         count, sig = signatures(elem[keep], block[keep], 0)
         empty = np.bincount(doc_of, weights=count == 0, minlength=len(docs))
         use = [(count > 0, sig)]
-        sparse = empty > SPARE_BLOCKS
+        sparse = empty > spare
         if sparse.any():
             whole_count, whole = signatures(elem, block, 1)
-            bare = np.bincount(doc_of, weights=whole_count == 0, minlength=len(docs)) > SPARE_BLOCKS
+            bare = np.bincount(doc_of, weights=whole_count == 0, minlength=len(docs)) > spare
             use.append((sparse[doc_of] & ((whole_count > 0) | bare[doc_of]), whole))
         for mask, s in use:
             picked = s[mask].view(np.int64)
@@ -219,34 +247,6 @@ def block_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: T
     return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in keys]
 
 
-def prefix_keys(hashes: np.ndarray, sizes: np.ndarray, frequent: np.ndarray, t: Threshold) -> list[np.ndarray]:
-    """The first elements of every set, ``frequent`` ones last, else by hash.
-
-    Keys hold the size class too (powers of two): its own, and those above
-    that a partner can be in.
-    """
-    keys: list[list[np.ndarray]] = [[] for _ in sizes]
-    if not len(hashes):
-        return [np.zeros(0, np.int64) for _ in sizes]
-    late = np.zeros(len(hashes), dtype=bool)
-    if len(frequent):
-        late = frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] == hashes
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((hashes, late, owner))
-    place = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    need = np.where(sizes > 0, t.prefix(sizes), 0)
-    picked = hashes[order][place < np.repeat(need, sizes)]
-    ends = np.cumsum(need)
-    own = np.log2(np.maximum(sizes, 1)).astype(np.int64)
-    upper = np.log2(np.maximum(t.largest_partner(sizes), 1)).astype(np.int64)
-    for part in range(int((upper - own).max()) + 1):
-        scheme = np.repeat((own + part + 1).astype(np.uint64), need)
-        named = _mix(picked ^ (scheme << np.uint64(56)), 4000).view(np.int64)
-        for d in np.nonzero((sizes > 0) & (own + part <= upper))[0].tolist():
-            keys[d].append(named[ends[d] - need[d]:ends[d]])
-    return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in keys]
-
-
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [(t or "").encode("utf-8", "replace") for t in batch.column("text").to_pylist()]
 
@@ -258,20 +258,19 @@ def _set_ids(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return _mix(acc[ends] - acc[ends - sizes] + sizes.astype(np.uint64), 6).view(np.int64)
 
 
-def frequent_shingles(docs: DataFrame, words: int, scheme: str) -> np.ndarray:
+def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
     """The shingles most documents share (ascending), counted over all of them.
 
     Every batch counts its own documents' shingles and reports those in at
-    least FREQUENT_SHARE of them (prefix keys, which a rarer shingle misleads:
-    in two or more); sums of the reports rank them.  At most FREQUENT_KEPT
-    reach the driver.  Which shingles these are bears on cost
+    least FREQUENT_SHARE of them; sums of the reports rank them.  At most
+    FREQUENT_KEPT reach the driver.  Which shingles these are bears on cost
     alone, not on results.
     """
     def count(batches):
         for batch in batches:
             hashes, sizes = shingle_sets(_texts(batch), words)
             h, n = np.unique(hashes, return_counts=True)
-            often = n >= (2 if scheme == "prefix" else max(4, FREQUENT_SHARE * len(sizes)))
+            often = n >= max(4, FREQUENT_SHARE * len(sizes))
             yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64), pa.int64()), pa.array(n[often], pa.int64())], ["h", "n"])
 
     rows = (docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
@@ -279,7 +278,7 @@ def frequent_shingles(docs: DataFrame, words: int, scheme: str) -> np.ndarray:
     return np.sort(rows["h"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
-def _signed(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int, scheme: str) -> DataFrame:
+def _signed(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int) -> DataFrame:
     """(id, text_hash, n, s1, keys) of every document (id, text): size of its
     set, digest of its set, and its keys.  Of equal sets in a partition one has
     the keys."""
@@ -290,7 +289,7 @@ def _signed(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int, sch
             for texts in _slices(_texts(batch)):
                 hashes, sizes = shingle_sets(texts, words)
                 s1 = _set_ids(hashes, sizes)
-                own = prefix_keys(hashes, sizes, frequent, t) if scheme == "prefix" else block_keys(hashes, sizes, frequent, t)
+                own = block_keys(hashes, sizes, frequent, t)
                 for i, s in enumerate(s1.tolist()):
                     keys.append(own[i][:0] if s in seen else own[i])
                     seen.add(s)
@@ -323,20 +322,27 @@ def _regions(postings: DataFrame, name: str) -> DataFrame:
 
 
 def _regions_by_frequency(open_docs: DataFrame, t: Threshold, words: int) -> DataFrame:
-    """Regions of open documents by prefix keys, rarest shingle among them first."""
+    """Regions of open documents by prefix keys, rarest shingle among them first.
+
+    Shingles of one document alone come first in every order and meet nothing;
+    only the others are ranked, behind as many places.
+    """
     def run(batches):
         for batch in batches:
-            hashes, sizes = shingle_sets(_texts(batch), words)
-            ids = np.repeat(batch.column("id").to_numpy(), sizes)
-            need = np.repeat(t.prefix(sizes), sizes)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(need, pa.int64()), pa.array(hashes.view(np.int64), pa.int64())], ["node", "need", "key"])
+            for at, texts in _offsets(_texts(batch)):
+                hashes, sizes = shingle_sets(texts, words)
+                ids = np.repeat(batch.column("id").to_numpy()[at:at + len(texts)], sizes)
+                last = np.repeat(t.prefix(sizes) - sizes, sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, pa.int64()), pa.array(last, pa.int64()), pa.array(hashes.view(np.int64), pa.int64())], ["node", "last", "key"])
 
-    found = open_docs.select("id", "text").mapInArrow(run, "node long, need long, key long").distinct()
-    frequency = found.groupBy("key").agg(F.count("*").alias("df"))
-    place = F.row_number().over(Window.partitionBy("node").orderBy("df", "key"))
-    postings = found.join(frequency, "key").withColumn("place", place).where(F.col("place") <= F.col("need"))
-    return saved(_regions(postings.where("df > 1").select("node", "key"), "jaccard-regions"), "jaccard-regions")
+    found = open_docs.select("id", "text").mapInArrow(run, "node long, last long, key long")
+    frequency = found.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("df")).where("lo < hi")
+    mine = Window.partitionBy("node")
+    shared = found.join(frequency.select("key", "df"), "key") \
+        .withColumn("place", F.dense_rank().over(mine.orderBy("df", "key"))).withColumn("shared", F.max("place").over(mine))
+    # place among all = place + (size - shared), to be at most the prefix
+    return _regions(shared.where(F.col("place") - F.col("shared") <= F.col("last")).select("node", "key").distinct(), "jaccard-regions")
 
 
 class _Sets:
@@ -473,59 +479,67 @@ def _measure(members: DataFrame, pivots: DataFrame, t: Threshold, words: int) ->
         .mapInArrow(run, "id long, pivot long, linked boolean")
 
 
-def jaccard_links(docs: DataFrame, t: Threshold, words: int, scheme: str = "blocks") -> tuple[DataFrame, DataFrame, DataFrame]:
+def jaccard_links(docs: DataFrame, t: Threshold, words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sets, representatives, links) of documents (id, text).
 
-    sets: id, text_hash, n and s1 of every document; representatives: s1 and the smallest
-    id (rep) of every distinct set; links: pairs (a, b) of representatives at
-    the threshold or above, enough of them to connect what all such links
-    connect.
+    sets: id, text_hash, n and s1 of every document; representatives: s1 and
+    the smallest id (rep) of every distinct set; links: pairs (a, b) of sets
+    (by s1) at the threshold or above, enough of them to connect what all such
+    links connect.
     """
-    if scheme not in SCHEMES:
-        raise ValueError(f"scheme must be one of {SCHEMES}")
-    sets = saved(_signed(docs, frequent_shingles(docs, words, scheme), t, words, scheme), "jaccard-sets")
+    signed = _signed(docs, frequent_shingles(docs, words), t, words)
+    sets = saved(signed.drop("keys"), "jaccard-sets")       # the keys go straight to their shuffle, not to disk twice
     reps = sets.where("n > 0").groupBy("s1").agg(F.min("id").alias("rep"))
-    regions = _regions(sets.select(F.col("s1").alias("node"), F.explode("keys").alias("key")), "jaccard-regions")
+    regions = _regions(signed.select(F.col("s1").alias("node"), F.explode("keys").alias("key")), "jaccard-regions")
     chosen = regions.join(reps, F.col("node") == F.col("s1")).select("region", "members", F.col("rep").alias("id"), "s1")
     members = saved(_one_text_each(docs.join(chosen, "id"), words), "jaccard-members")
-    links = saved(_local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words), "jaccard-links")
-    # large regions: formed anew by frequency before every other level of pivots; what their
-    # links connect is kept as labels, apart from the small regions' links
+    links = _local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words)
+    # large regions: formed anew by frequency, then levels of pivots; what their links connect is
+    # kept as labels, apart from the small regions' links
     open_docs, labels, level = members.where(F.col("members") > LOCAL_DOCS), None, 0
-    while open_docs.limit(1).count():
-        if level % 2 == 0:
+    while largest := open_docs.agg(F.max("members")).first()[0]:
+        pivots = FIRST_PIVOTS * PIVOT_GROWTH**level
+        if level % 3 == 0:
             regions = _regions_by_frequency(open_docs, t, words).withColumnRenamed("node", "id")
             members = saved(open_docs.drop("region", "members").join(regions, "id").select("region", "members", "id", "text"), "jaccard-members")
-            small = _local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words)
-            links = saved(links.unionByName(small), "jaccard-links")
+            links = links.unionByName(_local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words))
             open_docs = members.where(F.col("members") > LOCAL_DOCS)
-            if not open_docs.limit(1).count():
+            largest = open_docs.agg(F.max("members")).first()[0]
+            if not largest:
                 break
-        labels, open_docs = _pivot_level(open_docs, labels, FIRST_PIVOTS * PIVOT_GROWTH**level, t, words)
+        if largest <= pivots:                          # every document can be a pivot: all links at once
+            links = links.unionByName(_measure_all(open_docs, t, words))
+            break
+        labels, open_docs = _pivot_level(open_docs, labels, pivots, t, words)
         level += 1
     if labels is not None:
         links = links.unionByName(labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
-    return sets.select("id", "text_hash", "n", "s1"), reps, links
+    return sets, reps, links
 
 
 def _one_text_each(members: DataFrame, words: int) -> DataFrame:
-    """Rows whose text has the set s1 looked for; repeated ids may not."""
-    names = ["region", "members", "id", "text"]
-
+    """Rows whose text has the set s1 looked for (repeated ids may not), named by s1."""
     def run(batches):
         for batch in batches:
             same = _set_ids(*shingle_sets(_texts(batch), words)) == batch.column("s1").to_numpy()
-            yield batch.select(names).filter(pa.array(same))
+            rows = pa.RecordBatch.from_arrays([batch.column(c) for c in ("region", "members", "s1", "text")], ["region", "members", "id", "text"])
+            yield rows.filter(pa.array(same))
 
     return members.mapInArrow(run, "region long, members long, id long, text string")
 
 
+def _measure_all(members: DataFrame, t: Threshold, words: int) -> DataFrame:
+    """Links (a, b) that connect regions whose documents can all be pivots."""
+    rows = members.withColumn("label", F.lit(0).cast("long"))        # one label: boundaries need no naming
+    return _measure(rows, rows, t, words).where("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+
+
 def _pivot_level(members: DataFrame, labels: DataFrame | None, pivots: int, t: Threshold, words: int) -> tuple[DataFrame, DataFrame]:
     """One level over large regions: (labels, documents still open).
 
     ``labels`` (node, label) say what the links found so far connect; those
-    returned add this level's.  Half of a region's pivots come from documents in a
-    component already, half from the others.
+    returned add this level's.  A region's pivots are ``pivots`` documents in no
+    component yet and a quarter as many of the others.
     """
     if labels is None:
         known = members.withColumn("found", F.lit(None).cast("long"))
@@ -534,7 +548,7 @@ def _pivot_level(members: DataFrame, labels: DataFrame | None, pivots: int, t: T
     known = known.withColumn("label", F.coalesce("found", "id"))
     order = Window.partitionBy("region", F.col("found").isNull()).orderBy(F.xxhash64("id"), "id")
     chosen = known.select("region", "id", "found").distinct().withColumn("turn", F.row_number().over(order)) \
-        .where(F.col("turn") <= pivots // 2).select("id")
+        .where(F.col("turn") <= F.when(F.col("found").isNull(), pivots).otherwise(pivots // 4)).select("id")
     chosen = saved(chosen, "jaccard-pivots")
     near = saved(_measure(known, known.join(chosen, "id").dropDuplicates(["id"]), t, words).distinct(), "jaccard-near")
     found = near.where("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
@@ -553,17 +567,18 @@ def _pivot_level(members: DataFrame, labels: DataFrame | None, pivots: int, t: T
     return labels, saved(left.join(apart, "region", "left_semi"), "jaccard-open")
 
 
-def _grouped(docs: DataFrame, num: int, den: int, words: int, scheme: str, id_col: str, text_col: str) -> DataFrame:
+def _grouped(docs: DataFrame, num: int, den: int, words: int, id_col: str, text_col: str) -> DataFrame:
     """(id, text_hash, n, component) of every row of ``docs``."""
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets, reps, links = jaccard_links(src, Threshold(num, den), words, scheme)
+    sets, reps, links = jaccard_links(src, Threshold(num, den), words)
     labels = components(links, "jaccard-final")
-    named = reps.join(labels, F.col("rep") == F.col("node"), "left").select("s1", F.coalesce("label", "rep").alias("component"))
+    linked = reps.join(labels, F.col("s1") == F.col("node"), "left").select("s1", "rep", F.coalesce("label", "s1").alias("label"))
+    named = linked.join(linked.groupBy("label").agg(F.min("rep").alias("component")), "label").select("s1", "component")
     return sets.join(named, "s1", "left") \
         .select("id", "text_hash", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
 
 
-def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, words: int = 3, scheme: str = "blocks",
+def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, words: int = 3,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``.
 
@@ -573,15 +588,14 @@ def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, words: in
     words (null, empty, white space) link with nothing.  Rows that repeat an id
     are documents of their own; a null id comes after all others and shows as
     null.  Equal sets are one representative throughout, so copies are never
-    paired with each other.  ``scheme`` names the keys of the first regions; it
-    bears on cost alone.
+    paired with each other.
     """
-    out = _grouped(docs, num, den, words, scheme, id_col, text_col)
+    out = _grouped(docs, num, den, words, id_col, text_col)
     shown = lambda c: F.when(c != LAST_ID, c)
     return out.select(shown(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), shown(F.col("component")).alias("component_id"))
 
 
-def keep_one_of_each(docs: DataFrame, num: int = 80, den: int = 100, words: int = 5, scheme: str = "prefix",
+def keep_one_of_each(docs: DataFrame, num: int = 80, den: int = 100, words: int = 5,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of every group of linked documents: that of the
     smallest id (of rows that share it, the one of the least text hash).
@@ -591,7 +605,7 @@ def keep_one_of_each(docs: DataFrame, num: int = 80, den: int = 100, words: int
     """
     has_words = F.col("n") > 0
     apart = F.when(has_words, F.lit(0)).otherwise(F.col("text_hash"))     # texts without words group by id and text
-    chosen = _grouped(docs, num, den, words, scheme, id_col, text_col) \
+    chosen = _grouped(docs, num, den, words, id_col, text_col) \
         .groupBy(has_words.alias("has_words"), "component", apart.alias("apart")).agg(F.min(F.struct("id", "text_hash")).alias("first")) \
         .select(F.col("first.id").alias("id"), F.col("first.text_hash").alias("text_hash"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
