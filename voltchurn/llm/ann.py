@@ -140,7 +140,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, tree
     total = distinct.count()
     asked = rows.join(queries.select(F.col(id_col).cast("long").alias("id")).distinct(), "id")
     sample = distinct.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toArrow()
-    points = np.array(sample.column("v").to_pylist(), dtype=np.float64).reshape(sample.num_rows, -1)
+    points = np.array(sample.column("v").to_pylist() or np.zeros((0, 1)), dtype=np.float64)
     depth = max(0, min(round(math.log2(max(total, 1) / leaf_rows)), int(math.log2(max(sample.num_rows, 1) / 4))))
     top = min(depth, max(0, math.ceil(math.log2(max(total, 1) / BLOCK_ROWS))))
     inside = depth - top                        # levels below the subtree that rows and queries meet in

@@ -187,7 +187,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
         room = most - chance
         score = np.where(room > 0, (both - chance) / np.where(room > 0, room, 1.0), both >= most)
         total += n * float(np.clip(score, 0.0, 1.0).max())
-    return total / float(bits_a.sum())
+    return float(total / bits_a.sum())
 
 
 def render(chain: np.ndarray) -> str:

@@ -146,12 +146,14 @@ def text_exponents(items: Column, text_change_rate: float) -> Column:
     """Adds ``exponent``: -log10 of a bound on the chance that text changes
     character class (digit, upper, lower, other) as often as the ``token``.
 
+    A capital before a small letter counts as one, as words in names begin so.
     Chernoff's bound on a binomial upper tail over the n - 1 neighbouring
     pairs, so short tokens cannot get a small value.
     """
     r0 = text_change_rate
     items = with_fields(items, pairs=lambda c: F.char_length(c["token"]).cast("double") - 1,
                         classes=lambda c: F.translate(c["token"], DIGITS + UPPERS + LOWERS + "+/-_=", "d" * 10 + "u" * 26 + "l" * 26 + "s" * 5))
+    items = with_fields(items, classes=lambda c: F.replace(c["classes"], F.lit("ul"), F.lit("ll")))
     items = with_fields(items, blocks=lambda c: F.regexp_count(c["classes"], F.lit("d+|u+|l+|s+")))
     items = with_fields(items, rate=lambda c: F.when(c["pairs"] > 0, (c["blocks"] - 1) / c["pairs"]).otherwise(0.0))
     items = with_fields(items, bits=lambda c: F.when(
