@@ -1103,7 +1103,8 @@ def q_drift_table(spark, sf):
 
 # extra queries timed by bench.py after the layer builders
 BENCH_EXTRA = ("scored_customers", "reco_recommendations", "drift_events_by_type", "metrics_ap_roc",
-               "text_intent_documents", "stream_daily_tier_sums")
+               "text_intent_documents", "text_sentiment_documents", "stream_daily_tier_sums", "model_split",
+               "model_logreg_scores")
 
 
 @register("report_churn_within_days_by_sentiment", G + """ SELECT *,
