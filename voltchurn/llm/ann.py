@@ -114,7 +114,7 @@ def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, trees: int = 8, sample_rows: int = 16_384,
-                       leaf_rows: int = 32, share: float = 1.25, seed: int = 42,
+                       leaf_rows: int = 32, share: float = 1.5, seed: int = 42,
                        id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score (Euclidean) of each query's ``k`` nearest found.
 
