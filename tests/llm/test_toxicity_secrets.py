@@ -65,6 +65,32 @@ def test_scores_are_the_noisy_or_of_sentences():
         assert score == pytest.approx(1 - chance)
 
 
+def test_long_clean_documents_stay_and_long_toxic_ones_go(spark):
+    rows, labelled, bad = toxic_corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = toxicity.train(docs, spark.createDataFrame(labelled, "doc_id long, quality int, toxic int"))
+    held = [i for i in range(len(rows)) if zlib.crc32(str(i).encode()) % 4 == 2]
+    scores, _ = toxicity.score_texts(model, [rows[i][1] for i in held], 0.3)
+    clean = [rows[i][1] for i, s in zip(held, scores) if i not in bad and s < 0.3]
+    assert len(clean) > 0.97 * sum(i not in bad for i in held)
+    rng = random.Random(3)
+    for n in (1_000, 4_000, 20_000, 100_000):
+        joined = ""
+        while joined.count(".") < n:
+            joined += " ".join(rng.choice(clean) for _ in range(200)) + " "
+        scores, spans = toxicity.score_texts(model, ["plain qqqq zzzz. " * n, joined, joined + "see grubno here. " + joined], 0.3)
+        assert scores[0] < 0.3 and scores[1] < 0.3 and spans[:2] == [[], []]
+        assert scores[2] >= 0.3 and len(spans[2]) == 1
+
+
+def test_weak_evidence_counts_beyond_that_of_clean_text():
+    model = toxicity.ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -6.0, -5.0, 1e-3, 1e-4)
+    for n, weak, toxic in ((10, 1, False), (10, 10, True), (10_000, 100, False), (10_000, 300, True)):
+        evidence = np.zeros(n)
+        evidence[:weak] = 0.1
+        assert (model.document_scores(evidence, np.array([0, n]))[0] >= 0.3) == toxic
+
+
 def test_batches_of_texts_do_not_touch_each_other():
     texts = ["end", "start", "", "x.y", "", "é!", "İstanbul", "a.", ""]
     together = toxicity.split_words(texts)

@@ -4,6 +4,11 @@ Only documents carry labels.  A sentence's chance p of being toxic is a
 logistic function of its words; a document's is 1 - prod(1 - p) over its
 sentences.  The weights are fitted to document labels through that formula, so
 that scoring also tells which sentences are to blame.
+
+What no sentence explains is one leak term of the document, whatever its
+length, and a sentence enters by its words' excess over the bias alone, which
+is nothing for one without weighted words.  Weak evidence also occurs in clean
+text, so only what exceeds that of clean text of as many sentences counts.
 """
 
 from __future__ import annotations
@@ -23,15 +28,27 @@ ENDINGS = ".!?\n"
 HELD_OUT_PART = 2
 PREFIXES = (4, 5, 6)
 PREFIX_MARK = np.uint64(0x5851F42D4C957F2D)
+#: sentences of this chance or more count whole; weaker ones beyond clean text's
+#: mean for the length plus CLEAN_DEVIATIONS standard deviations
+STRONG, CLEAN_DEVIATIONS = 0.3, 3.0
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Feature weights by hash (ascending) and the bias of every sentence."""
+    """Feature weights by hash (ascending), the bias of every sentence, and the
+    leak (logit) of every document.
+
+    ``clean_rate`` and ``clean_var`` are the mean and the variance, per sentence,
+    of weak evidence in clean documents.  Without a leak the bias is the whole
+    background: every sentence enters the noisy-or with it.
+    """
 
     words: np.ndarray
     weights: np.ndarray
     bias: float
+    leak: float | None = None
+    clean_rate: float = 0.0
+    clean_var: float = 0.0
 
     def sentence_logits(self, hashes: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
         """Logit of each of n sentences; a word counts once in a sentence."""
@@ -43,6 +60,21 @@ class ToxicityModel:
         pair = np.unique(sentence[known] * size + at[known])
         return self.bias + np.bincount(pair // size, weights=self.weights[pair % size], minlength=n)
 
+    def evidence(self, logits: np.ndarray) -> np.ndarray:
+        """-log(1 - chance) that each sentence adds."""
+        if self.leak is None:
+            return _softplus(logits)
+        return np.maximum(_softplus(logits) - _softplus(self.bias), 0.0)
+
+    def document_scores(self, evidence: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Chance of each document, whose sentences start at ``first`` (and end at the next)."""
+        if self.leak is None:
+            return -np.expm1(-np.add.reduceat(evidence, first[:-1]))
+        n = np.diff(first)
+        strong, weak = _strong_and_weak(evidence, first)
+        allowed = self.clean_rate * n + CLEAN_DEVIATIONS * np.sqrt(self.clean_var * n)
+        return -np.expm1(-(_softplus(self.leak) + strong + np.maximum(weak - allowed, 0.0)))
+
 
 def held_out(doc_id: Column) -> Column:
     """Whether crc32(doc_id as text) mod 4 is 2; false for a null id."""
@@ -99,12 +131,20 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
+def _strong_and_weak(evidence: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Evidence of each document's sentences of STRONG chance or more, and of the others."""
+    strong = np.where(evidence >= -np.log1p(-STRONG), evidence, 0.0)
+    return np.add.reduceat(strong, first[:-1]), np.add.reduceat(evidence - strong, first[:-1])
+
+
 def base_model(n_docs: int, n_toxic: int, n_sentences: int) -> ToxicityModel:
-    """No words: a bias that gives the mean document the share of toxic ones."""
+    """No words: a leak that gives every document the share of toxic ones, and
+    the bias that would give it to the mean document's sentences."""
     base = n_toxic / n_docs if n_docs else 0.0
     per_doc = n_sentences / n_docs if n_docs else 1.0
     needed = min(max(-float(np.log1p(-min(base, 1 - 1e-9))), 1e-12), 20.0) / max(per_doc, 1.0)
-    return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log(np.expm1(needed))))
+    chance = min(max(base, 1e-12), 1 - 1e-9)
+    return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log(np.expm1(needed))), float(np.log(chance / (1 - chance))))
 
 
 def fit(vocab: np.ndarray, features: list[np.ndarray], sentences: list[np.ndarray], n_sentences: list[int],
@@ -113,37 +153,45 @@ def fit(vocab: np.ndarray, features: list[np.ndarray], sentences: list[np.ndarra
 
     ``features[i]`` and ``sentences[i]`` are places in ``vocab`` (ascending
     hashes) found in document i, and the number of the sentence each is in.
-    ``l1`` sets weights to zero that do not earn their cost.  With labels of
-    one kind only, or none, the model is ``base_model``.
+    ``l1`` sets weights to zero that do not earn their cost.  The bias is that
+    of ``base_model``; weights and leak are fitted, then the evidence that clean
+    documents hold is measured.  With labels of one kind only, or none, the
+    model is ``base_model``.
     """
     y = np.array(toxic, dtype=np.float64)
     n_sent = np.array(n_sentences, dtype=np.int64)
     start = base_model(len(y), int(y.sum()), int(n_sent.sum()))
     if not len(vocab) or not 0 < y.sum() < len(y):
         return start
-    first = np.cumsum(n_sent) - n_sent
-    # a feature counts once in a sentence
+    first = np.concatenate([[0], np.cumsum(n_sent)])
+    # a feature counts once in a sentence; sentences without any add nothing
     pair = np.unique(np.concatenate([(s + f) * len(vocab) + w for w, s, f in zip(features, sentences, first)]))
     sent, feature = pair // len(vocab), pair % len(vocab)
-    doc_of = np.repeat(np.arange(len(y)), n_sent)
-    total = int(n_sent.sum())
-    w, b = np.zeros(len(vocab)), start.bias
-    m, v, mb, vb = np.zeros(len(vocab)), np.zeros(len(vocab)), 0.0, 0.0
+    rows, sent = np.unique(sent, return_inverse=True)
+    doc_of = np.searchsorted(first, rows, side="right") - 1
+    total = len(rows)
+    w, b, c = np.zeros(len(vocab)), start.bias, start.leak
+    m, v, mc, vc = np.zeros(len(vocab)), np.zeros(len(vocab)), 0.0, 0.0
     for t in range(1, rounds + 1):
-        z = b + np.bincount(sent, weights=w[feature], minlength=total)
-        a = np.maximum(np.bincount(doc_of, weights=_softplus(z), minlength=len(y)), 1e-12)
-        pull = np.where(y > 0, -1.0 / np.expm1(np.minimum(a, 50)), 1.0)
-        g = pull[doc_of] / (1 + np.exp(-z)) / len(y)
+        extra = np.bincount(sent, weights=w[feature], minlength=total)
+        a = np.bincount(doc_of, weights=start.evidence(b + extra), minlength=len(y))
+        a = np.maximum(_softplus(c) + a, 1e-12)
+        pull = np.where(y > 0, -1.0 / np.expm1(np.minimum(a, 50)), 1.0) / len(y)
+        g = np.where(extra >= 0, pull[doc_of] / (1 + np.exp(-(b + extra))), 0.0)
         gw = np.bincount(feature, weights=g[sent], minlength=len(vocab))
-        gb = float(g.sum())
+        gc = float(pull.sum() / (1 + np.exp(-c)))
         m, v = 0.9 * m + 0.1 * gw, 0.999 * v + 0.001 * gw * gw
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
+        mc, vc = 0.9 * mc + 0.1 * gc, 0.999 * vc + 0.001 * gc * gc
         c1, c2 = 1 - 0.9**t, 1 - 0.999**t
         step = rate / (np.sqrt(v / c2) + 1e-8)
         w = w - step * (m / c1)
         w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0.0)
-        b = b - rate * (mb / c1) / (np.sqrt(vb / c2) + 1e-8)
-    return ToxicityModel(vocab[w != 0], w[w != 0], b)
+        c = c - rate * (mc / c1) / (np.sqrt(vc / c2) + 1e-8)
+    found = np.zeros(int(n_sent.sum()))
+    found[rows] = start.evidence(b + np.bincount(sent, weights=w[feature], minlength=total))
+    weak, clean = _strong_and_weak(found, first)[1], y == 0
+    return ToxicityModel(vocab[w != 0], w[w != 0], b, c, float(weak[clean].sum() / n_sent[clean].sum()),
+                         float((weak[clean] ** 2).sum() / n_sent[clean].sum()))
 
 
 def _batch_texts(batch: pa.RecordBatch) -> list[str]:
@@ -229,8 +277,9 @@ def score_texts(model: ToxicityModel, texts: list[str], limit: float):
             hi += 1
         hashes, sentence, first, starts, lens = split_words(texts[lo:hi])
         z = model.sentence_logits(hashes, sentence, len(starts))
-        score = -np.expm1(-np.add.reduceat(_softplus(z), first[:-1])) if len(z) else np.zeros(0)
-        p = 1 / (1 + np.exp(-z))
+        evidence = model.evidence(z)
+        score = model.document_scores(evidence, first) if len(z) else np.zeros(0)
+        p = -np.expm1(-evidence)
         bad = np.nonzero(p >= limit)[0]
         spans: list[list] = [[] for _ in range(hi - lo)]
         text_start = np.cumsum(lens) - lens
@@ -248,8 +297,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, limit: float = 0.3, te
     """``docs`` with toxic_score, toxic (score >= limit) and offending
     (array<struct<start,end,score>> of sentences, code points).
 
-    Every whole text is scored on its words alone; a null or empty text is one
-    empty sentence.  Repeated rows get equal scores.  Columns of these three
+    Every whole text is scored on its words alone, and plain sentences add
+    nothing, however many; a null or empty text is one empty sentence.  Repeated rows get equal scores.  Columns of these three
     names are replaced.  Rows stay where they are: no shuffle.
     """
     new = ("toxic_score", "toxic", "offending")
