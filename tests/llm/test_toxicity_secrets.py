@@ -160,6 +160,46 @@ def test_random_tokens_are_found_and_names_are_not(spark):
     assert not any(s["kind"] == "random" for k in range(len(keys), len(docs)) for s in found[k])
 
 
+ORDINARY = """the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one you were
+all her she there would their we him been has when who will no more if out so what up said its about than into them can only other time new
+some could these two may first then do any like my now over such our man me even most made after also did many off before must well back
+through years much where your way down should because long each just state those people how too little world good very make year still see
+work between life being under never day same another know while last might great old go come since against right take three himself few
+house use during without again place american around however home small found thought went say part once general high upon school every does
+got united left number course war until always away something fact water though less public put think almost hand enough took far head yet
+government system better set told nothing night end why called eyes find going look asked later point knew next program city business give
+group toward young days let room word president side social given present several order national possible rather second face per among form
+important often things looked early white case john become large big need four within felt along children saw best church ever least power
+development light thing family seemed interest want members mind country area others done turned although open service certain kind problem
+began different door thus help sense means whole matter""".split()
+
+
+def test_every_encoding_is_found_among_ordinary_tokens(spark):
+    rng = random.Random(12)
+    word = lambda: rng.choice(ORDINARY)
+    long_words = [lambda: "-".join(word() for _ in range(6)), lambda: "_".join(word() for _ in range(6)), lambda: "".join(word().title() for _ in range(6)),
+                  lambda: "/" + "/".join(word() for _ in range(6)), lambda: "".join(word() for _ in range(6)), lambda: "_".join(word() for _ in range(6)).upper()]
+    ordinary = []
+    while len(ordinary) < 4000:
+        token = rng.choice(long_words)()
+        if len(token) >= 20:
+            ordinary.append(token)
+    up, low, dig = secret_scan.UPPERS, secret_scan.LOWERS, secret_scan.DIGITS
+    planted = [("hex", dig + "abcdef", 20), ("HEX", dig + "ABCDEF", 32), ("lower", low, 32), ("upper", up, 32), ("base32", up + "234567", 32),
+               ("base32", up + "234567", 64), ("base36", dig + low, 32), ("BASE36", dig + up, 32), ("alnum", dig + up + low, 20),
+               ("base64", up + low + dig + "+/", 40), ("base64url", up + low + dig + "-_", 40), ("mixed", up + low + dig + "+/-_", 40)]
+    keys = [(k, "".join(rng.choice(a) for _ in range(n))) for k, (_, a, n) in enumerate(planted) for _ in range(20)]
+    tokens = [(None, t) for t in ordinary] + keys
+    docs = [(i, " ".join(word() for _ in range(30)) + f". {t} " + " ".join(word() for _ in range(30))) for i, (_, t) in enumerate(tokens)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r["doc_id"] for r in secret_scan.scan_secrets(df).where("exists(secret_spans, s -> s.kind = 'random')").select("doc_id").collect()}
+    wrong = [t for i, t in enumerate(ordinary) if i in found]
+    assert len(wrong) <= 0.05 * len(found), wrong[:10]
+    for k, (name, _, n) in enumerate(planted):
+        hits = sum(i in found for i, (which, _) in enumerate(tokens) if which == k)
+        assert hits >= 18, (name, n, hits)
+
+
 def test_battery_statistics(spark):
     tokens = ["0123456789abcdef0123", "aaaaaaaaaaaaaaaaaaaa", "q7Zt0pLw9XcV2mNb4RkJ"]
     df = spark.createDataFrame([(t,) for t in tokens], "token string")

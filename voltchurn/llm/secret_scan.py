@@ -4,9 +4,11 @@ Runs of token characters are candidates.  Each is given the narrowest encoding
 that holds it, and tested against a uniform draw from that alphabet: chi-squared
 of the character counts, number of runs of low and high characters, and serial
 correlation of neighbours.  A candidate that no test rejects as random still
-has to be told from written text: its changes between character classes give a
-bound, tighter with length, on the chance that text has as many, and the
-Benjamini-Hochberg rule over all candidates of the corpus sets the limit on it.
+has to be told from written text.  Two bounds, tighter with length, on the chance of
+such a token in text do that: one from its changes between character classes,
+one from its pairs of neighbouring characters, under the corpus's own pairs
+against the uniform draw.  The Benjamini-Hochberg rule over all candidates of
+the corpus sets the limit on the smaller, doubled.
 """
 
 from __future__ import annotations
@@ -28,15 +30,24 @@ DIGITS, UPPERS, LOWERS = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghij
 ENCODINGS = (
     ("hex", r"^[0-9a-f]+$", DIGITS + "abcdef"),
     ("HEX", r"^[0-9A-F]+$", DIGITS + "ABCDEF"),
+    ("lower", r"^[a-z]+$", LOWERS),
+    ("upper", r"^[A-Z]+$", UPPERS),
     ("base32", r"^[A-Z2-7]+=*$", UPPERS + "234567"),
+    ("base36", r"^[0-9a-z]+$", DIGITS + LOWERS),
+    ("BASE36", r"^[0-9A-Z]+$", DIGITS + UPPERS),
     ("alnum", r"^[0-9A-Za-z]+$", DIGITS + UPPERS + LOWERS),
     ("base64", r"^[A-Za-z0-9+/]+=*$", UPPERS + LOWERS + DIGITS + "+/"),
     ("base64url", r"^[A-Za-z0-9_-]+=*$", UPPERS + LOWERS + DIGITS + "-_"),
     ("mixed", r"", UPPERS + LOWERS + DIGITS + "+/-_="),
 )
+NOT_TOKEN = r"[^A-Za-z0-9+/_=-]+"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 # Rational approximation of erfc (error below 1.5e-7).
 ERFC_P, ERFC_A = 0.3275911, (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+#: what pairs are counted of: the characters of tokens, without case
+SYMBOLS = DIGITS + LOWERS + "+/-_="
+#: weight of the uniform draw in the pairs of text, as a count and as a share
+PRIOR_COUNT, PRIOR_SHARE = 40.0, 0.05
 #: p-values below 10^-MAX_EXP count as that; bins of the corpus histogram per power of ten
 MAX_EXP, BINS_PER_EXP = 30, 100
 
@@ -162,13 +173,65 @@ def text_exponents(items: Column, text_change_rate: float) -> Column:
     return with_fields(items, exponent=lambda c: F.least(c["pairs"] * c["bits"] / math.log(10), F.lit(float(MAX_EXP))))
 
 
-def candidates(text: Column, min_length: int, alpha: float, text_change_rate: float) -> Column:
+def pair_counts(text: Column, docs: DataFrame) -> list[int]:
+    """How often each symbol follows each within the runs of token characters of
+    all documents, by place of the first times len(SYMBOLS) plus that of the second.
+
+    Equal runs are counted first; what reaches the driver is one row per pair.
+    """
+    runs = docs.select(F.explode(F.split(text, NOT_TOKEN)).alias("run")).groupBy("run").count()
+    chars = F.transform(F.split(F.lower("run"), ""), lambda ch: F.instr(F.lit(SYMBOLS), ch) - 1)
+    size = len(SYMBOLS)
+    places = runs.where(F.char_length("run") > 1).select("count", chars.alias("at"))
+    pairs = F.zip_with(F.slice("at", F.lit(1), F.size("at") - 1), F.slice("at", F.lit(2), F.size("at") - 1), lambda a, b: a * size + b)
+    out = [0] * (size * size)
+    for r in places.select("count", F.explode(pairs).alias("pair")).groupBy("pair").agg(F.sum("count").alias("n")).collect():
+        out[r["pair"]] = r["n"]
+    return out
+
+
+def _numbers(values) -> Column:
+    """A literal array of doubles."""
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+
+
+def pair_exponents(items: Column, counts: list[int]) -> Column:
+    """Adds ``pair_exponent``: -log10 of a bound on the chance that text holds
+    pairs of characters as unlike its own as the ``body``.
+
+    Text draws a character after another as ``counts`` say, mixed with the
+    uniform draw from the encoding.  By Markov's inequality the ratio of the
+    two draws' chances of a token is 1/p or more with chance p at most.  Case
+    does not count; unseen characters of small corpora give no evidence.
+    """
+    size = len(SYMBOLS)
+    pairs = _numbers(counts)
+    totals = [sum(counts[k * size:(k + 1) * size]) for k in range(size)]
+    rows, priors = _numbers(totals), _numbers(PRIOR_COUNT + PRIOR_SHARE * n for n in totals)
+    draws = _numbers(e[2].lower().count(ch) / len(e[2]) for e in ENCODINGS for ch in SYMBOLS)
+    items = with_fields(items, places=lambda c: F.transform(F.split(F.lower(c["body"]), ""), lambda ch: F.instr(F.lit(SYMBOLS), ch) - 1))
+
+    def ratio(c, a, b):
+        draw, prior = draws[c["kind"] * size + b], priors[a]
+        return F.when(draw > 0, F.ln(draw * (rows[a] + prior) / (pairs[a * size + b] + prior * draw))).otherwise(0.0)
+
+    items = with_fields(items, ratios=lambda c: F.zip_with(
+        F.slice(c["places"], F.lit(1), F.size(c["places"]) - 1), F.slice(c["places"], F.lit(2), F.size(c["places"]) - 1), lambda a, b: ratio(c, a, b)))
+    return with_fields(items, pair_exponent=lambda c: F.aggregate(c["ratios"], F.lit(0.0), lambda s, x: s + x) / math.log(10))
+
+
+def candidates(text: Column, min_length: int, alpha: float, text_change_rate: float, counts: list[int]) -> Column:
     """array<struct<start,end,exponent>>: every candidate, with exponent 0 where
-    a test (each at a third of ``alpha``) rejects it as random."""
+    a test (each at a third of ``alpha``) rejects it as random.
+
+    The exponent is that of twice the smaller of the two bounds under text.
+    """
     pattern = CANDIDATE % min_length
     spans = F.when(text.rlike(pattern), spans_of(text, pattern)).otherwise(_none())
     items = with_fields(spans, token=lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"]))
-    items = text_exponents(battery(items), text_change_rate)
+    items = pair_exponents(text_exponents(battery(items), text_change_rate), counts)
+    items = with_fields(items, exponent=lambda c: F.greatest(F.lit(0.0), F.least(
+        F.greatest(c["exponent"], c["pair_exponent"]) - math.log10(2), F.lit(float(MAX_EXP)))))
     return F.transform(items, lambda c: F.struct(
         c["start"].alias("start"), c["end"].alias("end"),
         F.when(3 * F.least(c["p_uniform"], c["p_runs"], c["p_serial"]) >= alpha, c["exponent"]).otherwise(0.0).alias("exponent")))
@@ -198,12 +261,13 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", min_length: int = 20,
     Base kinds come from fixed patterns; kind ``random`` adds the candidates
     that the battery and the false-discovery rule leave, where no base span
     overlaps.  Positions are code points, ends exclusive.  A null or empty text
-    has no spans.  Built-in functions only; no row leaves its partition, the
-    corpus enters through one bounded histogram.
+    has no spans.  Built-in functions only; no row leaves its partition (runs of
+    token characters are counted over a shuffle), the corpus enters through its
+    pairs of characters and one bounded histogram.
     """
     src = docs.drop("secret_spans")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    random = candidates(text, min_length, alpha, text_change_rate)
+    random = candidates(text, min_length, alpha, text_change_rate, pair_counts(text, src))
     limit = discovery_limit(src.select(random.alias("found")), "found", false_discovery_rate)
     keys = F.when(text.rlike(ASSIGN), spans_of(text, ASSIGN)).otherwise(_none())
     values = F.when(text.rlike(ASSIGN), F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))).otherwise(_none("array<string>"))
