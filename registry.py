@@ -906,8 +906,7 @@ def q_model_gbt(spark, sf):
     """M9: boosted trees on E5: calibrate, pick the threshold on validation, evaluate on test."""
     gold, mm, split, feats = _train_test(spark, sf, "E5_full")
     feats = FT.tree_feature_list(feats)
-    res = M.run_experiment(split.filter(~F.col("is_test")), split.filter("is_test"), feats, "gbt",
-                           maxIter=40, maxDepth=3, stepSize=0.1)
+    res = M.run_experiment(split.filter(~F.col("is_test")), split.filter("is_test"), feats, "gbt")
     return res["metrics"]
 
 

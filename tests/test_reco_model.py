@@ -103,3 +103,28 @@ def test_fit_predict_and_save_load(spark, tmp_path):
     a = {x.customer_id: x.proba for x in p.collect()}
     b = {x.customer_id: x.proba for x in p2.collect()}
     assert meta["threshold"] == 0.5 and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_registered_boosting_is_the_library_default(spark, monkeypatch):
+    import registry
+    from voltchurn.plans import model
+
+    seen = {}
+
+    class Stop(Exception):
+        pass
+
+    class Trees:
+        def __init__(self, **params):
+            seen.update(params)
+            raise Stop
+
+    monkeypatch.setattr(model, "GBTClassifier", Trees)
+    monkeypatch.setattr(registry, "_train_test", lambda *a: (None, None, spark.createDataFrame(
+        [(i, i % 2, float(i), i % 5 == 0) for i in range(40)], "customer_id long, churn int, x double, is_test boolean"), ["x"]))
+    monkeypatch.setattr(registry.FT, "tree_feature_list", lambda feats: feats)
+    try:
+        registry.q_model_gbt(spark, "")
+    except Stop:
+        pass
+    assert (seen["maxIter"], seen["maxDepth"], seen["stepSize"]) == (600, 3, 0.02)
