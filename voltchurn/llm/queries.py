@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltchurn.llm import ann, bpe, fingerprints, jaccard, lines, packing, secret_scan, sql, tokens, toxicity, urls
+from voltchurn.llm import ann, bpe, byte_bpe, fingerprints, jaccard, lines, packing, secret_scan, sql, tokens, toxicity, urls
 from voltchurn.session import put_on_worker_path
 
 QUERIES: dict = {}
@@ -109,4 +109,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocab_path())
 
 
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the ranks of a many-language vocabulary and decoded again, as digests."""
+    return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), vocab_path("byte_bpe_multi_50k.tiktoken"))
+
+
 ORACLES.update(op3_url_filter=sql.URL_FILTER, op4_line_dedup=sql.LINE_DEDUP)
