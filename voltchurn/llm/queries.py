@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltchurn.llm import ann, bpe, byte_bpe, fingerprints, jaccard, lines, packing, secret_scan, sql, tokens, toxicity, urls
+from voltchurn.llm import ann, bpe, byte_bpe, filter_audit, fingerprints, jaccard, lines, packing, secret_scan, sql, tokens, toxicity, urls
 from voltchurn.session import put_on_worker_path
 
 QUERIES: dict = {}
@@ -115,4 +115,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), vocab_path("byte_bpe_multi_50k.tiktoken"))
 
 
-ORACLES.update(op3_url_filter=sql.URL_FILTER, op4_line_dedup=sql.LINE_DEDUP)
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from the documents of each language, under every order."""
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
+ORACLES.update(op3_url_filter=sql.URL_FILTER, op4_line_dedup=sql.LINE_DEDUP, op12_filter_audit=sql.FILTER_AUDIT)

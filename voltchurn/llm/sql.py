@@ -73,3 +73,45 @@ SELECT page_id, host, path, rule,
        WHEN low > 0.3 THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
 """
+
+FILTER_AUDIT = r"""
+WITH src AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM src GROUP BY t),
+flagged AS (
+  SELECT part,
+    len(words) < 200 AS a,
+    100 * len(list_distinct(words)) < 50 * len(words) AS b,
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) AS c,
+    regexp_matches(t, '[#$%&*|]') AS d,
+    doc_id > first_id AS e,
+    EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = s.doc_id AND l.quality = 1) AS good,
+    EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = s.doc_id AND l.toxic = 1) AS toxic
+  FROM src s JOIN firsts USING (t)),
+failing AS (
+  SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+       || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+    count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE toxic) AS n_toxic
+  FROM flagged GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT p.x || q.x || r.x || s.x || u.x AS o FROM letters p, letters q, letters r, letters s, letters u
+  WHERE p.x NOT IN (q.x, r.x, s.x, u.x) AND q.x NOT IN (r.x, s.x, u.x) AND r.x NOT IN (s.x, u.x) AND s.x <> u.x),
+steps AS (SELECT o, k, substr(o, k, 1) AS f, substr(o, 1, k - 1) AS before FROM orders, range(1, 6) t(k)),
+counted AS (
+  SELECT part, o, k, f,
+    sum(n) FILTER (WHERE NOT early AND NOT hit) AS kept,
+    sum(n) FILTER (WHERE NOT early AND hit) AS removed,
+    sum(n) FILTER (WHERE early AND hit) AS redundant,
+    sum(n) FILTER (WHERE fails = f) AS unique_fails,
+    sum(n_good) FILTER (WHERE NOT early AND hit) AS good_lost,
+    sum(n_toxic) FILTER (WHERE NOT early AND hit) AS toxic_lost
+  FROM (SELECT *, contains(fails, f) AS hit, before <> '' AND translate(fails, before, '') <> fails AS early FROM failing, steps)
+  GROUP BY ALL)
+SELECT part, o AS filter_order, k::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  (sum(coalesce(removed, 0)) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counted
+"""
