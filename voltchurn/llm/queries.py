@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltchurn.llm import ann, bpe, byte_bpe, filter_audit, fingerprints, jaccard, lines, packing, secret_scan, sql, tokens, toxicity, urls
+from voltchurn.llm import ann, bpe, byte_bpe, filter_audit, fingerprints, jaccard, lines, packing, ranked_search, secret_scan, sql, tokens, toxicity, urls
 from voltchurn.session import put_on_worker_path
 
 QUERIES: dict = {}
@@ -121,4 +121,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
 
 
-ORACLES.update(op3_url_filter=sql.URL_FILTER, op4_line_dedup=sql.LINE_DEDUP, op12_filter_audit=sql.FILTER_AUDIT)
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of every benchmark item."""
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLES.update(op3_url_filter=sql.URL_FILTER, op4_line_dedup=sql.LINE_DEDUP, op12_filter_audit=sql.FILTER_AUDIT,
+               op13_ranked_search=sql.RANKED_SEARCH)

@@ -115,3 +115,27 @@ SELECT part, o AS filter_order, k::INTEGER AS step, coalesce(kept, 0)::BIGINT AS
   (sum(coalesce(removed, 0)) OVER (PARTITION BY part, f))::BIGINT AS shapley
 FROM counted
 """
+
+RANKED_SEARCH = r"""
+WITH doc_term AS (
+  SELECT doc_id, term, count(*) AS tf FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents) GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM doc_term GROUP BY doc_id),
+total AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM doc_term, total GROUP BY term, n_docs),
+item_term AS (
+  SELECT item_id, term, count(*) AS qtf FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+scored AS (
+  SELECT item_id, doc_id, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM item_term JOIN weights USING (term) JOIN doc_term USING (term) JOIN lengths USING (doc_id), total
+  GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
