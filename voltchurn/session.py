@@ -20,6 +20,9 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+#: bytes of one Arrow batch for a Python worker
+WORKER_BATCH_BYTES = 4 << 20
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "voltchurn", extra: dict | None = None) -> SparkSession:
@@ -62,6 +65,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
+def bound_batches(spark: SparkSession, most: int = WORKER_BATCH_BYTES) -> None:
+    """Limits the Arrow batches that Python workers get to ``most`` bytes.
+
+    Spark bounds a batch by rows and by 64 MB; a worker holds several copies of
+    its batch (Python strings, arrays, results).  A smaller setting of the
+    session stays as it is.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, "").rstrip("b")
+    if not now.isdigit() or int(now) > most:
+        spark.conf.set(key, str(most))
+
+
 def put_on_worker_path(spark: SparkSession) -> None:
     """Lets Python workers import this package from where the driver has it.
 
