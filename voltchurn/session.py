@@ -70,11 +70,11 @@ def bound_batches(spark: SparkSession, most: int = WORKER_BATCH_BYTES) -> None:
 
     Spark bounds a batch by rows and by 64 MB; a worker holds several copies of
     its batch (Python strings, arrays, results).  A smaller setting of the
-    session stays as it is.
+    session stays as it is, and so does one written with a unit.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(key, "").rstrip("b")
-    if not now.isdigit() or int(now) > most:
+    now = spark.conf.get(key).rstrip("b")
+    if now.isdigit() and int(now) > most:
         spark.conf.set(key, str(most))
 
 
