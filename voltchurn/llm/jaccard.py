@@ -40,6 +40,7 @@ FIRST_PIVOTS = 256             # per large region; times PIVOT_GROWTH with every
 PIVOT_GROWTH = 8
 FREQUENT_SHARE = 0.002        # of a batch's documents, 4 at least, to be counted as frequent
 FREQUENT_KEPT = 1 << 17       # the most frequent shingles, left to the end of every order
+SETS_REMEMBERED = 1 << 18      # by a task that signs sets
 
 
 @dataclass(frozen=True)
@@ -280,25 +281,25 @@ def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
 
 def _signed(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int) -> DataFrame:
     """(id, text_hash, n, s1, keys) of every document (id, text): size of its
-    set, digest of its set, and its keys.  Of equal sets in a partition one has
-    the keys."""
+    set, digest of its set, and its keys.  Of equal sets that a task remembers
+    one has the keys.  A slice of texts leaves before the next one is signed."""
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            n, ids, keys = [], [], []
-            for texts in _slices(_texts(batch)):
+            for at, texts in _offsets(_texts(batch)):
                 hashes, sizes = shingle_sets(texts, words)
                 s1 = _set_ids(hashes, sizes)
-                own = block_keys(hashes, sizes, frequent, t)
+                keys = block_keys(hashes, sizes, frequent, t)
                 for i, s in enumerate(s1.tolist()):
-                    keys.append(own[i][:0] if s in seen else own[i])
+                    if s in seen:
+                        keys[i] = keys[i][:0]
                     seen.add(s)
-                n.append(sizes)
-                ids.append(s1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("text_hash"), pa.array(np.concatenate(n) if n else [], pa.int64()),
-                 pa.array(np.concatenate(ids) if ids else [], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "text_hash", "n", "s1", "keys"])
+                if len(seen) > SETS_REMEMBERED:
+                    seen.clear()
+                rows = batch.slice(at, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("id"), rows.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(s1, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                    ["id", "text_hash", "n", "s1", "keys"])
 
     return docs.select("id", "text", F.xxhash64("text").alias("text_hash")) \
         .mapInArrow(run, "id long, text_hash long, n long, s1 long, keys array<long>")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltchurn.llm import ann, bpe, byte_bpe, filter_audit, fingerprints, jaccard, lines, packing, ranked_search, secret_scan, sql, tokens, toxicity, urls
-from voltchurn.session import put_on_worker_path
+from voltchurn.session import bound_batches, put_on_worker_path
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +25,7 @@ def vocab_path(name: str = "byte_bpe_50k.json") -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     put_on_worker_path(spark)
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
