@@ -536,7 +536,7 @@ _KS_SQL = f"""WITH
 def q_drift(spark, sf):
     """Q2: two-sample KS per event type, first vs second half of the month."""
     ref, cur = _events_long(spark, sf)
-    return D.drift_long(ref, cur)
+    return D.drift_long(ref, cur, exact=False)
 
 
 _PRED_KS = V.with_(V.LABELLED_SCORES) + """,
@@ -557,7 +557,7 @@ _PRED_KS = V.with_(V.LABELLED_SCORES) + """,
 def _prediction_drift(spark, sf):
     # stand-in samples of one score column: documents labelled 0 against those labelled 1
     s = si.labelled_scores(spark, sf).filter("label IS NOT NULL")
-    return D.prediction_drift(s.filter("label = 0").select("score"), s.filter("label = 1").select("score"), "score")
+    return D.prediction_drift(s.filter("label = 0").select("score"), s.filter("label = 1").select("score"), "score", exact=False)
 
 
 @register("drift_prediction", _PRED_KS + " SELECT *, p_value < 0.01 AS drifted FROM pred")
@@ -583,7 +583,7 @@ def _with_prediction(sql):
 
 def _drift_summary(spark, sf):
     ref, cur = _events_long(spark, sf)
-    return D.drift_summary(D.drift_long(ref, cur), _prediction_drift(spark, sf))
+    return D.drift_summary(D.drift_long(ref, cur, exact=False), _prediction_drift(spark, sf))
 
 
 @register("drift_summary_events", _with_prediction(_SUMMARY) + " SELECT * FROM summary")
@@ -1094,7 +1094,7 @@ def q_share(spark, sf):
 def q_drift_table(spark, sf):
     """Drift results with a status, ranked by D."""
     ref, cur = _events_long(spark, sf)
-    d = D.drift_long(ref, cur)
+    d = D.drift_long(ref, cur, exact=False)
     return d.select("feature", "ks_statistic", "p_value",
                     F.when(F.col("drifted"), "Drifted").otherwise("Stable").alias("status")).orderBy(
         F.desc("ks_statistic"), "feature")
@@ -1227,3 +1227,45 @@ def _make_rate(dims, pct):
 
 for _name, (_dims, _pct) in _RATE_REPORTS.items():
     register(_name, G + _rate_sql(_dims, pct=_pct))(_make_rate(_dims, _pct))
+
+
+# ------------------------------------------------- drift with the exact law ----
+
+_DRIFT_EXACT = """WITH RECURSIVE
+  u AS (SELECT c_mktsegment AS feature, c_acctbal AS value, CASE WHEN c_nationkey < 12 THEN 0 ELSE 1 END AS side FROM customer
+        WHERE c_acctbal IS NOT NULL AND c_mktsegment IS NOT NULL
+        UNION ALL SELECT 'discounted ' || l_linestatus, l_extendedprice, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END FROM lineitem
+        WHERE l_discount = 0.1 AND l_quantity = 50 AND l_extendedprice IS NOT NULL AND l_linestatus IS NOT NULL),
+  cnt AS (SELECT feature, value, count(*) FILTER (WHERE side = 0) AS c0, count(*) FILTER (WHERE side = 1) AS c1 FROM u GROUP BY 1, 2),
+  sz AS (SELECT feature, CAST(sum(c0) AS BIGINT) AS n, CAST(sum(c1) AS BIGINT) AS m FROM cnt GROUP BY 1),
+  cum AS (SELECT feature, sum(c0) OVER w AS s0, sum(c1) OVER w AS s1 FROM cnt
+          WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+  d AS (SELECT feature, n, m, n // gcd(n, m) AS a, m // gcd(n, m) AS b, max(abs(s0::DOUBLE / n - s1::DOUBLE / m)) AS ks
+        FROM cum JOIN sz USING (feature) WHERE n > 0 AND m > 0 GROUP BY ALL),
+  band AS (SELECT *, CAST(round(ks * a * m) AS BIGINT) AS h FROM d),
+  paths(feature, n, m, a, b, h, s, v) AS (
+    SELECT feature, n, m, a, b, h, 0::BIGINT, list_transform(range(0, n + 1), lambda i: CASE WHEN i = 0 AND h > 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END)
+    FROM band WHERE greatest(n, m) <= 10000
+    UNION ALL
+    SELECT feature, n, m, a, b, h, s + 1, list_transform(range(0, n + 1), lambda i:
+      CASE WHEN i > s + 1 OR s + 1 - i > m OR abs(i * (a + b) - (s + 1) * a) >= h THEN 1.0
+           ELSE (CASE WHEN i > 0 THEN i * v[i] ELSE 0.0 END + (s + 1 - i) * v[i + 1]) / (s + 1) END)
+    FROM paths WHERE s < n + m),
+  exact AS (SELECT feature, v[n + 1] AS p FROM paths WHERE s = n + m),
+  series AS (SELECT feature, 2.0 * sum(power(-1.0, k - 1) * exp(-2.0 * k * k * ks * ks * n * m / (n + m))) AS p
+             FROM band, range(1, 101) t(k) GROUP BY feature),
+  res AS (SELECT feature, ks AS ks_statistic, n AS n_ref, m AS n_cur, coalesce(e.p, least(greatest(x.p, 0.0), 1.0)) AS p_value
+          FROM band JOIN series x USING (feature) LEFT JOIN exact e USING (feature))
+SELECT *, p_value < 0.01 AS drifted FROM res"""
+
+
+@register("drift_exact", _DRIFT_EXACT)
+def q_drift_exact(spark, sf):
+    """Q2 with the exact law: balances by market segment (nations below 12 against the others), prices of
+    discounted full lines by line status (returned against not)."""
+    c = si.table(spark, sf, "customer").where("c_acctbal IS NOT NULL AND c_mktsegment IS NOT NULL")
+    li = si.table(spark, sf, "lineitem").where("l_discount = 0.1 AND l_quantity = 50 AND l_extendedprice IS NOT NULL AND l_linestatus IS NOT NULL")
+    rows = c.select(F.col("c_mktsegment").alias("feature"), F.col("c_acctbal").alias("value"), (F.col("c_nationkey") < 12).alias("first")).unionByName(
+        li.select(F.concat(F.lit("discounted "), "l_linestatus").alias("feature"), F.col("l_extendedprice").alias("value"),
+                  (F.col("l_returnflag") == "R").alias("first")))
+    return D.drift_long(rows.where("first").drop("first"), rows.where(~F.coalesce("first", F.lit(False))).drop("first"))

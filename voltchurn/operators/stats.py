@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -316,11 +318,13 @@ def ks_from_long(reference: DataFrame, current: DataFrame) -> DataFrame:
     cnt = u.groupBy("feature", "value").agg(
         F.count_if(F.col("side") == 0).cast("double").alias("c0"),
         F.count_if(F.col("side") == 1).cast("double").alias("c1"))
-    sizes = cnt.groupBy("feature").agg(F.sum("c0").alias("n_ref"), F.sum("c1").alias("n_cur"))
+    sizes = cnt.groupBy("feature").agg(F.sum("c0").alias("n_ref"), F.sum("c1").alias("n_cur")) \
+        .filter((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     cum = prefix_sums(cnt, ["feature"], "value", ["c0", "c1"]).join(sizes, "feature")
-    gap = F.abs(F.col("c0_cum") / F.col("n_ref") - F.col("c1_cum") / F.col("n_cur"))
+    # try_divide: the filter on sizes may run after the projection
+    gap = F.abs(F.try_divide("c0_cum", "n_ref") - F.try_divide("c1_cum", "n_cur"))
     d = cum.groupBy("feature").agg(F.max(gap).alias("ks_statistic"))
-    return d.join(sizes, "feature").filter((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).select(
+    return d.join(sizes, "feature").select(
         "feature", "ks_statistic", F.col("n_ref").cast("long").alias("n_ref"),
         F.col("n_cur").cast("long").alias("n_cur"))
 
@@ -349,6 +353,57 @@ def kolmogorov_sf(d: Column, n_ref: Column, n_cur: Column) -> Column:
     return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
 
 
+#: samples up to this size get the exact law, larger ones the asymptotic one
+KS_EXACT_ROWS = 10_000
+
+
+def ks_exact_sf(d: float, n: int, m: int) -> float:
+    """P(D >= d) for two samples of n and m values of one continuous law.
+
+    An ordering of the pooled values is a lattice path from (0, 0) to (n, m), all
+    equally likely.  ``v`` is the chance that a path to a cell has left the band
+    |i / n - j / m| < d on its way: 1 outside the band, inside it the mean of the
+    two cells before, weighted by how many paths come from each.  One diagonal
+    i + j = s follows the other, as an array; every term is positive, so small
+    chances keep their precision.
+    """
+    g = math.gcd(n, m)
+    a, b = n // g, m // g
+    h = round(d * a * m)                          # the band in units of 1 / lcm(n, m)
+    if h <= 0:
+        return 1.0
+    v = np.ones(n + 1)
+    for s in range(1, n + m + 1):
+        # inside: |i (a + b) - s a| < h, for i steps of the first sample
+        lo = max(0, s - m, (s * a - h) // (a + b) + 1)
+        hi = min(n, s, (s * a + h - 1) // (a + b))
+        if s == 1:
+            inner = np.zeros(0) if lo > hi else np.zeros(hi - lo + 1)
+        else:
+            i = np.arange(lo, hi + 1)
+            before = np.where(i > 0, v[np.maximum(i - 1, 0)], 0.0)
+            inner = (i * before + (s - i) * v[lo:hi + 1]) / s
+        v[max(0, s - m):min(n, s) + 1] = 1.0
+        v[lo:hi + 1] = inner
+    return float(min(v[n], 1.0))
+
+
+def ks_p_value(d: Column, n_ref: Column, n_cur: Column) -> Column:
+    """Two-sample KS p-value: the exact law where both samples have KS_EXACT_ROWS
+    values at most, else the asymptotic one.
+
+    The exact law is worked out once per row (a row is a feature), in batches; its
+    cost is bounded by KS_EXACT_ROWS.
+    """
+    @F.pandas_udf("double")
+    def exact(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([ks_exact_sf(x, int(i), int(j)) if x == x and max(i, j) <= KS_EXACT_ROWS else float("nan")
+                          for x, i, j in zip(d, n, m)], dtype="float64")
+
+    small = F.greatest(n_ref, n_cur) <= KS_EXACT_ROWS
+    return F.when(small, exact(d, n_ref, n_cur)).otherwise(kolmogorov_sf(d, n_ref.cast("double"), n_cur.cast("double")))
+
+
 # -------------------------------------------------- classifier evaluation ----
 
 def score_table(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:

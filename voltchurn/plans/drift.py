@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltchurn.constants import DRIFT_P_THRESHOLD, KEY
-from voltchurn.operators.stats import quantile, attach_scalar, kolmogorov_sf, ks_from_long, ks_statistic
+from voltchurn.operators.stats import quantile, attach_scalar, kolmogorov_sf, ks_from_long, ks_p_value, ks_statistic
 
 NUMERIC = {"double", "float", "int", "bigint", "smallint", "tinyint"}
 
@@ -17,24 +17,31 @@ def numeric_features(df: DataFrame, exclude: Sequence[str] = (KEY,)) -> list[str
     return [f for f, t in df.dtypes if t in NUMERIC and f not in exclude]
 
 
+def _with_p_value(d: DataFrame, p_threshold: float, exact: bool) -> DataFrame:
+    """KS rows with p-value (``exact``: the exact law for small samples) and drifted flag."""
+    n_ref, n_cur = F.col("n_ref"), F.col("n_cur")
+    p = ks_p_value(F.col("ks_statistic"), n_ref, n_cur) if exact else \
+        kolmogorov_sf(F.col("ks_statistic"), n_ref.cast("double"), n_cur.cast("double"))
+    return d.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < p_threshold)
+
+
 def feature_drift(reference: DataFrame, current: DataFrame, features: Sequence[str] | None = None,
-                  p_threshold: float = DRIFT_P_THRESHOLD) -> DataFrame:
+                  p_threshold: float = DRIFT_P_THRESHOLD, exact: bool = True) -> DataFrame:
     """Q2: per numeric feature present on both sides: KS D, p-value, drifted flag.
 
-    Features with no non-missing value on either side are skipped.
+    Features with no non-missing value on either side are skipped.  The p-value
+    is exact for samples of 10,000 values at most (``exact=False``: never).
     """
     feats = [f for f in (features or numeric_features(current))
              if f in reference.columns and f in current.columns
              and dict(reference.dtypes)[f] in NUMERIC]
-    d = ks_statistic(reference, current, feats)
-    p = kolmogorov_sf(F.col("ks_statistic"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
-    return d.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < p_threshold)
+    return _with_p_value(ks_statistic(reference, current, feats), p_threshold, exact)
 
 
 def prediction_drift(reference: DataFrame, current: DataFrame, col: str = "churn_proba",
-                     p_threshold: float = DRIFT_P_THRESHOLD) -> DataFrame:
+                     p_threshold: float = DRIFT_P_THRESHOLD, exact: bool = True) -> DataFrame:
     """Q3: KS on the score column; an empty side gives D 0, p 1, not drifted."""
-    fd = feature_drift(reference.select(col), current.select(col), [col], p_threshold)
+    fd = feature_drift(reference.select(col), current.select(col), [col], p_threshold, exact)
     # a global aggregate always yields one row; an empty side leaves it NULL -> defaults
     return fd.agg(F.lit(col).alias("feature"),
                   F.coalesce(F.max("ks_statistic"), F.lit(0.0)).alias("ks_statistic"),
@@ -80,11 +87,10 @@ def snapshot_as_wide(snapshot: DataFrame) -> DataFrame:
     return snapshot
 
 
-def drift_long(reference: DataFrame, current: DataFrame, p_threshold: float = DRIFT_P_THRESHOLD) -> DataFrame:
-    """Q2 on long ``(feature, value)`` samples: D, asymptotic p-value, drifted flag."""
-    d = ks_from_long(reference, current)
-    p = kolmogorov_sf(F.col("ks_statistic"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
-    return d.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < p_threshold)
+def drift_long(reference: DataFrame, current: DataFrame, p_threshold: float = DRIFT_P_THRESHOLD,
+               exact: bool = True) -> DataFrame:
+    """Q2 on long ``(feature, value)`` samples: D, p-value as in ``feature_drift``, drifted flag."""
+    return _with_p_value(ks_from_long(reference, current), p_threshold, exact)
 
 
 def drift_from_snapshot(snapshot: DataFrame, current: DataFrame, p_threshold: float = DRIFT_P_THRESHOLD,

@@ -8,10 +8,11 @@ thresholds and calibration curves are DataFrame aggregations from
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -31,6 +32,7 @@ from voltchurn.constants import (
 )
 from voltchurn.functions.exprs import clip_lower0, cut
 from voltchurn.operators.frames import cut_lineage
+from voltchurn.session import scratch_path
 from voltchurn.operators.stats import (
     quantile,
     attach_scalar,
@@ -159,11 +161,25 @@ def class_weights(df: DataFrame, label: str = "churn", col: str = "weight") -> D
         col, F.col("_n") / (2.0 * F.col("_nc"))).drop("_nc", "_n")
 
 
+class PlainLogisticRegression(LogisticRegression):
+    """Logistic regression whose fitted model leaves its training summary behind.
+
+    The summary keeps the session, which cannot be sent to tasks any more once
+    the session has observed a metric; scoring with such a model then fails.  So
+    the model is saved to the shared folder and read back, without a summary.
+    """
+
+    def _fit(self, dataset):
+        path = scratch_path(dataset.sparkSession, f"logistic-{uuid.uuid4().hex}")
+        super()._fit(dataset).write().save(path)
+        return LogisticRegressionModel.load(path)
+
+
 def estimator(name: str, label: str = "churn", seed: int = 42, **params):
     """M4: model catalogue (MLlib), with the reference's sizes unless ``params`` says otherwise."""
     if name == "logistic_regression":
-        return LogisticRegression(labelCol=label, weightCol="weight", maxIter=params.get("maxIter", 1000),
-                                  regParam=params.get("regParam", 0.0))
+        return PlainLogisticRegression(labelCol=label, weightCol="weight", maxIter=params.get("maxIter", 1000),
+                                       regParam=params.get("regParam", 0.0))
     if name == "random_forest":
         return RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=params.get("numTrees", 300),
                                       maxDepth=params.get("maxDepth", 8), seed=seed)
@@ -220,7 +236,7 @@ def baseline_scores(df: DataFrame, train: DataFrame, strategy: str = "most_frequ
 def calibrator_stages(val_transformed: DataFrame, label: str = "churn") -> list:
     """M6: fitted sigmoid calibration of ``probability``: slice its positive part, one-feature logistic regression."""
     pick = VectorSlicer(inputCol="probability", outputCol="_score", indices=[1])
-    lr = LogisticRegression(featuresCol="_score", labelCol=label, regParam=0.0, maxIter=100, predictionCol="_cal_pred",
+    lr = PlainLogisticRegression(featuresCol="_score", labelCol=label, regParam=0.0, maxIter=100, predictionCol="_cal_pred",
                             probabilityCol="calibrated", rawPredictionCol="_cal_raw")
     return Pipeline(stages=[pick, lr]).fit(val_transformed.withColumn(label, F.col(label).cast("double"))).stages
 
