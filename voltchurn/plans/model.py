@@ -161,6 +161,10 @@ def class_weights(df: DataFrame, label: str = "churn", col: str = "weight") -> D
         col, F.col("_n") / (2.0 * F.col("_nc"))).drop("_nc", "_n")
 
 
+#: share of the columns that boosted trees choose among at each split
+COLUMN_SHARE = 0.7
+
+
 class PlainLogisticRegression(LogisticRegression):
     """Logistic regression whose fitted model leaves its training summary behind.
 
@@ -186,24 +190,44 @@ def estimator(name: str, label: str = "churn", seed: int = 42, **params):
     if name == "gbt":
         return GBTClassifier(labelCol=label, weightCol="weight", maxIter=params.get("maxIter", 600),
                              maxDepth=params.get("maxDepth", 3), stepSize=params.get("stepSize", 0.02),
-                             subsamplingRate=params.get("subsamplingRate", 0.8), seed=seed)
+                             subsamplingRate=params.get("subsamplingRate", 0.8),
+                             featureSubsetStrategy=str(params.get("featureSubsetStrategy", COLUMN_SHARE)),
+                             validationTol=params.get("validationTol", 0.01), seed=seed)
     raise ValueError(f"Unknown model: {name}")
 
 
 def fit(train: DataFrame, features: Sequence[str], model_name: str = "gbt", label: str = "churn",
-        **params) -> PipelineModel:
+        validation_share: float = 0.0, key: str = KEY, **params) -> PipelineModel:
     """Fit preprocessing + estimator on the training rows.
 
     Logistic regression takes the ridge penalty of C = 1 (regParam = 1 / rows).
+    With ``validation_share`` boosted trees stop early: that stratified share of
+    the rows is kept out of the trees, and rounds end once its loss falls by less
+    than ``validationTol``.  ``maxIter`` is then the most rounds.
     """
+    early = validation_share > 0 and model_name == "gbt"
+    if early:
+        train = stratified_split(train, label, validation_share, key=key, col="_held")
     # iterative estimators re-read their input many times: materialise it once
     tr = cut_lineage(class_weights(fill_missing_strings(train, features), label)
                      .withColumn(label, F.col(label).cast("double")))
     if model_name == "logistic_regression" and "regParam" not in params:
         params["regParam"] = 1.0 / max(tr.count(), 1)
-    pipe = Pipeline(stages=preprocessing_stages(tr, features, scale_numeric=model_name == "logistic_regression")
-                    + [estimator(model_name, label, **params)])
-    return pipe.fit(tr)
+    last = estimator(model_name, label, **params)
+    if early:
+        last = last.setValidationIndicatorCol("_held")
+    pipe = Pipeline(stages=preprocessing_stages(tr, features, scale_numeric=model_name == "logistic_regression") + [last])
+    model = pipe.fit(tr)
+    if early:                                     # scoring needs no such column
+        model.stages[-1].clear(model.stages[-1].getParam("validationIndicatorCol"))
+    return model
+
+
+def tree_columns(model: PipelineModel) -> list[set[int]]:
+    """The columns (places in the assembled vector) that each tree of a boosted model splits on."""
+    import re
+
+    return [{int(c) for c in re.findall(r"feature (\d+)", tree.toDebugString)} for tree in model.stages[-1].trees]
 
 
 def _transformed(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
