@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -949,8 +951,6 @@ def _tier_sql_ntz(ts):
 def q_stream_daily(spark, sf):
     """ST2 (+ ST1 source): streaming daily tier sums with a 1-day watermark; every day of the
     input, the ones still open at its end included."""
-    import uuid
-
     stream = si.consumption_stream_from_events(spark, sf)
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex[:8]}")
     return ST.run_to_files(ST.daily_tier_sums(stream, "1 day"), ["customer_id", "day"], f"{base}/out", f"{base}/checkpoint")
@@ -1269,3 +1269,22 @@ def q_drift_exact(spark, sf):
         li.select(F.concat(F.lit("discounted "), "l_linestatus").alias("feature"), F.col("l_extendedprice").alias("value"),
                   (F.col("l_returnflag") == "R").alias("first")))
     return D.drift_long(rows.where("first").drop("first"), rows.where(~F.coalesce("first", F.lit(False))).drop("first"))
+
+
+# ------------------------------------------------------- trained sentiment ----
+from voltchurn.plans import sentiment as SM  # noqa: E402
+
+
+@register("text_sentiment_model")
+def q_text_sentiment_model(spark, sf):
+    """Sentiment of every document by a model trained on all labelled ones (toxic: negative, good: positive,
+    else neutral), saved and read back before it scores."""
+    from voltchurn.session import put_on_worker_path
+
+    put_on_worker_path(spark)
+    docs = si.table(spark, sf, "documents").select("doc_id", "text")
+    cls = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 1, 2).otherwise(1)
+    labels = si.table(spark, sf, "labels").select("doc_id", cls.alias("class"))
+    path = scratch_path(spark, f"sentiment-{uuid.uuid4().hex}")
+    SM.train_sentiment(docs.join(labels, "doc_id"), "text", "class").save(spark, path)
+    return SM.model_sentiment(docs, SM.SentimentModel.load(spark, path), "text").drop("text")

@@ -82,10 +82,15 @@ def model_sentiment(df: DataFrame, scorer: Callable[[pd.Series], pd.DataFrame],
 
 def enrich_interactions(df: DataFrame, scorer=None, text_col: str = "interaction_summary",
                         rules=tx.INTENT_RULES) -> DataFrame:
-    """Intent always; sentiment by the given scorer, else the word-list default."""
+    """Intent always; sentiment by the given scorer (a trained ``SentimentModel`` or a
+    function of texts), else the word-list default."""
     out = enrich_intent(df, text_col=text_col, rules=rules)
     if text_col not in out.columns:
         return out
     if scorer is None:
         return lexicon_sentiment(out, text_col)
+    if hasattr(scorer, "predict"):
+        from voltchurn.plans import sentiment
+
+        return sentiment.model_sentiment(out, scorer, text_col)
     return model_sentiment(out, scorer, text_col)
