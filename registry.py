@@ -1288,3 +1288,31 @@ def q_text_sentiment_model(spark, sf):
     path = scratch_path(spark, f"sentiment-{uuid.uuid4().hex}")
     SM.train_sentiment(docs.join(labels, "doc_id"), "text", "class").save(spark, path)
     return SM.model_sentiment(docs, SM.SentimentModel.load(spark, path), "text").drop("text")
+
+
+# ------------------------------------------------------ quarantine of raw rows ----
+from voltchurn.sources import io as IO  # noqa: E402
+
+
+@register("source_quarantine", """WITH c AS (SELECT 'customers' AS dataset, c_custkey % 10 AS k FROM customer),
+  o AS (SELECT 'orders' AS dataset, o_orderkey % 16 AS k FROM orders),
+  u AS (SELECT dataset, k IN (3, 5, 7) AS bad FROM c UNION ALL SELECT dataset, k IN (4, 6) FROM o)
+  SELECT dataset, count(*) FILTER (WHERE NOT bad) AS clean_rows, count(*) FILTER (WHERE bad) AS corrupt_rows,
+         CAST(count(*) FILTER (WHERE bad) AS DOUBLE) / count(*) AS corrupt_share FROM u GROUP BY dataset""")
+def q_source_quarantine(spark, sf):
+    """Customers exported as CSV and orders as JSON lines, rows of some keys broken on the way, read back:
+    clean and quarantined rows per dataset."""
+    base = scratch_path(spark, f"quarantine-{uuid.uuid4().hex}")
+    k = F.col("c_custkey") % 10
+    line = F.concat_ws(",", F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string"),
+                       F.when(k == 3, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string")))
+    line = F.when(k == 5, F.col("c_custkey").cast("string")).when(k == 7, F.concat(line, F.lit(",more"))).otherwise(line)
+    si.table(spark, sf, "customer").select(line.alias("value")).write.text(f"{base}/customers-csv")
+    k = F.col("o_orderkey") % 16
+    record = F.to_json(F.struct("o_orderkey", F.when(k == 4, F.lit("much")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice")))
+    record = F.when(k == 4, record).otherwise(F.regexp_replace(record, '"o_totalprice":"([^"]*)"', '"o_totalprice":$1'))
+    record = F.when(k == 6, F.substring(record, 1, 12)).otherwise(record)
+    si.table(spark, sf, "orders").select(record.alias("value")).write.text(f"{base}/orders-json")
+    customers = IO.quarantine(spark, f"{base}/customers-csv", "c_custkey long, c_nationkey int, c_acctbal double", f"{base}/customers", header=False)
+    orders = IO.quarantine(spark, f"{base}/orders-json", "o_orderkey long, o_totalprice double", f"{base}/orders", "json", multiline=False)
+    return Q.corrupt_report({"customers": customers[0], "orders": orders[0]}, {"customers": customers[1], "orders": orders[1]})

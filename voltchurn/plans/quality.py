@@ -147,3 +147,14 @@ def leakage_check(scm: DataFrame, sc: DataFrame) -> DataFrame:
                 F.avg(F.col("churn").cast("double")).alias("churn_share"),
                 F.count_distinct(KEY).alias("customers"))
     return attach_scalar(mx, dt)
+
+
+def corrupt_report(clean: dict[str, DataFrame], bad: dict[str, DataFrame]) -> DataFrame:
+    """Per dataset its clean and corrupt rows and the corrupt share (NULL without rows)."""
+    out = None
+    for name in sorted(clean):
+        rows = clean[name].select(F.lit(0).alias("bad")).unionByName(bad[name].select(F.lit(1).alias("bad")))
+        one = rows.agg(F.count_if(F.col("bad") == 0).alias("clean_rows"), F.count_if(F.col("bad") == 1).alias("corrupt_rows"))
+        one = one.select(F.lit(name).alias("dataset"), "*", F.try_divide("corrupt_rows", F.col("clean_rows") + F.col("corrupt_rows")).alias("corrupt_share"))
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 from voltchurn.sources import schemas as SC
 
 
+CORRUPT = "_corrupt_record"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on its file system (local, HDFS, object store)."""
     jvm = spark.sparkContext._jvm
@@ -35,6 +38,44 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
     return (r.schema(schema) if schema is not None else r).json(path)
 
 
+def read_checked(spark: SparkSession, path: str, schema: T.StructType, kind: str = "csv", header: bool = True,
+                 multiline: bool = True) -> DataFrame:
+    """The rows of a CSV or JSON file with ``_corrupt_record``.
+
+    A row that does not fit the declared columns (a value that cannot be read as
+    its type, too few or too many fields, a broken record) keeps what could be
+    read and its raw text in ``_corrupt_record``; it is NULL for a good row.
+    """
+    r = spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])) \
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return r.option("header", header).csv(path) if kind == "csv" else r.option("multiLine", multiline).json(path)
+
+
+def quarantine(spark: SparkSession, path: str, schema: T.StructType | str, out: str, kind: str = "csv", header: bool = True,
+               multiline: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(clean rows, corrupt rows) of a raw file, written side by side under ``out``.
+
+    The file is parsed once, into a table partitioned by ``is_corrupt``.  Clean
+    rows have the declared columns; corrupt ones their raw text and file.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    rows = read_checked(spark, path, schema, kind, header, multiline)
+    marked = rows.withColumns({"is_corrupt": F.col(CORRUPT).isNotNull(), "source_file": F.col("_metadata.file_path")})
+    marked.write.mode("overwrite").partitionBy("is_corrupt").parquet(out)
+    table = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("source_file", T.StringType()),
+                                            T.StructField("is_corrupt", T.BooleanType())])).parquet(out)
+    return table.where(~F.col("is_corrupt")).select(*schema.names), table.where("is_corrupt").select(CORRUPT, "source_file")
+
+
+def load_checked_datasets(spark: SparkSession, data_dir: str, out_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """S1 + S12: the raw tables' clean rows and their corrupt ones, by logical name."""
+    clean, bad = {}, {}
+    for key, (fname, schema) in SC.RAW_FILES.items():
+        kind = "json" if fname.endswith(".json") else "csv"
+        clean[key], bad[key] = quarantine(spark, f"{data_dir.rstrip('/')}/{fname}", schema, f"{out_dir.rstrip('/')}/{key}", kind)
+    return clean, bad
+
+
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """Nested structs -> dotted top-level columns (like ``json_normalize``)."""
     def walk(dtype, prefix):
