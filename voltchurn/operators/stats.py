@@ -3,13 +3,14 @@
 All of them aggregate before they order: curves and distribution distances
 first collapse rows to one row per distinct value (partial aggregation does
 this map-side), then run cumulative sums over the distinct values.  Running
-sums use ``prefix_sums``, which range-partitions the ordered values so no
-single task holds a whole feature or score column.
+sums use ``prefix_sums``, which cuts the ordered values into balanced ranges, so
+no single task holds a whole feature or score column.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -17,37 +18,55 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voltchurn.session import scratch_path
+
 
 # ---------------------------------------------------------------- basics ----
 
 def quantile(col, p) -> Column:
     """Exact linear-interpolated quantile(s) as an aggregate.
 
-    Spark keeps one value -> count map per group in a task; for groups of many
-    distinct values use ``grouped_quantile``, which splits a group.
+    Spark keeps one value -> count map per group in a task; over rows use
+    ``grouped_quantiles``, which splits a group.
     """
     return F.percentile(F.col(col) if isinstance(col, str) else col, p)
 
 
-def grouped_quantile(df: DataFrame, groups: Sequence[str], value_exprs: dict[str, Column], p: float) -> DataFrame:
-    """Exact linear-interpolated quantile ``p`` of each expression per group, NULLs skipped.
+def grouped_quantiles(df: DataFrame, groups: Sequence[str], value_exprs: dict[str, Column], probs: Sequence[float]) -> DataFrame:
+    """Exact linear-interpolated quantiles ``probs`` of each expression per group, as arrays; NULLs skipped.
 
-    Counts per distinct value (combined map-side), running counts by
-    ``prefix_sums`` over range buckets, then the two values at the ranks around
-    (n - 1) * p: no task holds a group.  Rows with a NULL group column are left
-    out, as are groups without values.
+    One pass answers all of them: counts per distinct value (combined map-side),
+    running counts by ``prefix_sums`` over range buckets, then the two values at
+    the ranks around (n - 1) * p.  No task holds a group.  Rows with a NULL group
+    column are left out, as are groups without values; without ``groups`` there
+    is one row, of NULLs if there are no values.
     """
     g = list(groups)
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), e.cast("double").alias("value")) for n, e in value_exprs.items()]))
-    long = df.filter(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in g))).select(*g, pairs.alias("_x"))
-    counts = long.select(*g, "_x.name", "_x.value").filter(F.col("value").isNotNull()) \
+    known = df.filter(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in g))) if g else df
+    counts = known.select(*g, pairs.alias("_x")).select(*g, "_x.name", "_x.value").filter(F.col("value").isNotNull()) \
         .groupBy(*g, "name", "value").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy(*g, "name").agg(((F.sum("n") - 1) * F.lit(float(p))).alias("rank"))
-    cum = prefix_sums(counts, [*g, "name"], "value", ["n"]).join(sizes, [*g, "name"])
+    cum = prefix_sums(counts, [*g, "name"], "value", ["n"])
+    cum = cum.join(cum.groupBy(*g, "name").agg(F.max("n_cum").alias("_size")), [*g, "name"])
+    rank = {k: (F.col("_size") - 1) * F.lit(float(p)) for k, p in enumerate(probs)}
     at = lambda r: F.min(F.when(F.col("n_cum") > r, F.col("value")))
-    found = cum.groupBy(*g, "name").agg(at(F.floor("rank")).alias("lo"), at(F.ceil("rank")).alias("hi"), F.any_value("rank").alias("rank"))
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("rank") - F.floor("rank"))
-    return found.groupBy(*g).agg(*[F.max(F.when(F.col("name") == n, value)).alias(n) for n in value_exprs])
+    ends = [x for k, r in rank.items() for x in (at(F.floor(r)).alias(f"_lo{k}"), at(F.ceil(r)).alias(f"_hi{k}"))]
+    found = cum.groupBy(*g, "name").agg(F.any_value("_size").alias("_size"), *ends)
+    values = F.array(*[F.col(f"_lo{k}") + (F.col(f"_hi{k}") - F.col(f"_lo{k}")) * (r - F.floor(r)) for k, r in rank.items()])
+    return found.groupBy(*g).agg(*[F.max(F.when(F.col("name") == n, values)).alias(n) for n in value_exprs])
+
+
+def grouped_quantile(df: DataFrame, groups: Sequence[str], value_exprs: dict[str, Column], p: float) -> DataFrame:
+    """One quantile ``p`` of each expression per group: ``grouped_quantiles`` as plain columns."""
+    out = grouped_quantiles(df, groups, value_exprs, [p])
+    return out.select(*groups, *[F.col(n)[0].alias(n) for n in value_exprs])
+
+
+def with_group_quantiles(agg: DataFrame, df: DataFrame, groups: Sequence[str], value_exprs: dict[str, Column],
+                         probs: Sequence[float]) -> DataFrame:
+    """``agg`` (one row per group) with the quantile arrays of ``df``'s groups; NULL for a group without values."""
+    q = grouped_quantiles(df, groups, value_exprs, probs)
+    return agg.join(q, list(groups), "left") if groups else attach_scalar(agg, q)
 
 
 def total_of(df: DataFrame, name: str = "_total", expr: Column | None = None) -> DataFrame:
@@ -90,20 +109,21 @@ def describe(df: DataFrame, value: str, by: Sequence[str] = (),
         src = src.filter(F.col(b).isNotNull())
     aggs = [F.count(v).alias(f"{prefix}count"), F.avg(v).alias(f"{prefix}mean"),
             F.stddev_samp(v).alias(f"{prefix}std"), F.min(v).alias(f"{prefix}min")]
-    if percentiles:
-        aggs.append(quantile(v, list(percentiles)).alias("_pct"))
     aggs.append(F.max(v).alias(f"{prefix}max"))
     out = src.groupBy(*by).agg(*aggs)
     if percentiles:
+        out = with_group_quantiles(out, src, by, {"_pct": v}, percentiles)
         names = {p: f"{prefix}p{int(round(p * 100)):02d}" for p in percentiles}
         out = out.withColumns({names[p]: F.col("_pct")[i] for i, p in enumerate(percentiles)}).drop("_pct")
+        out = out.select(*[c for c in out.columns if c != f"{prefix}max"], f"{prefix}max")
     return out
 
 
 def rate_by(df: DataFrame, dims: Sequence[str], label: str = "churn", extra: dict | None = None,
             min_group: int = 0, pct: bool = False, count_name: str = "customers",
-            rate_name: str = "churn_rate") -> DataFrame:
-    """Customers and label rate per group, plus named extra aggregates.
+            rate_name: str = "churn_rate", medians: dict[str, str] | None = None) -> DataFrame:
+    """Customers and label rate per group, plus named extra aggregates
+    and ``medians`` (name -> column; by ``grouped_quantiles``).
 
     ``pct`` gives the rate x 100 rounded half-even to 2 places; ``min_group``
     keeps groups with at least that many rows (P15, a HAVING filter).
@@ -119,6 +139,9 @@ def rate_by(df: DataFrame, dims: Sequence[str], label: str = "churn", extra: dic
     out = src.groupBy(*dims).agg(*aggs)
     if min_group:
         out = out.filter(F.col(count_name) >= min_group)
+    if medians:
+        out = with_group_quantiles(out, src, dims, {n: F.col(c) for n, c in medians.items()}, [0.5])
+        out = out.withColumns({n: F.col(n)[0] for n in medians})
     return out
 
 
@@ -236,8 +259,9 @@ def with_quantile_bins(df: DataFrame, value: str, q: int = 5, out: str = "bin",
     """
     probs = [i / q for i in range(q + 1)]
     v = F.col(value).cast("double")
-    pct = (F.percentile_approx(v, probs, 100000) if approx else quantile(v, probs))
-    edges = df.agg(F.array_distinct(F.array_sort(pct.cast("array<double>"))).alias("_edges"))
+    found = df.agg(F.percentile_approx(v, probs, 100000).cast("array<double>").alias("_e")) if approx else \
+        grouped_quantiles(df, [], {"_e": v}, probs)
+    edges = found.select(F.array_distinct(F.array_sort("_e")).alias("_edges"))
     j = attach_scalar(df, edges)
     # bin index = number of inner edges strictly below the value (right-closed bins)
     inner = F.slice(F.col("_edges"), 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
@@ -248,40 +272,36 @@ def with_quantile_bins(df: DataFrame, value: str, q: int = 5, out: str = "bin",
 
 # ------------------------------------------------------------ prefix sums ----
 
-def order_bucket(df: DataFrame, order: str, buckets: int) -> Column:
-    """Range bucket (0 .. buckets-1) of a numeric column, as a function of the row.
+def with_range_bucket(df: DataFrame, partition: Sequence[str], order: str, buckets: int | None = None) -> DataFrame:
+    """``df`` with ``_bk``: balanced ranges of (partition, order), written to the shared folder.
 
-    Equal widths between the column's least and greatest value on a log-like
-    monotone scale (heavy tails spread out).  Least and greatest come from one
-    scalar subquery and do not depend on how rows are partitioned, so every
-    evaluation puts a row in the same bucket.
+    Spark samples the rows to cut them into ranges of similar size, whatever the
+    values: an outlier, or groups of different magnitude, take no more than their
+    share.  Other evaluations would sample other cuts, so the rows are written
+    with the number of their range and read back.
     """
-    def scaled(c):
-        d = c.cast("double")
-        return F.signum(d) * F.log1p(F.abs(d))
-
-    ends = df.agg(F.struct(scaled(F.min(order)).alias("lo"), scaled(F.max(order)).alias("hi")).alias("_e")).scalar()
-    lo, hi = ends.getField("lo"), ends.getField("hi")
-    at = F.when(hi > lo, F.floor((scaled(F.col(order)) - lo) / (hi - lo) * buckets)).otherwise(F.lit(0))
-    return F.least(F.greatest(at, F.lit(0)), F.lit(buckets - 1)).cast("int")
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(n, *[F.col(p) for p in partition], F.col(order)).withColumn("_bk", F.spark_partition_id())
+    path = scratch_path(spark, f"ranges-{uuid.uuid4().hex}")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def prefix_sums(df: DataFrame, partition: Sequence[str], order: str, sums: Sequence[str],
                 descending: bool = False, buckets: int | None = None, suffix: str = "_cum") -> DataFrame:
     """Inclusive running sums of ``sums`` within ``partition`` in ``order``.
 
-    Rows get a range bucket that depends on the row alone (``order_bucket``);
-    per-bucket totals (combined map-side) give exclusive bucket offsets by a
-    window over the small (partition, bucket) table; rows join their offset on
-    (partition, bucket) and run a window inside the bucket, on the same
-    shuffle.  ``order`` is numeric, not NULL and unique within a partition
-    (aggregate first).
+    Rows lie in balanced ranges (``with_range_bucket``); per-range totals
+    (combined map-side) give exclusive offsets by a window over the small
+    (partition, range) table; rows join their offset on (partition, range) and
+    run a window inside the range.  ``order`` is not NULL; rows that tie within a
+    partition are counted one after the other, in no fixed order.
     """
     part = list(partition)
-    n = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     o = F.col(order).desc() if descending else F.col(order).asc()
     step = F.col("_bk").desc() if descending else F.col("_bk").asc()
-    rows = df.withColumn("_bk", order_bucket(df, order, n))
+    rows = with_range_bucket(df, part, order, buckets)
     tot = rows.groupBy(*part, "_bk").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     wb = Window.partitionBy(*part).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*[F.col(p).alias(f"_p_{p}") for p in part], F.col("_bk").alias("_pbk"),
@@ -509,7 +529,7 @@ def calibration_curve(df: DataFrame, label: str, score: str, n_bins: int = 10) -
     ``searchsorted`` on the edges), edges = exact linear quantiles.
     """
     probs = [i / n_bins for i in range(n_bins + 1)]
-    edges = df.agg(quantile(F.col(score).cast("double"), probs).cast("array<double>").alias("_e"))
+    edges = grouped_quantiles(df, [], {"_e": F.col(score)}, probs)
     j = attach_scalar(df.filter(F.col(score).isNotNull()), edges)
     inner = F.slice(F.col("_e"), 2, n_bins - 1)
     binid = F.size(F.filter(inner, lambda e: e < F.col(score)))

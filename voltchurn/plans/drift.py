@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltchurn.constants import DRIFT_P_THRESHOLD, KEY
-from voltchurn.operators.stats import quantile, attach_scalar, kolmogorov_sf, ks_from_long, ks_p_value, ks_statistic
+from voltchurn.operators.stats import attach_scalar, kolmogorov_sf, ks_from_long, ks_p_value, ks_statistic, with_group_quantiles
 
 NUMERIC = {"double", "float", "int", "bigint", "smallint", "tinyint"}
 
@@ -76,10 +76,10 @@ def reference_snapshot(df: DataFrame, features: Sequence[str] | None = None) ->
 
 def reference_stats(snapshot: DataFrame) -> DataFrame:
     """Q5: mean, sample std, exact quartiles and count per feature of a snapshot."""
-    return snapshot.groupBy("feature").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        quantile("value", 0.25).alias("q25"), quantile("value", 0.5).alias("q50"),
-        quantile("value", 0.75).alias("q75"), F.count(F.lit(1)).alias("count"))
+    stats = snapshot.groupBy("feature").agg(
+        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.count(F.lit(1)).alias("count"))
+    q = with_group_quantiles(stats, snapshot, ["feature"], {"_q": F.col("value")}, [0.25, 0.5, 0.75])
+    return q.select("feature", "mean", "std", *[F.col("_q")[k].alias(n) for k, n in enumerate(("q25", "q50", "q75"))], "count")
 
 
 def snapshot_as_wide(snapshot: DataFrame) -> DataFrame:

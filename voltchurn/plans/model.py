@@ -34,9 +34,9 @@ from voltchurn.functions.exprs import clip_lower0, cut
 from voltchurn.operators.frames import cut_lineage
 from voltchurn.session import scratch_path
 from voltchurn.operators.stats import (
-    quantile,
     attach_scalar,
     confusion_metrics,
+    grouped_quantile,
     pick_threshold,
     prefix_sums,
     ranking_metrics,
@@ -88,32 +88,35 @@ def missing_features(gold: DataFrame, features: Sequence[str]) -> list[str]:
 # ---------------------------------------------------------------- M2 ----
 
 def _hash_ranked(df: DataFrame, label: str, seed: int, key: str) -> DataFrame:
-    """key, label and ``_pos``: the row's place (from 1) in its class by a hash of key and seed.
+    """``df`` with ``_pos``: the row's place (from 1) in its class by a hash of key and seed.
 
     The hash is the first 60 bits of md5("key:seed"), so other engines can repeat
-    it.  Places come from ``prefix_sums``, not from a window holding a class.
+    it; a null key counts as empty.  Places come from ``prefix_sums``, which
+    carries the rows: none is joined back, so null and repeated keys stay, each
+    row with a place of its own.
     """
-    bits = F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), 1, 15), 16, 10).cast("long")
-    h = df.select(key, label, bits.alias("_h"), F.lit(1).alias("_one"))
-    return prefix_sums(h, [label], "_h", ["_one"]).withColumnRenamed("_one_cum", "_pos")
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    bits = F.conv(F.substring(F.md5(F.concat(name, F.lit(f":{seed}"))), 1, 15), 16, 10).cast("long")
+    placed = prefix_sums(df.withColumns({"_h": bits, "_one": F.lit(1)}), [label], "_h", ["_one"])
+    return placed.withColumnRenamed("_one_cum", "_pos").drop("_h", "_one")
 
 
 def stratified_split(df: DataFrame, label: str = "churn", test_size: float = 0.20, seed: int = 42,
                      key: str = KEY, col: str = "is_test") -> DataFrame:
     """M2: exact stratified split: per class the round(test_size * n) rows with the smallest
-    hash of key and seed go to test.  Depends on the rows alone, not on how they are partitioned.
+    hash of key and seed go to test.  Depends on the rows alone, not on how they are partitioned
+    (rows that share a key may change places among themselves).  A null label is a class of its own.
     """
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = _hash_ranked(df, label, seed, key).join(n, label)
-    test = ranked.select(key, (F.col("_pos") <= F.round(F.col("_n") * test_size)).alias(col))
-    return df.join(test, key)
+    ranked = _hash_ranked(df, label, seed, key)
+    n = ranked.groupBy(F.col(label).alias("_label")).agg(F.max("_pos").alias("_n"))
+    return ranked.join(n, F.col(label).eqNullSafe(F.col("_label"))) \
+        .withColumn(col, F.col("_pos") <= F.round(F.col("_n") * test_size)).drop("_label", "_n", "_pos")
 
 
 def stratified_folds(df: DataFrame, label: str = "churn", k: int = 5, seed: int = 42, key: str = KEY,
                      col: str = "fold") -> DataFrame:
     """Stratified fold ids (0..k-1) by hash position within each class, for ``foldCol``."""
-    ranked = _hash_ranked(df, label, seed, key)
-    return df.join(ranked.select(key, ((F.col("_pos") - 1) % k).cast("int").alias(col)), key)
+    return _hash_ranked(df, label, seed, key).withColumn(col, ((F.col("_pos") - 1) % k).cast("int")).drop("_pos")
 
 
 # ---------------------------------------------------------------- M3/M4 ----
@@ -411,9 +414,8 @@ def promotion_decision(metrics: DataFrame, min_ap: float = 0.70) -> DataFrame:
 
 def break_even(gold: DataFrame, outreach_cost: float, precision: float, label: str = "churn") -> DataFrame:
     """Revenue at risk per churner (median margin x median tenure) vs outreach cost."""
-    med = gold.filter(F.col(label) == 1).agg(
-        quantile("avg_monthly_margin", 0.5).alias("median_margin"),
-        quantile("tenure_months", 0.5).alias("median_tenure"))
+    med = grouped_quantile(gold.filter(F.col(label) == 1), [], {
+        "median_margin": F.col("avg_monthly_margin"), "median_tenure": F.col("tenure_months")}, 0.5)
     return med.select("*", (F.col("median_margin") * F.col("median_tenure")).alias("value_per_churner"),
                       (F.lit(outreach_cost) / (F.col("median_margin") * F.col("median_tenure")))
                       .alias("break_even_precision"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from voltchurn.constants import KEY
 from voltchurn.functions.exprs import cut, days_between, month_start, safe_div
 from voltchurn.operators.stats import (
-    quantile,
+    with_group_quantiles,
     attach_scalar,
     chi_square,
     crosstab,
@@ -41,21 +41,15 @@ def margin_by(gold: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def channel_profile(gold: DataFrame) -> DataFrame:
     """Per acquisition channel: customers, churn rate, median tenure, median margin, median volatility."""
-    return rate_by(gold, ["sales_channel"], extra={
-        "median_tenure": quantile("tenure_months", 0.5),
-        "median_margin": quantile("avg_monthly_margin", 0.5),
-        "median_margin_volatility": quantile("std_margin", 0.5),
-    })
+    return rate_by(gold, ["sales_channel"], medians={
+        "median_tenure": "tenure_months", "median_margin": "avg_monthly_margin", "median_margin_volatility": "std_margin"})
 
 
 def competition_profile(gold: DataFrame) -> DataFrame:
     """E8 + F23: competition split: medians of margins and profit at risk
     (median margin x churn rate x customers)."""
-    out = rate_by(gold, ["is_high_competition_province"], extra={
-        "median_margin": quantile("avg_monthly_margin", 0.5),
-        "median_total_margin": quantile("total_margin_2024", 0.5),
-        "median_elec_kwh": quantile("avg_monthly_elec_kwh", 0.5),
-    })
+    out = rate_by(gold, ["is_high_competition_province"], medians={
+        "median_margin": "avg_monthly_margin", "median_total_margin": "total_margin_2024", "median_elec_kwh": "avg_monthly_elec_kwh"})
     return out.withColumn("profit_at_risk", F.col("median_margin") * F.col("churn_rate") * F.col("customers"))
 
 
@@ -174,10 +168,9 @@ def churn_pct_by(gold: DataFrame, dim: str) -> DataFrame:
 
 def margin_box(gold: DataFrame, by: str = "churn") -> DataFrame:
     """Five-number summary of average monthly margin per group."""
-    return gold.filter(F.col(by).isNotNull()).groupBy(by).agg(
-        F.min("avg_monthly_margin").alias("min"),
-        quantile("avg_monthly_margin", [0.25, 0.5, 0.75]).alias("_q"),
-        F.max("avg_monthly_margin").alias("max")).select(
+    rows = gold.filter(F.col(by).isNotNull())
+    ends = rows.groupBy(by).agg(F.min("avg_monthly_margin").alias("min"), F.max("avg_monthly_margin").alias("max"))
+    return with_group_quantiles(ends, rows, [by], {"_q": F.col("avg_monthly_margin")}, [0.25, 0.5, 0.75]).select(
         by, "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"), "max")
 
 
