@@ -1316,3 +1316,112 @@ def q_source_quarantine(spark, sf):
     customers = IO.quarantine(spark, f"{base}/customers-csv", "c_custkey long, c_nationkey int, c_acctbal double", f"{base}/customers", header=False)
     orders = IO.quarantine(spark, f"{base}/orders-json", "o_orderkey long, o_totalprice double", f"{base}/orders", "json", multiline=False)
     return Q.corrupt_report({"customers": customers[0], "orders": orders[0]}, {"customers": customers[1], "orders": orders[1]})
+
+
+# ------------------------------------- chi-square law, thresholds, leakage audit ----
+
+_CELLS = G + """,
+  cells AS (SELECT customer_intent AS a, CAST(churn AS VARCHAR) AS b, count(*) AS n FROM gold
+            WHERE customer_intent IS NOT NULL AND churn IS NOT NULL GROUP BY 1, 2),
+  r AS (SELECT a, CAST(sum(n) AS DOUBLE) AS rt FROM cells GROUP BY a),
+  c AS (SELECT b, CAST(sum(n) AS DOUBLE) AS ct FROM cells GROUP BY b),
+  nn AS (SELECT CAST(sum(n) AS DOUBLE) AS total FROM cells),
+  pairs AS (SELECT a, b, coalesce(n, 0) AS observed, rt * ct / total AS expected
+            FROM r CROSS JOIN c CROSS JOIN nn LEFT JOIN cells USING (a, b))"""
+
+
+@register("report_chi_square_p_value", _CELLS + """,
+  one AS (SELECT sum(CASE WHEN dof = 1 THEN power(abs(observed - expected) - least(0.5, abs(observed - expected)), 2)
+                          ELSE power(observed - expected, 2) END / expected) AS statistic, any_value(dof) AS dof
+          FROM pairs, (SELECT ((SELECT count(*) FROM r) - 1) * ((SELECT count(*) FROM c) - 1) AS dof))
+  SELECT statistic, CAST(dof AS BIGINT) AS dof, (SELECT CAST(total AS BIGINT) FROM nn) AS n,
+    least(greatest(1.0 - (SELECT sum(exp((dof / 2.0 + k) * ln(statistic / 2.0) - statistic / 2.0 - lgamma(dof / 2.0 + k + 1)))
+                          FROM range(0, 3000) t(k)), 0.0), 1.0) AS p_value FROM one""")
+def q_chi_square_p(spark, sf):
+    """A20 + E13: chi-square test of intent against churn with its p-value."""
+    return RP.intent_chi_square(_gold(spark, sf))
+
+
+@register("report_expected_counts", _CELLS + " SELECT a AS customer_intent, b AS churn, observed, expected FROM pairs")
+def q_expected_counts(spark, sf):
+    """Expected counts of intent x churn under independence."""
+    return S.expected_counts(_gold(spark, sf), "customer_intent", "churn")
+
+
+_THRESHOLDS = (("recall", 0.70), ("f1", 0.70), ("recall_or_half", 0.70), ("recall", 1.10), ("recall_or_half", 1.10))
+
+
+@register("metrics_threshold_variants", _LAB + """,
+  f AS (SELECT threshold FROM curve ORDER BY 2 * precision * recall / (precision + recall + 1e-12) DESC, threshold LIMIT 1),
+  asked(mode, target) AS (VALUES """ + ", ".join(f"('{m}', {t:.2f}::DOUBLE)" for m, t in _THRESHOLDS) + """),
+  hit AS (SELECT mode, target, (SELECT max(threshold) FROM curve WHERE recall >= target) AS t FROM asked)
+  SELECT mode, target, CASE mode WHEN 'f1' THEN (SELECT threshold FROM f)
+    WHEN 'recall' THEN coalesce(t, (SELECT threshold FROM f)) ELSE coalesce(t, 0.5) END AS threshold FROM hit""")
+def q_threshold_variants(spark, sf):
+    """Thresholds by best F1 and by recall, with both fallbacks (a recall above 1 is never reached)."""
+    scores, out = S_cut(si.labelled_scores(spark, sf)), None
+    for mode, target in _THRESHOLDS:
+        row = S.pick_threshold_by(scores, "label", "score", mode, target).select(F.lit(mode).alias("mode"), F.lit(target).alias("target"), "threshold")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+_LEAK = G + """,
+  tg AS (SELECT *, CASE WHEN has_interaction = 1 THEN date_diff('day', CAST(date AS DATE), CAST(next_renewal_date AS DATE)) END AS d FROM sc),
+  scoped AS (SELECT 'all' AS scope, * FROM tg UNION ALL SELECT 'before', * FROM tg WHERE d >= 0
+             UNION ALL SELECT 'safe_7d', * FROM tg WHERE d >= 7 UNION ALL SELECT 'safe_30d', * FROM tg WHERE d >= 30)"""
+
+
+def _tagged(spark, sf):
+    return Q.tag_leakage(_silver(spark, sf)["silver_customer"])
+
+
+@register("leakage_sentiment_timing", _LEAK + """ SELECT sentiment_label, count(customer_id) AS customers,
+    avg(CASE WHEN d < 0 THEN 1.0 ELSE 0.0 END) AS pct_after_renewal, quantile_cont(CAST(d AS DOUBLE), 0.5) AS median_days_to_renewal
+  FROM tg WHERE sentiment_label IS NOT NULL AND d IS NOT NULL GROUP BY 1""")
+def q_leak_timing(spark, sf):
+    """Q13 A: sentiment given after the renewal date."""
+    return Q.leakage_sentiment_timing(_tagged(spark, sf))
+
+
+@register("leakage_churn_by_scope", _LEAK + """ SELECT scope, sentiment_label, count(*) AS customers, avg(CAST(churn AS DOUBLE)) AS churn_rate
+  FROM scoped WHERE sentiment_label IS NOT NULL GROUP BY ALL""")
+def q_leak_scope(spark, sf):
+    """Q13 B-D: churn by sentiment on all rows and under buffers of 0, 7 and 30 days."""
+    return Q.leakage_churn_by_scope(_tagged(spark, sf))
+
+
+@register("leakage_churn_by_channel_scope", _LEAK + """ SELECT scope, channel, sentiment_label, count(*) AS customers,
+    avg(CAST(churn AS DOUBLE)) AS churn_rate FROM scoped WHERE sentiment_label IS NOT NULL AND channel IS NOT NULL GROUP BY ALL""")
+def q_leak_channel(spark, sf):
+    """Q13: the same by channel."""
+    return Q.leakage_churn_by_scope(_tagged(spark, sf), ["channel", "sentiment_label"])
+
+
+@register("leakage_violations", _LEAK + """, v AS (
+  SELECT 'after_renewal' AS violation, churn FROM tg WHERE d < 0 UNION ALL SELECT 'within_1_day', churn FROM tg WHERE d BETWEEN 0 AND 1
+  UNION ALL SELECT 'sentiment_without_interaction', churn FROM tg WHERE sentiment_label IS NOT NULL AND has_interaction = 0
+  UNION ALL SELECT 'sentiment_without_dates', churn FROM tg WHERE sentiment_label IS NOT NULL AND d IS NULL)
+  SELECT violation, count(*) AS customers, avg(CAST(churn AS DOUBLE)) AS churn_rate FROM v GROUP BY 1""")
+def q_leak_violations(spark, sf):
+    """Q13: rows and churn per violated rule."""
+    return Q.leakage_violations(_tagged(spark, sf))
+
+
+@register("leakage_suspicious_rows", _LEAK + """ SELECT customer_id, CAST(date AS DATE) AS date, CAST(next_renewal_date AS DATE) AS next_renewal_date,
+    CAST(d AS INTEGER) AS days_to_renewal, sentiment_label, sentiment_neg, sentiment_neu, sentiment_pos, interaction_summary
+  FROM tg WHERE sentiment_label = 'negative' AND churn = 1 AND d <= 1""")
+def q_leak_suspicious(spark, sf):
+    """Every suspicious row of the leakage audit."""
+    return Q.leakage_suspicious(_tagged(spark, sf))
+
+
+@register("leakage_summary", _LEAK + """ SELECT unnest(['rows_total', 'rows_has_sentiment', 'rows_has_sentiment_and_dates',
+    'rows_sentiment_after_renewal', 'rows_sentiment_pre_renewal', 'rows_sentiment_safe_7d', 'rows_sentiment_safe_30d']) AS metric,
+    unnest([count(*), count(sentiment_label), count(*) FILTER (WHERE sentiment_label IS NOT NULL AND d IS NOT NULL),
+            count(*) FILTER (WHERE sentiment_label IS NOT NULL AND d < 0), count(*) FILTER (WHERE sentiment_label IS NOT NULL AND d >= 0),
+            count(*) FILTER (WHERE sentiment_label IS NOT NULL AND d >= 7), count(*) FILTER (WHERE sentiment_label IS NOT NULL AND d >= 30)]) AS rows
+  FROM tg""")
+def q_leak_summary(spark, sf):
+    """Q13: rows that each cut of the audit leaves."""
+    return Q.leakage_summary(_tagged(spark, sf))

@@ -40,9 +40,19 @@ def test_chi_square_with_yates(spark):
     assert abs(S.chi_square(ct, "a", "b", correction=False).first().statistic - 8.0357142857) < 1e-9
 
 
-def test_chi2_sf_values():
-    assert abs(S.chi2_sf(3.841458820694124, 1) - 0.05) < 1e-9
-    assert abs(S.chi2_sf(11.070497693516351, 5) - 0.05) < 1e-9
+def test_chi2_sf_values(spark):
+    # published quantiles, far tails, and closed forms for even degrees
+    even = lambda x, k: math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(k // 2))
+    cases = [(3.841458820694124, 1, 0.05), (11.070497693516351, 5, 0.05), (10.827566170662733, 1, 0.001), (0.0, 3, 1.0), (1e-12, 7, 1.0),
+             *[(x, k, even(x, k)) for k in (2, 4, 10, 60) for x in (0.01, 1.0, 5.0, 11.9, 12.1, 61.9, 62.1, 90.0, 400.0)],
+             (200.0, 1, 2.0884875837625449e-45), (5.0, 0, None)]
+    rows = spark.createDataFrame([(x, k, w) for x, k, w in cases], "x double, k long, want double").withColumn("p", S.chi2_sf(F.col("x"), F.col("k"))).collect()
+    for r in rows:
+        assert (r.p is None) if r.want is None else abs(r.p - r.want) <= 1e-9 * max(r.want, 1e-60) + 1e-15, r
+    values = {(r.x, r.k): r.p for r in rows}
+    sf = lambda x, k: values[x, k]
+    assert abs(sf(3.841458820694124, 1) - 0.05) < 1e-9
+    assert abs(sf(11.070497693516351, 5) - 0.05) < 1e-9
 
 
 def test_ks_same_vs_shifted(spark):

@@ -158,44 +158,43 @@ def crosstab(df: DataFrame, a: str, b: str, margins: bool = True, all_label: str
         "n")
 
 
-def _gammaincc(s: float, x: float) -> float:
-    """Regularized upper incomplete gamma Q(s, x) (series / continued fraction)."""
-    if x <= 0:
-        return 1.0
-    gln = math.lgamma(s)
-    if x < s + 1:
-        ap, tot, dl = s, 1.0 / s, 1.0 / s
-        for _ in range(10000):
-            ap += 1
-            dl *= x / ap
-            tot += dl
-            if abs(dl) < abs(tot) * 1e-16:
-                break
-        return max(0.0, 1.0 - tot * math.exp(-x + s * math.log(x) - gln))
-    b = x + 1 - s
-    c = 1.0 / 1e-300
-    d = 1.0 / b
-    h = d
-    for i in range(1, 10000):
-        an = -i * (i - s)
-        b += 2
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1.0 / d
-        de = d * c
-        h *= de
-        if abs(de - 1) < 1e-16:
-            break
-    return math.exp(-x + s * math.log(x) - gln) * h
-
-
-def chi2_sf(stat: float, dof: int) -> float:
-    """Survival function of the chi-square law."""
-    if stat is None or dof is None or dof <= 0:
-        return float("nan")
-    return _gammaincc(dof / 2.0, stat / 2.0)
+def upper_gamma(s: Column, y: Column, terms: int = 400) -> Column:
+    """Regularised upper incomplete gamma Q(s, y) for whole and half s > 0, as a column.
+
+    Below y = s + 1 one minus the power series, above it the continued fraction
+    taken from its far end; ln Gamma(s) from the recurrence down to 1/2 or 1.
+    """
+    ks = F.transform(F.sequence(F.lit(1), F.lit(terms)), lambda k: k.cast("double"))
+    whole = s == F.floor(s)
+    steps = F.floor(s - F.when(whole, 1.0).otherwise(0.5)).cast("int")
+    factors = F.when(steps > 0, F.transform(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), lambda k: s - k)).otherwise(F.array().cast("array<double>"))
+    log_gamma = F.aggregate(factors, F.when(whole, 0.0).otherwise(math.lgamma(0.5)), lambda acc, f: acc + F.ln(f))
+    front = F.exp(s * F.ln(y) - y - log_gamma)
+    start = F.struct((1.0 / s).alias("term"), (1.0 / s).alias("total"))
+    series = F.aggregate(ks, start, lambda acc, k: F.struct((acc["term"] * y / (s + k)).alias("term"),
+                                                            (acc["total"] + acc["term"] * y / (s + k)).alias("total")))["total"]
+    fraction = F.aggregate(F.reverse(ks), y + 2 * terms + 1 - s, lambda acc, k: y + 2 * k - 1 - s - k * (k - s) / acc)
+    q = F.when(y < s + 1, 1.0 - front * series).otherwise(front / fraction)
+    return F.when(y <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0)))
+
+
+def chi2_sf(stat: Column, dof: Column) -> Column:
+    """Survival function of the chi-square law (NULL where dof < 1)."""
+    return F.when(dof > 0, upper_gamma(dof / 2.0, stat / 2.0))
+
+
+def expected_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Observed and expected count of every pair of observed levels (independence).
+
+    The table is as large as its levels allow; ``b``'s levels reach each of
+    ``a``'s as one array.
+    """
+    cells = crosstab(df, a, b, margins=False)
+    rows = cells.groupBy(a).agg(F.sum("n").alias("_r"))
+    cols = cells.groupBy(b).agg(F.sum("n").alias("_c")).agg(F.collect_list(F.struct(b, "_c")).alias("_cols"), F.sum("_c").alias("_n"))
+    pairs = attach_scalar(rows, cols).select(a, "_r", "_n", F.explode("_cols").alias("_x")).select(a, "_r", "_n", "_x.*")
+    return pairs.join(cells, [a, b], "left").select(
+        a, b, F.coalesce("n", F.lit(0)).alias("observed"), (F.col("_r") * F.col("_c") / F.col("_n")).alias("expected"))
 
 
 def chi_square(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFrame:
@@ -207,8 +206,7 @@ def chi_square(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFr
     degree of freedom (a 2 x 2 table) the Yates correction applies; there
     |o - e| is the same delta in every cell, so the statistic is
     (delta - min(0.5, delta))^2 * N * (sum 1/r) * (sum 1/c).
-    Output: one row ``statistic, dof, n, p_value``; the p-value of the
-    one-row result is evaluated from the chi-square law.
+    Output: one row ``statistic, dof, n, p_value`` (of the chi-square law).
     """
     cells = crosstab(df, a, b, margins=False)
     rows = cells.groupBy(a).agg(F.sum("n").cast("double").alias("_r"))
@@ -228,8 +226,7 @@ def chi_square(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFr
         adj = F.col("_d") - F.least(F.lit(0.5), F.col("_d"))
         stat = F.when(dof == 1, adj * adj * F.col("_N") * F.col("_inv_r") * F.col("_inv_c")).otherwise(plain)
     out = one.select(stat.alias("statistic"), dof.cast("long").alias("dof"), F.col("_N").cast("long").alias("n"))
-    p = F.udf(lambda st, k: chi2_sf(st, k), "double")
-    return out.withColumn("p_value", p(F.col("statistic"), F.col("dof").cast("int")))
+    return out.withColumn("p_value", chi2_sf(F.col("statistic"), F.col("dof")))
 
 
 def corr_with(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -498,6 +495,24 @@ def pick_threshold(df: DataFrame, label: str, score: str, target_recall: float =
                       F.col("_tv").isNull().alias("used_f1_fallback"))
 
 
+def pick_threshold_by(df: DataFrame, label: str, score: str, mode: str = "f1", target_recall: float = 0.70,
+                      group: Sequence[str] = ()) -> DataFrame:
+    """The other rules for a threshold.
+
+    ``f1``: the best F1 (of ties the lowest threshold).  ``recall``: the highest
+    threshold whose recall is still ``target_recall`` (recall falls as thresholds
+    rise), else as ``f1``.  ``recall_or_half``: the same, else 0.5.
+    """
+    if mode not in ("f1", "recall", "recall_or_half"):
+        raise ValueError(f"unknown mode: {mode}")
+    c = pr_curve(df, label, score, group)
+    f1 = 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + 1e-12)
+    best = F.max_by("threshold", F.when(f1.isNotNull(), F.struct(f1.alias("f1"), -F.col("threshold"))))
+    reaching = F.max(F.when(F.col("recall") >= target_recall, F.col("threshold")))
+    chosen = {"f1": best, "recall": F.coalesce(reaching, best), "recall_or_half": F.coalesce(reaching, F.lit(0.5))}[mode]
+    return c.groupBy(*group).agg(chosen.cast("double").alias("threshold"))
+
+
 def confusion_metrics(df: DataFrame, label: str, score: str, threshold, group: Sequence[str] = ()) -> DataFrame:
     """M8: confusion counts and rates at ``score >= threshold``; zero division -> 0."""
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltchurn.constants import DEFAULT_NULL_RATE_LIMIT, KEY, NULL_RATE_LIMITS, PRICE_CONSUMPTION_PAIRS
-from voltchurn.operators.stats import attach_scalar
+from voltchurn.functions.exprs import days_between
+from voltchurn.operators.stats import attach_scalar, rate_by, with_group_quantiles
 
 NUMERIC = {"double", "float", "int", "bigint", "smallint", "tinyint"}
 
@@ -158,3 +159,66 @@ def corrupt_report(clean: dict[str, DataFrame], bad: dict[str, DataFrame]) -> Da
         one = one.select(F.lit(name).alias("dataset"), "*", F.try_divide("corrupt_rows", F.col("clean_rows") + F.col("corrupt_rows")).alias("corrupt_share"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# ------------------------------------------------------------ leakage audit ----
+
+def tag_leakage(sc: DataFrame) -> DataFrame:
+    """Every customer with its timing against the renewal date.
+
+    ``days_to_renewal`` counts from the interaction to the renewal (negative:
+    the interaction came after it), NULL without both dates.  ``scope`` lists the
+    cuts a row is eligible for: all, before (0 days or more), safe_7d, safe_30d.
+    ``violations`` lists what is suspicious about it: after_renewal, within_1_day,
+    sentiment_without_interaction, sentiment_without_dates.
+    """
+    days = days_between(F.col("next_renewal_date"), F.col("date"))
+    scored = F.col("sentiment_label").isNotNull()
+    named = lambda rules: F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules]))
+    tagged = sc.withColumn("days_to_renewal", F.when(F.col("has_interaction") == 1, days))
+    d = F.col("days_to_renewal")
+    return tagged.withColumns({
+        "has_sentiment": scored,
+        "scope": named([("all", F.lit(True)), ("before", d >= 0), ("safe_7d", d >= 7), ("safe_30d", d >= 30)]),
+        "violations": named([("after_renewal", d < 0), ("within_1_day", d.between(0, 1)),
+                             ("sentiment_without_interaction", scored & (F.col("has_interaction") == 0)),
+                             ("sentiment_without_dates", scored & d.isNull())])})
+
+
+def leakage_sentiment_timing(tagged: DataFrame) -> DataFrame:
+    """Q13 A: per sentiment, dated customers, share after renewal and median days to renewal."""
+    rows = tagged.where(F.col("has_sentiment") & F.col("days_to_renewal").isNotNull())
+    out = rows.groupBy("sentiment_label").agg(F.count("customer_id").alias("customers"),
+                                              F.avg((F.col("days_to_renewal") < 0).cast("double")).alias("pct_after_renewal"))
+    out = with_group_quantiles(out, rows, ["sentiment_label"], {"_q": F.col("days_to_renewal")}, [0.5])
+    return out.withColumn("median_days_to_renewal", F.col("_q")[0]).drop("_q")
+
+
+def leakage_churn_by_scope(tagged: DataFrame, by: Sequence[str] = ("sentiment_label",)) -> DataFrame:
+    """Q13 B-D: churn by sentiment (and other columns) under every buffer before the renewal, in one pass."""
+    rows = tagged.where("has_sentiment").withColumn("scope", F.explode("scope"))
+    return rate_by(rows, ["scope", *by])
+
+
+def leakage_violations(tagged: DataFrame) -> DataFrame:
+    """Q13: rows and churn of every violated rule."""
+    return rate_by(tagged.withColumn("violation", F.explode("violations")), ["violation"])
+
+
+def leakage_suspicious(tagged: DataFrame) -> DataFrame:
+    """Negative churners whose interaction came after the renewal or within a day before it."""
+    hit = F.arrays_overlap("violations", F.array(F.lit("after_renewal"), F.lit("within_1_day")))
+    return tagged.where((F.col("sentiment_label") == "negative") & (F.col("churn") == 1) & hit).select(
+        "customer_id", "date", "next_renewal_date", "days_to_renewal", "sentiment_label",
+        "sentiment_neg", "sentiment_neu", "sentiment_pos", "interaction_summary")
+
+
+def leakage_summary(tagged: DataFrame) -> DataFrame:
+    """Q13: how many rows each cut leaves, as (metric, rows)."""
+    scored, d = F.col("has_sentiment"), F.col("days_to_renewal")
+    counts = {"rows_total": F.count(F.lit(1)), "rows_has_sentiment": F.count_if(scored),
+              "rows_has_sentiment_and_dates": F.count_if(scored & d.isNotNull()),
+              "rows_sentiment_after_renewal": F.count_if(scored & (d < 0)), "rows_sentiment_pre_renewal": F.count_if(scored & (d >= 0)),
+              "rows_sentiment_safe_7d": F.count_if(scored & (d >= 7)), "rows_sentiment_safe_30d": F.count_if(scored & (d >= 30))}
+    one = tagged.agg(*[c.alias(n) for n, c in counts.items()])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("rows")) for n in counts])).alias("x")).select("x.*")
