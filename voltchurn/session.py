@@ -48,12 +48,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it (a shared file system path) and we use that.  Only when
-    nothing is set -- local tests -- do we make our own folder.
+    A cluster names it (a shared file system path) and we use that; without it
+    a session on a cluster is refused, since its machines share no local folder.
+    Only a local session, whose one process does all, gets a folder of its own.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         d = tempfile.mkdtemp(prefix="voltchurn-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
