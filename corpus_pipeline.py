@@ -15,12 +15,17 @@ from pyspark.sql import functions as F
 
 from voltchurn.llm import jaccard, lines, packing, secret_scan, toxicity
 from voltchurn.llm.queries import table, vocab_path
-from voltchurn.session import put_on_worker_path, scratch_path
+from voltchurn.session import bound_batches, put_on_worker_path, scratch_path
 
 #: no SQL form (the stages train a model and pack online): tested against brute force
 ORACLE_SQL = None
 
 
+def _ready(spark: SparkSession) -> None:
+    put_on_worker_path(spark)
+    bound_batches(spark)
+
+
 def _with_length(docs: DataFrame) -> DataFrame:
     """n_chars made to agree with the text."""
     return docs.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else docs
@@ -28,7 +33,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxicity (5): trained on ``labels``; documents scored 0.3 or more go."""
-    put_on_worker_path(spark)
+    _ready(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score_toxicity(docs, model, limit=0.3).where(~F.col("toxic")).select(*docs.columns)
 
@@ -41,7 +46,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join (6): one document of each group of near copies stays
     (5-word shingles, similarity 0.8 or more)."""
-    put_on_worker_path(spark)
+    _ready(spark)
     return jaccard.keep_one_of_each(docs, num=80, den=100, words=5)
 
 
@@ -53,7 +58,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing (9): the pieces of all documents in windows of 2048 tokens."""
-    put_on_worker_path(spark)
+    _ready(spark)
     return packing.pack_documents(docs, vocab_path(), window=2048, end_id=1)
 
 
