@@ -1425,3 +1425,24 @@ def q_leak_suspicious(spark, sf):
 def q_leak_summary(spark, sf):
     """Q13: rows that each cut of the audit leaves."""
     return Q.leakage_summary(_tagged(spark, sf))
+
+
+# ------------------------------------------------ drift of a stream, types ----
+
+@register("stream_drift_events", _KS_SQL + " SELECT *, p_value < 0.01 AS drifted FROM res")
+def q_stream_drift(spark, sf):
+    """ST3: the events of the second half of the month arrive as files, one per micro-batch; drift per event type
+    after the last one."""
+    ref, cur = _events_long(spark, sf)
+    base = scratch_path(spark, f"drift-{uuid.uuid4().hex}")
+    cur.repartition(4, F.xxhash64("feature", "value")).write.parquet(f"{base}/arriving")
+    return ST.drift_stream(ST.read_stream(spark, f"{base}/arriving", cur.schema, max_files_per_trigger=1), ref, f"{base}/state", exact=False)
+
+
+@register("model_types_gold", G + """ SELECT customer_id, CAST(churn = 1 AS TINYINT) AS churned, CAST(avg_monthly_margin > 0 AS TINYINT) AS earns,
+    CAST(CAST(avg_monthly_elec_kwh AS DECIMAL(18, 3)) AS DOUBLE) AS elec, segment, tenure_months FROM gold""")
+def q_model_types(spark, sf):
+    """flags, decimals and strings of gold in the types that preprocessing takes."""
+    g = _gold(spark, sf).select("customer_id", (F.col("churn") == 1).alias("churned"), (F.col("avg_monthly_margin") > 0).alias("earns"),
+                                F.col("avg_monthly_elec_kwh").cast("decimal(18,3)").alias("elec"), "segment", "tenure_months")
+    return M.normalize_types(g)

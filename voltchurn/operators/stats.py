@@ -335,6 +335,11 @@ def ks_from_long(reference: DataFrame, current: DataFrame) -> DataFrame:
     cnt = u.groupBy("feature", "value").agg(
         F.count_if(F.col("side") == 0).cast("double").alias("c0"),
         F.count_if(F.col("side") == 1).cast("double").alias("c1"))
+    return ks_from_counts(cnt)
+
+
+def ks_from_counts(cnt: DataFrame) -> DataFrame:
+    """KS D per feature from ``(feature, value, c0, c1)``: how often each value occurs in either sample."""
     sizes = cnt.groupBy("feature").agg(F.sum("c0").alias("n_ref"), F.sum("c1").alias("n_cur")) \
         .filter((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     cum = prefix_sums(cnt, ["feature"], "value", ["c0", "c1"]).join(sizes, "feature")

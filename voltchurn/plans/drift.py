@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltchurn.constants import DRIFT_P_THRESHOLD, KEY
-from voltchurn.operators.stats import attach_scalar, kolmogorov_sf, ks_from_long, ks_p_value, ks_statistic, with_group_quantiles
+from voltchurn.operators.stats import attach_scalar, kolmogorov_sf, ks_from_counts, ks_from_long, ks_p_value, ks_statistic, with_group_quantiles
 
 NUMERIC = {"double", "float", "int", "bigint", "smallint", "tinyint"}
 
@@ -93,6 +93,21 @@ def drift_long(reference: DataFrame, current: DataFrame, p_threshold: float = DR
     return _with_p_value(ks_from_long(reference, current), p_threshold, exact)
 
 
+def value_counts_long(rows: DataFrame) -> DataFrame:
+    """``(feature, value, n)`` of the non-missing values of long rows; sums of such tables describe all their rows."""
+    return rows.select("feature", F.col("value").cast("double").alias("value")) \
+        .where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def drift_of_counts(reference: DataFrame, current: DataFrame, p_threshold: float = DRIFT_P_THRESHOLD,
+                    exact: bool = True) -> DataFrame:
+    """Q2 from two ``value_counts_long`` tables, as ``drift_long`` of the rows they count."""
+    both = reference.select("feature", "value", F.col("n").alias("c0"), F.lit(0).alias("c1")).unionByName(
+        current.select("feature", "value", F.lit(0).alias("c0"), F.col("n").alias("c1")))
+    counts = both.groupBy("feature", "value").agg(F.sum("c0").cast("double").alias("c0"), F.sum("c1").cast("double").alias("c1"))
+    return _with_p_value(ks_from_counts(counts), p_threshold, exact)
+
+
 def drift_from_snapshot(snapshot: DataFrame, current: DataFrame, p_threshold: float = DRIFT_P_THRESHOLD,
                         exclude: Sequence[str] = (KEY, "churn_proba")) -> DataFrame:
     """Q2 against a saved long snapshot."""

@@ -17,6 +17,7 @@ from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringInd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltchurn.constants import (
     CATEGORICAL_DEFAULT_COLS,
@@ -53,6 +54,23 @@ def flag_columns(columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c.startswith(FLAG_PREFIXES) or c.endswith(FLAG_SUFFIXES)]
 
 
+def normalize_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """types that preprocessing can take, by the schema: booleans become 0/1 bytes, decimals doubles,
+    fixed-length and collated strings plain ones.  NULLs stay; other types and columns are not touched."""
+    def plain(name: str, kind: T.DataType):
+        if isinstance(kind, T.BooleanType):
+            return F.col(f"`{name}`").cast("tinyint")
+        if isinstance(kind, T.DecimalType):
+            return F.col(f"`{name}`").cast("double")
+        if isinstance(kind, (T.CharType, T.VarcharType)) or isinstance(kind, T.StringType) and kind != T.StringType():
+            return F.col(f"`{name}`").cast("string")
+        return None
+
+    wanted = set(columns if columns is not None else df.columns)
+    casts = {f.name: c for f in df.schema.fields if f.name in wanted and (c := plain(f.name, f.dataType)) is not None}
+    return df.withColumns(casts) if casts else df
+
+
 def model_matrix(gold: DataFrame, features: Sequence[str], label: str = "churn",
                  legacy_flag_fill: bool = True) -> DataFrame:
     """M1: structural fills, then ``(customer_id, label, *available features)``.
@@ -62,6 +80,7 @@ def model_matrix(gold: DataFrame, features: Sequence[str], label: str = "churn",
     also zero-fills e.g. ``months_to_renewal``); otherwise only integer flag
     columns are filled.
     """
+    gold = normalize_types(gold)
     cols = set(gold.columns)
     fills = {c: NUMERIC_SENTINEL_VALUE for c in NUMERIC_SENTINEL_COLS if c in cols}
     fills.update({c: CATEGORICAL_DEFAULT_VALUE for c in CATEGORICAL_DEFAULT_COLS if c in cols})

@@ -101,3 +101,58 @@ def for_each_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], chec
     q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+COUNTS = "feature string, value double, n long, batch long"
+
+
+class DriftState:
+    """ST3: value counts of a stream so far, and the drift they show, one folder per batch.
+
+    A batch adds its counts to those of the newest batch before it, so a batch
+    that is repeated after a failure finds the same state and overwrites its own
+    folders: nothing is counted twice.  The reference's counts are kept beside.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, reference: DataFrame | None = None, exact: bool = True):
+        from voltchurn.plans import drift
+
+        self.base, self.exact, self._drift = base, exact, drift
+        if reference is not None:
+            drift.value_counts_long(reference).write.mode("overwrite").parquet(f"{base}/reference")
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The counts that the newest batch before ``batch_id`` left."""
+        from voltchurn.sources.io import path_exists
+
+        if not path_exists(spark, f"{self.base}/counts"):
+            return spark.createDataFrame([], COUNTS)
+        states = spark.read.schema(COUNTS).parquet(f"{self.base}/counts").where(F.col("batch") < batch_id)
+        newest = states.agg(F.max("batch")).first()[0]
+        return states.where(F.col("batch") == F.lit(newest))
+
+    def update(self, batch: DataFrame, batch_id: int) -> None:
+        """Adds one micro-batch of (feature, value) rows and writes the drift of all rows so far."""
+        spark = batch.sparkSession
+        added = self._drift.value_counts_long(batch)
+        total = self.before(spark, batch_id).select("feature", "value", "n").unionByName(added) \
+            .groupBy("feature", "value").agg(F.sum("n").alias("n"))
+        total.write.mode("overwrite").parquet(f"{self.base}/counts/batch={batch_id}")
+        current = spark.read.schema("feature string, value double, n long").parquet(f"{self.base}/counts/batch={batch_id}")
+        report = self._drift.drift_of_counts(spark.read.parquet(f"{self.base}/reference"), current, exact=self.exact)
+        report.write.mode("overwrite").parquet(f"{self.base}/reports/batch={batch_id}")
+
+    def reports(self, spark: SparkSession) -> DataFrame:
+        """The drift report of every batch, with ``batch``."""
+        return spark.read.parquet(f"{self.base}/reports")
+
+
+def drift_stream(stream: DataFrame, reference: DataFrame, base: str, exact: bool = True) -> DataFrame:
+    """ST3: drift of a stream of (feature, value) rows against a reference, batch by batch; the last report.
+
+    Equal to the batch job over all rows that have arrived.
+    """
+    state = DriftState(stream.sparkSession, base, reference, exact)
+    for_each_batch(stream, state.update, f"{base}/checkpoint")
+    reports = state.reports(stream.sparkSession)
+    return reports.where(F.col("batch") == reports.agg(F.max("batch")).scalar()).drop("batch")
