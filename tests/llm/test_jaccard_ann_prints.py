@@ -230,3 +230,25 @@ def test_fingerprint_edge_rows(spark):
     got = fingerprints.compare_edited(twice, ranks).collect()
     assert sorted((str(r["doc_id"]), r["n_chars"]) for r in got) == [("2", 4), ("2", 4), ("2", 5), ("None", 5)]
     assert fingerprints.compare_edited(alone.limit(0), fingerprints.corpus_ranks(alone.limit(0))).count() == 0
+
+
+def test_rows_that_repeat_an_id_with_other_vectors_are_candidates(spark):
+    import random
+
+    rng = random.Random(12)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(150)]
+    rows += [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(0, 150, 3)]           # a second vector of the same id
+    rows += rows[:20]                                                                      # and rows that repeat as they are
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest_neighbours(vectors, vectors.where("vec_id % 50 = 0"), k=5, share=100.0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in (0, 50, 100):
+        near = {}
+        for i, v in rows:
+            for j, u in rows:
+                if j == q and i != q:
+                    d = float(np.sqrt(((np.array(v) - np.array(u)) ** 2).sum()))
+                    near[i] = min(near.get(i, d), d)
+        want = sorted((d, i) for i, d in near.items())[:5]
+        assert [(i, pytest.approx(d)) for d, i in want] == [(i, d) for _, i, d in sorted(got[q])]

@@ -92,10 +92,10 @@ def _bad(vector: Column) -> Column:
 
 
 def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v): one row per id, with a finite vector other than zero.
+    """(id, v): the distinct rows with a finite vector other than zero.
 
     Vectors of another length than the most common one take no part, nor do
-    null ids.  Of rows that repeat an id the one of the least vector hash does.
+    null ids.  Rows that repeat an id stay where their vectors differ.
     """
     kind = "array<float>" if dict(vectors.dtypes)[vector_col] == "array<float>" else "array<double>"
     src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v"))
@@ -104,7 +104,7 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
     sizes = src.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
     if sizes:
         src = src.where(F.size("v") == sizes[0]["size"])
-    return src.groupBy("id").agg(F.min_by("v", F.struct(F.xxhash64("v"), F.col("v"))).alias("v"))
+    return src.distinct()
 
 
 def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -121,6 +121,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10, tree
     ``queries`` holds the ids of the rows that ask; candidates are all other
     rows.  Nearest first, ties to the smaller id; with fewer candidates all are
     returned.  Rows that ``valid_vectors`` leaves out neither ask nor answer.
+    An id that several vectors share answers by the nearest of them and asks with
+    all of them: its neighbours are the nearest to any.
 
     Equal vectors are one candidate that stands for its k + 1 smallest ids, so
     a vector that fills a third of the table is one row.  ``sample_rows`` bounds
