@@ -1446,3 +1446,26 @@ def q_model_types(spark, sf):
     g = _gold(spark, sf).select("customer_id", (F.col("churn") == 1).alias("churned"), (F.col("avg_monthly_margin") > 0).alias("earns"),
                                 F.col("avg_monthly_elec_kwh").cast("decimal(18,3)").alias("elec"), "segment", "tenure_months")
     return M.normalize_types(g)
+
+
+# ------------------------------------------------------------ JSON and CSV ends ----
+
+@register("source_event_props", """SELECT event_type, count(*) AS events, count(k) AS with_k, min(k) AS least, max(k) AS greatest, CAST(sum(k) AS BIGINT) AS total
+  FROM (SELECT event_type, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) GROUP BY event_type""")
+def q_event_props(spark, sf):
+    """The nested records of the events' JSON column, flattened to dotted columns."""
+    record = F.from_json("props", "k long")
+    flat = IO.flatten(si.table(spark, sf, "events").select("event_type", record.alias("props")))
+    k = F.col("`props.k`")
+    return flat.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.count(k).alias("with_k"), F.min(k).alias("least"),
+                                          F.max(k).alias("greatest"), F.sum(k).alias("total"))
+
+
+@register("source_csv_export", V.with_(V.INTERACTIONS) + """ SELECT channel, count(*) AS rows,
+    count(DISTINCT customer_id) AS customers FROM interactions GROUP BY channel""")
+def q_csv_export(spark, sf):
+    """S16 + S7: interactions without their texts exported as CSV with a header and read back."""
+    path = scratch_path(spark, f"export-{uuid.uuid4().hex}")
+    IO.write_csv(si.interactions(spark, sf).select("customer_id", "channel"), path)
+    return IO.read_csv(spark, path, "customer_id string, channel string").groupBy("channel").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("customer_id").alias("customers"))
