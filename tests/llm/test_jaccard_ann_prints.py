@@ -79,6 +79,37 @@ def test_a_chain_in_one_large_region_stays_connected(spark, monkeypatch):
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute_groups(docs, 90, 100, 3)
 
 
+def test_a_key_of_a_third_of_all_sets_is_folded_before_it_is_shuffled():
+    rng = np.random.default_rng(3)
+    folded, edges, on = jaccard._Heads(), [], []
+    for _ in range(20):                                       # slices of one task
+        nodes = rng.choice(10**9, 300, replace=False)
+        keys = np.where(np.arange(300) % 3 == 0, 7, rng.integers(100, 10**9, 300))
+        key, node, linked, head = folded.fold(nodes, keys)
+        on += list(zip(key.tolist(), node.tolist()))
+        edges += list(zip(linked.tolist(), head.tolist()))
+    assert sum(k == 7 for k, _ in on) == 1 and len(edges) >= 20 * 100 - 1
+    assert {h for _, h in edges} >= {n for k, n in on if k == 7}
+
+
+def test_salted_heads_connect_what_shares_a_key(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "KEY_PARTS", 5)
+    rows = [(7, n) for n in range(200)] + [(8, 199), (8, 500), (9, 900)]
+    heads = jaccard._salted_heads(spark.createDataFrame(rows, "key long, node long"))
+    got = {r["node"]: r["label"] for r in components(heads.selectExpr("node as a", "head as b")).collect()}
+    assert got == {n: 0 for n in [*range(200), 500]}
+    held = heads.groupBy("head").count().agg({"count": "max"}).first()[0]
+    assert held < 100                                         # no head gathers a whole key
+
+
+def test_pivots_in_blocks_by_bytes(spark, monkeypatch):
+    for name, value in (("LOCAL_DOCS", 2), ("FIRST_PIVOTS", 8), ("PIVOT_BYTES", 300)):
+        monkeypatch.setattr(jaccard, name, value)
+    docs = copies(15)
+    got = jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), 80, 100, 5)
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute_groups(docs, 80, 100, 5)
+
+
 def test_linked_sets_share_a_key():
     docs = [t or "" for _, t in copies(12)]
     hashes, sizes = jaccard.shingle_sets([t.encode() for t in docs])

@@ -17,6 +17,9 @@ blocks (this can only lessen the differences); sets with too many empty blocks
 then use blocks over their whole set.  Regions that come out large are formed
 anew by prefix keys: in the order of the shingles' exact frequency among the
 documents left, rarest first, the first elements of similar sets meet.
+
+Shingles and sets are known by 64-bit hashes: two different sets of one hash
+would pass for equal (chance about 3 % for any such pair in 1e9 distinct sets).
 """
 
 from __future__ import annotations
@@ -41,6 +44,9 @@ PIVOT_GROWTH = 8
 FREQUENT_SHARE = 0.002        # of a batch's documents, 4 at least, to be counted as frequent
 FREQUENT_KEPT = 1 << 17       # the most frequent shingles, left to the end of every order
 SETS_REMEMBERED = 1 << 18      # by a task that signs sets
+KEYS_REMEMBERED = 1 << 18      # shared keys whose head such a task keeps
+KEY_PARTS = 64                 # of a prefix key's documents
+PIVOT_BYTES = 32 << 20         # of pivot texts that a lot measures against at once
 
 
 @dataclass(frozen=True)
@@ -279,42 +285,107 @@ def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
     return np.sort(rows["h"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
-def _signed(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int) -> DataFrame:
-    """(id, text_hash, n, s1, keys) of every document (id, text): size of its
-    set, digest of its set, and its keys.  Of equal sets that a task remembers
-    one has the keys.  A slice of texts leaves before the next one is signed."""
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """(id, text_hash, n, s1) of every document (id, text): size and name of its set."""
     def run(batches):
-        seen: set[int] = set()
         for batch in batches:
             for at, texts in _offsets(_texts(batch)):
+                hashes, sizes = shingle_sets(texts, words)
+                rows = batch.slice(at, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("id"), rows.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(_set_ids(hashes, sizes), pa.int64())],
+                    ["id", "text_hash", "n", "s1"])
+
+    return docs.select("id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "id long, text_hash long, n long, s1 long")
+
+
+class _Heads:
+    """The keys of a task's sets, folded: of the sets that share a key in one
+    slice of texts the smallest (head) goes on, the others are linked to it.
+    A key folded once keeps its head for the task, so a key that a third of all
+    sets share leaves a task about once.  What is remembered is bounded."""
+
+    def __init__(self):
+        self.heads: dict[int, int] = {}
+
+    def fold(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(key, node) that go on and (node, head) linked here."""
+        order = np.lexsort((nodes, keys))
+        nodes, keys = nodes[order], keys[order]
+        first = np.ones(len(keys), dtype=bool)
+        first[1:] = keys[1:] != keys[:-1]
+        at = np.nonzero(first)[0]
+        size = np.diff(np.append(at, len(keys)))
+        goes_on = np.ones(len(at), dtype=bool)
+        head = nodes[at].copy()
+        for g in np.nonzero(size > 1)[0].tolist():
+            key = int(keys[at[g]])
+            if key in self.heads:
+                head[g], goes_on[g] = self.heads[key], False
+            else:
+                self.heads[key] = int(head[g])
+        if len(self.heads) > KEYS_REMEMBERED:
+            self.heads.clear()
+        heads = np.repeat(head, size)
+        linked = nodes != heads
+        pairs = np.unique(np.stack([nodes[linked], heads[linked]], axis=1), axis=0)
+        return keys[at[goes_on]], nodes[at[goes_on]], pairs[:, 0], pairs[:, 1]
+
+
+def _key_heads(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int) -> DataFrame:
+    """(node, head): sets (by s1) that share a block key, each linked to a set that has it too.
+
+    Of equal sets that a task remembers one has keys.  Keys are folded in the
+    task that makes them (``_Heads``); the rest meet by a window over the key,
+    which so holds about one row of a key per task.
+    """
+    def run(batches):
+        seen: set[int] = set()
+        folded = _Heads()
+        for batch in batches:
+            for _, texts in _offsets(_texts(batch)):
                 hashes, sizes = shingle_sets(texts, words)
                 s1 = _set_ids(hashes, sizes)
-                keys = block_keys(hashes, sizes, frequent, t)
+                new = []
                 for i, s in enumerate(s1.tolist()):
-                    if s in seen:
-                        keys[i] = keys[i][:0]
-                    seen.add(s)
+                    if s not in seen:
+                        seen.add(s)
+                        new.append(i)
                 if len(seen) > SETS_REMEMBERED:
                     seen.clear()
-                rows = batch.slice(at, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("id"), rows.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(s1, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["id", "text_hash", "n", "s1", "keys"])
-
-    return docs.select("id", "text", F.xxhash64("text").alias("text_hash")) \
-        .mapInArrow(run, "id long, text_hash long, n long, s1 long, keys array<long>")
-
-
-def _regions(postings: DataFrame, name: str) -> DataFrame:
-    """(node, region, members) of the nodes that share a key with another one.
-
-    A key links its nodes to the smallest of them (its head).  Before the
-    components are sought, every node's heads are linked to the smallest of
-    them instead of to the node, which leaves one edge per node and few
-    between heads.
+                of = np.zeros(len(sizes), dtype=bool)
+                of[new] = True
+                keys = block_keys(hashes[np.repeat(of, sizes)], sizes[of], frequent, t)
+                nodes = np.repeat(s1[of], [len(k) for k in keys])
+                keys, nodes, linked, heads = folded.fold(nodes, np.concatenate(keys) if keys else np.zeros(0, np.int64))
+                none = pa.nulls(len(keys), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes), none], ["key", "node", "head"])
+                yield pa.RecordBatch.from_arrays([pa.array(linked), pa.array(linked), pa.array(heads)], ["key", "node", "head"])
+
+    found = docs.select("text").mapInArrow(run, "key long, node long, head long")
+    meeting = Window.partitionBy("key", F.col("head").isNull())          # rows with a head stand apart, by node
+    return found.withColumn("head", F.coalesce("head", F.min("node").over(meeting))).select("node", "head")
+
+
+def _salted_heads(postings: DataFrame) -> DataFrame:
+    """(node, head) of postings (key, node): in every part of a key the nodes are
+    linked to the part's smallest, and those to the smallest of all parts.  The
+    others stand alone in the second window, so neither window holds a hot key."""
+    part = Window.partitionBy("key", F.pmod(F.xxhash64("node"), F.lit(KEY_PARTS)))
+    parts = postings.withColumn("near", F.min("node").over(part))
+    alone = F.when(F.col("node") != F.col("near"), F.col("node"))
+    top = F.min("node").over(Window.partitionBy("key", alone))
+    return parts.select("node", F.when(alone.isNotNull(), F.col("near")).otherwise(top).alias("head"))
+
+
+def _regions(heads: DataFrame, name: str) -> DataFrame:
+    """(node, region, members) of the nodes linked to another one by (node, head).
+
+    Before the components are sought, every node's heads are linked to the
+    smallest of them instead of to the node, which leaves one edge per node and
+    few between heads.
     """
-    heads = postings.withColumn("head", F.min("node").over(Window.partitionBy("key")))
-    edges = heads.where("node <> head").select("node", "head").distinct()
+    edges = heads.where("node <> head").distinct()
     least = edges.withColumn("least", F.min("head").over(Window.partitionBy("node")))
     both = F.explode(F.array("node", "head")).alias("a")
     labels = components(least.select(both, F.col("least").alias("b")), name)
@@ -343,7 +414,8 @@ def _regions_by_frequency(open_docs: DataFrame, t: Threshold, words: int) -> Dat
     shared = found.join(frequency.select("key", "df"), "key") \
         .withColumn("place", F.dense_rank().over(mine.orderBy("df", "key"))).withColumn("shared", F.max("place").over(mine))
     # place among all = place + (size - shared), to be at most the prefix
-    return _regions(shared.where(F.col("place") - F.col("shared") <= F.col("last")).select("node", "key").distinct(), "jaccard-regions")
+    postings = shared.where(F.col("place") - F.col("shared") <= F.col("last")).select("node", "key").distinct()
+    return _regions(_salted_heads(postings), "jaccard-regions")
 
 
 class _Sets:
@@ -425,61 +497,68 @@ def _measure(members: DataFrame, pivots: DataFrame, t: Threshold, words: int) ->
     Of the pivots a member is linked to, it names the first as linked; the
     others are named as linked to that one, and with null by the member.
     Boundary documents that share the pivot's label already are not named.
-    Members of a region are dealt into lots of about LOCAL_DOCS, and each lot
-    gets a copy of the region's pivots, so no task holds a region.
+    Members of a region are dealt into lots of about LOCAL_DOCS, and its pivots
+    into blocks of about PIVOT_BYTES; every lot meets every block in a group of
+    its own, so no task holds a region or all its pivots.  The first pivot is
+    the first of a block: links of several blocks meet in the member.
     """
     lots = F.ceil(F.col("members") / LOCAL_DOCS).cast("int")
-    dealt = members.select("region", F.pmod(F.xxhash64("id"), lots).cast("int").alias("lot"), F.lit(1).alias("role"), "id", "label", "text")
-    copies = pivots.select("region", F.explode(F.sequence(F.lit(0), lots - 1)).alias("lot"), F.lit(0).alias("role"), "id", "label", "text")
+    sized = pivots.groupBy("region").agg(F.ceil((F.sum(F.octet_length("text")) + 1) / PIVOT_BYTES).cast("int").alias("blocks"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    dealt = members.join(sized, "region").select("region", F.pmod(F.xxhash64("id"), lots).cast("int").alias("lot"), upto(F.col("blocks")).alias("block"),
+                                                 F.lit(1).alias("role"), "id", "label", "text")
+    block = F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int")
+    copies = pivots.join(sized, "region").select("region", upto(lots).alias("lot"), block.alias("block"), F.lit(0).alias("role"), "id", "label", "text")
 
     def run(batches):
-        group, pivot_ids, pivot_labels, pivot_texts, pivot_sets = None, [], [], [], None
+        group, pivots_of = None, []                    # the group's pivots, as (ids, labels, sets) by batch
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("region", "lot", "role", "id", "label")]
+            cols = [batch.column(c).to_pylist() for c in ("region", "lot", "block", "role", "id", "label")]
             rows = list(zip(*cols, _texts(batch)))
             at = 0
             while at < len(rows):
-                if rows[at][:2] != group:
-                    group, pivot_ids, pivot_labels, pivot_texts, pivot_sets = rows[at][:2], [], [], [], None
+                if rows[at][:3] != group:
+                    group, pivots_of = rows[at][:3], []
                 end = at
-                while end < len(rows) and rows[end][:3] == rows[at][:3]:
+                while end < len(rows) and rows[end][:4] == rows[at][:4]:
                     end += 1
-                part = rows[at:end]
-                if rows[at][2] == 0:
-                    pivot_ids += [r[3] for r in part]
-                    pivot_labels += [r[4] for r in part]
-                    pivot_texts += [r[5] for r in part]
-                else:
-                    if pivot_sets is None:
-                        pivot_sets = _Sets(pivot_texts, words)
-                    sets = _Sets([r[5] for r in part], words)
-                    out, first = [], {}
-                    for k, p in enumerate(pivot_ids):
-                        inter = sets.overlaps(pivot_sets.of(k))
-                        union = sets.sizes + pivot_sets.sizes[k] - inter
-                        linked = t.linked(inter, union)
-                        for j in np.nonzero(t.near(inter, union))[0].tolist():
-                            if part[j][3] == p:
-                                continue
-                            if not linked[j]:
-                                if part[j][4] != pivot_labels[k]:
-                                    out.append((part[j][3], p, False))
-                            elif j not in first:
-                                first[j] = p
-                                out.append((part[j][3], p, True))
-                            else:
-                                out.append((p, first[j], True))
-                                out.append((part[j][3], p, None))
-                    columns = list(zip(*out)) if out else [[], [], []]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.bool_()))],
-                                                     ["id", "pivot", "linked"])
+                ids, labels, texts = ([r[k] for r in rows[at:end]] for k in (4, 5, 6))
+                sets = _Sets(texts, words)
+                if rows[at][3] == 0:
+                    pivots_of.append((ids, labels, sets))
+                elif pivots_of:
+                    yield _measured(ids, labels, sets, pivots_of, t)
                 at = end
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.unionByName(copies).repartition(n, "region", "lot").sortWithinPartitions("region", "lot", "role", "id") \
+    return dealt.unionByName(copies).repartition(n, "region", "lot", "block").sortWithinPartitions("region", "lot", "block", "role", "id") \
         .mapInArrow(run, "id long, pivot long, linked boolean")
 
 
+def _measured(ids: list[int], labels: list[int], sets: _Sets, pivots_of: list, t: Threshold) -> pa.RecordBatch:
+    """(id, pivot, linked) of some members against their group's pivots."""
+    out, first = [], {}
+    for pivot_ids, pivot_labels, pivot_sets in pivots_of:
+        for k, p in enumerate(pivot_ids):
+            inter = sets.overlaps(pivot_sets.of(k))
+            union = sets.sizes + pivot_sets.sizes[k] - inter
+            linked = t.linked(inter, union)
+            for j in np.nonzero(t.near(inter, union))[0].tolist():
+                if ids[j] == p:
+                    continue
+                if not linked[j]:
+                    if labels[j] != pivot_labels[k]:
+                        out.append((ids[j], p, False))
+                elif j not in first:
+                    first[j] = p
+                    out.append((ids[j], p, True))
+                else:
+                    out.append((p, first[j], True))
+                    out.append((ids[j], p, None))
+    columns = list(zip(*out)) if out else [[], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.bool_()))], ["id", "pivot", "linked"])
+
+
 def jaccard_links(docs: DataFrame, t: Threshold, words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sets, representatives, links) of documents (id, text).
 
@@ -488,10 +567,9 @@ def jaccard_links(docs: DataFrame, t: Threshold, words: int) -> tuple[DataFrame,
     (by s1) at the threshold or above, enough of them to connect what all such
     links connect.
     """
-    signed = _signed(docs, frequent_shingles(docs, words), t, words)
-    sets = saved(signed.drop("keys"), "jaccard-sets")       # the keys go straight to their shuffle, not to disk twice
+    sets = saved(_sets(docs, words), "jaccard-sets")
     reps = sets.where("n > 0").groupBy("s1").agg(F.min("id").alias("rep"))
-    regions = _regions(signed.select(F.col("s1").alias("node"), F.explode("keys").alias("key")), "jaccard-regions")
+    regions = _regions(_key_heads(docs, frequent_shingles(docs, words), t, words), "jaccard-regions")
     chosen = regions.join(reps, F.col("node") == F.col("s1")).select("region", "members", F.col("rep").alias("id"), "s1")
     members = saved(_one_text_each(docs.join(chosen, "id"), words), "jaccard-members")
     links = _local_join(members.where(F.col("members") <= LOCAL_DOCS), t, words)
