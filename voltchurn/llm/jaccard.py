@@ -300,36 +300,51 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 class _Heads:
-    """The keys of a task's sets, folded: of the sets that share a key in one
-    slice of texts the smallest (head) goes on, the others are linked to it.
-    A key folded once keeps its head for the task, so a key that a third of all
-    sets share leaves a task about once.  What is remembered is bounded."""
+    """The keys of a task's sets, folded slice by slice.
+
+    Sets that share keys within a slice are linked to the smallest of their
+    component (its head), which alone goes on with the component's keys.  A key
+    folded once keeps its head for the task, so a key that a third of all sets
+    share leaves a task about once, and a family of near copies leaves as one
+    node.  What is remembered is bounded.
+    """
 
     def __init__(self):
         self.heads: dict[int, int] = {}
 
     def fold(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(key, node) that go on and (node, head) linked here."""
-        order = np.lexsort((nodes, keys))
-        nodes, keys = nodes[order], keys[order]
-        first = np.ones(len(keys), dtype=bool)
-        first[1:] = keys[1:] != keys[:-1]
-        at = np.nonzero(first)[0]
-        size = np.diff(np.append(at, len(keys)))
+        if not len(keys):
+            none = np.zeros(0, np.int64)
+            return none, none, none, none
+        order = np.argsort(keys, kind="stable")
+        names, node = np.unique(nodes[order], return_inverse=True)
+        key = keys[order]
+        at = np.nonzero(np.append(True, key[1:] != key[:-1]))[0]
+        size = np.diff(np.append(at, len(key)))
+        label = np.arange(len(names))                  # of the slice's nodes, in ascending order
+        while True:
+            near = label.copy()
+            np.minimum.at(near, node, np.repeat(np.minimum.reduceat(label[node], at), size))
+            near = near[near]
+            if (near == label).all():
+                break
+            label = near
+        head = names[label[node[at]]]
         goes_on = np.ones(len(at), dtype=bool)
-        head = nodes[at].copy()
+        pairs = [np.stack([names, names[label]], axis=1)[label != np.arange(len(names))]]
+        known = []
         for g in np.nonzero(size > 1)[0].tolist():
-            key = int(keys[at[g]])
-            if key in self.heads:
-                head[g], goes_on[g] = self.heads[key], False
-            else:
-                self.heads[key] = int(head[g])
+            first = self.heads.setdefault(int(key[at[g]]), int(head[g]))
+            if first != head[g]:
+                known.append((int(head[g]), first))
+                goes_on[g] = False
+        if known:
+            pairs.append(np.unique(np.array(known, dtype=np.int64), axis=0))
         if len(self.heads) > KEYS_REMEMBERED:
             self.heads.clear()
-        heads = np.repeat(head, size)
-        linked = nodes != heads
-        pairs = np.unique(np.stack([nodes[linked], heads[linked]], axis=1), axis=0)
-        return keys[at[goes_on]], nodes[at[goes_on]], pairs[:, 0], pairs[:, 1]
+        linked = np.concatenate(pairs)
+        return key[at[goes_on]], head[goes_on], linked[:, 0], linked[:, 1]
 
 
 def _key_heads(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int) -> DataFrame:
