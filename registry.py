@@ -1469,3 +1469,99 @@ def q_csv_export(spark, sf):
     IO.write_csv(si.interactions(spark, sf).select("customer_id", "channel"), path)
     return IO.read_csv(spark, path, "customer_id string, channel string").groupBy("channel").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("customer_id").alias("customers"))
+
+
+# ------------------------------------------------------------- crossed reports ----
+from voltchurn.plans import crosses as C  # noqa: E402
+
+_LIFE = G + """,
+  lc AS (SELECT g.*, CASE WHEN p > 0 AND p <= 3.5 THEN '<=3.5kW' WHEN p > 3.5 AND p <= 5 THEN '3.5-5kW' WHEN p > 5 AND p <= 8 THEN '5-8kW'
+                          WHEN p > 8 AND p <= 20 THEN '8kW+' END AS power_bucket,
+                CASE WHEN g.has_interaction = 1 AND d >= 0 THEN CASE WHEN d < 30 THEN '0-30d' WHEN d < 90 THEN '30-90d'
+                     WHEN d < 180 THEN '90-180d' WHEN d < 365 THEN '180-365d' ELSE '365d+' END END AS days_bucket
+         FROM gold g LEFT JOIN (SELECT customer_id, contracted_power_kw AS p,
+                date_diff('day', CAST(date AS DATE), CAST(next_renewal_date AS DATE)) AS d FROM sc) s ON g.customer_id = s.customer_id),
+  md AS (SELECT customer_id, quantile_cont(elec_margin, 0.5) AS elec_margin_med, quantile_cont(gas_margin, 0.5) AS gas_margin_med,
+                quantile_cont(total_margin, 0.5) AS total_margin_med, stddev_samp(total_margin) AS margin_volatility,
+                stddev_samp(total_revenue) AS bill_volatility FROM scm GROUP BY 1)"""
+
+
+def _cross_sql(src, crosses, extra="", having=""):
+    parts = []
+    for dims in crosses:
+        levels = [f"CAST({d} AS VARCHAR) AS level_{k + 1}" for k, d in enumerate(dims)]
+        levels += [f"CAST(NULL AS VARCHAR) AS level_{k + 1}" for k in range(len(dims), 3)]
+        parts.append(f"SELECT '{' x '.join(dims)}' AS \"cross\", {', '.join(levels)}, count(*) AS customers, "
+                     f"count(*) FILTER (WHERE churn = 1) AS churners, avg(CAST(churn AS DOUBLE)) AS churn_rate{extra} FROM {src} "
+                     f"WHERE {' AND '.join(f'{d} IS NOT NULL' for d in dims)} GROUP BY {', '.join(dims)}{having}")
+    return " " + " UNION ALL ".join(parts)
+
+
+def _lifecycle(spark, sf):
+    L = _layers(spark, sf)
+    sc = L["silver_customer"]
+    gold_rows = L["gold_master"].join(sc.select("customer_id", "contracted_power_kw"), "customer_id", "left")
+    return C.lifecycle_columns(gold_rows, sc)
+
+
+_NEAR, _COMP, _DUAL = "is_within_3m_of_renewal", "is_high_competition_province", "is_dual_fuel"
+_TENURE = [["renewal_bucket"], ["tenure_bucket"]] + [["tenure_bucket", o] for o in (
+    _NEAR, "sales_channel", "segment", _COMP, "is_second_residence", "power_bucket", "renewal_bucket")]
+
+
+@register("report_tenure_crosses", _LIFE + _cross_sql("lc", _TENURE))
+def q_tenure_crosses(spark, sf):
+    """E5: churn by renewal and tenure bucket and by tenure x window, channel, segment, competition, residence, power, renewal."""
+    return C.tenure_crosses(_lifecycle(spark, sf))
+
+
+@register("report_expired_crosses", G + _cross_sql("gold", [
+    [_NEAR], ["segment", _NEAR], ["is_expired_contract"], ["renewal_bucket", "is_expired_contract"], ["segment", "is_expired_contract"]]))
+def q_expired_crosses(spark, sf):
+    """E4 + E6: churn in and out of the renewal window and with expired contracts, by segment and bucket."""
+    return C.expired_crosses(_gold(spark, sf))
+
+
+@register("report_market_crosses", _LIFE + ", mk AS (SELECT gold.*, md.* EXCLUDE (customer_id) FROM gold LEFT JOIN md ON gold.customer_id = md.customer_id)"
+          + _cross_sql("mk", [["sales_channel"], ["sales_channel", _NEAR], ["sales_channel", _COMP], ["sales_channel", "tenure_bucket"],
+                              ["sales_channel", "segment"], [_COMP], [_COMP, "segment"], [_COMP, _NEAR], [_DUAL], [_DUAL, _NEAR],
+                              [_DUAL, _COMP], [_DUAL, "tenure_bucket"]], """, avg(total_margin_med * churn) AS avg_profit_at_risk,
+    quantile_cont(elec_margin_med, 0.5) AS median_elec_margin, quantile_cont(gas_margin_med, 0.5) AS median_gas_margin,
+    quantile_cont(total_margin_med, 0.5) AS median_total_margin, quantile_cont(margin_volatility, 0.5) AS median_margin_volatility,
+    CAST(quantile_cont(tenure_months, 0.5) AS DOUBLE) AS median_tenure"""))
+def q_market_crosses(spark, sf):
+    """E7 + E8 + E9: channels, competition and dual fuel, alone and crossed, with margin decomposition and profit at risk."""
+    L = _layers(spark, sf)
+    return C.market_crosses(L["gold_master"], C.customer_medians(L["silver_customer_month"]))
+
+
+@register("report_stickiness_crosses", G + _cross_sql("gold", [
+    [_DUAL, "has_interaction"], [_DUAL, "customer_intent"], [_COMP, "has_interaction"], [_COMP, "customer_intent"],
+    [_DUAL, _COMP, "has_interaction"]], having=" HAVING count(*) >= 30"))
+def q_stickiness_crosses(spark, sf):
+    """E15 + P15: dual fuel and competition x interaction and intent, groups of 30 and more."""
+    return C.stickiness_crosses(_gold(spark, sf))
+
+
+@register("report_volatility_crosses", _LIFE + ", vo AS (SELECT md.*, sc.segment, sc.churn FROM md JOIN sc ON md.customer_id = sc.customer_id)"
+          + _cross_sql("vo", [["churn"], ["segment", "churn"]], """, quantile_cont(margin_volatility, 0.5) AS median_margin_volatility,
+    quantile_cont(bill_volatility, 0.5) AS median_bill_volatility"""))
+def q_volatility_crosses(spark, sf):
+    """Median margin and bill volatility by churn and by segment x churn."""
+    L = _silver(spark, sf)
+    return C.volatility_crosses(C.customer_medians(L["silver_customer_month"]), L["silver_customer"])
+
+
+@register("report_contact_crosses", _LIFE + """,
+  e AS (SELECT list_distinct(quantile_cont(months_to_renewal, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])) AS _e0 FROM lc),
+  e2 AS (SELECT list_sort(_e0) AS _e FROM e),
+  q AS (SELECT lc.*, CASE WHEN months_to_renewal >= _e[1] AND months_to_renewal <= _e[len(_e)]
+                     THEN CAST(len(list_filter(list_slice(_e, 2, greatest(len(_e) - 1, 1)), lambda x: x < months_to_renewal)) AS INTEGER) END
+               AS renewal_quintile FROM lc, e2)""" + _cross_sql("q", [
+    ["has_interaction"], ["churn", "has_interaction"], ["renewal_quintile", "has_interaction"], ["sentiment_label"],
+    ["renewal_quintile", "sentiment_label"], ["customer_intent"], ["customer_intent", "sentiment_label"],
+    ["customer_intent", "sales_channel"], ["days_bucket"], ["days_bucket", "sentiment_label"], ["days_bucket", "customer_intent"]],
+    ", avg(CAST(coalesce(has_interaction, 0) AS DOUBLE)) AS interaction_rate"))
+def q_contact_crosses(spark, sf):
+    """E10 + E11 + E13 + E14: interactions, sentiment and intent against churn, both ways, by quintile, channel and timing."""
+    return C.contact_crosses(_lifecycle(spark, sf))
