@@ -39,13 +39,16 @@ def _raw(spark, sf):
 
 
 def _bronze(spark, sf):
-    return pipeline.bronze_layer(_raw(spark, sf))
+    """Bronze tables; interactions are chosen by their id, their texts fetched afterwards."""
+    raw = {**_raw(spark, sf), "interactions": si.interactions_with_id(spark, sf)}
+    return pipeline.bronze_layer(raw, interaction_id="interaction_id")
 
 
 def _silver(spark, sf):
     """Silver tables by name, each built when asked for (the customer table needs no readings)."""
     b = _bronze(spark, sf)
-    return pipeline.LazyLayers({**{k: (lambda v=v: v) for k, v in b.items()}, **pipeline.silver_builders(b)})
+    plain = silver.silver_customer(pipeline.bronze_layer(_raw(spark, sf))["bronze_customer"])
+    return pipeline.LazyLayers({**{k: (lambda v=v: v) for k, v in b.items()}, **pipeline.silver_builders(b, plain)})
 
 
 def _layers(spark, sf):
@@ -1565,3 +1568,105 @@ def q_volatility_crosses(spark, sf):
 def q_contact_crosses(spark, sf):
     """E10 + E11 + E13 + E14: interactions, sentiment and intent against churn, both ways, by quintile, channel and timing."""
     return C.contact_crosses(_lifecycle(spark, sf))
+
+
+# ------------------------------------------------------- rows by id, flags, projections ----
+
+@register("report_latest_interaction_text", V.with_(V.INTERACTIONS) + """ SELECT customer_id, date, channel, interaction_summary FROM (
+    SELECT i.*, row_number() OVER (PARTITION BY customer_id ORDER BY date DESC NULLS LAST, doc_id DESC) AS rn FROM (
+      SELECT d.doc_id, CAST(d.doc_id // 2 AS VARCHAR) AS customer_id, CASE WHEN d.doc_id % 10 = 9 THEN NULL
+               ELSE CAST(DATE '2000-01-01' + CAST((d.doc_id * 37) % 600 AS INTEGER) AS DATE) END AS date,
+             d.source AS channel, d.text AS interaction_summary FROM documents d) i) WHERE rn = 1""")
+def q_latest_text(spark, sf):
+    """W5 + W7 + J1: the latest interaction per customer with its whole text, chosen by id and fetched by id."""
+    return FR.latest_per_key(si.interactions_with_id(spark, sf), ["date"], row_id="interaction_id").drop("interaction_id")
+
+
+@register("report_column_overlap", G + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) FILTER (WHERE sc.{c} IS DISTINCT FROM gold.{c}) AS differing "
+    "FROM sc JOIN gold ON sc.customer_id = gold.customer_id"
+    for c in ("churn", "segment", "is_second_residence", "is_high_competition_province", "sales_channel", "has_interaction",
+              "customer_intent", "sentiment_label", "sentiment_neg", "sentiment_neu", "sentiment_pos")))
+def q_column_overlap(spark, sf):
+    """Columns that silver customers and gold share, and on how many customers they differ."""
+    L = _layers(spark, sf)
+    return FR.overlap_report(L["silver_customer"], L["gold_master"])
+
+
+_E, _M3 = "consumption_elec_kwh", "consumption_gas_m3"
+
+
+@register("quality_negative_flags", V.with_(V.CONSUMPTION_EVENTS) + f""" SELECT customer_id, ts AS timestamp, {_E}, {_M3},
+    CAST(coalesce({_E} < 0, false) AS INTEGER) AS {_E}_negative, CAST(coalesce({_M3} < 0, false) AS INTEGER) AS {_M3}_negative,
+    concat_ws(',', CASE WHEN {_E} < 0 THEN '{_E}' END, CASE WHEN {_M3} < 0 THEN '{_M3}' END) AS negative_measures FROM consumption""")
+def q_negative_flags(spark, sf):
+    """Every hourly reading as it came, with its negative measures flagged."""
+    return Q.flag_negative_readings(si.consumption_from_events(spark, sf)).select(
+        "customer_id", "timestamp", _E, _M3, f"{_E}_negative", f"{_M3}_negative", "negative_measures")
+
+
+@register("quality_negative_distribution", V.with_(V.CONSUMPTION_EVENTS) + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS measure, CAST({p} AS DOUBLE) AS percentile, quantile_cont({c}, {p}) FILTER (WHERE {c} < 0) AS value FROM consumption"
+    for c in (_E, _M3) for p in (0.01, 0.25, 0.5, 0.75, 0.99)))
+def q_negative_distribution(spark, sf):
+    """Exact percentiles of the negative readings."""
+    return Q.negative_distribution(si.consumption_from_events(spark, sf))
+
+
+@register("features_projection", G + """ SELECT customer_id, churn, avg_monthly_elec_kwh, total_elec_kwh_2024, avg_monthly_gas_m3,
+    total_gas_m3_2024, gas_share_of_revenue, price_update_count, province_avg_elec_cost_2024, province_avg_gas_cost_2024,
+    std_monthly_elec_kwh, std_monthly_gas_m3, active_months_count, std_margin, min_monthly_margin, max_negative_margin,
+    elec_price_trend_12m, gas_price_trend_12m, elec_price_volatility_12m, province_elec_cost_trend,
+    elec_price_vs_province_cost_spread, is_price_increase, rolling_margin_trend FROM gold""")
+def q_features(spark, sf):
+    """The columns of the market-only experiment."""
+    return FT.project(_gold(spark, sf), "E7_market_only")[0]
+
+
+@register("model_matrix_gold", G + """ SELECT customer_id, churn, coalesce(months_to_renewal, 0) AS months_to_renewal, renewal_bucket,
+    coalesce(is_within_3m_of_renewal, 0) AS is_within_3m_of_renewal, tenure_months, tenure_bucket,
+    coalesce(is_expired_contract, 0) AS is_expired_contract, segment, sales_channel,
+    coalesce(is_high_competition_province, 0) AS is_high_competition_province, coalesce(is_second_residence, 0) AS is_second_residence,
+    coalesce(is_dual_fuel, 0) AS is_dual_fuel, portfolio_type, coalesce(is_digital_channel, 0) AS is_digital_channel,
+    coalesce(is_comparison_channel, 0) AS is_comparison_channel, coalesce(is_own_website_channel, 0) AS is_own_website_channel FROM gold""")
+def q_model_matrix(spark, sf):
+    """M1 + F17: the model matrix of the baseline experiment after its structural fills."""
+    return M.model_matrix(_gold(spark, sf), FT.feature_list("E0_baseline"))
+
+
+@register("model_baseline_scores", _HASHED + """, r AS (SELECT *, pos <= round(n * 0.2) AS is_test FROM p),
+  pr AS (SELECT avg(CAST(churn AS DOUBLE)) AS prior FROM r WHERE NOT is_test)
+  SELECT customer_id, churn, CASE WHEN prior > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS most_frequent,
+    CASE WHEN CAST(CAST('0x' || substr(md5(customer_id || ':42:draw'), 1, 15) AS BIGINT) AS DOUBLE) / 1152921504606846976.0 < prior
+         THEN 1.0 ELSE 0.0 END::DOUBLE AS stratified
+  FROM r, pr WHERE is_test""")
+def q_baseline_scores(spark, sf):
+    """M5: the majority class and a draw by the class prior, for every customer of the test split."""
+    split = S_cut(M.stratified_split(si.churn_labels(spark, sf), "churn", 0.20, 42))
+    train, test = split.filter(~F.col("is_test")), split.filter("is_test").select("customer_id", "churn")
+    return M.baseline_scores(M.baseline_scores(test, train, "most_frequent", out="most_frequent"), train, "stratified", out="stratified")
+
+
+@register("model_importance")
+def q_importance(spark, sf):
+    """The twenty strongest inputs of a logistic model of the baseline experiment, by name after encoding."""
+    gold_, mm, split, feats = _train_test(spark, sf, "E0_baseline")
+    train = split.filter(~F.col("is_test"))
+    return M.feature_importance(M.fit(train, feats, "logistic_regression"), train, feats, 20)
+
+
+@register("source_partitioned_sink", "SELECT event_type, count(*) AS events, sum(value) AS total FROM events GROUP BY event_type")
+def q_partitioned_sink(spark, sf):
+    """S6 + S5: events written by type and read back, two columns of them."""
+    path = scratch_path(spark, f"events-{uuid.uuid4().hex}")
+    IO.write_parquet(si.table(spark, sf, "events").select("event_type", "user_id", "value"), path, ["event_type"])
+    return IO.read_parquet(spark, path, ["event_type", "value"]).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("value").alias("total"))
+
+
+@register("source_report_record", ORACLES["quality_negative_readings"])
+def q_report_record(spark, sf):
+    """S9 + S14: a report written as JSON records and read back."""
+    path = scratch_path(spark, f"report-{uuid.uuid4().hex}")
+    IO.write_json_record(Q.negative_reading_audit(si.consumption_from_events(spark, sf)), path)
+    return IO.read_report(spark, path)

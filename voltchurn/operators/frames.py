@@ -6,6 +6,8 @@ Design notes for scale:
   struct), not a ``row_number`` window: the aggregate combines map-side, so a
   key holding a third of all rows is reduced inside every map task before the
   shuffle instead of being sorted in one task.
+- rows with texts are chosen by their ids (``pick_by_id``) and fetched by id, so
+  that no aggregate carries the text.
 - grain guards are lazy: they ride along the aggregation the join needs
   anyway and raise from inside the job (``raise_error``), instead of running
   an extra counting job on the driver.
@@ -59,14 +61,57 @@ def pick_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return out.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def first_per_key(df: DataFrame, key: str = KEY, order: Sequence[str | Column] | None = None) -> DataFrame:
-    """``drop_duplicates(key, keep="first")`` with an explicit order."""
-    return pick_per_key(df, [key], order or [], latest=False)
+def pick_by_id(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_id: str,
+               latest: bool = False, nulls_last: bool = True) -> DataFrame:
+    """``pick_per_key`` for wide rows: choose by ``order`` and row id, then fetch the rows by id.
+
+    Only keys, order columns and ``row_id`` pass the aggregate; texts and other
+    wide columns are read again and only the chosen rows of them leave the join.
+    Ties on ``order`` go to the smaller id (the larger one with ``latest``).
+    ``row_id`` must name one row: where a chosen id names several, the job fails.
+    A NULL id is an id like any other.
+    """
+    keys = list(keys)
+    slim = df.select(*dict.fromkeys([*keys, *order, row_id]))
+    chosen = pick_per_key(slim, keys, [*order, row_id], latest, nulls_last).select(F.col(row_id).alias("_chosen"))
+    rows = df.join(chosen, F.col(row_id).eqNullSafe(F.col("_chosen"))).drop("_chosen")
+    copies = F.count(F.lit(1)).over(Window.partitionBy(row_id))
+    msg = F.lit(f"{row_id} names more than one row")
+    return rows.withColumn("_copies", copies).filter(
+        F.when(F.col("_copies") > 1, F.raise_error(msg)).otherwise(F.lit(True))).select(*df.columns)
+
+
+def first_per_key(df: DataFrame, key: str = KEY, order: Sequence[str | Column] | None = None,
+                  row_id: str | None = None) -> DataFrame:
+    """``drop_duplicates(key, keep="first")`` with an explicit order (by id where rows are wide)."""
+    return pick_by_id(df, [key], order or [], row_id) if row_id else pick_per_key(df, [key], order or [], latest=False)
 
 
-def latest_per_key(df: DataFrame, order: Sequence[str | Column], key: str = KEY) -> DataFrame:
-    """The newest row per key by ``order`` (NULL dates rank last)."""
-    return pick_per_key(df, [key], order, latest=True)
+def latest_per_key(df: DataFrame, order: Sequence[str | Column], key: str = KEY, row_id: str | None = None) -> DataFrame:
+    """The newest row per key by ``order`` (NULL dates rank last; by id where rows are wide)."""
+    return pick_by_id(df, [key], order, row_id, latest=True) if row_id else pick_per_key(df, [key], order, latest=True)
+
+
+def overlap_report(left: DataFrame, right: DataFrame, key: str = KEY) -> DataFrame:
+    """Per column that both tables have (beside the key): rows that meet, and on how many the values differ.
+
+    NULL equals NULL.  Tables without a common column give no rows.
+    """
+    both = [c for c in left.columns if c in right.columns and c != key]
+    schema = "column string, rows long, differing long"
+    if not both:
+        return left.sparkSession.createDataFrame([], schema)
+    other = right.select(key, *[F.col(c).alias(f"_r_{c}") for c in both])
+    met = left.select(key, *both).join(other, key)
+    one = met.agg(F.count(F.lit(1)).alias("_rows"), *[
+        F.count_if(~F.col(c).eqNullSafe(F.col(f"_r_{c}"))).alias(f"_d_{c}") for c in both])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col("_rows").alias("rows"),
+                                                   F.col(f"_d_{c}").alias("differing")) for c in both])).alias("x")).select("x.*")
+
+
+def join_new_columns(left: DataFrame, right: DataFrame, key: str = KEY, how: str = "left") -> DataFrame:
+    """Join only the columns of ``right`` that ``left`` has not, so that no column comes out twice."""
+    return left.join(right.select(key, *[c for c in right.columns if c not in left.columns]), key, how)
 
 
 def ffill_bfill(col: str, partition: Sequence[str], order: Sequence[str]) -> Column:

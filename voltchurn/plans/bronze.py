@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from voltchurn.constants import GAS_KWH_PER_M3, KEY, TIERS
 from voltchurn.functions.exprs import clip_lower0, month_key, nan_to_null, normalize_month, tariff_tier
-from voltchurn.operators.frames import broadcast_if_small, guard_unique, pick_per_key
+from voltchurn.operators.frames import broadcast_if_small, guard_unique, join_new_columns, pick_by_id, pick_per_key
 
 
 def _as_ts(c: str, df: DataFrame):
@@ -97,7 +97,7 @@ def customer_month(consumption: DataFrame, prices: DataFrame | None = None,
 
 def customer(churn: DataFrame, attributes: DataFrame, contracts: DataFrame,
              interactions: DataFrame, attr_order=None, contract_order=None,
-             interaction_order=None, enrich=None) -> DataFrame:
+             interaction_order=None, enrich=None, interaction_id: str | None = None) -> DataFrame:
     """Label LEFT attributes LEFT contracts LEFT interactions, one row per customer.
 
     Each side is first reduced to one row per key with an explicit order
@@ -106,21 +106,24 @@ def customer(churn: DataFrame, attributes: DataFrame, contracts: DataFrame,
     start), interactions by the latest date, NULL dates last.  The label
     table must be unique; a duplicate fails the job.
 
-    ``enrich`` (a per-row function such as intent + sentiment) runs on the
-    interaction rows map-side, before the shuffle that picks the latest row:
-    it is CPU-heavy, and there it runs with the parallelism of the input
-    splits instead of that of a small post-shuffle stage.
+    ``interaction_id`` names a unique column of the interactions: the latest row
+    is then chosen by id, its text fetched afterwards (``pick_by_id``), and the
+    id left out of the result.  ``enrich`` (a per-row function such as intent +
+    sentiment) then runs on the chosen rows alone.  Without an id it runs
+    map-side, before the shuffle that picks the latest row: it is CPU-heavy, and
+    there it has the parallelism of the input splits.
     """
     lab = guard_unique(churn, [KEY], "churn")
     attr = pick_per_key(attributes, [KEY], attr_order or [])
     corder = contract_order or ([c for c in ("contract_start_date",) if c in contracts.columns])
     con = pick_per_key(contracts, [KEY], corder)
     iorder = interaction_order or ([c for c in ("date",) if c in interactions.columns])
-    if enrich is not None:
-        interactions = enrich(interactions)
-    inter = pick_per_key(interactions, [KEY], iorder, latest=True)
+    if interaction_id:
+        inter = pick_by_id(interactions, [KEY], iorder, interaction_id, latest=True).drop(interaction_id)
+        inter = enrich(inter) if enrich is not None else inter
+    else:
+        inter = pick_per_key(enrich(interactions) if enrich is not None else interactions, [KEY], iorder, latest=True)
     out = lab
     for side in (attr, con, inter):
-        dup = [c for c in side.columns if c in out.columns and c != KEY]
-        out = out.join(side.drop(*dup), KEY, "left")
+        out = join_new_columns(out, side)
     return out

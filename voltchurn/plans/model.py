@@ -272,8 +272,9 @@ def baseline_scores(df: DataFrame, train: DataFrame, strategy: str = "most_frequ
     j = attach_scalar(df, prior)
     if strategy == "most_frequent":
         return j.withColumn(out, F.when(F.col("_prior") > 0.5, 1.0).otherwise(0.0)).drop("_prior")
-    # a uniform draw per key, the same however the rows are partitioned
-    draw = F.pmod(F.xxhash64(F.col(KEY).cast("string"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    # a uniform draw per key (60 bits of md5("key:seed:draw")), the same however the rows are partitioned
+    name = F.coalesce(F.col(KEY).cast("string"), F.lit(""))
+    draw = F.conv(F.substring(F.md5(F.concat(name, F.lit(f":{seed}:draw"))), 1, 15), 16, 10).cast("long").cast("double") / float(1 << 60)
     return j.withColumn(out, (draw < F.col("_prior")).cast("double")).drop("_prior")
 
 

@@ -8,9 +8,11 @@ from voltchurn.operators.frames import cut_lineage
 from voltchurn.plans import bronze, enrich, gold, silver
 
 
-def bronze_layer(raw: dict[str, DataFrame], scorer=None, validate: bool = True) -> dict[str, DataFrame]:
+def bronze_layer(raw: dict[str, DataFrame], scorer=None, validate: bool = True,
+                 interaction_id: str | None = None) -> dict[str, DataFrame]:
+    """Both bronze tables; ``interaction_id`` names a unique column of the interactions, if they have one."""
     bc = bronze.customer(raw["churn"], raw["attributes"], raw["contracts"], raw["interactions"],
-                         enrich=lambda df: enrich.enrich_interactions(df, scorer=scorer))
+                         enrich=lambda df: enrich.enrich_interactions(df, scorer=scorer), interaction_id=interaction_id)
     bcm = bronze.customer_month(raw["consumption"], prices=raw.get("prices"), costs=raw.get("costs"),
                                 province_lookup=raw.get("attributes"), validate=validate)
     return {"bronze_customer": bc, "bronze_customer_month": bcm}
@@ -28,16 +30,19 @@ class LazyLayers:
         return self._built[name]
 
 
-def silver_builders(b) -> dict:
+def silver_builders(b, segments: DataFrame | None = None) -> dict:
     """What builds each silver table from the bronze tables ``b``.
 
     Imputation reads only the segment column of the customer table, so the
-    optimizer drops the interaction join (and its text work) from that plan.
+    optimizer drops the interaction join (and its text work) from that plan.  It
+    cannot where interactions were fetched by id; then ``segments`` gives a
+    customer table without that join.
     """
+    base = b["bronze_customer"] if segments is None else segments
     return {
         "silver_customer": lambda: silver.silver_customer(b["bronze_customer"]),
         "silver_customer_month": lambda: silver.compute_margins(silver.impute_prices(
-            b["bronze_customer_month"], silver.silver_customer(b["bronze_customer"]))),
+            b["bronze_customer_month"], silver.silver_customer(base))),
     }
 
 

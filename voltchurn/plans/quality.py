@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from voltchurn.constants import DEFAULT_NULL_RATE_LIMIT, KEY, NULL_RATE_LIMITS, PRICE_CONSUMPTION_PAIRS
 from voltchurn.functions.exprs import days_between
-from voltchurn.operators.stats import attach_scalar, rate_by, with_group_quantiles
+from voltchurn.operators.stats import attach_scalar, grouped_quantiles, rate_by, with_group_quantiles
 
 NUMERIC = {"double", "float", "int", "bigint", "smallint", "tinyint"}
 
@@ -141,6 +141,30 @@ def negative_reading_audit(consumption: DataFrame, cols: Sequence[str] = ("consu
     return consumption.agg(*aggs).select(F.explode(F.array(*parts)).alias("r")).select("r.*")
 
 
+READINGS = ("consumption_elec_kwh", "consumption_gas_m3")
+
+
+def flag_negative_readings(consumption: DataFrame, cols: Sequence[str] = READINGS) -> DataFrame:
+    """Every reading with a 0/1 flag per measure and the names of its negative measures.
+
+    The readings themselves stay as they were, for the audit.  NULL and NaN are not negative.
+    """
+    flags = {f"{c}_negative": F.coalesce(F.col(c) < 0, F.lit(False)) for c in cols}
+    names = F.array_compact(F.array(*[F.when(f, F.lit(c)) for c, f in zip(cols, flags.values())]))
+    return consumption.withColumns({**{n: f.cast("int") for n, f in flags.items()},
+                                    "negative_measures": F.array_join(names, ",")})
+
+
+def negative_distribution(consumption: DataFrame, cols: Sequence[str] = READINGS,
+                          probs: Sequence[float] = (0.01, 0.25, 0.5, 0.75, 0.99)) -> DataFrame:
+    """Exact percentiles of the negative readings, one row per (measure, percentile); NULL without any."""
+    rows = consumption.select(*[F.when(F.col(c) < 0, F.col(c)).alias(c) for c in cols])
+    q = grouped_quantiles(rows, [], {c: F.col(c) for c in cols}, probs)
+    cells = [F.struct(F.lit(c).alias("measure"), F.lit(float(p)).alias("percentile"), F.col(c)[k].alias("value"))
+             for c in cols for k, p in enumerate(probs)]
+    return q.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
+
+
 def leakage_check(scm: DataFrame, sc: DataFrame) -> DataFrame:
     """Q14: latest month and latest interaction date in the snapshot, plus the label balance."""
     mx = scm.agg(F.max("month").alias("max_month"))

@@ -58,19 +58,29 @@ def _num(df: DataFrame, c: str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def attach_medians(df: DataFrame, groups: list[str], value_exprs: dict[str, Column]) -> DataFrame:
+#: most groups whose medians are looked up in one map; more are joined
+MOST_MAP_GROUPS = 10_000
+
+
+def attach_medians(df: DataFrame, groups: list[str], value_exprs: dict[str, Column],
+                   most_map_groups: int = MOST_MAP_GROUPS) -> DataFrame:
     """Adds the exact median of each expression over the row's group, NULLs skipped.
 
-    The medians come from ``stats.grouped_quantile`` (no task holds a group)
-    and are looked up in one map of group to medians, a scalar as large as the
-    number of groups, so ``df`` is not shuffled on the group columns.
+    The medians come from ``stats.grouped_quantile`` (no task holds a group) and
+    are written down, one row per group.  Up to ``most_map_groups`` of them are
+    looked up in one map, a scalar, so ``df`` is not shuffled on the group
+    columns; more than that are joined.  A row with a NULL group gets NULLs.
     """
-    med = grouped_quantile(df, groups, value_exprs, 0.5)
-    group = lambda d: F.struct(*[d[g].alias(g) for g in groups])
-    table = med.agg(F.map_from_entries(F.collect_list(F.struct(
-        group(med), F.struct(*[F.col(n) for n in value_exprs])))).alias("_m")).scalar()
-    known = F.try_element_at(table, F.struct(*[F.col(g).alias(g) for g in groups]))
-    return df.withColumn("_med", known).withColumns({n: F.col("_med")[n] for n in value_exprs}).drop("_med")
+    med = cut_lineage(grouped_quantile(df, groups, value_exprs, 0.5))
+    if med.limit(most_map_groups + 1).count() > most_map_groups:
+        med = med.withColumn("_med", F.struct(*value_exprs)).select(*groups, "_med")
+        known = df.join(med, groups, "left").select(*df.columns, "_med")
+    else:
+        group = lambda d: F.struct(*[d[g].alias(g) for g in groups])
+        table = med.agg(F.map_from_entries(F.collect_list(F.struct(
+            group(med), F.struct(*[F.col(n) for n in value_exprs])))).alias("_m")).scalar()
+        known = df.withColumn("_med", F.try_element_at(table, F.struct(*[F.col(g).alias(g) for g in groups])))
+    return known.withColumns({n: F.col("_med")[n] for n in value_exprs}).drop("_med")
 
 
 def impute_prices(scm: DataFrame, silver_customer: DataFrame | None = None,

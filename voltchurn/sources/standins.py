@@ -154,9 +154,15 @@ def costs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two documents per customer: ``customer_id = doc_id div 2``; some dates missing."""
+    return interactions_with_id(spark, sf_dir).drop("interaction_id")
+
+
+def interactions_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same interactions with the document's id as ``interaction_id``."""
     d = table(spark, sf_dir, "documents")
     day = ((F.col("doc_id") * 37) % 600).cast("int")
     return d.select(
+        F.col("doc_id").cast("long").alias("interaction_id"),
         (F.col("doc_id").cast("long") / 2).cast("long").cast("string").alias(KEY),
         F.when(F.col("doc_id") % 10 == 9, F.lit(None).cast("date"))
         .otherwise(F.date_add(F.lit("2000-01-01").cast("date"), day)).alias("date"),
