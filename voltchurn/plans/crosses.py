@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from voltchurn.constants import KEY
 from voltchurn.functions.exprs import cut, days_between
-from voltchurn.operators.stats import grouped_quantile, with_quantile_bins
+from voltchurn.operators.frames import cut_lineage
+from voltchurn.operators.stats import grouped_quantile, quantile, with_quantile_bins
 from voltchurn.plans.reports import INTERACTION_DAY_EDGES, INTERACTION_DAY_LABELS
 
 LEVELS = 3
@@ -56,7 +57,10 @@ def cross_rates(df: DataFrame, crosses: Sequence[Sequence[str]], label: str = "c
     """
     medians = dict(medians or {})
     keys = ["cross", *[f"level_{k + 1}" for k in range(LEVELS)]]
-    rows = _expanded(df, crosses, list(dict.fromkeys([label, *values, *medians.values()])))
+    kept = list(dict.fromkeys([label, *values, *medians.values()]))
+    if medians:                                   # read twice: for the rates and for the medians
+        df = cut_lineage(df.select(*dict.fromkeys([*[d for dims in crosses for d in dims], *kept])))
+    rows = _expanded(df, crosses, kept)
     out = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("customers"), F.count_if(F.col(label) == 1).alias("churners"),
         F.avg(F.col(label).cast("double")).alias("churn_rate"), *[e.alias(n) for n, e in (extra or {}).items()])
@@ -87,11 +91,10 @@ def lifecycle_columns(gold: DataFrame, sc: DataFrame | None = None) -> DataFrame
 
 def customer_medians(scm: DataFrame) -> DataFrame:
     """Per customer: median monthly electricity, gas and total margin, and the margin's and bill's spread."""
-    medians = grouped_quantile(scm, [KEY], {"elec_margin_med": F.col("elec_margin"), "gas_margin_med": F.col("gas_margin"),
-                                            "total_margin_med": F.col("total_margin")}, 0.5)
-    spread = scm.groupBy(KEY).agg(F.stddev_samp("total_margin").alias("margin_volatility"),
-                                  F.stddev_samp("total_revenue").alias("bill_volatility"))
-    return spread.join(medians, KEY, "left")
+    # a customer has a row a month: the percentiles of so few values ride on the customer's aggregate
+    return scm.groupBy(KEY).agg(F.stddev_samp("total_margin").alias("margin_volatility"),
+                                F.stddev_samp("total_revenue").alias("bill_volatility"),
+                                *[quantile(c, 0.5).alias(f"{c}_med") for c in ("elec_margin", "gas_margin", "total_margin")])
 
 
 def tenure_crosses(customers: DataFrame) -> DataFrame:
