@@ -1,5 +1,6 @@
 """Work that grows with the tables: read once, counted only where ranks fall, no quadratic frames."""
 
+import datetime
 import random
 import threading
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltchurn.operators import frames, stats
-from voltchurn.plans import crosses, gold, model
+from voltchurn.plans import crosses, gold, model, silver
 from voltchurn.sources import standins
 
 
@@ -94,3 +95,44 @@ def test_the_two_fits_of_an_experiment_run_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(model, "fit", lambda *a, **k: (meet.wait(), fit(*a, **k))[1])
     res = model.run_experiment(df.limit(60), df, ["x"], "gbt", maxIter=1)
     assert res["metrics"].count() == 1
+
+
+def _months(spark):
+    """(customer_id, month, is_industrial, price, kwh): month 1 lacks a price in both segments, month 2 in one, month 3 in none."""
+    rows = [("a", "2001-01", 0, None, 1.0), ("b", "2001-01", 1, None, 1.0), ("c", "2001-02", 0, None, 1.0), ("d", "2001-02", 1, 4.0, 1.0),
+            ("e", "2001-02", 1, 6.0, 1.0), ("f", "2001-03", 0, 1.0, 1.0), ("g", "2001-03", 0, None, 1.0), ("h", "2001-03", 1, 9.0, 1.0),
+            ("i", "2001-03", 0, None, 0.0)]
+    return spark.createDataFrame(rows, "customer_id string, month string, is_industrial int, gas_variable_price_eur_m3 double, monthly_gas_m3 double")
+
+
+def test_level_3_counts_only_the_months_that_lack_a_price(spark, monkeypatch):
+    seen = []
+    whole = silver.grouped_quantile
+    monkeypatch.setattr(silver, "grouped_quantile", lambda df, groups, *a: seen.append((groups, {r["month"] for r in df.select("month").collect()})) or whole(df, groups, *a))
+    got = {r["customer_id"]: r["gas_variable_price_eur_m3"] for r in silver.impute_prices(_months(spark)).collect()}
+    assert got == {"a": None, "b": None, "c": 5.0, "d": 4.0, "e": 6.0, "f": 1.0, "g": 1.0, "h": 9.0, "i": None}
+    assert seen == [(["is_industrial", "month"], {"2001-01", "2001-02", "2001-03"}), (["month"], {"2001-01", "2001-02"})]
+
+
+def test_medians_of_asked_groups_use_all_their_rows(spark):
+    df = spark.createDataFrame([("x", 1.0, False), ("x", 3.0, True), ("y", 7.0, False), (None, 2.0, True)], "g string, v double, ask boolean")
+    out = silver.attach_medians(df, ["g"], {"m": F.col("v")}, asking=F.col("ask"))
+    assert {(r["g"], r["v"]): r["m"] for r in out.collect()} == {("x", 1.0): 2.0, ("x", 3.0): 2.0, ("y", 7.0): None, (None, 2.0): None}
+
+
+def test_values_of_a_written_table_are_not_written_again(spark, monkeypatch):
+    monkeypatch.setattr(stats, "written", lambda *a: pytest.fail("written again"))
+    df = spark.createDataFrame([("x", None, 1.0), ("x", None, 2.0), ("y", 5.0, None)], "g string, v double, w double")
+    got = stats.grouped_quantiles(df, ["g"], {"v": F.col("v"), "w": F.col("w")}, [0.5], kept=True).collect()
+    assert {r["g"]: (r["v"], r["w"]) for r in got} == {"x": (None, [1.5]), "y": ([5.0], None)}
+
+
+def test_costs_are_grouped_by_plain_numbers(spark, tmp_path):
+    day = lambda *a: datetime.datetime(*a)
+    spark.createDataFrame([(1, 10.0, 0.1, 0.2, day(1999, 12, 31)), (1, 20.0, 0.3, 0.4, day(1999, 12, 1)), (1, 30.0, 0.5, 0.6, day(2000, 1, 1)), (2, 5.0, 0.0, 0.0, None)],
+                          "l_suppkey long, l_quantity double, l_discount double, l_tax double, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 7), (2, 7)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    out = standins.costs(spark, str(tmp_path))
+    assert "trunc" not in _plan(out)
+    got = {r["month"]: (r["province"], r["elec_fixed_cost_eur_month"]) for r in out.collect()}
+    assert got == {"1999-12": (7, 3.0), "2000-01": (7, 6.0), None: (7, 1.0)}
