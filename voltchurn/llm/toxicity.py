@@ -21,10 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltchurn.llm.components import saved
-from voltchurn.llm.vocab import BATCH_CHARS, LETTER, char_classes, span_hashes
+from voltchurn.llm.vocab import LETTER, char_classes, span_hashes
 
 #: characters that end a sentence
 ENDINGS = ".!?\n"
+#: code points scored at once (some 100 bytes of arrays each); a single longer text is a batch of its own
+SCORE_CHARS = 1 << 18
 HELD_OUT_PART = 2
 PREFIXES = (4, 5, 6)
 PREFIX_MARK = np.uint64(0x5851F42D4C957F2D)
@@ -272,7 +274,7 @@ def score_texts(model: ToxicityModel, texts: list[str], limit: float):
     lo = 0
     while lo < len(texts):
         hi, size = lo, 0
-        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= BATCH_CHARS):
+        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= SCORE_CHARS):
             size += len(texts[hi])
             hi += 1
         hashes, sentence, first, starts, lens = split_words(texts[lo:hi])
