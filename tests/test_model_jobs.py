@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from voltchurn.plans import model as M
@@ -95,3 +96,12 @@ def test_whole_pipeline_from_raw_files(spark, tmp_path):
     for layer in ("bronze/bronze_customer", "silver/silver_customer", "gold/gold_master", "scored/recommendations"):
         assert spark.read.parquet(str(tmp_path / "out" / layer)).count() == n
     assert spark.read.parquet(str(tmp_path / "out/bronze/bronze_customer_month")).count() == 2 * n
+
+
+def test_forests_score_after_a_metric_was_observed(spark, customers):
+    seen = Observation()
+    customers.observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 240
+    model = M.fit(customers, ["noise", "strong"], "random_forest", numTrees=5)
+    assert not model.stages[-1].hasSummary
+    assert M.predict_proba(model, customers, ["noise", "strong"]).filter("proba > 0.5").count() > 0
