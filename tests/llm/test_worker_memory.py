@@ -1,10 +1,12 @@
 """What one batch takes in a Python worker of the pipeline."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from voltchurn.llm import toxicity
+from voltchurn.llm import bpe, toxicity, vocab, workers
+from voltchurn.llm.queries import vocab_path
 
 
 def test_scores_do_not_depend_on_how_texts_are_dealt_into_batches(monkeypatch):
@@ -30,3 +32,28 @@ def test_pipeline_batches_are_a_megabyte(spark):
         assert int(spark.conf.get(key)) == 1 << 20
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_task_drops_other_operators_tables_and_gives_memory_back(monkeypatch):
+    times = []
+    monkeypatch.setattr(workers, "give_back", lambda: times.append("given back"))
+    bpe.encoder(vocab_path())
+    assert list(workers.lean(iter, tables=True)([1, 2])) == [1, 2]
+    assert bpe.encoder.cache_info().currsize and vocab.load_vocab.cache_info().currsize and len(times) == 1
+    assert list(workers.lean(iter)([3])) == [3]
+    assert not bpe.encoder.cache_info().currsize and not vocab.load_vocab.cache_info().currsize and len(times) == 3
+
+
+def test_pipeline_workers_take_arrow_memory_from_the_system(spark):
+    before = dict(spark.sparkContext.environment)
+
+    def run(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([pa.default_memory_pool().backend_name])], ["pool"])
+
+    try:
+        corpus_pipeline._ready(spark)
+        assert {r["pool"] for r in spark.range(4).mapInArrow(run, "pool string").collect()} == {"system"}
+    finally:
+        spark.sparkContext.environment.clear()
+        spark.sparkContext.environment.update(before)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltchurn.llm.vocab import NO_RANK, Encoder, Vocab, load_vocab
+from voltchurn.llm.workers import worker_table
 
 _GAP = "Ā"  # in no token: bytes map to code points below 256
 
@@ -97,6 +98,7 @@ class Speculator:
         return all_ids[np.argsort(all_owner, kind="stable")], counts
 
 
+@worker_table
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder per worker process and vocabulary file."""

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from voltchurn.llm.components import components, saved
 from voltchurn.llm.lines import LAST_ID
 from voltchurn.llm.vocab import span_hashes
+from voltchurn.llm.workers import lean
 
 BATCH_BYTES = 1 << 20
 LOCAL_DOCS = 256              # regions up to this size are joined in one task
@@ -280,7 +281,7 @@ def frequent_shingles(docs: DataFrame, words: int) -> np.ndarray:
             often = n >= max(4, FREQUENT_SHARE * len(sizes))
             yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64), pa.int64()), pa.array(n[often], pa.int64())], ["h", "n"])
 
-    rows = (docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    rows = (docs.select("text").mapInArrow(lean(count), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("n"), "h").limit(FREQUENT_KEPT).select("h").toPandas())
     return np.sort(rows["h"].to_numpy(dtype=np.int64).view(np.uint64))
 
@@ -296,7 +297,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                     [rows.column("id"), rows.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(_set_ids(hashes, sizes), pa.int64())],
                     ["id", "text_hash", "n", "s1"])
 
-    return docs.select("id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "id long, text_hash long, n long, s1 long")
+    return docs.select("id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(lean(run), "id long, text_hash long, n long, s1 long")
 
 
 class _Heads:
@@ -377,7 +378,7 @@ def _key_heads(docs: DataFrame, frequent: np.ndarray, t: Threshold, words: int)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes), none], ["key", "node", "head"])
                 yield pa.RecordBatch.from_arrays([pa.array(linked), pa.array(linked), pa.array(heads)], ["key", "node", "head"])
 
-    found = docs.select("text").mapInArrow(run, "key long, node long, head long")
+    found = docs.select("text").mapInArrow(lean(run), "key long, node long, head long")
     meeting = Window.partitionBy("key", F.col("head").isNull())          # rows with a head stand apart, by node
     return found.withColumn("head", F.coalesce("head", F.min("node").over(meeting))).select("node", "head")
 
@@ -423,7 +424,7 @@ def _regions_by_frequency(open_docs: DataFrame, t: Threshold, words: int) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(last, pa.int64()), pa.array(hashes.view(np.int64), pa.int64())], ["node", "last", "key"])
 
-    found = open_docs.select("id", "text").mapInArrow(run, "node long, last long, key long")
+    found = open_docs.select("id", "text").mapInArrow(lean(run), "node long, last long, key long")
     frequency = found.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("df")).where("lo < hi")
     mine = Window.partitionBy("node")
     shared = found.join(frequency.select("key", "df"), "key") \
@@ -499,7 +500,7 @@ def _local_join(members: DataFrame, t: Threshold, words: int) -> DataFrame:
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return members.select("region", "id", "text").repartition(n, "region").sortWithinPartitions("region", "id") \
-        .mapInArrow(run, "a long, b long")
+        .mapInArrow(lean(run), "a long, b long")
 
 
 def _edge_batch(rows: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -547,7 +548,7 @@ def _measure(members: DataFrame, pivots: DataFrame, t: Threshold, words: int) ->
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.unionByName(copies).repartition(n, "region", "lot", "block").sortWithinPartitions("region", "lot", "block", "role", "id") \
-        .mapInArrow(run, "id long, pivot long, linked boolean")
+        .mapInArrow(lean(run), "id long, pivot long, linked boolean")
 
 
 def _measured(ids: list[int], labels: list[int], sets: _Sets, pivots_of: list, t: Threshold) -> pa.RecordBatch:
@@ -619,7 +620,7 @@ def _one_text_each(members: DataFrame, words: int) -> DataFrame:
             rows = pa.RecordBatch.from_arrays([batch.column(c) for c in ("region", "members", "s1", "text")], ["region", "members", "id", "text"])
             yield rows.filter(pa.array(same))
 
-    return members.mapInArrow(run, "region long, members long, id long, text string")
+    return members.mapInArrow(lean(run), "region long, members long, id long, text string")
 
 
 def _measure_all(members: DataFrame, t: Threshold, words: int) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from voltchurn.llm.bpe import encoder, id_text, text_batches
+from voltchurn.llm.workers import lean
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, window long")
@@ -145,4 +146,4 @@ def pack_documents(docs: DataFrame, vocab_path: str, window: int = 2048, end_id:
             yield frame(rows)
         yield frame(list(packer.close()))
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, PIECES)
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run, tables=True), PIECES)

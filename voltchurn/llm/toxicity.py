@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from voltchurn.llm.components import saved
 from voltchurn.llm.vocab import LETTER, char_classes, span_hashes
+from voltchurn.llm.workers import lean
 
 #: characters that end a sentence
 ENDINGS = ".!?\n"
@@ -219,7 +220,7 @@ def choose_features(sample: DataFrame, base: float, min_docs: int, max_features:
                 [pa.array(h.view(np.int64), pa.int64()), pa.array(np.bincount(inverse, minlength=len(h)), pa.int64()),
                  pa.array(bad.astype(np.int64), pa.int64())], ["h", "n", "bad"])
 
-    found = sample.select("text", "toxic").mapInArrow(count, "h long, n long, bad long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    found = sample.select("text", "toxic").mapInArrow(lean(count), "h long, n long, bad long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     statistic = F.abs(F.col("bad") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base))
     best = found.where(F.col("n") >= min_docs).orderBy(statistic.desc(), "h").limit(max_features).select("h").toPandas()
     return np.sort(best["h"].to_numpy(dtype=np.int64).view(np.uint64))
@@ -262,7 +263,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, min_docs:
                 [batch.column("doc_id"), batch.column("toxic"), pa.array(features, pa.binary()), pa.array(sents, pa.binary()),
                  pa.array(counts, pa.int32())], ["doc_id", "toxic", "features", "sentences", "n"])
 
-    found = sample.mapInArrow(places, "doc_id long, toxic int, features binary, sentences binary, n int").orderBy("doc_id").toArrow()
+    found = sample.mapInArrow(lean(places), "doc_id long, toxic int, features binary, sentences binary, n int").orderBy("doc_id").toArrow()
     whole = lambda name: [np.frombuffer(x, np.int32).astype(np.int64) for x in found.column(name).to_pylist()]
     return fit(vocab, whole("features"), whole("sentences"), found.column("n").to_pylist(), found.column("toxic").to_pylist(), **options)
 
@@ -316,6 +317,6 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, limit: float = 0.3, te
                 [batch.column("row"), pa.array(score, pa.float64()), pa.array(bad, spans)], ["row", "toxic_score", "offending"])
 
     kind = src.schema["row"].dataType.simpleString()
-    out = src.mapInArrow(run, f"row {kind}, toxic_score double, offending array<struct<start:int,end:int,score:double>>")
+    out = src.mapInArrow(lean(run), f"row {kind}, toxic_score double, offending array<struct<start:int,end:int,score:double>>")
     return out.select(*[F.col("row")[c].alias(c) for c in keep], "toxic_score",
                       (F.col("toxic_score") >= limit).alias("toxic"), "offending")

@@ -13,6 +13,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from voltchurn.llm.workers import worker_table
+
 # The contractions of the pre-token pattern
 #   's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
 CONTRACTIONS_1 = ("s", "t", "m", "d")
@@ -194,6 +196,7 @@ class Vocab:
         return m
 
 
+@worker_table
 @lru_cache(maxsize=4)
 def load_vocab(path: str) -> Vocab:
     return Vocab(path)
