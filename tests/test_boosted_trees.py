@@ -3,6 +3,8 @@
 import random
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
 
 from voltchurn.plans import model
 
@@ -39,3 +41,36 @@ def test_rounds_end_when_held_out_rows_gain_no_more(rows):
     assert len(scored) == 600 and all(0 <= r["proba"] <= 1 for r in scored)
     again = model.fit(rows, FEATURES, "gbt", validation_share=0.25, maxIter=40, stepSize=0.5, validationTol=0.01)
     assert again.stages[-1].getNumTrees == stopped.stages[-1].getNumTrees
+
+
+def test_rows_are_dealt_over_the_cores(spark, monkeypatch):
+    monkeypatch.setattr(model, "ROWS_A_TASK", (10, 500))
+    parts = lambda n: model.spread_rows(spark.range(n).coalesce(1)).rdd.getNumPartitions()
+    cores = spark.sparkContext.defaultParallelism
+    assert [parts(n) for n in (0, 9, 25, 600)] == [1, 1, min(2, cores), min(60, cores)]
+    assert parts(500 * cores + 1) == 2 * cores
+    assert model.spread_rows(spark.range(77)).count() == 77
+
+
+def test_boosting_gets_vectors_that_are_kept_and_dealt(spark, rows, monkeypatch):
+    monkeypatch.setattr(model, "ROWS_A_TASK", (10, 500), raising=False)
+    seen, fit = [], model.GBTClassifier.fit
+
+    def spy(self, dataset, *a):
+        seen.append((dataset.rdd.getNumPartitions(), dataset.is_cached, dataset.columns))
+        return fit(self, dataset, *a)
+
+    monkeypatch.setattr(model.GBTClassifier, "fit", spy)
+    model.fit(rows.coalesce(1), FEATURES, "gbt", maxIter=1)
+    model.fit(rows.coalesce(1), FEATURES, "gbt", maxIter=1, validation_share=0.25)
+    assert seen == [(min(60, spark.sparkContext.defaultParallelism), True, ["features", "churn", "weight"]),
+                    (min(45, spark.sparkContext.defaultParallelism), True, ["features", "churn", "weight", "_held"])]
+
+
+def test_trees_are_those_of_one_pipeline(spark, rows):
+    one = rows.coalesce(1)
+    got = model.fit(one, FEATURES, "gbt", maxIter=5)
+    tr = model.class_weights(one).withColumn("churn", F.col("churn").cast("double"))
+    want = Pipeline(stages=[*model.preprocessing_stages(tr, FEATURES, False), model.estimator("gbt", maxIter=5)]).fit(tr)
+    assert [t.toDebugString.split("\n", 1)[1] for t in got.stages[-1].trees] == [t.toDebugString.split("\n", 1)[1] for t in want.stages[-1].trees]
+    assert [type(s) for s in got.stages] == [type(s) for s in want.stages]
